@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import quality_rules
+from corpusloom.llm import compression_classifier, language_id, quality_rules, toxicity
+from corpusloom.llm.shared import id_fold
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,5 +22,35 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules,)}
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the documents with a language."""
+    docs = _read(spark, sf_dir, "documents")
+    held_out = id_fold(F.col("doc_id"), 4) == 2
+    found = language_id.predict(docs, language_id.learn(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labels."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    held_out = id_fold(F.col("doc_id"), 5) == 0
+    model = compression_classifier.fit_labelled(docs, labels.filter(~held_out), "quality")
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return compression_classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from two thirds of the labels."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    held_out = id_fold(F.col("doc_id"), 3) == 1
+    model = toxicity.fit_labelled(docs, labels.filter(~held_out), "toxic")
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_language_id, op9_compression_classifier, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
