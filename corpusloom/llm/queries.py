@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import compression_classifier, language_id, quality_rules, toxicity
+from corpusloom.llm import compression_classifier, language_id, quality_rules, token_blocks, toxicity
 from corpusloom.llm.shared import id_fold
 
 
+def _vocabulary(name: str) -> str:
+    """Where a public vocabulary file is; looked up only when a query needs it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -30,6 +37,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, read back."""
+    return token_blocks.encode_corpus(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from four fifths of the labels."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -52,5 +64,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_language_id, op9_compression_classifier, op10_toxicity)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_quality_rules, op4_language_id, op5_token_blocks, op9_compression_classifier, op10_toxicity,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
