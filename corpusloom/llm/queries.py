@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import compression_classifier, language_id, quality_rules, token_blocks, toxicity
+from corpusloom.llm import compression_classifier, language_id, quality_rules, token_blocks, toxicity, warc_bundles
 from corpusloom.llm.shared import id_fold
 
 
@@ -42,6 +42,11 @@ def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.encode_corpus(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC bundles of every page, read back."""
+    return warc_bundles.archive(_read(spark, sf_dir, "pages"))
+
+
 def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from four fifths of the labels."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -67,7 +72,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_rules, op4_language_id, op5_token_blocks, op9_compression_classifier, op10_toxicity,
+        op2_quality_rules, op4_language_id, op5_token_blocks, op7_warc_bundles, op9_compression_classifier, op10_toxicity,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+OP7_SQL = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
+), digested AS (
+  SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+      (('0x' || substr(sha, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '')
+      AS payload_digest,
+    max(page_id) OVER (PARTITION BY payload) AS response
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM digested
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_warc_bundles": OP7_SQL}

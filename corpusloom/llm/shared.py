@@ -69,3 +69,24 @@ def bounded_sample(keys: DataFrame, id_column: str, class_column: str, per_class
     share = F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("_rows"))
     mine = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("sample")), F.lit(scale))
     return keys.join(F.broadcast(totals), class_column).filter(mine < share * scale).drop("_rows")
+
+
+SALTS = 64
+
+
+def salt(column: Column, salts: int = SALTS) -> Column:
+    """A small number fixed by the column's value, to deal a hot group out."""
+    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
+
+
+def shared_groups(rows: DataFrame, keys: list[str], salt_col: str, value: Column, name: str) -> DataFrame:
+    """(keys, salt, name) for groups of two rows or more; ``name`` aggregates ``value`` by max.
+
+    Rows meet by key and salt first, then at most ``SALTS`` partial rows by key, so no task gets a whole hot group;
+    joined by key and salt, the result deals a hot group's rows over the salts too.
+    """
+    part = rows.groupBy(*keys, salt_col).agg(F.max(value).alias("_part"), F.count("*").alias("_rows"))
+    whole = part.groupBy(*keys).agg(
+        F.max("_part").alias(name), F.sum("_rows").alias("_all"), F.collect_list(salt_col).alias("_salts")
+    )
+    return whole.filter("_all > 1").select(*keys, F.explode("_salts").alias(salt_col), name)

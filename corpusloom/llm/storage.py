@@ -16,7 +16,7 @@ def write_file(folder: str, name: str, content: bytes | list[bytes]) -> str:
     uri = f"{folder.rstrip('/')}/{stem}-{uuid.uuid4().hex[:12]}{dot}{suffix}"
     system, path = fs.FileSystem.from_uri(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         for part in [content] if isinstance(content, bytes) else content:
             out.write(part)
     return uri
