@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import compression_classifier, language_id, quality_rules, token_blocks, toxicity, warc_bundles
+from corpusloom.llm import compression_classifier, language_id, quality_rules, secret_scan, token_blocks, toxicity, warc_bundles
 from corpusloom.llm.shared import id_fold
 
 
@@ -47,6 +47,11 @@ def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.archive(_read(spark, sf_dir, "pages"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.report(_read(spark, sf_dir, "documents"))
+
+
 def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from four fifths of the labels."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -72,7 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_rules, op4_language_id, op5_token_blocks, op7_warc_bundles, op9_compression_classifier, op10_toxicity,
+        op2_quality_rules, op4_language_id, op5_token_blocks, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
     )
 }
 
@@ -93,4 +98,61 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM digested
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_warc_bundles": OP7_SQL}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op8_sql() -> str:
+    """Matches of each kind with their positions, and entropies counted anew for every window."""
+    kinds = (
+        (0, secret_scan.ASSIGN, 2), (1, secret_scan.ACCESS, 0), (2, "[0-9a-f]+", 0), (3, "[A-Za-z0-9+/_=-]{20,}", 0),
+    )
+    found = " UNION ALL ".join(
+        f"""SELECT r, {kind} AS kind, unnest(range(len(regexp_extract_all(t, {_quoted(pattern)})))) AS i,
+        unnest(regexp_extract_all(t, {_quoted(pattern)}, 0)) AS m, unnest(regexp_extract_all(t, {_quoted(pattern)},
+        {group})) AS g, unnest(string_split_regex(t, {_quoted(pattern)})) AS piece FROM d"""
+        for kind, pattern, group in kinds
+    )
+    allowed = " OR ".join(f"regexp_matches(m, {_quoted(a)})" for a in secret_scan.ALLOW)
+    names = ", ".join(f"({i}, '{name}')" for i, name in enumerate(secret_scan.KINDS))
+    w = secret_scan.WINDOW
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (SELECT * FROM ({found}) WHERE m IS NOT NULL),
+placed AS (
+  SELECT *, (sum(length(piece) + length(m)) OVER (PARTITION BY r, kind ORDER BY i))::BIGINT AS stop FROM found
+), base AS (
+  SELECT r, kind, stop - length(m) AS start, stop FROM placed
+  WHERE kind = 0 AND length(g) >= {secret_scan.ASSIGN_LEAST} OR kind = 1 AND length(m) >= {secret_scan.ACCESS_LEAST}
+    OR kind = 2 AND length(m) >= 24
+), windows AS (
+  SELECT r, stop, m, unnest(range(length(m) - {w - 1})) AS q FROM placed
+  WHERE kind = 3 AND regexp_matches(m, '[0-9]') AND NOT ({allowed})
+), bits AS (
+  SELECT r, stop, m, q, substr(m, q::INT + 1, {w}) AS win,
+    CASE WHEN regexp_matches(m, '^([0-9a-f]+|[0-9A-F]+)$') THEN {secret_scan.HEX_BITS}
+      ELSE {secret_scan.BASE64_BITS} END AS least FROM windows
+), hot AS (
+  SELECT r, stop, m, q, list_sum(list_transform(list_distinct(string_split(win, '')),
+    lambda c: -({w} - length(replace(win, c, ''))) / {w}.0 * log2(({w} - length(replace(win, c, ''))) / {w}.0))) AS h,
+    least FROM bits
+), spans AS (
+  SELECT * FROM base UNION ALL
+  SELECT r, 3, min(stop - length(m) + q), max(stop - length(m) + q + {w}) FROM hot WHERE h >= least GROUP BY r, stop
+), named AS (
+  SELECT r, kind, start, name || ':' || start || ':' || stop AS span
+  FROM spans JOIN (VALUES {names}) n(kind, name) USING (kind)
+), texts AS (
+  SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    string_agg(span, ',' ORDER BY start, kind) AS every FROM named GROUP BY r
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM d LEFT JOIN texts USING (r)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
