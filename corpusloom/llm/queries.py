@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import compression_classifier, language_id, quality_rules, secret_scan, token_blocks, toxicity, warc_bundles
+from corpusloom.llm import compression_classifier, language_id, mixing, quality_rules, secret_scan, token_blocks, toxicity, warc_bundles
 from corpusloom.llm.shared import id_fold
 
 
@@ -42,6 +42,16 @@ def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.encode_corpus(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once for each epoch of its source that takes it."""
+    sizes = mixing.sized(_read(spark, sf_dir, "documents"))
+    mixed = mixing.apply(sizes, mixing.plan(sizes))
+    return mixed.select(
+        "doc_id", "source", "n_tokens", F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"),
+        F.col("mix_rank").alias("block_rank"), F.round("mix_weight", 9).alias("weight"),
+    )
+
+
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARC bundles of every page, read back."""
     return warc_bundles.archive(_read(spark, sf_dir, "pages"))
@@ -77,7 +87,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_rules, op4_language_id, op5_token_blocks, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
+        op2_quality_rules, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
     )
 }
 
@@ -100,6 +110,54 @@ FROM digested
 
 
 
+OP6_SQL = f"""
+WITH RECURSIVE sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % {mixing.BLOCKS})::INT AS block FROM documents
+), blocks AS (
+  SELECT coalesce(source, '') AS name, source IS NULL AS none, block, sum(n_tokens)::BIGINT AS n
+  FROM sizes GROUP BY source, block
+), totals AS (SELECT name, none, sum(n)::BIGINT AS "all" FROM blocks GROUP BY name, none),
+shares AS (
+  SELECT "all" / (SELECT sum("all") FROM totals)::DOUBLE AS p, ln((SELECT count(*) FROM totals WHERE "all" > 0))
+    * {mixing.ENTROPY_SHARE} AS target FROM totals WHERE "all" > 0
+), halves AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0.0::DOUBLE AS rlo, 1.0::DOUBLE AS rhi
+  UNION ALL
+  SELECT i + 1, CASE WHEN fine THEN mid ELSE lo END, CASE WHEN fine THEN hi ELSE mid END,
+    CASE WHEN often THEN rmid ELSE rlo END, CASE WHEN often THEN rhi ELSE rmid END
+  FROM (
+    SELECT i, lo, hi, rlo, rhi, (lo + hi) / 2 AS mid, (rlo + rhi) / 2 AS rmid,
+      ln(sum(p ** ((lo + hi) / 2))) - sum(p ** ((lo + hi) / 2) * (lo + hi) / 2 * ln(p)) / sum(p ** ((lo + hi) / 2))
+        >= any_value(target) AS fine,
+      max(p ** ((rlo + rhi) / 2 - 1)) / sum(p ** ((rlo + rhi) / 2)) > {mixing.MAX_REPEATS} AS often
+    FROM halves CROSS JOIN shares WHERE i < {mixing.STEPS} GROUP BY i, lo, hi, rlo, rhi
+  )
+), chosen AS (
+  SELECT greatest(
+    CASE WHEN (SELECT -sum(p * ln(p)) >= any_value(target) FROM shares) THEN 1.0 ELSE lo END,
+    CASE WHEN (SELECT max(1 / p) / count(*) <= {mixing.MAX_REPEATS} FROM shares) THEN 0.0 ELSE rhi END) AS alpha
+  FROM halves WHERE i = {mixing.STEPS}
+), weights AS (
+  SELECT name, none, "all", total, CASE WHEN "all" > 0 THEN ("all" / total::DOUBLE) ** alpha / z ELSE 0.0 END AS weight
+  FROM totals CROSS JOIN (SELECT alpha, sum(p ** alpha) AS z FROM chosen CROSS JOIN shares GROUP BY alpha)
+    CROSS JOIN (SELECT sum("all") AS total FROM totals)
+), budgets AS (
+  SELECT *, CASE WHEN "all" > 0 THEN floor(weight * total / "all") ELSE 1 END::INT AS whole,
+    weight * total - CASE WHEN "all" > 0 THEN floor(weight * total / "all") ELSE 1 END * "all" AS rest FROM weights
+), ranked AS (
+  SELECT *, row_number() OVER w AS block_rank, sum(n) OVER w - n AS before FROM (
+    SELECT *, unnest(range(whole + 1))::INT AS epoch FROM blocks JOIN budgets USING (name, none))
+  WINDOW w AS (PARTITION BY name, none, epoch
+    ORDER BY md5('{mixing.SEED}:' || epoch || ':' || name || ':' || block), block)
+)
+SELECT doc_id, source, n_tokens, epoch, block, block_rank::INT AS block_rank, round(weight, 9) AS weight
+FROM sizes JOIN ranked USING (block)
+WHERE coalesce(source, '') = name AND (source IS NULL) = none
+  AND (epoch < whole OR ("all" > 0 AND before + n / 2.0 <= rest))
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -155,4 +213,4 @@ FROM d LEFT JOIN texts USING (r)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
