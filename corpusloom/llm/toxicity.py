@@ -113,7 +113,7 @@ def fit_labelled(
                 ["place", "weight"],
             )
 
-    got = rows.coalesce(1).mapInArrow(learn, "place long, weight double").toPandas()
+    got = rows.repartition(1).mapInArrow(learn, "place long, weight double").toPandas()
     body = got[got.place >= 0].sort_values("place")
     bias = got[got.place < 0].weight
     return Model(
