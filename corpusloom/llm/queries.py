@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import compression_classifier, language_id, mixing, quality_rules, secret_scan, token_blocks, toxicity, warc_bundles
+from corpusloom.llm import (
+    compression_classifier,
+    decontamination,
+    language_id,
+    mixing,
+    quality_rules,
+    secret_scan,
+    token_blocks,
+    toxicity,
+    warc_bundles,
+)
 from corpusloom.llm.shared import id_fold
 
 
@@ -20,6 +30,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of a document that aligns with a benchmark item."""
+    return decontamination.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weakly supervised quality verdicts for every document."""
     scored = quality_rules.score_quality(_read(spark, sf_dir, "documents"))
@@ -87,7 +102,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_rules, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
+        op1_decontamination, op2_quality_rules, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
     )
 }
 
