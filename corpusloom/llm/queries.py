@@ -10,6 +10,7 @@ from corpusloom.llm import (
     decontamination,
     language_id,
     mixing,
+    ngram_join,
     quality_rules,
     secret_scan,
     token_blocks,
@@ -44,6 +45,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similar shingle sets."""
+    return ngram_join.similar_documents(_read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the documents with a language."""
     docs = _read(spark, sf_dir, "documents")
@@ -102,7 +108,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_quality_rules, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
+        op1_decontamination, op2_quality_rules, op3_ngram_join, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
     )
 }
 
