@@ -123,6 +123,15 @@ def fit_labelled(
     return fit([r[1:] for r in got])
 
 
+def probabilities(model: Model, measure, texts: pa.Array) -> np.ndarray:
+    """Scores of a batch of texts."""
+    if measure is None:
+        return np.full(len(texts), model.constant)
+    x = np.array([measure(t) for t in texts.to_pylist()]).reshape(len(texts), -1)
+    z = np.c_[np.ones(len(x)), (x - model.centre) / model.scale]
+    return 1 / (1 + np.exp(-np.clip(z @ np.array(model.weights), -30, 30)))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; one pass over whole texts, no shuffle."""
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
@@ -130,14 +139,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         measure = measurer(model.bad, model.good) if model.good is not None else None
         for batch in batches:
-            n = batch.num_rows
-            if measure is None:
-                got = np.full(n, model.constant)
-            else:
-                texts = batch.column(1).cast(pa.binary())
-                x = np.array([measure(t) for t in texts.to_pylist()]).reshape(n, -1)
-                z = np.c_[np.ones(n), (x - model.centre) / model.scale]
-                got = 1 / (1 + np.exp(-np.clip(z @ np.array(model.weights), -30, 30)))
+            got = probabilities(model, measure, batch.column(1).cast(pa.binary()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], [id_col, "score"])
 
     return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score reaches the threshold."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        measure = measurer(model.bad, model.good) if model.good is not None else None
+        for batch in batches:
+            good = probabilities(model, measure, batch.column(at).fill_null("").cast(pa.binary())) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -28,6 +28,7 @@ from corpusloom.llm.shared import staged
 SEED = 5
 ITEM_WORDS = 1_000_000
 SHARE, ENOUGH = 0.5, 20
+BROADCAST_IDS = 2_000_000
 RARE_SHARE, RARE_LEAST, RARE_TIMES = 1e-4, 8, 4
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
@@ -219,4 +220,6 @@ def matches(
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without a match; rows without an id share one fate."""
     hit = matches(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_hit")).distinct()
+    hit = staged(hit, "contaminated")
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit.hint("shuffle_hash")
     return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")

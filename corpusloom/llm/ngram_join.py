@@ -132,10 +132,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cls, set) of the given classes (cls, min_id), from the texts of rows with their smallest id."""
     wanted = classes.select(F.col("min_id").alias("_wanted")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    else:
-        wanted = wanted.hint("shuffle_hash")
+    wanted = _within(wanted)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi")
 
@@ -379,3 +376,24 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
     return out.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"))
 
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component; one row where that id repeats. Rows without an id stay."""
+    found = staged(similar_documents(docs, id_col, text_col), "components")
+    known = found.select(F.col(id_col).alias("_id"), "component_id").filter("_id is not null")
+    counts = known.groupBy("_id").agg(F.count("*").alias("_rows"), F.min("component_id").alias("_root"))
+    lost = counts.filter("_root <> _id").select("_id")
+    again = counts.filter("_root = _id and _rows > 1").select("_id")
+    rows = docs.join(_within(staged(lost, "lost")), docs[id_col] == F.col("_id"), "left_anti")
+    again = staged(again, "again")
+    if again.isEmpty():
+        return rows
+    again = _within(again)
+    single = rows.join(again, rows[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col])
+    return rows.join(again, rows[id_col] == F.col("_id"), "left_anti").unionByName(single)
+
+
+def _within(ids: DataFrame) -> DataFrame:
+    """Broadcast ids behind a check of their number; hash them by partition beyond it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
