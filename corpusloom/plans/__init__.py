@@ -1 +1 @@
-
+"""Views over the given tables and the registered queries."""
