@@ -76,7 +76,8 @@ def by_extension(rows: DataFrame, order: Sequence[str], large: int, key: str = "
     place = F.lit(len(order))
     for i, extension in enumerate(order):
         place = F.when(F.col("ext") == extension, i).otherwise(place)
-    return rows.withColumn("is_large", F.col("size") >= large).orderBy(place, key)
+    # a bare literal would be taken for the position of a column
+    return rows.withColumn("is_large", F.col("size") >= large).orderBy(*([place] if order else []), key)
 
 
 def reuse_by_hash(rows: DataFrame, converted: DataFrame) -> DataFrame:

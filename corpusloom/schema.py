@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
+    "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType()),
+    "array<float>": T.ArrayType(T.FloatType()), "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
+    """A schema from ``name type`` pairs; needs no session, unlike Spark's own parser."""
+    pairs = (field.split() for field in text.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 INSTITUTIONS = _schema("inst_code string, inst_name string, ministry string")
