@@ -27,13 +27,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.kernels import LOWER, Words, text_slices
 from corpusloom.llm.shared import staged, work_dir
 from corpusloom.llm.storage import read_file, write_file
 
 BLOCK = 256
 PERCENTILE = 0.95
 FILE_TOKENS = 1 << 24
-CACHE_WORDS = 800_000
+SLICE = 4 << 20
+TABLE_PARTS = 2_000_000
+PARTS_A_CALL = 400
+ALPHANUMERIC, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+ALPHANUMERIC[[b for b in range(128) if chr(b).isalnum()]] = True
+PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 MAGIC = b"PFORBLK1"
 TRAILER = struct.Struct("<QQQQ8s")
 
@@ -138,37 +144,121 @@ class Reader:
         return out.reshape(-1)[first - lo * BLOCK : end - lo * BLOCK]
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-class WordEncoder(dict):
-    """Ids of words as bytes. The tokenizer never joins across ASCII white space, so a text's ids are its words' ids."""
+class Encoder:
+    """Encodes slices of texts by a table of the words that it has met.
+
+    The tokenizer joins nothing across ASCII white space, nor a letter or digit with the ASCII punctuation after it, and
+    doesn't mind the case of words that are all ASCII. So a text's ids are those of its words' lower-cased stems and of
+    their tails of punctuation, which are far fewer than words. Parts are told apart by 64-bit hashes and go to the
+    tokenizer once while they are in the table; parts of letters alone go many to a call, and ids with the end-of-word
+    mark tell them apart again. The table starts anew above ``TABLE_PARTS``.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def texts(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, the end id last."""
-        split = [t.split() for t in texts]
-        if len(self) > CACHE_WORDS:
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # sorted
+        self.numbers = np.zeros(0, np.int64)  # of the parts, by sorted hash
+        self.starts = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode_parts(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each part."""
+        out: list[np.ndarray | None] = [None] * len(parts)
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        marked = bool(self.closes.any())
+        plain = [i for i, t in enumerate(texts) if marked and t.isalpha()]
+        other = [i for i, t in enumerate(texts) if not (marked and t.isalpha())]
+        runs = [plain[i : i + PARTS_A_CALL] for i in range(0, len(plain), PARTS_A_CALL)]
+        found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in r]) for r in runs], add_special_tokens=False)
+        for run, encoding in zip(runs, found, strict=True):
+            ids = np.array(encoding.ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(run) or ends[-1] != len(ids):
+                other += run
+                continue
+            at = 0
+            for i, end in zip(run, ends.tolist(), strict=True):
+                out[i] = ids[at:end]
+                at = end
+        found = self.tokenizer.encode_batch_fast([texts[i] for i in other], add_special_tokens=False)
+        for i, encoding in zip(other, found, strict=True):
+            out[i] = np.array(encoding.ids, np.uint32)
+        return out
+
+    def lookup(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> np.ndarray:
+        """Numbers of the parts at the given spans; parts that aren't in the table are encoded and added."""
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, distinct)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == distinct[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            found = self.encode_parts([data[a:b] for a, b in spans])
+            lengths = np.array([len(x) for x in found])
+            numbers = len(self.starts) - 1 + np.arange(len(new))
+            self.ids = np.concatenate([self.ids, *found])
+            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.numbers = np.insert(self.numbers, at[new], numbers)
+            at = np.searchsorted(self.hashes, distinct)
+        return self.numbers[at][back]
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows of a slice, the end id after each row's; number of ids of each row)."""
+        n = len(offsets) - 1
+        words = Words(raw, offsets)
+        starts, ends = words.starts, words.ends
+        if len(self.starts) > TABLE_PARTS:
             self.clear()
-        new = list(set().union(*split).difference(self)) if split else []
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for word, encoding in zip(new, found, strict=True):
-                self[word] = np.array(encoding.ids, np.uint32).tobytes()
-        last = np.array([end_id], np.uint32).tobytes()
-        return [b"".join(map(self.__getitem__, words)) + last for words in split]
-
-
-def encoder(path: str) -> WordEncoder:
+        # a tail is cut off where an ASCII letter or digit stands before it
+        last = np.maximum.accumulate(np.where(PUNCTUATION[raw], 0, np.arange(1, len(raw) + 1)))
+        stems = last[ends - 1] if len(ends) else ends
+        stems = np.where((stems > starts) & (stems < ends) & ALPHANUMERIC[raw[stems - 1]], stems, ends) if len(ends) else ends
+        wide = np.concatenate(([0], np.cumsum(raw >= 0x80, dtype=np.int64)))
+        foreign = wide[stems] > wide[starts]
+        kept = np.zeros(len(raw) + 1, np.int8)
+        np.add.at(kept, starts[foreign], 1)
+        np.add.at(kept, stems[foreign], -1)
+        lowered = np.where(np.cumsum(kept[:-1], dtype=np.int8) > 0, raw, LOWER[raw])
+        text = Words(lowered, offsets)
+        tailed = np.flatnonzero(stems < ends)
+        from_, to = np.concatenate((starts, stems[tailed])), np.concatenate((stems, ends[tailed]))
+        numbers = self.lookup(text.span_hashes(from_, to), from_, to, lowered.tobytes())
+        # parts in the order of the text: a word's stem, then its tail
+        place = np.arange(len(starts)) + np.concatenate(([0], np.cumsum(stems < ends)))[:-1]
+        order = np.empty(len(numbers), np.int64)
+        order[place] = numbers[: len(starts)]
+        order[place[tailed] + 1] = numbers[len(starts) :]
+        lengths = self.starts[order + 1] - self.starts[order]
+        total = np.concatenate(([0], np.cumsum(lengths)))
+        ids = self.ids[np.repeat(self.starts[order] - total[:-1], lengths) + np.arange(total[-1])]
+        parts = np.concatenate((place, [len(order)]))[words.bounds]
+        edge = total[parts]
+        out = np.empty(len(ids) + n, np.uint32)
+        closing = edge[1:] + np.arange(n)
+        own = np.ones(len(out), bool)
+        own[closing] = False
+        out[closing], out[own] = end_id, ids
+        return out, np.diff(edge) + 1
+
+
+def encoder(path: str) -> Encoder:
     """One encoder for each worker process and vocabulary."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
@@ -181,43 +271,40 @@ def write_tokens(
     """Encode and write all rows in ascending id order; return the staged manifest, a row for each file."""
     if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise ValueError(f"{id_col} must be an integer column")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("id"), F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
-        words, part = encoder(vocabulary), TaskContext.get().partitionId()
-        held: list[bytes] = []
+        table, part = encoder(vocabulary), TaskContext.get().partitionId()
+        tokens: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
         ids: list[np.ndarray] = []
         nulls: list[np.ndarray] = []
-        seq, size = 0, 0
+        seq = 0
 
         def close():
-            nonlocal seq, size
-            lengths = np.array([len(x) // 4 for x in held], np.int64)
-            tokens = np.frombuffer(b"".join(held), np.uint32)
-            content = pack(tokens, np.concatenate(ids), np.concatenate(nulls), np.cumsum(lengths))
+            flat, ends = np.concatenate(tokens), np.cumsum(np.concatenate(lengths))
+            content = pack(flat, np.concatenate(ids), np.concatenate(nulls), ends)
             path = write_file(folder, f"part-{part:05d}-{seq:04d}.pfor", content)
-            row = [[part], [seq], [path], [len(held)], [len(tokens)], [sum(map(len, content))]]
+            row = [[part], [seq], [path], [len(ends)], [len(flat)], [sum(map(len, content))]]
             types = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             names = ["part", "seq", "path", "n_docs", "n_tokens", "n_bytes"]
-            seq, size = seq + 1, 0
-            for kept in (held, ids, nulls):
+            for kept in (tokens, lengths, ids, nulls):
                 kept.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], names)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                own = batch.slice(lo, 256)
-                encoded = words.texts(own.column(1).to_pylist(), end_id)
-                held += encoded
-                ids.append(own.column(0).fill_null(0).to_numpy())
-                nulls.append(own.column(0).is_null().to_numpy(zero_copy_only=False))
-                size += sum(map(len, encoded))
-                if size >= 4 * FILE_TOKENS:
+            for lo, hi, raw, offsets in text_slices(batch.column(1), SLICE):
+                found, sizes = table.encode(raw, offsets, end_id)
+                tokens.append(found)
+                lengths.append(sizes)
+                ids.append(batch.column(0).slice(lo, hi - lo).fill_null(0).to_numpy())
+                nulls.append(batch.column(0).slice(lo, hi - lo).is_null().to_numpy(zero_copy_only=False))
+                if sum(map(len, tokens)) >= FILE_TOKENS:
                     yield close()
-        if held:
+                    seq += 1
+        if tokens:
             yield close()
 
     return staged(rows.mapInArrow(run, MANIFEST), "token-manifest")
