@@ -22,10 +22,18 @@ def csv_lines(rows: DataFrame) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str, bom: bool = True) -> None:
-    """One header in each part file, whose first character is a byte order mark if ``bom``."""
-    names = [f"{BOM if bom and not i else ''}{n}" for i, n in enumerate(rows.columns)]
-    writer = rows.toDF(*names).write.mode("overwrite").option("header", True).option("quoteAll", True)
-    writer.option("escape", '"').csv(path)
+    """Quoted CSV; each part file starts with the header line, after a byte order mark if ``bom``."""
+    import pyarrow as pa
+
+    header = (BOM if bom else "") + ",".join('"' + n.replace('"', '""') + '"' for n in rows.columns)
+
+    def headed(batches):
+        for number, batch in enumerate(batches):
+            if not number:
+                yield pa.RecordBatch.from_arrays([pa.array([header])], ["line"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["line"])
+
+    csv_lines(rows).mapInArrow(headed, "line string").write.mode("overwrite").text(path)
 
 
 def markdown_document(title: Column, body: Column, **fields: Column) -> Column:
