@@ -33,9 +33,9 @@ from corpusloom.llm.storage import read_file, write_file
 
 BLOCK = 256
 PERCENTILE = 0.95
-FILE_TOKENS = 1 << 24
-SLICE = 4 << 20
-TABLE_PARTS = 2_000_000
+FILE_TOKENS = 1 << 22
+SLICE = 2 << 20
+TABLE_PARTS = 1_000_000
 PARTS_A_CALL = 400
 ALPHANUMERIC, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
 ALPHANUMERIC[[b for b in range(128) if chr(b).isalnum()]] = True

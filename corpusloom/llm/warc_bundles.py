@@ -135,18 +135,23 @@ def frame(uri: str, offset: int, length: int) -> bytes:
     return zstandard.ZstdDecompressor().decompress(read_at(uri, offset, length))
 
 
+def record_map(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record map, starts, sizes of the frames) of a bundle, reading only its end."""
+    n, _, _ = SEEK_FOOTER.unpack(read_at(uri, -SEEK_FOOTER.size, SEEK_FOOTER.size))
+    size = SEEK_FOOTER.size + 8 * n
+    sizes = seek_table(read_at(uri, -size, size)).astype(np.int64)
+    starts = np.concatenate(([0], np.cumsum(sizes[:, 0])))
+    (length,) = struct.unpack("<4xI", read_at(uri, int(starts[-1]), 8))
+    return np.frombuffer(read_at(uri, int(starts[-1]) + 8, length), MAP_ROW), starts, sizes
+
+
 def index(bundles: DataFrame) -> DataFrame:
     """(page_id, path, frame_offset, frame_length, offset, length) of every record, from the bundles' own tables."""
 
     def run(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                n, _, _ = SEEK_FOOTER.unpack(read_at(path, -SEEK_FOOTER.size, SEEK_FOOTER.size))
-                size = SEEK_FOOTER.size + 8 * n
-                sizes = seek_table(read_at(path, -size, size)).astype(np.int64)
-                starts = np.concatenate(([0], np.cumsum(sizes[:, 0])))
-                (length,) = struct.unpack("<4xI", read_at(path, int(starts[-1]), 8))
-                rows = np.frombuffer(read_at(path, int(starts[-1]) + 8, length), MAP_ROW)
+                rows, starts, sizes = record_map(path)
                 at = rows["frame"]
                 yield pa.RecordBatch.from_arrays(
                     [
