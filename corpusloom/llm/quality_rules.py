@@ -133,37 +133,35 @@ def rule_votes() -> dict[str, Column]:
     }
 
 
-def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = 100, prior: float = 0.8) -> dict:
-    """Estimate by EM the prior and, for each rule and class, how often a vote that isn't an abstention is right.
+def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, prior: float = 0.8) -> dict:
+    """Estimate by EM the prior and, for each class and rule, how often it votes bad, abstains and votes good.
 
-    patterns: distinct vote rows (-1, 0, 1); weights: documents with each. Starts from majority votes with accuracies
-    above one half, which fixes the sign; a Beta(8, 2) pseudo-count keeps accuracies away from 0 and 1.
+    patterns: distinct vote rows (-1, 0, 1); weights: documents with each. A rule that abstains on clean texts tells by
+    voting at all, so abstentions are an outcome of their own. Starts from majority votes in which a bad vote counts
+    double, which fixes the sign; pseudo-counts keep every share above 0. ``accuracy`` is the share of right votes among
+    a rule's votes in each class.
     """
-    m = patterns.shape[1]
-    accuracy = np.full((2, m), 0.8)  # row 0: of bad documents, row 1: of good ones
-    # every bad vote counts double at the start, as detectors that abstain on clean texts outnumber the rest
-    lean = (patterns == 1).sum(1) - 2 * (patterns == -1).sum(1) + np.log(prior / (1 - prior))
-    good = 1 / (1 + np.exp(-np.clip(lean - 2, -30, 30)))
+    lean = (patterns == 1).sum(1) - 2 * (patterns == -1).sum(1) - 2 + np.log(prior / (1 - prior))
+    good = 1 / (1 + np.exp(-np.clip(lean, -30, 30)))
+    outcomes = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
+    shares = np.zeros((2, patterns.shape[1], 3))
     for _ in range(rounds):
-        before = accuracy
+        before = shares
         prior = float((weights * good).sum() + 2) / float(weights.sum() + 4)
-        accuracy = np.empty((2, m))
-        for y, share in ((0, 1 - good), (1, good)):
-            voted = ((patterns != 0) * (weights * share)[:, None]).sum(0)
-            right = ((patterns == (1 if y else -1)) * (weights * share)[:, None]).sum(0)
-            accuracy[y] = (right + 8) / (voted + 10)
-        good = posterior(patterns, accuracy, prior)
-        if np.abs(before - accuracy).max() < 1e-6:
+        counted = [((weights * share)[:, None, None] * outcomes).sum(0) + 0.5 for share in (1 - good, good)]
+        shares = np.stack([c / c.sum(1, keepdims=True) for c in counted])
+        good = posterior(patterns, shares, prior)
+        if np.abs(before - shares).max() < 1e-7:
             break
-    return {"accuracy": accuracy, "prior": prior, "posterior": good}
+    right = np.stack([shares[0, :, 0], shares[1, :, 2]])
+    accuracy = right / (shares[:, :, 0] + shares[:, :, 2])
+    return {"shares": shares, "accuracy": accuracy, "prior": prior, "posterior": good}
 
 
-def posterior(patterns: np.ndarray, accuracy: np.ndarray, prior: float) -> np.ndarray:
+def posterior(patterns: np.ndarray, shares: np.ndarray, prior: float) -> np.ndarray:
     """Probability of a good document for each vote row."""
-    bad, good = accuracy
-    up = np.log(good / (1 - bad))
-    down = np.log((1 - good) / bad)
-    logit = np.log(prior / (1 - prior)) + (patterns == 1) @ up + (patterns == -1) @ down
+    evidence = np.log(shares[1]) - np.log(shares[0])
+    logit = np.log(prior / (1 - prior)) + evidence[np.arange(patterns.shape[1]), patterns + 1].sum(1)
     return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
