@@ -6,6 +6,8 @@ least 90 %; the result gives each document's component, so pairs inside what is
 * Equal sets are one class; everything below works on classes.
 * Answers from similar sets: classes that agree in a band of minimum hashes meet with a few leaders of their bucket. A
   class that links with a leader takes over the leader's component, so what the leader finds holds for the class too.
+* Parity bitmaps: each set has a bitmap with the parity of its shingles' low hash bits. Two bitmaps differ in no more
+  bits than the sets do in shingles, so pairs whose bitmaps differ too much are dropped without their sets.
 * Index lists: the prefix of a class under one global order (hash order, with shingles that many documents share last)
   must share a shingle with that of any class it links with. Lists hold one entry for each component and size block;
   blocks whose sizes or positions can't reach the needed overlap are skipped, and only entries of different components
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +36,9 @@ from corpusloom.llm.shared import salt, staged
 
 SHINGLE = 3
 PERCENT = 90
-BANDS, HASHES_A_BAND, LEADERS = 3, 3, 3
-COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.002, 5, 100_000
+BANDS, HASHES_A_BAND, LEADERS = 3, 3, 12
+COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.0003, 3, 200_000
+LONG_LIST = 8
 BROADCAST_IDS = 2_000_000
 BLOCK_RATIO = 1.12  # over 100 / 90, so that sizes that can link are in the same or the next block
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, BANDS * HASHES_A_BAND, dtype=np.uint64) | np.uint64(1)
@@ -95,15 +98,59 @@ def band_keys(bounds: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-SIGNATURE = "n_shingles long, cls binary, bands array<long>, common array<struct<shingle: long, n: int>>"
+def bitmaps(bounds: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """Parity bitmaps as binary values; a set of n shingles has the power of two from n on, 64 at least, of bits."""
+    n = np.diff(bounds)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    start = np.concatenate(([0], np.cumsum(bits)))
+    row = np.repeat(np.arange(len(n)), n)
+    at = start[row] + (keys & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=start[-1]) & 1).astype(np.uint8)
+    raw = np.packbits(odd, bitorder="little")
+    offsets = pa.py_buffer((start // 8).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(raw.tobytes())])
+
+
+def map_difference(map1: bytes, map2: bytes) -> int:
+    """A lower bound on how many shingles are in just one of two sets; the longer map is folded onto the shorter."""
+    x, y = np.frombuffer(map1, np.uint64), np.frombuffer(map2, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def may_link(n1: int, map1: bytes, n2: int, map2: bytes) -> bool:
+    """Whether sizes and bitmaps leave room for a link: linked sets differ in (n1 + n2) / 19 shingles at most."""
+    if 100 * min(n1, n2) < PERCENT * max(n1, n2):
+        return False
+    return (100 + PERCENT) * map_difference(map1, map2) <= (100 - PERCENT) * (n1 + n2)
+
+
+def groups_may_link(n1: int, map1: bytes, many1: bool, n2: int, map2: bytes, many2: bool) -> bool:
+    """Whether some members of two groups may link, by their leaders' sizes and bitmaps.
+
+    With a leader of n shingles, a member s has up to n / 0.9 and differs from it in (n + s) / 19 at most. By the
+    triangle inequality the leaders then differ in (n + 2 s) / 19 for either side; for a lone class that is n / 19.
+    """
+    reach = sum(n * (100 + 2 * 10_000 / PERCENT if many else 100) for n, many in ((n1, many1), (n2, many2))) / 100
+    return (100 + PERCENT) * map_difference(map1, map2) <= (100 - PERCENT) * reach + 1e-6
+
+
+SIGNATURE = (
+    "n_shingles long, cls binary, half long, bands array<long>, bitmap binary, "
+    "common array<struct<shingle: long, n: int>>"
+)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, cls, bands, common) of every row; ``common`` is filled in one row of each batch: shingles that
+    """(id, n_shingles, cls, half, bands, bitmap, common) of every row; ``half`` is half of ``cls``; ``common`` is filled in one row of each batch: shingles that
     are in many of its rows, with their counts."""
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(SIGNATURE).fields])
     pair = pa.struct([("shingle", pa.int64()), ("n", pa.int32())])
     kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pair)]
+    names = ["n_shingles", "cls", "half", "bands", "bitmap", "common"]
 
     def run(batches):
         for batch in batches:
@@ -111,20 +158,21 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for lo, hi, raw, offsets in text_slices(batch.column(1)):
                 bounds, keys = slice_sets(raw, offsets)
                 counted.append(keys)
-                parts.append((lo, hi, np.diff(bounds), fingerprints(bounds, keys), band_keys(bounds, keys)))
+                prints = fingerprints(bounds, keys)
+                parts.append((lo, hi, np.diff(bounds), prints, band_keys(bounds, keys), bitmaps(bounds, keys)))
             shingles = np.sort(np.concatenate(counted)) if counted else np.zeros(0, np.uint64)
             edge = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1]))) if len(shingles) else shingles
             size = np.diff(np.append(edge, len(shingles))).astype(np.int64)
             often = np.flatnonzero(size >= max(COMMON_LEAST, COMMON_SHARE * batch.num_rows))
             common = [{"shingle": int(s), "n": int(c)} for s, c in zip(
                 shingles[edge[often].astype(np.int64)].view(np.int64), size[often], strict=True)]
-            for lo, hi, n, prints, bands in parts:
+            for lo, hi, n, prints, bands, maps in parts:
                 columns = [
                     batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), _binaries(prints),
-                    pa.array(list(bands.view(np.int64)), kinds[2]),
+                    pa.array(prints[:, 0].copy().view(np.int64)), pa.array(list(bands.view(np.int64)), kinds[2]), maps,
                     pa.array([common if lo == 0 and not i else [] for i in range(hi - lo)], kinds[3]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, [id_col, "n_shingles", "cls", "bands", "common"])
+                yield pa.RecordBatch.from_arrays(columns, [id_col, *names])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
@@ -158,43 +206,39 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def leader_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): links found between the classes of a bucket and its leaders.
+def leader_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b): a class and the first leader of its bucket that it may link with; leaders meet every other leader.
 
     Rows of a bucket are dealt out by a salt and leaders are copied to each of its salts, so a hot bucket is spread; a
-    task holds only the leaders' sets and streams the others past them.
+    task holds only the leaders' bitmaps and streams the others past them. Every bucket prefers leaders by the same
+    hashes, so the buckets of one group of copies mostly share their leaders.
     """
     rows = classes.filter("n_shingles > 0").select("cls", F.explode("bands").alias("bucket"))
     rows = rows.withColumn("salt", salt(F.col("cls")))
-    prefer = [F.min(F.struct(F.xxhash64("cls", F.lit(i)).alias("h"), "cls")).alias(f"l{i}") for i in range(LEADERS)]
-    part = rows.groupBy("bucket", "salt").agg(F.count("*").alias("n"), *prefer)
-    again = [F.min(f"l{i}").alias(f"l{i}") for i in range(LEADERS)]
-    whole = part.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts"), *again)
-    whole = whole.filter("n > 1").select(
-        "bucket", F.explode("salts").alias("salt"),
-        F.array_distinct(F.array(*(f"l{i}.cls" for i in range(LEADERS)))).alias("leaders"),
-    )
-    buckets = staged(whole, "buckets")
-    members = rows.join(buckets.select("bucket", "salt"), ["bucket", "salt"]).withColumn("role", F.lit(1))
-    leaders = buckets.select(F.explode("leaders").alias("cls"), "bucket", "salt", F.lit(0).alias("role"))
-    meeting = staged(members.select("cls", "bucket", "salt", "role").unionByName(leaders), "meetings")
-    needed = meeting.select("cls").distinct().join(classes, "cls")
-    sets = staged(text_sets(docs, needed.select("cls", "min_id"), id_col, text_col), "sets")
-    dealt = meeting.join(sets, "cls").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "role")
+    part = rows.groupBy("bucket", "salt").agg(F.count("*").alias("n"))
+    whole = part.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")
+    buckets = staged(whole.select("bucket", F.explode("salts").alias("salt")), "buckets")
+    # Spark cuts each task's rows to the first ranks of a bucket before they move
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("cls"), "cls"))
+    first = rows.select("bucket", "cls").withColumn("role", rank - 1).filter(F.col("role") < LEADERS)
+    leaders = first.join(buckets, "bucket").select("cls", "bucket", "salt", "role")
+    members = rows.join(buckets.select("bucket", "salt"), ["bucket", "salt"]).withColumn("role", F.lit(LEADERS))
+    meeting = members.select("cls", "bucket", "salt", "role").unionByName(leaders)
+    meeting = staged(meeting, "meetings").join(classes.select("cls", "n_shingles", "bitmap"), "cls")
+    dealt = meeting.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "role")
 
     def run(batches):
         here, leaders = None, {}
         for batch in batches:
             a, b = [], []
-            for cls, bucket, salt_, role, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for cls, bucket, salt_, role, n, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (bucket, salt_) != here:
                     here, leaders = (bucket, salt_), {}
-                own = np.frombuffer(raw, np.uint64)
-                if role == 0:
-                    leaders[cls] = own
+                if role < LEADERS:
+                    leaders[cls] = (n, bits)
                     continue
-                for name, other in leaders.items():
-                    if name != cls and linked(own, other):
+                for name, (n2, bits2) in leaders.items():
+                    if name != cls and may_link(n, bits, n2, bits2):
                         a.append(cls)
                         b.append(name)
                         if cls not in leaders:
@@ -202,7 +246,8 @@ def leader_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return staged(dealt.select("cls", "bucket", "salt", "role", "set").mapInArrow(run, "a binary, b binary"), "links")
+    dealt = dealt.select("cls", "bucket", "salt", "role", "n_shingles", "bitmap")
+    return staged(dealt.mapInArrow(run, "a binary, b binary").distinct(), "leader-pairs")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -231,7 +276,7 @@ def _grand(labels: DataFrame) -> DataFrame:
 
 
 def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
-    """(shingle, cls, n, pos): the prefix of every text's set. ``common``: shingles that come last, rarest first."""
+    """(shingle, half, n, pos): the prefix of every text's set. ``common``: shingles that come last, rarest first."""
     by_hash = np.argsort(common)
     table, rank = common[by_hash], by_hash
     bitmap = np.zeros(1 << 20, bool)
@@ -273,14 +318,31 @@ def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame
                 keep = np.flatnonzero((pos < length[row]) & fresh[row])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(keys[keep].view(np.int64)), _binaries(prints[row[keep]]),
-                        pa.array(prints[row[keep], 0].view(np.int64)), pa.array(n[row[keep]].astype(np.int32)),
+                        pa.array(keys[keep].view(np.int64)), pa.array(prints[row[keep], 0].view(np.int64)), pa.array(n[row[keep]].astype(np.int32)),
                         pa.array(pos[keep].astype(np.int32)),
                     ],
-                    ["shingle", "cls", "half", "n", "pos"],
+                    ["shingle", "half", "n", "pos"],
                 )
 
-    return docs.select(F.col(text_col)).mapInArrow(run, "shingle long, cls binary, half long, n int, pos int")
+    return docs.select(F.col(text_col)).mapInArrow(run, "shingle long, half long, n int, pos int")
+
+
+def common_shingles(docs: DataFrame, rows: DataFrame, text_col: str) -> np.ndarray:
+    """Shingles that the prefix order puts last, rarest first: the most frequent ones, ``COMMON_MOST`` at most.
+
+    Counts within batches find the most common ones; a first prefix under that order shows which lists are long still.
+    This only steers the work, so the bound on what is collected loses no link.
+    """
+    top = [F.desc("n"), F.col("shingle")]
+    seen = rows.select(F.explode("common").alias("x")).groupBy("x.shingle").agg(F.sum("x.n").alias("n"))
+    often = seen.orderBy(*top).limit(COMMON_MOST).collect()
+    found = {r["shingle"]: r["n"] for r in often}
+    first = np.array(sorted(found, key=lambda k: (found[k], k)), np.int64).view(np.uint64)
+    lists = prefix_rows(docs, text_col, first).groupBy("shingle").agg(F.count("*").alias("n"))
+    for r in lists.filter(F.col("n") >= LONG_LIST).orderBy(*top).limit(COMMON_MOST).collect():
+        found[r["shingle"]] = max(found.get(r["shingle"], 0), r["n"])
+    kept = sorted(found, key=lambda k: (-found[k], k))[:COMMON_MOST]
+    return np.array(kept[::-1], np.int64).view(np.uint64)
 
 
 def _needed(n1: Column, n2: Column) -> Column:
@@ -288,45 +350,89 @@ def _needed(n1: Column, n2: Column) -> Column:
     return F.ceil(PERCENT * (n1 + n2) / (100 + PERCENT) - 1e-9)
 
 
-def candidate_pairs(prefixes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): pairs of classes of different components that may link and share a prefix shingle."""
+def group_pairs(
+    prefixes: DataFrame, classes: DataFrame, led: DataFrame, roots: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Pairs of groups of different components that may have a link between them, by the index lists.
+
+    A class that links with a leader stands in the lists under its leader (its group). Sets that link differ in few
+    shingles, so the leaders of two groups with a link between them differ in few, too: bitmaps of the leaders drop
+    pairs of groups before their members are looked at.
+
+    Returns (ga, gb, direct, leaders): pairs, whether both are lone classes, whether the leaders themselves may link;
+    (shingle, ga, gb): the lists they met in; the list entries of all classes; sizes and bitmaps.
+    """
     # lists with one class only are dropped first; both sums are made before rows move
     live = prefixes.groupBy("shingle").agg(F.min("half").alias("lo"), F.max("half").alias("hi")).filter("lo <> hi")
     live = staged(live.select("shingle"), "live")
-    entries = prefixes.drop("half").join(live.hint("shuffle_hash"), "shingle")
-    entries = entries.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    entries = staged(entries.withColumn("root", F.coalesce("root", "cls")), "entries")
+    leaders = led.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("grp"))
+    known = classes.select("cls", "half").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    known = known.join(leaders, "cls", "left").select(
+        "half", "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("grp", "cls").alias("grp")
+    )
+    entries = prefixes.join(live.hint("shuffle_hash"), "shingle").join(staged(known, "known"), "half")
+    entries = staged(entries.select("shingle", "cls", "grp", "root", "n", (F.col("n") - F.col("pos")).alias("rest")), "entries")
     block = F.floor(F.log(F.col("n").cast("double")) / np.log(BLOCK_RATIO)).cast("int")
-    lists = staged(
-        entries.groupBy("shingle", "root", block.alias("block")).agg(
-            F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest")
-        ),
-        "lists",
+    lists = entries.groupBy("shingle", "grp", "root", block.alias("block")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest")
     )
+    lists = staged(lists, "lists")
     several = lists.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
     lists = lists.join(staged(several.select("shingle"), "several").hint("shuffle_hash"), "shingle")
     left = lists.select(
-        "shingle", F.col("root").alias("ra"), F.col("block").alias("ba"), F.col("least").alias("la"),
-        F.col("most").alias("ma"), F.col("rest").alias("sa"), F.explode(F.array("block", F.col("block") + 1)).alias("block"),
+        "shingle", F.col("grp").alias("ga"), F.col("root").alias("ra"), F.col("block").alias("ba"),
+        F.col("least").alias("la"), F.col("most").alias("ma"), F.col("rest").alias("sa"),
+        F.explode(F.array("block", F.col("block") + 1)).alias("block"),
     )
     met = left.join(lists, ["shingle", "block"]).filter(
         (F.col("ra") != F.col("root"))
-        & ((F.col("ba") < F.col("block")) | (F.col("ra") < F.col("root")))
+        & ((F.col("ba") < F.col("block")) | (F.col("ga") < F.col("grp")))
         & (100 * F.col("most") >= PERCENT * F.col("la"))
         & (100 * F.col("ma") >= PERCENT * F.col("least"))
         & (F.least("sa", "rest") >= _needed(F.col("la"), F.col("least")))
     )
-    pairs = staged(met.select(F.least("ra", "root").alias("ra"), F.greatest("ra", "root").alias("rb")).distinct(), "pairs")
-    one = entries.select("shingle", F.col("root").alias("ra"), F.col("cls").alias("a"), F.col("n").alias("na"),
-                         (F.col("n") - F.col("pos")).alias("sa"))
-    two = entries.select("shingle", F.col("root").alias("rb"), F.col("cls").alias("b"), F.col("n").alias("nb"),
-                         (F.col("n") - F.col("pos")).alias("sb"))
-    found = pairs.join(one, "ra").join(two, ["rb", "shingle"]).filter(
+    met = met.select("shingle", F.least("ga", "grp").alias("ga"), F.greatest("ga", "grp").alias("gb"))
+    met = staged(met, "met")
+    centres = led.select(F.col("b").alias("cls"), F.lit(True).alias("centre")).distinct()
+    sizes = staged(classes.select("cls", "n_shingles", "bitmap").join(centres, "cls", "left").fillna(False, "centre"), "sizes")
+    side = lambda g, n: sizes.toDF(g, *(f"{c}_{n}" for c in ("n", "map", "centre")))
+    near = met.select("ga", "gb").distinct().join(side("ga", "a"), "ga").join(side("gb", "b"), "gb")
+    near = near.select("ga", "gb", "n_a", "map_a", "centre_a", "n_b", "map_b", "centre_b")
+    def prune(batches):
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns[2:]]
+            keep = pa.array([groups_may_link(*x) for x in zip(*columns, strict=True)], pa.bool_())
+            direct = [not (x or y) for x, y in zip(columns[2], columns[5], strict=True)]
+            n1, map1, _, n2, map2, _ = columns
+            leaders = [may_link(*x) for x in zip(n1, map1, n2, map2, strict=True)]
+            flags = [pa.array(direct, pa.bool_()), pa.array(leaders, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *flags], ["ga", "gb", "direct", "leaders"]).filter(keep)
+
+    near = near.mapInArrow(prune, "ga binary, gb binary, direct boolean, leaders boolean")
+    return staged(near, "near-groups"), met, entries, sizes
+
+
+def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b): members of the given pairs of groups that share a list and may link."""
+    shared = met.join(near.select("ga", "gb"), ["ga", "gb"], "left_semi")
+    end = lambda g, n: entries.select("shingle", *(F.col(x).alias(y) for x, y in (
+        ("grp", g), ("cls", n), ("n", f"n{n}"), ("rest", f"r{n}"))))
+    found = shared.join(end("ga", "a"), ["shingle", "ga"]).join(end("gb", "b"), ["shingle", "gb"]).filter(
         (100 * F.col("na") >= PERCENT * F.col("nb"))
         & (100 * F.col("nb") >= PERCENT * F.col("na"))
-        & (F.least("sa", "sb") >= _needed(F.col("na"), F.col("nb")))
+        & (F.least("ra", "rb") >= _needed(F.col("na"), F.col("nb")))
     )
-    return staged(found.select("a", "b").distinct(), "candidates")
+    pairs = staged(found.select("a", "b").distinct(), "near-pairs")
+    side = lambda n: sizes.select(F.col("cls").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("bitmap").alias(f"m{n}"))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "ma", "nb", "mb")
+
+    def run(batches):
+        for batch in batches:
+            columns = (c.to_pylist() for c in batch.columns[2:])
+            keep = [may_link(*pair) for pair in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return staged(close.mapInArrow(run, "a binary, b binary"), "candidates")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -349,22 +455,32 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str,
     return staged(rows.mapInArrow(run, "a binary, b binary"), "links")
 
 
+def found_roots(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, root) of the classes with a link: leaders first, then pairs of leaders that the lists give, then members of
+    groups that aren't in one component by then."""
+    edges = lambda known, more: known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+    led = verified(docs, leader_pairs(classes), classes, id_col, text_col)
+    roots = components(led)
+    prefixes = staged(prefix_rows(docs, text_col, common_shingles(docs, rows, text_col)), "prefixes")
+    near, met, entries, sizes = group_pairs(prefixes, classes, led, roots)
+    pairs = near.filter("leaders").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    more = verified(docs, pairs, classes, id_col, text_col)
+    roots = components(edges(roots, more))
+    side = lambda g, r: roots.select(F.col("node").alias(g), F.col("root").alias(r))
+    apart = near.filter("not direct").join(side("ga", "ra"), "ga", "left").join(side("gb", "rb"), "gb", "left")
+    apart = staged(apart.filter(F.coalesce("ra", "ga") != F.coalesce("rb", "gb")), "apart")
+    last = verified(docs, member_pairs(apart, met, entries, sizes), classes, id_col, text_col)
+    return roots if last.isEmpty() else components(edges(roots, last))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     rows = staged(signatures(docs, id_col, text_col), "signatures")
-    own = rows.select(F.col(id_col).alias("_id"), "n_shingles", "cls", "bands")
-    classes = own.filter("n_shingles > 0").groupBy("cls").agg(
-        F.min("_id").alias("min_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
-    )
+    own = rows.select(F.col(id_col).alias("_id"), "n_shingles", "cls", "half", "bands", "bitmap")
+    first = [F.first(c).alias(c) for c in ("n_shingles", "half", "bands", "bitmap")]
+    classes = own.filter("n_shingles > 0").groupBy("cls").agg(F.min("_id").alias("min_id"), *first)
     classes = staged(classes, "classes")
-    near = components(leader_links(docs, classes, id_col, text_col))
-    counts = rows.select(F.explode("common").alias("x")).groupBy("x.shingle").agg(F.sum("x.n").alias("n"))
-    often = counts.orderBy(F.desc("n"), "shingle").limit(COMMON_MOST).collect()
-    common = np.array([r["shingle"] for r in reversed(often)], np.int64).view(np.uint64)
-    pairs = candidate_pairs(staged(prefix_rows(docs, text_col, common), "prefixes"), near)
-    links = verified(docs, pairs, classes, id_col, text_col)
-    ends = near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
-    roots = components(ends)
+    roots = found_roots(docs, classes, rows, id_col, text_col)
     smallest = roots.join(classes.select(F.col("cls").alias("node"), "min_id"), "node")
     smallest = smallest.groupBy("root").agg(F.min("min_id").alias("component_id"))
     named = classes.select("cls", "min_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
