@@ -74,7 +74,7 @@ def reciprocal_rank_fusion(arms: Sequence[DataFrame], order: Sequence[Sequence[C
     names = [c for c in ranked.columns if not c.startswith("_")]
     summed = ranked.groupBy(key.alias("_key")).agg(
         F.sum(1.0 / (RRF_K + F.col("_rank"))).alias("_sum"),
-        F.min(F.struct("_arm", "_rank", *names)).alias("_row"),
+        F.min_by(F.struct(*names), F.struct("_arm", "_rank")).alias("_row"),
     )
     out = summed.select(*(F.col(f"_row.{n}").alias(n) for n in names), F.round("_sum", 4).alias("rrf"), "_sum")
     return out.orderBy(F.desc("_sum"), unique).limit(limit).drop("_sum")

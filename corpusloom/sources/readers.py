@@ -36,20 +36,18 @@ def markdown_tree(spark: SparkSession, root: str, pattern: str = "*.md", under:
                   skip: Sequence[str] = ()) -> DataFrame:
     """(path, modified, text) of the files below a folder; ``since`` keeps those modified later than a time.
 
-    Paths and times come from file metadata, so files that are filtered out aren't read.
+    Files are read whole and in UTF-8; a file of no bytes gives no row. Filters on time come before contents are read.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("wholetext", True)
-    files = reader.text(root).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
-        F.col("value").alias("text"),
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    files = reader.load(root)
+    if since is not None:
+        files = files.filter(F.col("modificationTime") > F.lit(since).cast("timestamp"))
+    files = files.select("path", F.col("modificationTime").alias("modified"), F.col("content").cast("string").alias("text"))
     if under:
         hit = F.lit(False)
         for part in under:
             hit = hit | F.col("path").contains(part)
         files = files.filter(hit)
-    if since is not None:
-        files = files.filter(F.col("modified") > F.lit(since).cast("timestamp"))
     for name in skip:
         files = files.filter(~F.col("path").endswith(f"/{name}"))
     return files
