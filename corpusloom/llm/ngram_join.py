@@ -32,13 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import Words, mix, text_slices
-from corpusloom.llm.shared import salt, staged
+from corpusloom.llm.shared import modest_batches, salt, staged
 
 SHINGLE = 3
 PERCENT = 90
 BANDS, HASHES_A_BAND, LEADERS = 3, 3, 12
 COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.0003, 3, 200_000
 LONG_LIST = 8
+LARGE_BUCKET = 8
 BROADCAST_IDS = 2_000_000
 BLOCK_RATIO = 1.12  # over 100 / 90, so that sizes that can link are in the same or the next block
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, BANDS * HASHES_A_BAND, dtype=np.uint64) | np.uint64(1)
@@ -206,6 +207,64 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def consensus_distance(rows: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, bucket, far): how far a class' bitmap is from the bitwise majority of its bucket, for large buckets.
+
+    Copies that differ from a common origin each in their own way agree on its bits, so the nearest class is the origin
+    or closest to it, and links with more of the others than any of them. Sums are made by bucket and salt first.
+    """
+    maps = classes.select("cls", "bitmap")
+    members = staged(rows.join(large, ["bucket", "salt"]), "voters")
+    dealt = members.join(maps, "cls").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
+
+    def add(batches):
+        here, sums = None, {}
+
+        def close():
+            names = ["bucket", "size", "n", "ones"]
+            rows = [(here[0], size, n, ones.astype(np.int32).tobytes()) for size, (n, ones) in sums.items()]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds, strict=True)], names)
+
+        for batch in batches:
+            for bucket, salt_, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (bucket, salt_) != here:
+                    if sums:
+                        yield close()
+                    here, sums = (bucket, salt_), {}
+                n, ones = sums.get(len(bits), (0, 0))
+                sums[len(bits)] = n + 1, ones + np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(np.int64)
+        if sums:
+            yield close()
+
+    votes = staged(dealt.select("bucket", "salt", "bitmap").mapInArrow(add, "bucket long, size int, n int, ones binary"), "votes")
+
+    def majority(batches):
+        for batch in batches:
+            out = []
+            for parts in batch.column(1).to_pylist():
+                by_size: dict[int, list] = {}
+                for p in parts:
+                    by_size.setdefault(p["size"], []).append(p)
+                best = max(by_size.values(), key=lambda own: sum(p["n"] for p in own))
+                ones = sum(np.frombuffer(p["ones"], np.int32).astype(np.int64) for p in best)
+                out.append(np.packbits(2 * ones > sum(p["n"] for p in best), bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["bucket", "middle"])
+
+    # at most a row for each salt and size comes together here
+    middles = votes.groupBy("bucket").agg(F.collect_list(F.struct("size", "n", "ones")).alias("parts"))
+    middles = staged(middles.mapInArrow(majority, "bucket long, middle binary"), "middles")
+    placed = members.join(large.join(middles, "bucket"), ["bucket", "salt"]).join(maps, "cls")
+
+    def measure(batches):
+        for batch in batches:
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            far = pa.array([map_difference(a, b) for a, b in pairs], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), far], ["cls", "bucket", "far"])
+
+    return placed.select("cls", "bucket", "bitmap", "middle").mapInArrow(measure, "cls binary, bucket long, far int")
+
+
 def leader_pairs(classes: DataFrame) -> DataFrame:
     """(a, b): a class and the first leader of its bucket that it may link with; leaders meet every other leader.
 
@@ -217,10 +276,14 @@ def leader_pairs(classes: DataFrame) -> DataFrame:
     rows = rows.withColumn("salt", salt(F.col("cls")))
     part = rows.groupBy("bucket", "salt").agg(F.count("*").alias("n"))
     whole = part.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")
-    buckets = staged(whole.select("bucket", F.explode("salts").alias("salt")), "buckets")
+    whole = staged(whole, "whole-buckets")
+    buckets = whole.select("bucket", F.explode("salts").alias("salt"))
+    large = staged(whole.filter(F.col("n") >= LARGE_BUCKET).select("bucket", F.explode("salts").alias("salt")), "large")
+    far = consensus_distance(rows, large, classes)
     # Spark cuts each task's rows to the first ranks of a bucket before they move
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("cls"), "cls"))
-    first = rows.select("bucket", "cls").withColumn("role", rank - 1).filter(F.col("role") < LEADERS)
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.coalesce("far", F.lit(0)), F.xxhash64("cls"), "cls"))
+    near = rows.join(far, ["cls", "bucket"], "left").select("bucket", "cls", "far")
+    first = near.withColumn("role", rank - 1).filter(F.col("role") < LEADERS)
     leaders = first.join(buckets, "bucket").select("cls", "bucket", "salt", "role")
     members = rows.join(buckets.select("bucket", "salt"), ["bucket", "salt"]).withColumn("role", F.lit(LEADERS))
     meeting = members.select("cls", "bucket", "salt", "role").unionByName(leaders)
@@ -475,6 +538,7 @@ def found_roots(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: st
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
+    modest_batches(docs.sparkSession)
     rows = staged(signatures(docs, id_col, text_col), "signatures")
     own = rows.select(F.col(id_col).alias("_id"), "n_shingles", "cls", "half", "bands", "bitmap")
     first = [F.first(c).alias(c) for c in ("n_shingles", "half", "bands", "bitmap")]
@@ -497,17 +561,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the smallest id of each component; one row where that id repeats. Rows without an id stay."""
     found = staged(similar_documents(docs, id_col, text_col), "components")
-    known = found.select(F.col(id_col).alias("_id"), "component_id").filter("_id is not null")
-    counts = known.groupBy("_id").agg(F.count("*").alias("_rows"), F.min("component_id").alias("_root"))
-    lost = counts.filter("_root <> _id").select("_id")
-    again = counts.filter("_root = _id and _rows > 1").select("_id")
-    rows = docs.join(_within(staged(lost, "lost")), docs[id_col] == F.col("_id"), "left_anti")
+    known = found.select(F.col(id_col).alias("_ngram_id"), "component_id").filter("_ngram_id is not null")
+    counts = known.groupBy("_ngram_id").agg(F.count("*").alias("_rows"), F.min("component_id").alias("_root"))
+    lost = counts.filter("_root <> _ngram_id").select("_ngram_id")
+    again = counts.filter("_root = _ngram_id and _rows > 1").select("_ngram_id")
+    rows = docs.join(_within(staged(lost, "lost")), docs[id_col] == F.col("_ngram_id"), "left_anti")
     again = staged(again, "again")
     if again.isEmpty():
         return rows
     again = _within(again)
-    single = rows.join(again, rows[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col])
-    return rows.join(again, rows[id_col] == F.col("_id"), "left_anti").unionByName(single)
+    single = rows.join(again, rows[id_col] == F.col("_ngram_id"), "left_semi").dropDuplicates([id_col])
+    return rows.join(again, rows[id_col] == F.col("_ngram_id"), "left_anti").unionByName(single)
 
 
 def _within(ids: DataFrame) -> DataFrame:

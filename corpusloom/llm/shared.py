@@ -46,6 +46,16 @@ def _clean() -> None:
             return
 
 
+ARROW_ROWS = 2000
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session have ``ARROW_ROWS`` rows at most: texts are long, and both ends hold a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
