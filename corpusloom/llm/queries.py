@@ -112,6 +112,24 @@ QUERIES = {
     )
 }
 
+OP3_SQL = """
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS l FROM documents
+), shingles AS (
+  SELECT DISTINCT r, CASE WHEN len(l) < 3 THEN array_to_string(l, ' ') ELSE l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] END AS s
+  FROM (SELECT r, l, unnest(range(1, greatest(len(l) - 1, least(len(l), 1) + 1))) AS i FROM texts)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r AS x, r AS y FROM texts UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y)
+SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM texts t LEFT JOIN sizes USING (r) JOIN reach ON reach.x = t.r JOIN texts o ON o.r = reach.y GROUP BY t.r, t.doc_id
+"""
+
 OP7_SQL = """
 WITH hashed AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
@@ -234,4 +252,4 @@ FROM d LEFT JOIN texts USING (r)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
+ORACLE_SQL: dict[str, str] = {"op3_ngram_join": OP3_SQL, "op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
