@@ -87,7 +87,7 @@ def article_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.articles(numbered(spark, sf_dir))
 
 
-_COVERAGE = """per AS (SELECT doc_id, sum(length(trim(line)))::BIGINT AS content_chars,
+_COVERAGE = """per AS (SELECT doc_id, sum(length(trim(line)))::INT AS content_chars,
   sum(CASE WHEN pos % 2 = 0 THEN length(line) ELSE 0 END)::BIGINT AS covered_chars,
   count(*) FILTER (pos % 2 = 0 AND line <> '') AS n_articles FROM lines GROUP BY doc_id), cov AS (
   SELECT *, CASE WHEN content_chars > 0 THEN round(covered_chars / content_chars, 3) ELSE 0.0 END AS coverage,
