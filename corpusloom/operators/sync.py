@@ -101,7 +101,8 @@ def add_archive_members(index: DataFrame, members: DataFrame, path: str = "file_
 def merge_status(main: DataFrame, instance: DataFrame, key: str = "id") -> DataFrame:
     """A worker's successes replace what isn't a success in the main map; new successes are added."""
     good = instance.filter("status = 'success'")
-    kept = main.join(good.select(key), key, "left_anti").unionByName(main.filter("status = 'success'").join(good.select(key), key, "left_semi"))
+    stays = main.filter("status = 'success'").join(good.select(key), key, "left_semi")
+    kept = main.join(good.select(key), key, "left_anti").unionByName(stays)
     return kept.unionByName(good.join(kept.select(key), key, "left_anti"), allowMissingColumns=True)
 
 

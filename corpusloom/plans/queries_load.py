@@ -53,7 +53,8 @@ def staging_gate_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.gate(docs.filter("doc_id % 50 <> 0"), articles.unionByName(again))
 
 
-_HASH = "hashed AS (SELECT id, doc_id, title, md5(CASE WHEN coalesce(title, '') = '' THEN '' ELSE title || chr(10) END || substr(body, 1, 4000)) AS text_hash FROM a_articles)"
+_HASH = """hashed AS (SELECT id, doc_id, title, md5(CASE WHEN coalesce(title, '') = '' THEN '' ELSE title || chr(10) END ||
+substr(body, 1, 4000)) AS text_hash FROM a_articles)"""
 
 
 @REGISTRY(f"WITH {views.SQL}, {_HASH} SELECT id, text_hash FROM hashed")
