@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.shared import bounded_sample
+from corpusloom.llm.shared import bounded_sample, modest_batches
 
 BLOCK = 1024
 DICTIONARY_BYTES = 65536
@@ -134,6 +134,7 @@ def probabilities(model: Model, measure, texts: pa.Array) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; one pass over whole texts, no shuffle."""
+    modest_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
 
     def run(batches):
@@ -147,6 +148,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, whose score reaches the threshold."""
+    modest_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):

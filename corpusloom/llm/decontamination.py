@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import Words, text_slices
-from corpusloom.llm.shared import staged
+from corpusloom.llm.shared import modest_batches, staged
 
 SEED = 5
 ITEM_WORDS = 1_000_000
@@ -203,6 +203,7 @@ def matches(
     item_text_col: str = "text",
 ) -> DataFrame:
     """(id, item_id, score, item_words, start_word, end_word, similarity): every aligned stretch of every text."""
+    modest_batches(docs.sparkSession)
     items = benchmark.select(F.col(item_col).alias("_id"), F.col(item_text_col).alias("_text"))
     words = items.select(F.sum(F.size(F.split("_text", "[\\x20\\x09-\\x0D]+")))).first()[0] or 0
     n_blocks = words // ITEM_WORDS + 1
@@ -219,7 +220,7 @@ def matches(
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without a match; rows without an id share one fate."""
-    hit = matches(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_hit")).distinct()
+    hit = matches(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_matched_id")).distinct()
     hit = staged(hit, "contaminated")
     hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit.hint("shuffle_hash")
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_matched_id")), "left_anti")

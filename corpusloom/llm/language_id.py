@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import text_slices
-from corpusloom.llm.shared import bounded_sample
+from corpusloom.llm.shared import bounded_sample, modest_batches
 
 DIMENSIONS = 1024
 ALPHABET = 256
 ORDER = 3
 PER_LANGUAGE = 1000
+SLICE = 1 << 20  # bytes; long slices share the bound vectors of their runs
 SHARPNESS = 20.0
 
 
@@ -101,6 +102,7 @@ def learn(
     per_language: int = PER_LANGUAGE,
 ) -> dict[str, np.ndarray]:
     """Unit prototypes by language, from a bounded sample of the rows of ``docs`` that have a language."""
+    modest_batches(docs.sparkSession)
     keys = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).filter("_lang is not null")
     chosen = bounded_sample(keys.filter("_id is not null").distinct(), "_id", "_lang", per_language)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
@@ -108,7 +110,7 @@ def learn(
     def run(batches):
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            for lo, hi, raw, offsets in text_slices(batch.column(1)):
+            for lo, hi, raw, offsets in text_slices(batch.column(1), SLICE):
                 vectors = bundle(*slice_runs(raw, offsets), hi - lo)
                 for lang in set(langs[lo:hi]):
                     total = vectors[langs[lo:hi] == lang].sum(0, dtype=np.float64)
@@ -130,6 +132,7 @@ def predict(
     docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, lang_pred, score) of every row; one pass over whole texts, no shuffle."""
+    modest_batches(docs.sparkSession)
     schema = T.StructType(
         [docs.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
@@ -138,7 +141,7 @@ def predict(
 
     def run(batches):
         for batch in batches:
-            for lo, hi, raw, offsets in text_slices(batch.column(1)):
+            for lo, hi, raw, offsets in text_slices(batch.column(1), SLICE):
                 vectors = bundle(*slice_runs(raw, offsets), hi - lo)
                 norm = np.sqrt((vectors * vectors).sum(1))
                 best, score = np.full(hi - lo, len(names) - 1), np.zeros(hi - lo)

@@ -130,8 +130,8 @@ def apply(docs: DataFrame, blocks: DataFrame, id_col: str = "doc_id", source_col
     """Each row once for every epoch that takes its block, with ``mix_epoch``, ``mix_rank`` and ``mix_weight``."""
     rows = docs.drop("mix_source", "mix_block", "mix_epoch", "mix_rank", "mix_weight")
     rows = rows.withColumn("mix_block", block_of(F.col(id_col)))
-    taken = staged(blocks.withColumnRenamed("mix_block", "_block"), "mix-plan")
+    taken = staged(blocks.withColumnRenamed("mix_block", "mix_taken_block"), "mix-plan")
     if taken.count() <= BROADCAST_BLOCKS:
         taken = F.broadcast(taken)
-    same = F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("_block"))
-    return rows.join(taken, same).drop("mix_source", "_block")
+    same = F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("mix_taken_block"))
+    return rows.join(taken, same).drop("mix_source", "mix_taken_block")

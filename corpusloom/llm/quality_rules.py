@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import Words, per_row, row_duplicates, text_slices
-from corpusloom.llm.shared import staged
+from corpusloom.llm.shared import modest_batches, staged
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -171,6 +171,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Texts are read once: counts (a few dozen bytes a row) are staged, grouped by vote pattern (3 ** rules groups at
     most, so what reaches the driver has a fixed bound) and joined with the posterior of their pattern.
     """
+    modest_batches(docs.sparkSession)
     rules = rule_votes()
     counts = staged(text_counts(docs, id_col, text_col), "rules")
     code = sum(((vote + 1) * 3**i for i, vote in enumerate(rules.values())), F.lit(0))

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.kernels import LOWER, Words, text_slices
-from corpusloom.llm.shared import staged, work_dir
+from corpusloom.llm.kernels import LOWER, Words, release, text_slices
+from corpusloom.llm.shared import modest_batches, staged, work_dir
 from corpusloom.llm.storage import read_file, write_file
 
 BLOCK = 256
 PERCENTILE = 0.95
 FILE_TOKENS = 1 << 22
-SLICE = 2 << 20
+SLICE = 1 << 20
 TABLE_PARTS = 1_000_000
 PARTS_A_CALL = 400
 ALPHANUMERIC, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
@@ -269,6 +269,7 @@ def write_tokens(
     docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Encode and write all rows in ascending id order; return the staged manifest, a row for each file."""
+    modest_batches(docs.sparkSession)
     if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise ValueError(f"{id_col} must be an integer column")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -306,6 +307,7 @@ def write_tokens(
                     seq += 1
         if tokens:
             yield close()
+        release()
 
     return staged(rows.mapInArrow(run, MANIFEST), "token-manifest")
 
@@ -337,6 +339,7 @@ def read_tokens(manifest: DataFrame, id_col: str = "doc_id", with_ids: bool = Fa
                 whole = pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types, strict=True)], names)
                 for lo in range(0, whole.num_rows, 10_000):
                     yield whole.slice(lo, 10_000)
+        release()
 
     fields = [f"{n} long" for n in names[:4]] + ["ids array<int>"] * with_ids
     spread = placed.select("path", "start").repartition(min(n_files, 10_000))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import Words, mix, text_slices
-from corpusloom.llm.shared import bounded_sample
+from corpusloom.llm.shared import bounded_sample, modest_batches
 
 BITS = 20
 PER_CLASS = 5000
@@ -84,6 +84,7 @@ def fit_labelled(
     per_class: int = PER_CLASS,
 ) -> Model:
     """Fit on a bounded sample of labelled rows, in one task; only the weights reach the driver."""
+    modest_batches(docs.sparkSession)
     keys = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
     chosen = bounded_sample(keys.filter("_id is not null and _label in (0, 1)"), "_id", "_label", per_class)
     rows = (
@@ -123,6 +124,7 @@ def fit_labelled(
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; one pass over whole texts, no shuffle."""
+    modest_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
 
     def run(batches):
