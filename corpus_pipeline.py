@@ -14,6 +14,8 @@ from corpusloom.llm import compression_classifier, decontamination, mixing, ngra
 from corpusloom.llm.shared import id_fold, staged
 
 VOCABULARY = "word_bpe_49k.json"
+#: Near copies of the pipeline: five-word shingles, Jaccard similarity 80 %. The 3 and 90 of op3 are that query's own.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
-    return ngram_join.keep_representatives(docs)
+    return ngram_join.keep_representatives(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """N-gram Jaccard join with skipping by set relations.
 
-A document's set holds its distinct 3-word shingles. Two documents link when the Jaccard similarity of their sets is at
-least 90 %; the result gives each document's component, so pairs inside what is already one component are never formed.
+A document's set holds its distinct shingles, of ``SHINGLE`` words unless the caller says otherwise. Two documents link
+when the Jaccard similarity of their sets is at least ``PERCENT`` % (or the caller's); the result gives each document's
+component, so pairs inside what is already one component are never formed.
 
 * Equal sets are one class; everything below works on classes.
 * Answers from similar sets: classes that agree in a band of minimum hashes meet with a few leaders of their bucket. A
@@ -25,6 +26,8 @@ told apart by their sets. An empty table gives an empty result. Extra columns ar
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,10 +44,21 @@ COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.0003, 3, 200_000
 LONG_LIST = 8
 LARGE_BUCKET = 8
 BROADCAST_IDS = 2_000_000
-BLOCK_RATIO = 1.12  # over 100 / 90, so that sizes that can link are in the same or the next block
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, BANDS * HASHES_A_BAND, dtype=np.uint64) | np.uint64(1)
 
 
+class Rule(NamedTuple):
+    """When texts link: words of a shingle, and the least Jaccard similarity in percent."""
+
+    shingle: int = SHINGLE
+    percent: int = PERCENT
+
+    @property
+    def block_ratio(self) -> float:
+        """Over 100 / percent, so that sizes that can link are in the same or the next block."""
+        return 1.008 * 100 / self.percent
+
+
 def slice_sets(raw: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(bounds of rows, hashes) of the sorted distinct shingles of each row of a slice."""
     words = Words(raw, offsets, lower=True)
@@ -122,21 +136,23 @@ def map_difference(map1: bytes, map2: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def may_link(n1: int, map1: bytes, n2: int, map2: bytes) -> bool:
-    """Whether sizes and bitmaps leave room for a link: linked sets differ in (n1 + n2) / 19 shingles at most."""
-    if 100 * min(n1, n2) < PERCENT * max(n1, n2):
+def may_link(n1: int, map1: bytes, n2: int, map2: bytes, percent: int = PERCENT) -> bool:
+    """Whether sizes and bitmaps leave room for a link: linked sets differ in (n1 + n2) / 19 shingles at most for 90 %."""
+    if 100 * min(n1, n2) < percent * max(n1, n2):
         return False
-    return (100 + PERCENT) * map_difference(map1, map2) <= (100 - PERCENT) * (n1 + n2)
+    return (100 + percent) * map_difference(map1, map2) <= (100 - percent) * (n1 + n2)
 
 
-def groups_may_link(n1: int, map1: bytes, many1: bool, n2: int, map2: bytes, many2: bool) -> bool:
+def groups_may_link(
+    n1: int, map1: bytes, many1: bool, n2: int, map2: bytes, many2: bool, percent: int = PERCENT
+) -> bool:
     """Whether some members of two groups may link, by their leaders' sizes and bitmaps.
 
-    With a leader of n shingles, a member s has up to n / 0.9 and differs from it in (n + s) / 19 at most. By the
+    At 90 %, with a leader of n shingles, a member s has up to n / 0.9 and differs from it in (n + s) / 19 at most. By the
     triangle inequality the leaders then differ in (n + 2 s) / 19 for either side; for a lone class that is n / 19.
     """
-    reach = sum(n * (100 + 2 * 10_000 / PERCENT if many else 100) for n, many in ((n1, many1), (n2, many2))) / 100
-    return (100 + PERCENT) * map_difference(map1, map2) <= (100 - PERCENT) * reach + 1e-6
+    reach = sum(n * (100 + 2 * 10_000 / percent if many else 100) for n, many in ((n1, many1), (n2, many2))) / 100
+    return (100 + percent) * map_difference(map1, map2) <= (100 - percent) * reach + 1e-6
 
 
 SIGNATURE = (
@@ -145,7 +161,7 @@ SIGNATURE = (
 )
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
     """(id, n_shingles, cls, half, bands, bitmap, common) of every row; ``half`` is half of ``cls``; ``common`` is filled in one row of each batch: shingles that
     are in many of its rows, with their counts."""
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(SIGNATURE).fields])
@@ -157,7 +173,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             parts, counted = [], []
             for lo, hi, raw, offsets in text_slices(batch.column(1)):
-                bounds, keys = slice_sets(raw, offsets)
+                bounds, keys = slice_sets(raw, offsets, rule.shingle)
                 counted.append(keys)
                 prints = fingerprints(bounds, keys)
                 parts.append((lo, hi, np.diff(bounds), prints, band_keys(bounds, keys), bitmaps(bounds, keys)))
@@ -178,7 +194,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
-def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
     """(cls, set) of the given classes (cls, min_id), from the texts of rows with their smallest id."""
     wanted = classes.select(F.col("min_id").alias("_wanted")).distinct()
     wanted = _within(wanted)
@@ -188,7 +204,7 @@ def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -
     def run(batches):
         for batch in batches:
             for _, _, raw, offsets in text_slices(batch.column(0)):
-                bounds, keys = slice_sets(raw, offsets)
+                bounds, keys = slice_sets(raw, offsets, rule.shingle)
                 at = pa.py_buffer((8 * bounds).astype(np.int32))
                 sets = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, at, pa.py_buffer(keys.tobytes())])
                 yield pa.RecordBatch.from_arrays([_binaries(fingerprints(bounds, keys)), sets], ["cls", "set"])
@@ -197,14 +213,14 @@ def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -
     return made.join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets link, by integer arithmetic."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if 100 * len(small) < PERCENT * len(large):
+    if 100 * len(small) < percent * len(large):
         return False
     at = np.minimum(np.searchsorted(large, small), len(large) - 1)
     both = int((large[at] == small).sum())
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def consensus_distance(rows: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
@@ -265,7 +281,7 @@ def consensus_distance(rows: DataFrame, large: DataFrame, classes: DataFrame) ->
     return placed.select("cls", "bucket", "bitmap", "middle").mapInArrow(measure, "cls binary, bucket long, far int")
 
 
-def leader_pairs(classes: DataFrame) -> DataFrame:
+def leader_pairs(classes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): a class and the first leader of its bucket that it may link with; leaders meet every other leader.
 
     Rows of a bucket are dealt out by a salt and leaders are copied to each of its salts, so a hot bucket is spread; a
@@ -301,7 +317,7 @@ def leader_pairs(classes: DataFrame) -> DataFrame:
                     leaders[cls] = (n, bits)
                     continue
                 for name, (n2, bits2) in leaders.items():
-                    if name != cls and may_link(n, bits, n2, bits2):
+                    if name != cls and may_link(n, bits, n2, bits2, rule.percent):
                         a.append(cls)
                         b.append(name)
                         if cls not in leaders:
@@ -338,7 +354,7 @@ def _grand(labels: DataFrame) -> DataFrame:
     return labels.join(upper, "f").select("node", "f", "gf")
 
 
-def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
+def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray, rule: Rule) -> DataFrame:
     """(shingle, half, n, pos): the prefix of every text's set. ``common``: shingles that come last, rarest first."""
     by_hash = np.argsort(common)
     table, rank = common[by_hash], by_hash
@@ -368,11 +384,11 @@ def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame
         for batch in batches:
             done = set()
             for _, _, raw, offsets in text_slices(batch.column(0)):
-                bounds, keys = slice_sets(raw, offsets)
+                bounds, keys = slice_sets(raw, offsets, rule.shingle)
                 prints = fingerprints(bounds, keys)
                 row, pos = order(bounds, keys)
                 n = np.diff(bounds)
-                length = n - (PERCENT * n + 99) // 100 + 1
+                length = n - (rule.percent * n + 99) // 100 + 1
                 fresh = np.zeros(len(n), bool)
                 for i, key in enumerate(map(bytes, prints)):
                     if key not in done:
@@ -390,7 +406,7 @@ def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame
     return docs.select(F.col(text_col)).mapInArrow(run, "shingle long, half long, n int, pos int")
 
 
-def common_shingles(docs: DataFrame, rows: DataFrame, text_col: str) -> np.ndarray:
+def common_shingles(docs: DataFrame, rows: DataFrame, text_col: str, rule: Rule) -> np.ndarray:
     """Shingles that the prefix order puts last, rarest first: the most frequent ones, ``COMMON_MOST`` at most.
 
     Counts within batches find the most common ones; a first prefix under that order shows which lists are long still.
@@ -401,20 +417,20 @@ def common_shingles(docs: DataFrame, rows: DataFrame, text_col: str) -> np.ndarr
     often = seen.orderBy(*top).limit(COMMON_MOST).collect()
     found = {r["shingle"]: r["n"] for r in often}
     first = np.array(sorted(found, key=lambda k: (found[k], k)), np.int64).view(np.uint64)
-    lists = prefix_rows(docs, text_col, first).groupBy("shingle").agg(F.count("*").alias("n"))
+    lists = prefix_rows(docs, text_col, first, rule).groupBy("shingle").agg(F.count("*").alias("n"))
     for r in lists.filter(F.col("n") >= LONG_LIST).orderBy(*top).limit(COMMON_MOST).collect():
         found[r["shingle"]] = max(found.get(r["shingle"], 0), r["n"])
     kept = sorted(found, key=lambda k: (-found[k], k))[:COMMON_MOST]
     return np.array(kept[::-1], np.int64).view(np.uint64)
 
 
-def _needed(n1: Column, n2: Column) -> Column:
+def _needed(n1: Column, n2: Column, percent: int) -> Column:
     """Smallest intersection with which sets of these sizes link."""
-    return F.ceil(PERCENT * (n1 + n2) / (100 + PERCENT) - 1e-9)
+    return F.ceil(percent * (n1 + n2) / (100 + percent) - 1e-9)
 
 
 def group_pairs(
-    prefixes: DataFrame, classes: DataFrame, led: DataFrame, roots: DataFrame
+    prefixes: DataFrame, classes: DataFrame, led: DataFrame, roots: DataFrame, rule: Rule
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Pairs of groups of different components that may have a link between them, by the index lists.
 
@@ -435,7 +451,7 @@ def group_pairs(
     )
     entries = prefixes.join(live.hint("shuffle_hash"), "shingle").join(staged(known, "known"), "half")
     entries = staged(entries.select("shingle", "cls", "grp", "root", "n", (F.col("n") - F.col("pos")).alias("rest")), "entries")
-    block = F.floor(F.log(F.col("n").cast("double")) / np.log(BLOCK_RATIO)).cast("int")
+    block = F.floor(F.log(F.col("n").cast("double")) / np.log(rule.block_ratio)).cast("int")
     lists = entries.groupBy("shingle", "grp", "root", block.alias("block")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest")
     )
@@ -450,9 +466,9 @@ def group_pairs(
     met = left.join(lists, ["shingle", "block"]).filter(
         (F.col("ra") != F.col("root"))
         & ((F.col("ba") < F.col("block")) | (F.col("ga") < F.col("grp")))
-        & (100 * F.col("most") >= PERCENT * F.col("la"))
-        & (100 * F.col("ma") >= PERCENT * F.col("least"))
-        & (F.least("sa", "rest") >= _needed(F.col("la"), F.col("least")))
+        & (100 * F.col("most") >= rule.percent * F.col("la"))
+        & (100 * F.col("ma") >= rule.percent * F.col("least"))
+        & (F.least("sa", "rest") >= _needed(F.col("la"), F.col("least"), rule.percent))
     )
     met = met.select("shingle", F.least("ga", "grp").alias("ga"), F.greatest("ga", "grp").alias("gb"))
     met = staged(met, "met")
@@ -464,10 +480,10 @@ def group_pairs(
     def prune(batches):
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns[2:]]
-            keep = pa.array([groups_may_link(*x) for x in zip(*columns, strict=True)], pa.bool_())
+            keep = pa.array([groups_may_link(*x, rule.percent) for x in zip(*columns, strict=True)], pa.bool_())
             direct = [not (x or y) for x, y in zip(columns[2], columns[5], strict=True)]
             n1, map1, _, n2, map2, _ = columns
-            leaders = [may_link(*x) for x in zip(n1, map1, n2, map2, strict=True)]
+            leaders = [may_link(*x, rule.percent) for x in zip(n1, map1, n2, map2, strict=True)]
             flags = [pa.array(direct, pa.bool_()), pa.array(leaders, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *flags], ["ga", "gb", "direct", "leaders"]).filter(keep)
 
@@ -475,15 +491,15 @@ def group_pairs(
     return staged(near, "near-groups"), met, entries, sizes
 
 
-def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: DataFrame) -> DataFrame:
+def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): members of the given pairs of groups that share a list and may link."""
     shared = met.join(near.select("ga", "gb"), ["ga", "gb"], "left_semi")
     end = lambda g, n: entries.select("shingle", *(F.col(x).alias(y) for x, y in (
         ("grp", g), ("cls", n), ("n", f"n{n}"), ("rest", f"r{n}"))))
     found = shared.join(end("ga", "a"), ["shingle", "ga"]).join(end("gb", "b"), ["shingle", "gb"]).filter(
-        (100 * F.col("na") >= PERCENT * F.col("nb"))
-        & (100 * F.col("nb") >= PERCENT * F.col("na"))
-        & (F.least("ra", "rb") >= _needed(F.col("na"), F.col("nb")))
+        (100 * F.col("na") >= rule.percent * F.col("nb"))
+        & (100 * F.col("nb") >= rule.percent * F.col("na"))
+        & (F.least("ra", "rb") >= _needed(F.col("na"), F.col("nb"), rule.percent))
     )
     pairs = staged(found.select("a", "b").distinct(), "near-pairs")
     side = lambda n: sizes.select(F.col("cls").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("bitmap").alias(f"m{n}"))
@@ -492,24 +508,24 @@ def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: Dat
     def run(batches):
         for batch in batches:
             columns = (c.to_pylist() for c in batch.columns[2:])
-            keep = [may_link(*pair) for pair in zip(*columns, strict=True)]
+            keep = [may_link(*pair, rule.percent) for pair in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return staged(close.mapInArrow(run, "a binary, b binary"), "candidates")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
     """The pairs that link, by their whole sets."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     needed = ends.join(classes, "cls").select("cls", "min_id")
-    sets = staged(text_sets(docs, needed, id_col, text_col), "sets")
+    sets = staged(text_sets(docs, needed, id_col, text_col, rule), "sets")
     rows = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
     rows = rows.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
             keep = [
-                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), rule.percent)
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             ]
             kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
@@ -518,33 +534,38 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str,
     return staged(rows.mapInArrow(run, "a binary, b binary"), "links")
 
 
-def found_roots(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def found_roots(
+    docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str, rule: Rule
+) -> DataFrame:
     """(node, root) of the classes with a link: leaders first, then pairs of leaders that the lists give, then members of
     groups that aren't in one component by then."""
     edges = lambda known, more: known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    led = verified(docs, leader_pairs(classes), classes, id_col, text_col)
+    led = verified(docs, leader_pairs(classes, rule), classes, id_col, text_col, rule)
     roots = components(led)
-    prefixes = staged(prefix_rows(docs, text_col, common_shingles(docs, rows, text_col)), "prefixes")
-    near, met, entries, sizes = group_pairs(prefixes, classes, led, roots)
+    prefixes = staged(prefix_rows(docs, text_col, common_shingles(docs, rows, text_col, rule), rule), "prefixes")
+    near, met, entries, sizes = group_pairs(prefixes, classes, led, roots, rule)
     pairs = near.filter("leaders").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    more = verified(docs, pairs, classes, id_col, text_col)
+    more = verified(docs, pairs, classes, id_col, text_col, rule)
     roots = components(edges(roots, more))
     side = lambda g, r: roots.select(F.col("node").alias(g), F.col("root").alias(r))
     apart = near.filter("not direct").join(side("ga", "ra"), "ga", "left").join(side("gb", "rb"), "gb", "left")
     apart = staged(apart.filter(F.coalesce("ra", "ga") != F.coalesce("rb", "gb")), "apart")
-    last = verified(docs, member_pairs(apart, met, entries, sizes), classes, id_col, text_col)
+    last = verified(docs, member_pairs(apart, met, entries, sizes, rule), classes, id_col, text_col, rule)
     return roots if last.isEmpty() else components(edges(roots, last))
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
+    rule = Rule(shingle, percent)
     modest_batches(docs.sparkSession)
-    rows = staged(signatures(docs, id_col, text_col), "signatures")
+    rows = staged(signatures(docs, id_col, text_col, rule), "signatures")
     own = rows.select(F.col(id_col).alias("_id"), "n_shingles", "cls", "half", "bands", "bitmap")
     first = [F.first(c).alias(c) for c in ("n_shingles", "half", "bands", "bitmap")]
     classes = own.filter("n_shingles > 0").groupBy("cls").agg(F.min("_id").alias("min_id"), *first)
     classes = staged(classes, "classes")
-    roots = found_roots(docs, classes, rows, id_col, text_col)
+    roots = found_roots(docs, classes, rows, id_col, text_col, rule)
     smallest = roots.join(classes.select(F.col("cls").alias("node"), "min_id"), "node")
     smallest = smallest.groupBy("root").agg(F.min("min_id").alias("component_id"))
     named = classes.select("cls", "min_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
@@ -558,9 +579,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """The row with the smallest id of each component; one row where that id repeats. Rows without an id stay."""
-    found = staged(similar_documents(docs, id_col, text_col), "components")
+    found = staged(similar_documents(docs, id_col, text_col, shingle, percent), "components")
     known = found.select(F.col(id_col).alias("_ngram_id"), "component_id").filter("_ngram_id is not null")
     counts = known.groupBy("_ngram_id").agg(F.count("*").alias("_rows"), F.min("component_id").alias("_root"))
     lost = counts.filter("_root <> _ngram_id").select("_ngram_id")

@@ -84,6 +84,53 @@ def test_one_of_each_group_stays(docs):
     assert sorted(k for k in kept if k is not None) == sorted(wanted)
 
 
+def brute_force_roots(rows, shingle, percent):
+    """(id, smallest id of its component) by comparing all pairs under the given rule."""
+    split = [[w.lower() for w in cases.words(r[1])] for r in rows]
+    sets = [{tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set() for w in split]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    return [(r[0], min(o[0] for o, x in zip(rows, root, strict=True) if x == y)) for r, y in zip(rows, root, strict=True)]
+
+
+@pytest.fixture(scope="module")
+def edited_rows():
+    """Texts with up to nine edits each: 3-word and 5-word sets of two copies fall on both sides of either threshold."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for group in range(14):
+        base = [f"g{group}w{i}" for i in range(int(rng.integers(30, 200)))]
+        for copy in range(6):
+            own = list(base)
+            for at in rng.integers(0, len(base), rng.integers(0, 10)):
+                own[at] = f"e{copy}x{at}"
+            rows.append((len(rows), " ".join(own[: len(own) - int(rng.integers(0, 8))])) + (None,) * 7)
+    return rows + [(len(rows) + i, t) + (None,) * 7 for i, t in enumerate(("one two", "One two", "a b c d", "a b c d", "", "."))]
+
+
+@pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 80)])
+def test_ngram_join_takes_its_rule(spark, edited_rows, shingle, percent):
+    wanted = brute_force_roots(edited_rows, shingle, percent)
+    assert wanted != brute_force_roots(edited_rows, 8 - shingle, 170 - percent)
+    docs = cases.frame(spark, edited_rows)
+    got = ngram_join.similar_documents(docs, shingle=shingle, percent=percent).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == wanted
+    kept = ngram_join.keep_representatives(docs, shingle=shingle, percent=percent).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({c for _, c in wanted})
+
+
+def test_pipeline_drops_copies_by_five_words_and_80_percent(spark, edited_rows):
+    import corpus_pipeline
+
+    kept = corpus_pipeline.keep_one_of_group(spark, cases.frame(spark, edited_rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted({c for _, c in brute_force_roots(edited_rows, 5, 80)})
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(3)
     for n, m in ((10, 11), (60, 66), (500, 470), (1000, 1100)):
