@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment over words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment over words.
 
 Every run of ``SEED`` words of a test item is a seed. One pass over all texts finds seeds, and for each text and item
-keeps windows of word hashes around the hits. How many windows hold a seed, over all texts, says how rare it is; a
-window stays if one of its seeds is rare among its item's seeds. The window is aligned with the item (match 1, mismatch
-and gap -1), so that copies with edited, inserted or lost words still score. An alignment counts if its score reaches
-half of the item's words, or ``ENOUGH``.
+keeps windows of word hashes around the hits. Every window is aligned with its item (match 1, mismatch and gap -1), so
+that copies with edited, inserted or lost words still score, however often their seeds occur. Only windows that share
+too few words with the item to reach the needed score are left out. Windows of one item are aligned together, equal ones
+once in a batch. An alignment counts if its score reaches half of the item's words, or ``ENOUGH``.
 
 Words are lower-cased and lose ASCII punctuation at either end. Test items are taken in blocks of ``ITEM_WORDS`` words,
 so what the tasks get is bounded for a test set of any size.
@@ -29,7 +29,7 @@ SEED = 5
 ITEM_WORDS = 1_000_000
 SHARE, ENOUGH = 0.5, 20
 BROADCAST_IDS = 2_000_000
-RARE_SHARE, RARE_LEAST, RARE_TIMES = 1e-4, 8, 4
+CELLS = 1 << 18
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
@@ -83,11 +83,11 @@ class Items:
         return at, np.repeat(lo, n) + step
 
 
-WINDOWS = "item int, seeds array<int>, start long, words array<long>"
+WINDOWS = "item int, start long, words array<long>"
 
 
 def seed_windows(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
-    """(id, item, seeds, start, words): a row for each stretch of a text around hits of one item."""
+    """(id, item, start, words): a row for each stretch of a text around hits of one item."""
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(WINDOWS).fields])
 
     def run(batches):
@@ -106,26 +106,23 @@ def seed_windows(docs: DataFrame, items: Items, id_col: str, text_col: str) -> D
                 begin = np.maximum(begin, words.bounds[row])
                 end = np.minimum(end, words.bounds[row + 1])
                 order = np.lexsort((begin, item, row))
-                row, item, begin, end, seed = (x[order] for x in (row, item, begin, end, seed))
+                row, item, begin, end = (x[order] for x in (row, item, begin, end))
                 group = np.concatenate(([True], (row[1:] != row[:-1]) | (item[1:] != item[:-1])))
                 number = np.cumsum(group)
                 # ends seen so far within the group: groups are told apart by an offset above any end
                 reach = np.maximum.accumulate(end + number * (len(hashes) + 1)) - number * (len(hashes) + 1)
                 new = group | np.concatenate(([True], begin[1:] > reach[:-1]))
                 heads = np.flatnonzero(new)
-                tails = np.append(heads[1:], len(row))
                 ends = np.maximum.reduceat(end, heads)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(lo + row[heads])),
                         pa.array(item[heads].astype(np.int32)),
-                        pa.array([np.unique(seed[a:b]).astype(np.int32) for a, b in zip(heads, tails, strict=True)],
-                                 pa.list_(pa.int32())),
                         pa.array(begin[heads] - words.bounds[row[heads]]),
                         pa.array([hashes[a:b].view(np.int64) for a, b in zip(begin[heads], ends, strict=True)],
                                  pa.list_(pa.int64())),
                     ],
-                    [id_col, "item", "seeds", "start", "words"],
+                    [id_col, "item", "start", "words"],
                 )
 
     return docs.select(F.col(id_col), F.lower(F.col(text_col))).mapInArrow(run, schema)
@@ -154,20 +151,76 @@ def needed(n_words: int) -> int:
     return max(SEED, min(int(np.ceil(SHARE * n_words)), ENOUGH))
 
 
-def rare_seeds(items: Items, counts: dict[int, int], n_docs: int) -> np.ndarray:
-    """Flags of the seeds that are rare: in few texts, or in few for a seed of the item."""
-    seen = np.array([counts.get(i, 0) for i in range(len(items.seeds))], float)
-    rare = np.zeros(len(seen), bool)
-    for i in range(len(items.ids)):
-        own = np.flatnonzero(items.item == i)
-        rare[own] = seen[own] <= max(RARE_LEAST, RARE_SHARE * n_docs, RARE_TIMES * np.quantile(seen[own], 0.25))
-    return rare
+def padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(table with a window in each row, flags of the places that are words)."""
+    lengths = np.array([len(w) for w in windows])
+    real = np.arange(lengths.max(initial=0)) < lengths[:, None]
+    table = np.zeros(real.shape, np.uint64)
+    table[real] = np.concatenate(windows)
+    return table, real
+
+
+def runs_of(windows: list[np.ndarray], n_words: int) -> list[np.ndarray]:
+    """Numbers of the windows in groups of like lengths, so that a group's tables have about ``CELLS`` places."""
+    groups, here = [], []
+    for i in np.argsort([len(w) for w in windows], kind="stable").tolist():
+        if here and (len(here) + 1) * (max(len(windows[i]), n_words) + 1) > CELLS:
+            groups.append(np.array(here))
+            here = []
+        here.append(i)
+    return [*groups, np.array(here)] if here else groups
+
+
+def align_all(item: np.ndarray, windows: list[np.ndarray]) -> np.ndarray:
+    """A row for each window with what ``align`` gives."""
+    out = np.zeros((len(windows), 3), np.int64)
+    for group in runs_of(windows, len(item)):
+        table, real = padded([windows[i] for i in group])
+        slope = np.arange(table.shape[1] + 1, dtype=np.int32)
+        above = np.zeros((len(group), table.shape[1] + 1), np.int32)
+        best, every = np.zeros((len(group), 3), np.int64), np.arange(len(group))
+        for i, word in enumerate(item):
+            row = np.maximum(above - 1, 0)
+            row[:, 1:] = np.maximum(row[:, 1:], above[:, :-1] + np.where((table == word) & real, 1, -1).astype(np.int32))
+            above = np.maximum.accumulate(row + slope, axis=1) - slope
+            top = above.argmax(1)
+            score = above[every, top]
+            up = np.flatnonzero(score > best[:, 0])
+            best[up] = np.stack((score[up], np.full(len(up), i + 1), top[up]), 1)
+        out[group] = best
+    return out
+
+
+def may_reach(item: np.ndarray, windows: list[np.ndarray]) -> np.ndarray:
+    """Flags of the windows that share enough words with the item: each match uses up one word of either."""
+    distinct, times = np.unique(item, return_counts=True)
+    out = np.zeros(len(windows), bool)
+    for group in runs_of(windows, len(item)):
+        table, real = padded([windows[i] for i in group])
+        at = np.minimum(np.searchsorted(distinct, table), len(distinct) - 1)
+        row, column = np.nonzero((distinct[at] == table) & real)
+        seen = np.bincount(row * len(distinct) + at[row, column], minlength=len(group) * len(distinct))
+        out[group] = np.minimum(seen.reshape(len(group), -1), times).sum(1) >= needed(len(item))
+    return out
 
 
-def match_block(docs: DataFrame, items: Items, n_docs: int, id_col: str, text_col: str, item_type: T.DataType) -> DataFrame:
+def passages(item: np.ndarray, windows: list[np.ndarray]) -> dict[int, tuple[int, int, int]]:
+    """(score, start, end) of the aligned stretch of each window whose score counts, by the window's number."""
+    whole = np.flatnonzero(may_reach(item, windows))
+    ahead = align_all(item, [windows[i] for i in whole])
+    counts = ahead[:, 0] >= needed(len(item))
+    whole, ahead = whole[counts], ahead[counts]
+    found = {}
+    for item_end in np.unique(ahead[:, 1]):
+        own = np.flatnonzero(ahead[:, 1] == item_end)
+        back = align_all(item[:item_end][::-1], [windows[whole[k]][: ahead[k, 2]][::-1] for k in own])
+        for k, length in zip(own, back[:, 2], strict=True):
+            found[int(whole[k])] = (int(ahead[k, 0]), int(ahead[k, 2] - length), int(ahead[k, 2]))
+    return found
+
+
+def match_block(docs: DataFrame, items: Items, id_col: str, text_col: str, item_type: T.DataType) -> DataFrame:
     windows = staged(seed_windows(docs, items, id_col, text_col), "seed-windows")
-    counts = windows.select(F.explode("seeds").alias("seed")).groupBy("seed").count().collect()
-    rare = rare_seeds(items, {r["seed"]: r["count"] for r in counts}, n_docs)
     schema = T.StructType(
         [docs.schema[id_col], T.StructField("item_id", item_type)]
         + [T.StructField(n, T.LongType()) for n in ("score", "item_words", "start_word", "end_word")]
@@ -176,18 +229,18 @@ def match_block(docs: DataFrame, items: Items, n_docs: int, id_col: str, text_co
 
     def run(batches):
         for batch in batches:
+            by_item: dict[int, dict[bytes, list[int]]] = {}
+            for i, item in enumerate(batch.column(1).to_pylist()):
+                by_item.setdefault(item, {}).setdefault(batch.column(3)[i].values.to_numpy().tobytes(), []).append(i)
+            start = batch.column(2).to_pylist()
             found, at = [], []
-            columns = [c.to_pylist() for c in (batch.column(1), batch.column(2), batch.column(3))]
-            for i, (item, seeds, start) in enumerate(zip(*columns, strict=True)):
-                if not rare[seeds].any():
-                    continue
-                words = items.words[item]
-                window = np.asarray(batch.column(4)[i].values).view(np.uint64)
-                score, item_end, end = align(words, window)
-                if score >= needed(len(words)):
-                    _, _, back = align(words[:item_end][::-1], window[:end][::-1])
-                    found.append((items.ids[item], score, len(words), start + end - back, start + end, score / len(words)))
-                    at.append(i)
+            for item, equal in by_item.items():
+                words, rows = items.words[item], list(equal.values())
+                got = passages(words, [np.frombuffer(w, np.uint64) for w in equal])
+                for number, (score, begin, end) in got.items():
+                    for i in rows[number]:
+                        found.append((items.ids[item], score, len(words), start[i] + begin, start[i] + end, score / len(words)))
+                        at.append(i)
             if found:
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 values = [pa.array([f[0] for f in found])]
@@ -207,13 +260,12 @@ def matches(
     items = benchmark.select(F.col(item_col).alias("_id"), F.col(item_text_col).alias("_text"))
     words = items.select(F.sum(F.size(F.split("_text", "[\\x20\\x09-\\x0D]+")))).first()[0] or 0
     n_blocks = words // ITEM_WORDS + 1
-    n_docs = docs.count()
     block = F.pmod(F.xxhash64(F.col("_id").cast("string"), "_text"), F.lit(n_blocks))
     item_type = benchmark.schema[item_col].dataType
     out = None
     for b in range(n_blocks):
         got = sorted(items.filter(block == b).collect(), key=lambda r: (r["_id"] is None, r["_id"], r["_text"] or ""))
-        found = match_block(docs, Items([r[0] for r in got], [r[1] for r in got]), n_docs, id_col, text_col, item_type)
+        found = match_block(docs, Items([r[0] for r in got], [r[1] for r in got]), id_col, text_col, item_type)
         out = found if out is None else out.unionByName(found)
     return out
 

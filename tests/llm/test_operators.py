@@ -174,6 +174,41 @@ def test_alignment_equals_the_plain_table():
         assert decontamination.align(a, b)[0] == table.max()
 
 
+def test_decontamination_finds_edits_that_recur(spark):
+    """Forty copies of an edited item and forty of a truncated one: their seeds are common, the others are nowhere."""
+    rng = np.random.default_rng(15)
+    text = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 5000, n))
+    items = [(i, text(40)) for i in range(3)]
+    edited, truncated = items[0][1].split(), " ".join(items[1][1].split()[:26])
+    edited[12], edited[27] = "edit", "edit"
+    little = " ".join(items[2][1].split()[:8])
+    rows = [(i, text(10) + " " + " ".join(edited) + " " + text(10)) for i in range(40)]
+    rows += [(100 + i, text(10) + " " + truncated + " " + text(10)) for i in range(40)]
+    rows += [(200 + i, text(10) + " " + little + " " + text(10)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id, r.score, r.start_word, r.end_word) for r in found}
+    assert {g[:2] for g in got} == {(i, 0) for i in range(40)} | {(100 + i, 1) for i in range(40)}
+    assert {g[2:] for g in got if g[0] < 100} == {(36, 10, 50)} and all(g[2] >= 26 for g in got if g[0] >= 100)
+
+
+def test_alignments_of_many_windows_equal_single_ones():
+    rng = np.random.default_rng(19)
+    for _ in range(40):
+        item = rng.integers(0, 6, rng.integers(5, 30)).astype(np.uint64)
+        windows = [rng.integers(0, 6, rng.integers(1, 60)).astype(np.uint64) for _ in range(12)]
+        wanted = [decontamination.align(item, w) for w in windows]
+        assert decontamination.align_all(item, windows).tolist() == [list(w) for w in wanted]
+        reach = decontamination.may_reach(item, windows)
+        got = decontamination.passages(item, windows)
+        for i, (score, item_end, end) in enumerate(wanted):
+            if score >= decontamination.needed(len(item)):
+                back = decontamination.align(item[:item_end][::-1], windows[i][:end][::-1])[2]
+                assert reach[i] and got[i] == (score, end - back, end)
+            else:
+                assert i not in got
+
+
 def test_language_id(spark):
     rng = np.random.default_rng(2)
     sounds = {"aa": ["ka", "to", "mi", "ru"], "bb": ["schl", "acht", "ung", "heit"]}
