@@ -155,6 +155,9 @@ class Encoder:
     their tails of punctuation, which are far fewer than words. Parts are told apart by 64-bit hashes and go to the
     tokenizer once while they are in the table; parts of letters alone go many to a call, and ids with the end-of-word
     mark tell them apart again. The table starts anew above ``TABLE_PARTS``.
+
+    The tokenizer's added tokens (``<|endoftext|>``) are looked for before anything is split or lower-cased, so a row that
+    may hold one, in any case, goes to the tokenizer whole and as it is.
     """
 
     def __init__(self, path: str):
@@ -165,6 +168,8 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        added = {token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = {LOWER[np.frombuffer(a, np.uint8)].tobytes() for a in added if a}
         self.clear()
 
     def clear(self) -> None:
@@ -216,9 +221,25 @@ class Encoder:
             at = np.searchsorted(self.hashes, distinct)
         return self.numbers[at][back]
 
+    def whole_rows(self, raw: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """Rows that may hold an added token."""
+        data, rows = LOWER[raw].tobytes(), set()
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                rows.add(int(np.searchsorted(offsets, at, "right")) - 1)
+                at = data.find(token, at + 1)
+        return sorted(rows)
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows of a slice, the end id after each row's; number of ids of each row)."""
         n = len(offsets) - 1
+        whole = self.whole_rows(raw, offsets)
+        texts = [raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in whole]
+        if whole:
+            raw = raw.copy()
+            for i in whole:
+                raw[offsets[i] : offsets[i + 1]] = 0x20
         words = Words(raw, offsets)
         starts, ends = words.starts, words.ends
         if len(self.starts) > TABLE_PARTS:
@@ -247,6 +268,12 @@ class Encoder:
         ids = self.ids[np.repeat(self.starts[order] - total[:-1], lengths) + np.arange(total[-1])]
         parts = np.concatenate((place, [len(order)]))[words.bounds]
         edge = total[parts]
+        if whole:
+            rows = np.split(ids, edge[1:-1])
+            for i, encoding in zip(whole, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                rows[i] = np.array(encoding.ids, np.uint32)
+            ids = np.concatenate(rows)
+            edge = np.concatenate(([0], np.cumsum([len(row) for row in rows])))
         out = np.empty(len(ids) + n, np.uint32)
         closing = edge[1:] + np.arange(n)
         own = np.ones(len(out), bool)

@@ -252,6 +252,25 @@ def test_tokens_round_trip(spark, docs):
         start += r.n_tokens
 
 
+def test_added_tokens_are_the_tokenizers():
+    path = vocabulary()
+    from tokenizers import Tokenizer
+
+    texts = [
+        "plain words", "one <|endoftext|> two", "X<|ENDOFTEXT|>y", "", "ends with<|endoftext|>", "<|startoftext|>", "end<|endof",
+        "text|> <|EndOfText|>, <|startoftext|><|endoftext|>!", "Änd <|endoftext|>.", "more plain words", "  <|endoftext|>\n\n a",
+    ]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in raw])))
+    encode = Tokenizer.from_file(path).encode
+    wanted = [encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    for k in range(len(texts)):  # each alone, then all in one slice
+        ids, lengths = token_blocks.encoder(path).encode(np.frombuffer(raw[k], np.uint8), np.array([0, len(raw[k])]), 1)
+        assert ids.tolist() == wanted[k] and lengths.tolist() == [len(wanted[k])]
+    ids, lengths = token_blocks.encoder(path).encode(np.frombuffer(b"".join(raw), np.uint8), offsets, 1)
+    assert ids.tolist() == sum(wanted, []) and lengths.tolist() == [len(w) for w in wanted]
+
+
 def test_blocks_decode_any_range():
     rng = np.random.default_rng(4)
     ids = np.concatenate((rng.integers(5, 60, 1000), rng.integers(0, 2**31, 40), np.full(300, 7), rng.integers(0, 49408, 777)))
