@@ -2,7 +2,8 @@
 
 Every letter has a random vector of +1 and -1. A run of three letters (word breaks count as one letter) is bound by
 multiplying its letters' vectors, each permuted by its place; a text's vector is the bundle (sum) over all its runs, and
-a language's prototype is the bundle over its sample. The language whose prototype has the largest cosine wins; the
+a language's prototype is the bundle over its sample. A text too short for a run gets a word break at
+either end, so that each letter is in a run. The language whose prototype has the largest cosine wins; the
 score is a softmax over the cosines.
 
 Edge cases: a null text and a text without a letter are ``und`` with score 0. Without any learned language every text is
@@ -34,16 +35,19 @@ SLICE = 1 << 20  # bytes; long slices share the bound vectors of their runs
 SHARPNESS = 20.0
 
 
+def _place(c: int) -> int:
+    """Place of a code point: 0 for what isn't a letter, the same for a letter's cases."""
+    ch = chr(c)
+    if not ch.isalpha():
+        return 0
+    low = ch.lower()
+    return 1 + (ord(low) if len(low) == 1 else c) % (ALPHABET - 1)
+
+
 @cache
 def _letters() -> np.ndarray:
-    """Place of each code point: 0 for what isn't a letter, the same for a letter's cases."""
-    table = np.zeros(0x30000, np.int64)
-    for c in range(len(table)):
-        ch = chr(c)
-        if ch.isalpha():
-            low = ch.lower()
-            table[c] = 1 + (ord(low) if len(low) == 1 else c) % (ALPHABET - 1)
-    return table
+    """Places of the code points up to 0x30000; ``_place`` gives those of the few letters beyond."""
+    return np.array([_place(c) for c in range(0x30000)], np.int64)
 
 
 @cache
@@ -53,6 +57,13 @@ def _vectors() -> list[np.ndarray]:
     return [np.roll(base, ORDER - 1 - place, axis=1) for place in range(ORDER)]
 
 
+def _folded(letter: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and rows with the breaks that follow each other in a row made one."""
+    keep = np.ones(len(letter), bool)
+    keep[1:] = (letter[1:] != 0) | (letter[:-1] != 0) | (row[1:] != row[:-1])
+    return letter[keep], row[keep]
+
+
 def slice_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, run code) of every run of letters in a slice, word breaks folded into one."""
     text = raw.tobytes().decode("utf-8", "replace")
@@ -62,10 +73,16 @@ def slice_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         points, lead = raw.astype(np.uint32), np.arange(len(raw))
     table = _letters()
     letter = table[np.where(points < len(table), points, 0)]
+    for c in np.unique(points[points >= len(table)]).tolist():
+        letter[points == c] = _place(c)
     row = np.searchsorted(offsets, lead, "right") - 1
-    keep = np.ones(len(letter), bool)
-    keep[1:] = (letter[1:] != 0) | (letter[:-1] != 0) | (row[1:] != row[:-1])
-    letter, row = letter[keep], row[keep]
+    letter, row = _folded(letter, row)
+    places = np.bincount(row, minlength=len(offsets) - 1)
+    short = ((places > 0) & (places < ORDER)).astype(np.int64)
+    if short.any():  # a break before and after the row
+        padded = np.zeros(len(letter) + 2 * short.sum(), np.int64)
+        padded[np.arange(len(letter)) + (2 * np.cumsum(short) - short)[row]] = letter
+        letter, row = _folded(padded, np.repeat(np.arange(len(places)), places + 2 * short))
     if len(letter) < ORDER:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     code = np.zeros(len(letter) - ORDER + 1, np.int64)

@@ -223,6 +223,19 @@ def test_language_id(spark):
     assert language_id.learn(docs.limit(0)) == {}
 
 
+def test_every_text_with_a_letter_has_a_language(spark):
+    texts = ["A.", "a", "ab", "", None, "\U00030000", "7 \U00031350!", "12 !?", " b", "abc"]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(100, "aba bab", "aa"), (101, "c", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    prototypes = language_id.learn(docs)
+    assert set(prototypes) == {"aa", "bb"}
+    got = {r.doc_id: r for r in language_id.predict(docs, prototypes).collect()}
+    for i, t in enumerate(texts):
+        letters = any(ch.isalpha() for ch in t or "")
+        assert (got[i].lang_pred != "und") == letters == (got[i].score > 0), t
+    assert got[101].lang_pred == "bb"
+
+
 def test_binding_is_permuted():
     raw = np.frombuffer(b"abc|bca", np.uint8)
     one = language_id.bundle(*language_id.slice_runs(raw[:3], np.array([0, 3])), 1)
