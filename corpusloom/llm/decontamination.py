@@ -1,17 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment over words.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment over words.
 
-Every run of ``SEED`` words of a test item is a seed. One pass over all texts finds seeds, and for each text and item
-keeps windows of word hashes around the hits. Every window is aligned with its item (match 1, mismatch and gap -1), so
-that copies with edited, inserted or lost words still score, however often their seeds occur. Only windows that share
-too few words with the item to reach the needed score are left out. Windows of one item are aligned together, equal ones
-once in a batch. An alignment counts if its score reaches half of the item's words, or ``ENOUGH``.
+An alignment scores 1 for a match, -1 for a mismatch and a gap, and counts if it reaches half of the item's words, or
+``ENOUGH``. One that scores s has at least s - 1 pairs of neighbouring words that stand side by side in both texts, however
+densely the copy is edited, and spans at most twice the item's words less s. So, without losing any alignment that counts:
 
-Words are lower-cased and lose ASCII punctuation at either end. Test items are taken in blocks of ``ITEM_WORDS`` words,
-so what the tasks get is bounded for a test set of any size.
+* of an item's pairs, all but the s - 2 that most test items hold are its seeds; a text without a seed of the item is left;
+* all pairs of an item whose seed was met are looked up in the text, and s - 1 of them must stand within that span;
+* the stretches around such places are kept as windows of word hashes; windows that share fewer than s words with the item
+  are left, all others are aligned. Windows of one item are aligned together, equal ones once in a batch.
 
-Edge cases: null and blank texts match nothing. Items with fewer than ``SEED`` words are too short to tell and match
-nothing. Repeated rows each give their own matches; items with equal texts each match. Empty tables give an empty
-result. Extra columns are not read.
+Words are lower-cased and lose ASCII punctuation at either end (words of nothing else stay whole). Test items are taken in
+blocks of ``ITEM_WORDS`` words, so what the tasks get is bounded for a test set of any size; each block is one scan of the
+texts.
+
+Edge cases: null and blank texts match nothing. Items of three and four words must be there as they are, items of one or two
+words are too short to tell and match nothing. Repeated rows each give their own matches; items with equal texts each match.
+Empty tables give an empty result. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,108 +26,154 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.kernels import Words, text_slices
-from corpusloom.llm.shared import modest_batches, staged
+from corpusloom.llm.kernels import Words, mix, text_slices
+from corpusloom.llm.shared import SALTS, modest_batches, salt, staged, unused
 
-SEED = 5
-ITEM_WORDS = 1_000_000
+PAIR = 2
+SHORTEST, EDITABLE = 3, 5
+ITEM_WORDS = 4_000_000
 SHARE, ENOUGH = 0.5, 20
-BROADCAST_IDS = 2_000_000
+BROADCAST_TEXTS = 2_000_000
 CELLS = 1 << 18
-PUNCTUATION = np.zeros(256, bool)
-PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
     """Words of a slice and the hashes of what is left of them without outer punctuation."""
     words = Words(raw, offsets)
-    starts, ends = words.starts.copy(), words.ends.copy()
-    for _ in range(4):
-        ends -= (ends - starts > 1) & PUNCTUATION[raw[ends - 1]]
-        starts += (ends - starts > 1) & PUNCTUATION[raw[np.minimum(starts, len(raw) - 1)]]
-    return words, words.span_hashes(starts, ends)
+    return words, words.span_hashes(*words.bare_spans())
+
+
+def needed(n_words: int) -> int:
+    """The score from which an alignment with an item of so many words counts."""
+    return n_words if n_words < EDITABLE else max(EDITABLE, min(int(np.ceil(SHARE * n_words)), ENOUGH))
+
+
+def expanded(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, place) of all places in the ranges ``[start, end)``."""
+    n = ends - starts
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n - starts, n)
 
 
 class Items:
-    """Word hashes of a block of test items and a table of their seeds."""
+    """Word hashes of a block of test items, their pairs of words, and which of those are seeds."""
 
     def __init__(self, ids: list, texts: list[str | None]):
         self.ids: list = []
         self.words: list[np.ndarray] = []
-        seeds, item, place = [], [], []
         column = pa.array([(t or "").lower() for t in texts], pa.string())
         for lo, hi, raw, offsets in text_slices(column):
             words, hashes = word_hashes(raw, offsets)
-            first, grams = words.ngrams(hashes, SEED)
             for i in range(lo, hi):
                 a, b = words.bounds[i - lo : i - lo + 2]
-                own = (first >= a) & (first < b)
-                if own.any():
-                    seeds.append(grams[own])
-                    place.append(first[own] - a)
-                    item.append(np.full(own.sum(), len(self.ids)))
+                if b - a >= SHORTEST:
                     self.ids.append(ids[i])
                     self.words.append(hashes[a:b])
-        flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.seeds = flat[order]
-        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if place else np.zeros(0, np.int64)
         self.lengths = np.array([len(w) for w in self.words], np.int64)
-        self.bitmap = np.zeros(1 << 20, bool)
-        self.bitmap[(self.seeds & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index into grams, seed number) of every occurrence of a seed."""
-        maybe = np.flatnonzero(self.bitmap[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        lo = np.searchsorted(self.seeds, grams[maybe], "left")
-        n = np.searchsorted(self.seeds, grams[maybe], "right") - lo
-        at = np.repeat(maybe, n)
-        step = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        return at, np.repeat(lo, n) + step
+        self.need = np.array([needed(len(w)) for w in self.words], np.int64)
+        flat = np.concatenate(self.words) if self.words else np.zeros(0, np.uint64)
+        item = np.repeat(np.arange(len(self.words)), self.lengths)
+        first = np.flatnonzero(item[:-1] == item[1:])
+        # the pairs of all items one after the other; ``pairs`` are the distinct ones, ``pair`` their numbers
+        hashes = pair_hashes(flat[first], flat[first + 1])
+        self.pairs, self.pair = np.unique(hashes, return_inverse=True)
+        self.bounds = np.searchsorted(item[first], np.arange(len(self.words) + 1))
+        held = np.unique(item[first] * max(1, len(self.pairs)) + self.pair)
+        items_with = np.bincount(held % max(1, len(self.pairs)), minlength=len(self.pairs))
+        _, at, uses = np.unique(flat, return_inverse=True, return_counts=True)
+        common_words = np.minimum(uses[at[first]], uses[at[first + 1]])
+        order = np.lexsort((hashes, common_words, items_with[self.pair], item[first]))
+        rank = np.arange(len(order)) - self.bounds[item[first][order]]
+        own = item[first][order]
+        seeds = order[rank < self.lengths[own] - self.need[own] + 1]
+        held = np.unique(self.pair[seeds] * max(1, len(self.words)) + item[first][seeds])
+        self.seed_item = held % max(1, len(self.words))
+        self.seed_bounds = np.searchsorted(held // max(1, len(self.words)), np.arange(len(self.pairs) + 1))
+        self.mask = np.uint64((1 << max(16, int(len(self.pairs)).bit_length() + 3)) - 1)
+        self.bitmap = np.zeros(int(self.mask) + 1, bool)
+        self.bitmap[(self.pairs & self.mask).astype(np.int64)] = True
+
+    def met(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indexes into ``hashes``, pair numbers) of those that are pairs of an item."""
+        if not len(self.pairs):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        maybe = np.flatnonzero(self.bitmap[(hashes & self.mask).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.pairs, hashes[maybe]), len(self.pairs) - 1)
+        real = self.pairs[at] == hashes[maybe]
+        return maybe[real], at[real]
+
+    def stretches(self, row: np.ndarray, place: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, item, begin, end) of the stretches of texts that hold enough pairs of an item close together.
+
+        row, place, pair: where the texts hold a pair of any item, in ascending order of row and place.
+        """
+        none = (np.zeros(0, np.int64),) * 4
+        at, seed = expanded(self.seed_bounds[pair], self.seed_bounds[pair + 1])
+        both = np.unique(row[at] * max(1, len(self.words)) + self.seed_item[seed])
+        if not len(both):
+            return none
+        c_row, c_item = both // len(self.words), both % len(self.words)
+        key = row * len(self.pairs) + pair
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        which, at = expanded(self.bounds[c_item], self.bounds[c_item + 1])
+        wanted = c_row[which] * len(self.pairs) + self.pair[at]
+        lo = np.searchsorted(key, wanted)
+        there = key[np.minimum(lo, len(key) - 1)] == wanted
+        enough = np.bincount(which[there], minlength=len(both)) >= self.need[c_item] - 1
+        keep = there & enough[which]
+        which, lo, wanted = which[keep], lo[keep], wanted[keep]
+        if not len(which):
+            return none
+        found, at = expanded(lo, np.searchsorted(key, wanted, "right"))
+        span = np.int64(place.max() + 1)
+        spots = np.unique(which[found] * span + place[at])
+        which, spot = spots // span, spots % span
+        need, reach = self.need[c_item[which]], 2 * self.lengths[c_item[which]] - self.need[c_item[which]]
+        last = np.arange(len(which)) + need - 2
+        inside = last < len(which)
+        last = np.minimum(last, len(which) - 1)
+        close = np.flatnonzero(inside & (which[last] == which) & (spot[last] - spot <= reach))
+        if not len(close):
+            return none
+        which, begin, end = which[close], spot[last[close]] - reach[close], spot[close] + reach[close]
+        new = np.concatenate(([True], (which[1:] != which[:-1]) | (begin[1:] > end[:-1])))
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(which)) - 1
+        return c_row[which[heads]], c_item[which[heads]], begin[heads], end[tails]
+
+
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * np.uint64(0x9FB21C651E98DF25) + second)
 
 
 WINDOWS = "item int, start long, words array<long>"
 
 
 def seed_windows(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
-    """(id, item, start, words): a row for each stretch of a text around hits of one item."""
+    """(id, item, start, words): a row for each stretch of a text that may hold a copy of an item."""
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(WINDOWS).fields])
 
     def run(batches):
         for batch in batches:
-            for lo, hi, raw, offsets in text_slices(batch.column(1)):
+            for lo, _, raw, offsets in text_slices(batch.column(1)):
                 words, hashes = word_hashes(raw, offsets)
-                first, grams = words.ngrams(hashes, SEED)
-                at, seed = items.hits(grams)
-                if not len(at):
+                first = np.flatnonzero(words.row[:-1] == words.row[1:])
+                at, pair = items.met(pair_hashes(hashes[first], hashes[first + 1]))
+                place = first[at]
+                row, item, begin, end = items.stretches(words.row[place], place, pair)
+                if not len(row):
                     continue
-                at = first[at]
-                row, item = words.row[at], items.item[seed]
-                slack = items.lengths[item] // 4 + SEED
-                begin = at - items.place[seed] - slack
-                end = begin + items.lengths[item] + 2 * slack
-                begin = np.maximum(begin, words.bounds[row])
-                end = np.minimum(end, words.bounds[row + 1])
-                order = np.lexsort((begin, item, row))
-                row, item, begin, end = (x[order] for x in (row, item, begin, end))
-                group = np.concatenate(([True], (row[1:] != row[:-1]) | (item[1:] != item[:-1])))
-                number = np.cumsum(group)
-                # ends seen so far within the group: groups are told apart by an offset above any end
-                reach = np.maximum.accumulate(end + number * (len(hashes) + 1)) - number * (len(hashes) + 1)
-                new = group | np.concatenate(([True], begin[1:] > reach[:-1]))
-                heads = np.flatnonzero(new)
-                ends = np.maximum.reduceat(end, heads)
+                begin, end = np.maximum(begin, words.bounds[row]), np.minimum(end, words.bounds[row + 1])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(lo + row[heads])),
-                        pa.array(item[heads].astype(np.int32)),
-                        pa.array(begin[heads] - words.bounds[row[heads]]),
-                        pa.array([hashes[a:b].view(np.int64) for a, b in zip(begin[heads], ends, strict=True)],
-                                 pa.list_(pa.int64())),
+                        batch.column(0).take(pa.array(lo + row)),
+                        pa.array(item.astype(np.int32)),
+                        pa.array(begin - words.bounds[row]),
+                        pa.array([hashes[a:b].view(np.int64) for a, b in zip(begin, end, strict=True)], pa.list_(pa.int64())),
                     ],
                     [id_col, "item", "start", "words"],
-                )
+                )
 
     return docs.select(F.col(id_col), F.lower(F.col(text_col))).mapInArrow(run, schema)
 
@@ -146,11 +196,6 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def needed(n_words: int) -> int:
-    """The score from which an alignment with an item of so many words counts."""
-    return max(SEED, min(int(np.ceil(SHARE * n_words)), ENOUGH))
-
-
 def padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(table with a window in each row, flags of the places that are words)."""
     lengths = np.array([len(w) for w in windows])
@@ -271,8 +316,14 @@ def matches(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` without a match; rows without an id share one fate."""
-    hit = matches(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_matched_id")).distinct()
-    hit = staged(hit, "contaminated")
-    hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit.hint("shuffle_hash")
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_matched_id")), "left_anti")
+    """Rows of ``docs`` whose text has no match; ids play no part, so rows that share one or have none are told apart."""
+    text, hit_col, salt_col = F.col(text_col), unused("hit", docs), unused("hit_salt", docs)
+    print_of = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    hit = matches(docs.select(print_of.alias("print"), text.alias("text")), benchmark, "print", "text")
+    hit = staged(hit.select(F.col("print").alias(hit_col)).distinct(), "contaminated")
+    same = print_of == F.col(hit_col)
+    if hit.count() <= BROADCAST_TEXTS:
+        return docs.join(F.broadcast(hit), same, "left_anti")
+    # rows of a text that many share are dealt over the salts
+    hit = hit.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return docs.join(hit.hint("shuffle_hash"), same & (salt(F.col(id_col)) == F.col(salt_col)), "left_anti")

@@ -14,11 +14,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 18
+PIECE = 1 << 20
 
 WHITESPACE = np.zeros(256, bool)
 WHITESPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+_MARKS = bytes(np.flatnonzero(PUNCTUATION).tolist())
 
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -36,6 +40,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, below ``n``."""
     if len(_powers.get("up", ())) < n:
         size = max(n, SLICE_BYTES + 1)
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
@@ -45,6 +50,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def _piece_powers(base: int, n_pieces: int) -> np.ndarray:
+    """The base to the power of each piece's first position."""
+    step = pow(base, PIECE, 1 << 64)
+    return np.array([pow(step, i, 1 << 64) for i in range(n_pieces)], np.uint64)
+
+
 def release() -> None:
     """Give freed memory back to the system: Python workers live on after a task, next to an executor's heap."""
     pa.default_memory_pool().release_unused()
@@ -102,13 +113,53 @@ class Words:
         self.row = np.repeat(np.arange(len(self.counts)), self.counts)
         self._sums: np.ndarray | None = None
 
+    def _prefix(self, at: np.ndarray) -> np.ndarray:
+        """Sums of the polynomial over the bytes before each position; a long row's are made piece by piece."""
+        n = len(self.raw)
+        up, _ = _power_tables(min(n, PIECE) + 1)
+        if n <= PIECE:
+            if self._sums is None:
+                self._sums = np.zeros(n + 1, np.uint64)
+                np.cumsum(_BYTE_VALUES[self.raw] * up[:n], out=self._sums[1:])
+            return self._sums[at]
+        order = np.argsort(at, kind="stable")
+        sorted_at, out = at[order], np.empty(len(at), np.uint64)
+        scale, before = _piece_powers(_BASE, n // PIECE + 1), np.uint64(0)
+        for i, lo in enumerate(range(0, n, PIECE)):
+            part = self.raw[lo : lo + PIECE]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE_VALUES[part] * up[: len(part)], out=sums[1:])
+            a, b = np.searchsorted(sorted_at, [lo, n + 1 if lo + PIECE >= n else lo + PIECE])
+            out[order[a:b]] = before + sums[sorted_at[a:b] - lo] * scale[i]
+            before = before + sums[-1] * scale[i]
+        return out
+
+    def _down(self, at: np.ndarray) -> np.ndarray:
+        """The inverse base to the power of each position."""
+        n = len(self.raw)
+        _, down = _power_tables(min(n, PIECE) + 1)
+        return down[at] if n <= PIECE else _piece_powers(_BASE_INVERSE, n // PIECE + 1)[at // PIECE] * down[at % PIECE]
+
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash byte spans by prefix sums of a polynomial, so equal bytes hash alike wherever they stand."""
-        up, down = _power_tables(len(self.raw) + 1)
-        if self._sums is None:
-            self._sums = np.zeros(len(self.raw) + 1, np.uint64)
-            np.cumsum(_BYTE_VALUES[self.raw] * up[: len(self.raw)], out=self._sums[1:])
-        return mix((self._sums[ends] - self._sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        with np.errstate(over="ignore"):
+            return mix((self._prefix(ends) - self._prefix(starts)) * self._down(starts) + (ends - starts).astype(np.uint64))
+
+    def bare_spans(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the words without ASCII punctuation at either end; words of nothing else stay whole."""
+        starts, ends, raw = self.starts.copy(), self.ends.copy(), self.raw
+        if not len(starts):
+            return starts, ends
+        other = np.concatenate(([0], np.cumsum(~PUNCTUATION[raw], dtype=np.int32)))
+        some = other[ends] > other[starts]
+        for _ in range(4):
+            ends -= some & PUNCTUATION[raw[ends - 1]]
+            starts += some & PUNCTUATION[raw[starts]]
+        for i in np.flatnonzero(some & (PUNCTUATION[raw[ends - 1]] | PUNCTUATION[raw[starts]])).tolist():
+            word = raw[starts[i] : ends[i]].tobytes()
+            starts[i] += len(word) - len(word.lstrip(_MARKS))
+            ends[i] -= len(word) - len(word.rstrip(_MARKS))
+        return starts, ends
 
     @property
     def hashes(self) -> np.ndarray:

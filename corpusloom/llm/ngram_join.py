@@ -14,6 +14,7 @@ component, so pairs inside what is already one component are never formed.
   blocks whose sizes or positions can't reach the needed overlap are skipped, and only entries of different components
   meet. The pairs they leave are compared exactly.
 * Links become components by FastSV label propagation; each round is written to the shared folder.
+* Where a leader, hub or root has a large part of the rows of a join, its rows are dealt over salts.
 
 The order of the prefix and the buckets only steer the work: the result is that of comparing all pairs, but for hash
 collisions (64 bits for a shingle within a pair, 128 for a class).
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.kernels import Words, mix, text_slices
-from corpusloom.llm.shared import modest_batches, salt, staged
+from corpusloom.llm.shared import dropped_at_end, hot_keys, modest_batches, salt, spread_join, staged, unused
 
 SHINGLE = 3
 PERCENT = 90
@@ -156,18 +157,21 @@ def groups_may_link(
 
 
 SIGNATURE = (
-    "n_shingles long, cls binary, half long, bands array<long>, bitmap binary, "
+    "print long, n_shingles long, cls binary, half long, bands array<long>, bitmap binary, "
     "common array<struct<shingle: long, n: int>>"
 )
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
-    """(id, n_shingles, cls, half, bands, bitmap, common) of every row; ``half`` is half of ``cls``; ``common`` is filled in one row of each batch: shingles that
-    are in many of its rows, with their counts."""
+    """(id, print, n_shingles, cls, half, bands, bitmap, common) of every row.
+
+    ``print`` is a hash of the text as it is, ``half`` is half of ``cls``; ``common`` is filled in one row of each batch:
+    shingles that are in many of its rows, with their counts.
+    """
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(SIGNATURE).fields])
     pair = pa.struct([("shingle", pa.int64()), ("n", pa.int32())])
     kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pair)]
-    names = ["n_shingles", "cls", "half", "bands", "bitmap", "common"]
+    names = ["print", "n_shingles", "cls", "half", "bands", "bitmap", "common"]
 
     def run(batches):
         for batch in batches:
@@ -185,13 +189,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataF
                 shingles[edge[often].astype(np.int64)].view(np.int64), size[often], strict=True)]
             for lo, hi, n, prints, bands, maps in parts:
                 columns = [
-                    batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), _binaries(prints),
+                    batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n.astype(np.int64)), _binaries(prints),
                     pa.array(prints[:, 0].copy().view(np.int64)), pa.array(list(bands.view(np.int64)), kinds[2]), maps,
                     pa.array([common if lo == 0 and not i else [] for i in range(hi - lo)], kinds[3]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [id_col, *names])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)).mapInArrow(run, schema)
 
 
 def text_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
@@ -253,7 +257,7 @@ def consensus_distance(rows: DataFrame, large: DataFrame, classes: DataFrame) ->
         if sums:
             yield close()
 
-    votes = staged(dealt.select("bucket", "salt", "bitmap").mapInArrow(add, "bucket long, size int, n int, ones binary"), "votes")
+    votes = dealt.select("bucket", "salt", "bitmap").mapInArrow(add, "bucket long, size int, n int, ones binary")
 
     def majority(batches):
         for batch in batches:
@@ -269,7 +273,7 @@ def consensus_distance(rows: DataFrame, large: DataFrame, classes: DataFrame) ->
 
     # at most a row for each salt and size comes together here
     middles = votes.groupBy("bucket").agg(F.collect_list(F.struct("size", "n", "ones")).alias("parts"))
-    middles = staged(middles.mapInArrow(majority, "bucket long, middle binary"), "middles")
+    middles = middles.mapInArrow(majority, "bucket long, middle binary")
     placed = members.join(large.join(middles, "bucket"), ["bucket", "salt"]).join(maps, "cls")
 
     def measure(batches):
@@ -330,14 +334,19 @@ def leader_pairs(classes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node of each linked node's component, by FastSV; every round is written out."""
+    """(node, root): the smallest node of each linked node's component, by FastSV; every round is written out.
+
+    Joins on a hub or a root, which a large part of all nodes may share, are dealt over salts.
+    """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = staged(both.filter("a <> b").distinct(), "edges")
+    hubs = hot_keys(edges, ["b"])
     start = edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("f"))
     state = staged(_grand(staged(start, "labels")), "labels")
     while True:
-        far = edges.join(state.select(F.col("node").alias("b"), "gf"), "b").groupBy("a").agg(F.min("gf").alias("m"))
-        seen = state.join(staged(far, "hooks"), F.col("node") == F.col("a")).select("node", "f", "gf", "m")
+        ends = spread_join(edges, state.select(F.col("node").alias("b"), "gf"), ["b"], F.col("a"), hubs)
+        far = ends.groupBy("a").agg(F.min("gf").alias("m"))
+        seen = staged(state.join(far, F.col("node") == F.col("a")).select("node", "f", "gf", "m"), "hooks")
         hooks = seen.select("node", F.least("f", "gf", "m").alias("f")).unionByName(
             seen.select(F.col("f").alias("node"), F.least("gf", "m").alias("f"))
         )
@@ -349,9 +358,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _grand(labels: DataFrame) -> DataFrame:
-    """Labels of the labels."""
+    """Labels of the labels, which must be a staged table."""
     upper = labels.select(F.col("node").alias("f"), F.col("f").alias("gf"))
-    return labels.join(upper, "f").select("node", "f", "gf")
+    return spread_join(labels, upper, ["f"], F.col("node"), hot_keys(labels, ["f"])).select("node", "f", "gf")
 
 
 def prefix_rows(docs: DataFrame, text_col: str, common: np.ndarray, rule: Rule) -> DataFrame:
@@ -496,7 +505,9 @@ def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: Dat
     shared = met.join(near.select("ga", "gb"), ["ga", "gb"], "left_semi")
     end = lambda g, n: entries.select("shingle", *(F.col(x).alias(y) for x, y in (
         ("grp", g), ("cls", n), ("n", f"n{n}"), ("rest", f"r{n}"))))
-    found = shared.join(end("ga", "a"), ["shingle", "ga"]).join(end("gb", "b"), ["shingle", "gb"]).filter(
+    members = hot_keys(entries, ["shingle", "grp"])
+    first = spread_join(end("ga", "a"), shared, ["shingle", "ga"], F.col("a"), members)
+    found = spread_join(first, end("gb", "b"), ["shingle", "gb"], F.col("a"), members).filter(
         (100 * F.col("na") >= rule.percent * F.col("nb"))
         & (100 * F.col("nb") >= rule.percent * F.col("na"))
         & (F.least("ra", "rb") >= _needed(F.col("na"), F.col("nb"), rule.percent))
@@ -515,12 +526,13 @@ def member_pairs(near: DataFrame, met: DataFrame, entries: DataFrame, sizes: Dat
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
-    """The pairs that link, by their whole sets."""
+    """The given pairs (a staged table) that link, by their whole sets; pairs with a class that is in many are dealt out."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     needed = ends.join(classes, "cls").select("cls", "min_id")
     sets = staged(text_sets(docs, needed, id_col, text_col, rule), "sets")
-    rows = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
-    rows = rows.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
+    side = lambda n: sets.select(F.col("cls").alias(n), F.col("set").alias(f"s{n}"))
+    rows = spread_join(pairs, side("a"), ["a"], F.col("b"), hot_keys(pairs, ["a"]))
+    rows = spread_join(rows, side("b"), ["b"], F.col("a"), hot_keys(pairs, ["b"])).select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -544,7 +556,7 @@ def found_roots(
     roots = components(led)
     prefixes = staged(prefix_rows(docs, text_col, common_shingles(docs, rows, text_col, rule), rule), "prefixes")
     near, met, entries, sizes = group_pairs(prefixes, classes, led, roots, rule)
-    pairs = near.filter("leaders").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    pairs = staged(near.filter("leaders").select(F.col("ga").alias("a"), F.col("gb").alias("b")), "leaders")
     more = verified(docs, pairs, classes, id_col, text_col, rule)
     roots = components(edges(roots, more))
     side = lambda g, r: roots.select(F.col("node").alias(g), F.col("root").alias(r))
@@ -554,47 +566,72 @@ def found_roots(
     return roots if last.isEmpty() else components(edges(roots, last))
 
 
+def component_rows(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
+    """(id, print, n_shingles, component, component_id) of every row; ``component`` is null for rows without a set."""
+    spark = docs.sparkSession
+    modest_batches(spark)
+    with dropped_at_end(spark, but=("signatures", "named")):
+        rows = staged(signatures(docs, id_col, text_col, rule), "signatures")
+        own = rows.select(F.col(id_col).alias("_id"), "print", "n_shingles", "cls", "half", "bands", "bitmap")
+        first = [F.first(c).alias(c) for c in ("n_shingles", "half", "bands", "bitmap")]
+        classes = own.filter("n_shingles > 0").groupBy("cls").agg(F.min("_id").alias("min_id"), *first)
+        classes = staged(classes, "classes")
+        roots = staged(found_roots(docs, classes, rows, id_col, text_col, rule), "roots")
+        smallest = roots.join(classes.select(F.col("cls").alias("node"), "min_id"), "node")
+        smallest = smallest.groupBy("root").agg(F.min("min_id").alias("component_id"))
+        known = spread_join(roots, smallest, ["root"], F.col("node"), hot_keys(roots, ["root"]))
+        named = classes.select("cls", "min_id").join(known.withColumnRenamed("node", "cls"), "cls", "left")
+        named = named.select(
+            "cls", F.coalesce("root", "cls").alias("component"),
+            F.when(F.col("root").isNull(), F.col("min_id")).otherwise(F.col("component_id")).alias("component_id"),
+        )
+        named = staged(named, "named")
+    # a class' rows are met by class and salt, so that copies of one text spread
+    salted = own.select("_id", "print", "n_shingles", "cls", salt(F.col("_id")).alias("salt"))
+    meeting = salted.filter("n_shingles > 0").select("cls", "salt").distinct().join(named, "cls")
+    out = salted.join(meeting, ["cls", "salt"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
+    return out.select(F.col("_id").alias(id_col), "print", "n_shingles", "component", component.alias("component_id"))
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
-    rule = Rule(shingle, percent)
-    modest_batches(docs.sparkSession)
-    rows = staged(signatures(docs, id_col, text_col, rule), "signatures")
-    own = rows.select(F.col(id_col).alias("_id"), "n_shingles", "cls", "half", "bands", "bitmap")
-    first = [F.first(c).alias(c) for c in ("n_shingles", "half", "bands", "bitmap")]
-    classes = own.filter("n_shingles > 0").groupBy("cls").agg(F.min("_id").alias("min_id"), *first)
-    classes = staged(classes, "classes")
-    roots = found_roots(docs, classes, rows, id_col, text_col, rule)
-    smallest = roots.join(classes.select(F.col("cls").alias("node"), "min_id"), "node")
-    smallest = smallest.groupBy("root").agg(F.min("min_id").alias("component_id"))
-    named = classes.select("cls", "min_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    named = named.join(smallest, "root", "left").select("cls", F.coalesce("component_id", "min_id").alias("component_id"))
-    # a class' rows are met by class and salt, so that copies of one text spread
-    salted = own.withColumn("salt", salt(F.col("_id")))
-    meeting = salted.filter("n_shingles > 0").select("cls", "salt").distinct().join(staged(named, "named"), "cls")
-    out = salted.join(staged(meeting, "meeting"), ["cls", "salt"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
-    return out.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"))
-
+    return component_rows(docs, id_col, text_col, Rule(shingle, percent)).select(id_col, "n_shingles", "component_id")
 
 
 def keep_representatives(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The row with the smallest id of each component; one row where that id repeats. Rows without an id stay."""
-    found = staged(similar_documents(docs, id_col, text_col, shingle, percent), "components")
-    known = found.select(F.col(id_col).alias("_ngram_id"), "component_id").filter("_ngram_id is not null")
-    counts = known.groupBy("_ngram_id").agg(F.count("*").alias("_rows"), F.min("component_id").alias("_root"))
-    lost = counts.filter("_root <> _ngram_id").select("_ngram_id")
-    again = counts.filter("_root = _ngram_id and _rows > 1").select("_ngram_id")
-    rows = docs.join(_within(staged(lost, "lost")), docs[id_col] == F.col("_ngram_id"), "left_anti")
-    again = staged(again, "again")
+    """One row of each component: that with the smallest id, then hash of its text; a null id is the largest.
+
+    Rows without a set all stay. Decisions are by row, so rows that share an id but not the text don't share a fate.
+    """
+    with dropped_at_end(docs.sparkSession, but=("lost", "again")):
+        found = component_rows(docs, id_col, text_col, Rule(shingle, percent)).filter("n_shingles > 0")
+        found = staged(found.select(F.col(id_col).alias("id"), "print", "component"), "components")
+        order = F.struct(F.col("id").isNull().alias("none"), "id", "print")
+        chosen = found.groupBy("component").agg(F.min(order).alias("row")).select("row.id", "row.print")
+        chosen = chosen.withColumn("stays", F.lit(True))
+        counted = found.groupBy("id", "print").agg(F.count("*").alias("rows")).alias("c").join(
+            chosen.alias("s"), F.col("c.id").eqNullSafe(F.col("s.id")) & (F.col("c.print") == F.col("s.print")), "left"
+        ).select("c.id", "c.print", "rows", "stays")
+        counted = staged(counted, "counted")
+        lost = staged(counted.filter("stays is null").select("id", "print"), "lost")
+        again = staged(counted.filter("stays and rows > 1").select("id", "print"), "again")
+    by_id, by_print = unused("ngram_id", docs), unused("ngram_print", docs)
+
+    def meet(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        same = F.col(id_col).eqNullSafe(F.col(by_id)) & (F.xxhash64(text_col) == F.col(by_print))
+        return rows.join(_within(ids.toDF(by_id, by_print)), same, how)
+
+    rows = meet(docs, lost, "left_anti")
     if again.isEmpty():
         return rows
-    again = _within(again)
-    single = rows.join(again, rows[id_col] == F.col("_ngram_id"), "left_semi").dropDuplicates([id_col])
-    return rows.join(again, rows[id_col] == F.col("_ngram_id"), "left_anti").unionByName(single)
+    one = [F.first(F.struct(*(F.col(c) for c in docs.columns))).alias("row")]
+    single = meet(rows, again, "left_semi").groupBy(F.col(id_col).alias(by_id), F.xxhash64(text_col).alias(by_print)).agg(*one)
+    return meet(rows, again, "left_anti").unionByName(single.select("row.*"))
 
 
 def _within(ids: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Toxicity by FTRL-proximal logistic regression over hashed words, word pairs and skip-pairs.
 
-Words are lower-cased (A-Z) and lose ASCII punctuation at either end. Features are words, pairs of neighbours and pairs
+Words are lower-cased (A-Z) and lose ASCII punctuation at either end (words of nothing else stay whole). Features are words, pairs of neighbours and pairs
 with one word between them, hashed to ``2 ** BITS`` places and counted once per text. Learning rates are kept per
 coordinate and L1 leaves few weights, which are sent to the scoring tasks as two short arrays.
 
@@ -27,8 +27,6 @@ BITS = 20
 PER_CLASS = 5000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.01
-PUNCTUATION = np.zeros(256, bool)
-PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 
 @dataclass(frozen=True)
@@ -43,11 +41,7 @@ class Model:
 def feature_runs(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(row, place) arrays for words, pairs and skip-pairs; a feature that occurs again is given again."""
     words = Words(raw, offsets, lower=True)
-    starts, ends = words.starts.copy(), words.ends.copy()
-    for _ in range(4):
-        ends -= (ends - starts > 1) & PUNCTUATION[words.raw[ends - 1]]
-        starts += (ends - starts > 1) & PUNCTUATION[words.raw[np.minimum(starts, len(raw) - 1)]]
-    h = words.span_hashes(starts, ends)
+    h = words.span_hashes(*words.bare_spans())
     shift = np.uint64(64 - BITS)
     out = [(words.row, (h >> shift).astype(np.int64))]
     for gap, salt in ((1, 0xA24BAED4963EE407), (2, 0x9FB21C651E98DF25)):

@@ -75,3 +75,22 @@ def components(rows):
         if r[0] is not None:
             smallest[find(i)] = min(smallest.get(find(i), r[0]), r[0])
     return [(r[0], len(s), r[0] if not s else smallest.get(find(i))) for i, (r, s) in enumerate(zip(rows, sets))]
+
+
+def representatives(rows):
+    """Ids of the rows that stay when one of each component does; rows without a set all stay."""
+    sets = [shingles(r[1]) for r in rows]
+    kept, seen = [r[0] for r, s in zip(rows, sets) if not s], set()
+    root = {}
+    for i, s in enumerate(sets):
+        if s:
+            linked = {root[j] for j in root if 100 * len(s & sets[j]) >= 90 * len(s | sets[j])}
+            root[i] = i
+            for j in root:
+                if root[j] in linked:
+                    root[j] = i
+    for i in sorted(root, key=lambda i: (rows[i][0] is None, rows[i][0] or 0)):
+        if root[i] not in seen:
+            seen.add(root[i])
+            kept.append(rows[i][0])
+    return kept

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import (
     compression_classifier,
     decontamination,
+    kernels,
     language_id,
     mixing,
     ngram_join,
@@ -79,9 +80,30 @@ def test_ngram_join_chains(spark):
 
 
 def test_one_of_each_group_stays(docs):
-    kept = [r.doc_id for r in ngram_join.keep_representatives(docs).collect()]
-    wanted = {r[2] for r in cases.components(cases.corpus()) if r[0] is not None}
-    assert sorted(k for k in kept if k is not None) == sorted(wanted)
+    kept = ngram_join.keep_representatives(docs).collect()
+    assert sorted(map(repr, (r.doc_id for r in kept))) == sorted(map(repr, cases.representatives(cases.corpus())))
+
+
+def test_hot_keys_are_dealt_out(spark, edited_rows, monkeypatch):
+    """With every key that has three rows counted as hot, answers stay those of brute force."""
+    from corpusloom.llm import shared
+
+    monkeypatch.setattr(shared, "HOT_LEAST", 2)
+    few = edited_rows[:18]
+    got = ngram_join.similar_documents(cases.frame(spark, few).coalesce(1), shingle=5, percent=80).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == brute_force_roots(few, 5, 80)
+    rows = spark.createDataFrame([(k % 3, k) for k in range(30)], "a int, n int")
+    table = spark.createDataFrame([(0, "x"), (1, "y"), (1, "z")], "a int, t string")
+    hot = shared.hot_keys(rows, ["a"])
+    joined = shared.spread_join(rows, table, ["a"], F.col("n"), hot).collect()
+    assert sorted(hot) == [(0,), (1,), (2,)] and len(joined) == len(set(joined)) == 30
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    text = lambda k: " ".join(f"t{k}x{i}" for i in range(30))
+    rows = [(1, text(1)), (5, text(1)), (5, text(2)), (7, text(2)), (None, text(1)), (None, text(3)), (None, text(3)), (9, ""), (9, None)]
+    kept = ngram_join.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [rows[k] for k in (0, 2, 5, 7, 8)]))
 
 
 def brute_force_roots(rows, shingle, percent):
@@ -192,6 +214,71 @@ def test_decontamination_finds_edits_that_recur(spark):
     assert {g[2:] for g in got if g[0] < 100} == {(36, 10, 50)} and all(g[2] >= 26 for g in got if g[0] >= 100)
 
 
+def test_decontamination_equals_aligning_all_pairs(spark):
+    """Edited copies of every density: whatever full alignment of a whole text with an item finds is found."""
+    rng = np.random.default_rng(33)
+    word = lambda n: [f"w{k}" for k in np.minimum(rng.zipf(1.3, n), 2000)]
+    items = [(i, " ".join(word(int(n)))) for i, n in enumerate(rng.integers(3, 90, 25))]
+    rows = []
+    for i, text in items:
+        for every in (2, 3, 4, 5, 7, 11):
+            own = text.split()
+            for at in range(int(rng.integers(0, every)), len(own), every):
+                own[at] = [f"x{at}", "", f"{own[at]} y{at}"][int(rng.integers(0, 3))]
+            rows.append((len(rows), " ".join(word(30) + own + word(40))))
+        rows.append((len(rows), " ".join(word(30) + text.split()[: len(text.split()) // 2 + 1] + word(20))))
+    sixty = [f"v{k}" for k in range(60)]
+    items.append((100, " ".join(sixty)))
+    rows.append((1000, " ".join(f"q{k}" if k % 5 == 2 else w for k, w in enumerate(sixty))))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.matches(docs, bench).collect()}
+    number: dict[str, int] = {}
+    coded = lambda t: np.array([number.setdefault(w, len(number)) for w in t.split()], np.uint64)
+    texts, wanted = [(i, coded(t)) for i, t in rows], {}
+    for item, text in items:
+        own = coded(text)
+        for doc, other in texts:
+            score = decontamination.align(own, other)[0]
+            if score >= decontamination.needed(len(own)):
+                wanted[doc, item] = score
+    assert len(wanted) > 60 and wanted[1000, 100] == 36
+    assert got == wanted
+
+
+def test_clean_keeps_each_row_for_its_own_text(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    long = " ".join(f"z{k}" for k in range(60_000))
+    rows = [(None, f"a {item} b"), (None, "clean words"), (1, item.upper()), (1, "same id"), (2, None), (3, ""), (4, f"{long} {item} {long}"), (5, long)]
+    docs = spark.createDataFrame([(*r, "k", 7, "s") for r in rows], "doc_id long, text string, hit string, item long, words string")
+    bench = spark.createDataFrame([(1, item), (2, item), (3, "a b"), (None, None)], "item_id long, text string")
+    kept = decontamination.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, (r[:2] for r in kept.collect()))) == sorted(map(repr, [rows[k] for k in (1, 3, 4, 5, 7)]))
+    found = [(r.doc_id, r.item_id, r.start_word) for r in decontamination.matches(docs, bench).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, [(d, i, s) for d, s in ((None, 1), (1, 0), (4, 60_000)) for i in (1, 2)]))
+
+
+def test_words_lose_any_number_of_marks():
+    raw = b"word...... !!!!!!!idiot!!!!!!! ---- ''a''"
+    words, hashes = decontamination.word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert [raw[a:b] for a, b in zip(*words.bare_spans(), strict=True)] == [b"word", b"idiot", b"----", b"a"]
+
+
+def test_long_rows_hash_like_short_ones():
+    rng = np.random.default_rng(8)
+    text = b" ".join(b"w%d" % k for k in rng.integers(0, 3000, 500_000))
+    assert len(text) > 2 * kernels.PIECE
+    whole = kernels.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    first = text[:200_000].rsplit(b" ", 1)[0]
+    part = kernels.Words(np.frombuffer(first, np.uint8), np.array([0, len(first)]))
+    assert np.array_equal(part.hashes, whole.hashes[: len(part.hashes)])
+    n = len(set(text.split()))
+    assert len(np.unique(whole.hashes)) == n
+    last = text[-1000:].split(b" ", 1)[1]
+    tail = kernels.Words(np.frombuffer(last, np.uint8), np.array([0, len(last)]))
+    assert np.array_equal(tail.hashes, whole.hashes[-len(tail.hashes) :])
+
+
 def test_alignments_of_many_windows_equal_single_ones():
     rng = np.random.default_rng(19)
     for _ in range(40):
