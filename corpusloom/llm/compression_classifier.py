@@ -1,18 +1,20 @@
 """Quality classifier by compression.
 
-Two zstandard dictionaries are trained, one on texts labelled good and one on texts labelled bad. A whole text is cut
-into blocks, and every block is compressed with either; the difference of the two sizes per byte says which class the
-text resembles. A logistic calibration on labelled rows that trained neither dictionary turns the difference, the size
-per byte without a dictionary and the log length into a probability.
-
-Edge cases: null and empty texts are compressed as no bytes and get the calibrated value of that. With labels of one
-class only every score is that class (1.0 or 0.0), without labels 0.5. Repeated rows and ids are scored row by row,
-repeated labels count once each. An empty table gives an empty result. Extra columns are not read. The training sample
-is bounded by ``per_class`` (documents of a class, in expectation); scoring covers every row.
+Two zstandard dictionaries are trained, one on blocks of texts labelled good and one on blocks of texts labelled bad. A
+whole text is cut into blocks, and every block is compressed with either dictionary; the difference of the two sizes, as a
+share of the text's bytes, says which class the text resembles. A logistic calibration on labelled rows that trained neither
+dictionary turns that difference, and nothing else, into a probability.
+
+Edge cases: null and empty texts are compressed as no bytes and get the calibrated value of no difference. With labels of
+one class only every score is that class (1.0 or 0.0), without labels 0.5. Repeated rows and ids are scored row by row,
+repeated labels count once each. An empty table gives an empty result. Extra columns are not read, but stay in what ``keep``
+returns. The training sample is bounded by ``per_class`` (documents of a class, in expectation) and ``BLOCKS_A_TEXT`` (blocks
+that a document gives a dictionary), so at most some 20 MB reach the driver; calibration and scoring read whole texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +29,7 @@ from corpusloom.llm.shared import bounded_sample, modest_batches
 BLOCK = 1024
 DICTIONARY_BYTES = 65536
 PER_CLASS = 2000
+BLOCKS_A_TEXT = 8
 
 
 @dataclass(frozen=True)
@@ -35,9 +38,9 @@ class Model:
 
     bad: bytes | None
     good: bytes | None
-    centre: tuple[float, ...] = ()
-    scale: tuple[float, ...] = ()
-    weights: tuple[float, ...] = ()
+    centre: float = 0.0
+    scale: float = 1.0
+    weights: tuple[float, float] = (0.0, 0.0)
     constant: float = 0.5
 
 
@@ -45,9 +48,8 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)] or [b""]
 
 
-def train_dictionary(texts: list[bytes]) -> bytes:
+def train_dictionary(samples: list[bytes]) -> bytes:
     """A trained dictionary; raw content where the samples are too few to train on."""
-    samples = [b for t in texts for b in blocks(t)]
     size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 8))
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -55,35 +57,29 @@ def train_dictionary(texts: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b" "
 
 
-def measurer(bad: bytes, good: bytes):
-    """A function from a text's bytes to its compression features."""
-    plain = zstandard.ZstdCompressor(level=1, write_checksum=False, write_content_size=False)
+def measurer(bad: bytes, good: bytes) -> Callable[[bytes], float]:
+    """A function from a text's bytes to the normalised difference of its compressed sizes."""
     either = []
     for content in (bad, good):
         table = zstandard.ZstdCompressionDict(content)
         table.precompute_compress(level=1)
-        either.append(
-            zstandard.ZstdCompressor(
-                dict_data=table, level=1, write_checksum=False, write_content_size=False, write_dict_id=False
-            ).compress
-        )
+        options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+        either.append(zstandard.ZstdCompressor(dict_data=table, level=1, **options).compress)
     by_bad, by_good = either
 
-    def measure(text: bytes) -> tuple[float, float, float]:
-        n = max(1, len(text))
+    def measure(text: bytes) -> float:
         parts = blocks(text)
-        gap = sum(len(by_bad(b)) for b in parts) - sum(len(by_good(b)) for b in parts)
-        return gap / n, len(plain.compress(text)) / n, float(np.log(n))
+        return (sum(len(by_bad(b)) for b in parts) - sum(len(by_good(b)) for b in parts)) / max(1, len(text))
 
     return measure
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 40):
-    """Ridge-penalised logistic regression by Newton steps on standardised features."""
-    centre, scale = x.mean(0), x.std(0) + 1e-9
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 40) -> tuple[float, float, np.ndarray]:
+    """Ridge-penalised logistic regression on one standardised feature by Newton steps: (centre, scale, weights)."""
+    centre, scale = float(x.mean()), float(x.std()) + 1e-9
     z = np.c_[np.ones(len(x)), (x - centre) / scale]
-    w = np.zeros(z.shape[1])
-    penalty = ridge * len(x) * np.eye(len(w))
+    w = np.zeros(2)
+    penalty = ridge * len(x) * np.eye(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         s = np.maximum(p * (1 - p), 1e-6)
@@ -91,45 +87,71 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
     return centre, scale, w
 
 
-def fit(sample: list[tuple[bytes, int, int]]) -> Model:
-    """sample: (text, label, part); rows of part 0 calibrate, the others train the dictionaries."""
-    labels = {label for _, label, _ in sample}
-    if len(labels) < 2:
-        return Model(None, None, constant=float(next(iter(labels), 0.5)))
-    part = {y: [t for t, label, p in sample if label == y and p] for y in (0, 1)}
-    bad, good = (train_dictionary(part[y] or [t for t, label, _ in sample if label == y]) for y in (0, 1))
-    rest = [(t, label) for t, label, p in sample if not p]
-    rest = rest if len({label for _, label in rest}) == 2 else [(t, label) for t, label, _ in sample]
-    measure = measurer(bad, good)
-    x, y = np.array([measure(t) for t, _ in rest]), np.array([label for _, label in rest], float)
-    centre, scale, w = fit_logistic(x, y)
-    return Model(bad, good, tuple(centre), tuple(scale), tuple(w))
+def sample_blocks(rows: DataFrame) -> DataFrame:
+    """(id, label, place, block): of each row (id, text, label) ``BLOCKS_A_TEXT`` blocks at most, at even distances."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for key, text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts = blocks(text)
+                for place in np.unique(np.linspace(0, len(parts) - 1, BLOCKS_A_TEXT).astype(int)).tolist():
+                    out.append((key, label, place, parts[place]))
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary()]
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "place", "block"])
+
+    return rows.mapInArrow(run, "id string, label int, place int, block binary")
+
+
+def differences(rows: DataFrame, bad: bytes, good: bytes) -> DataFrame:
+    """(x, label) of each row (id, text, label)."""
+
+    def run(batches):
+        measure = measurer(bad, good)
+        for batch in batches:
+            found = pa.array([measure(t) for t in batch.column(1).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([found, batch.column(2)], ["x", "label"])
+
+    return rows.mapInArrow(run, "x double, label int")
 
 
 def fit_labelled(
     docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
     per_class: int = PER_CLASS,
 ) -> Model:
-    """Fit on a bounded sample of labelled rows: about ``per_class`` documents of either class reach the driver."""
+    """Fit on a bounded sample of labelled rows; blocks for the dictionaries and calibration numbers reach the driver."""
+    modest_batches(docs.sparkSession)
     keys = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
     chosen = bounded_sample(keys.filter("_id is not null and _label in (0, 1)"), "_id", "_label", per_class)
     part = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("part")), F.lit(3))
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-        .join(F.broadcast(chosen), "_id")
-        .select("_id", F.col("_text").cast("binary").alias("_text"), "_label", part.cast("int").alias("_part"))
-    )
-    got = sorted(((r["_id"], bytes(r["_text"]), r["_label"], r["_part"]) for r in rows.collect()))
-    return fit([r[1:] for r in got])
-
-
-def probabilities(model: Model, measure, texts: pa.Array) -> np.ndarray:
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    rows = rows.join(F.broadcast(chosen.withColumn("_part", part)), "_id")
+    rows = rows.select(F.col("_id").cast("string"), "_text", "_label", "_part")
+    training, rest = rows.filter("_part > 0").drop("_part"), rows.filter("_part = 0").drop("_part")
+    got = sample_blocks(training).collect()
+    if len({r["label"] for r in got}) < 2:  # few labels: the same rows train and calibrate
+        rest = rows.drop("_part")
+        got = sample_blocks(rest).collect()
+    known = {r["label"] for r in got}
+    if len(known) < 2:
+        return Model(None, None, constant=float(next(iter(known), 0.5)))
+    got.sort(key=lambda r: (r["label"], r["id"], r["place"], bytes(r["block"])))
+    bad, good = (train_dictionary([bytes(r["block"]) for r in got if r["label"] == y]) for y in (0, 1))
+    pairs = sorted((r["x"], r["label"]) for r in differences(rest, bad, good).collect())
+    if len({y for _, y in pairs}) < 2:
+        pairs = sorted((r["x"], r["label"]) for r in differences(rows.drop("_part"), bad, good).collect())
+    centre, scale, w = fit_logistic(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs], float))
+    return Model(bad, good, centre, scale, (float(w[0]), float(w[1])))
+
+
+def probabilities(model: Model, measure: Callable[[bytes], float] | None, texts: pa.Array) -> np.ndarray:
     """Scores of a batch of texts."""
     if measure is None:
         return np.full(len(texts), model.constant)
-    x = np.array([measure(t) for t in texts.to_pylist()]).reshape(len(texts), -1)
-    z = np.c_[np.ones(len(x)), (x - model.centre) / model.scale]
-    return 1 / (1 + np.exp(-np.clip(z @ np.array(model.weights), -30, 30)))
+    x = np.array([measure(t.as_py()) for t in texts], float)
+    z = model.weights[0] + model.weights[1] * (x - model.centre) / model.scale
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ them if more than half of it fits. A source's realised tokens so differ from its
 
 Edge cases: a null source is a source of its own. Rows without words cost nothing and go with their block; a source
 without any token is taken once. Repeated ids share a block, repeated rows are counted and taken row by row. An empty
-table gives an empty result. Extra columns are kept; ``mix_`` columns of the input are replaced. The number of sources
+table gives an empty result. Extra columns are kept; columns of the input named as those that are added are replaced. The number of sources
 must allow one row with all of their totals; rows of a source are never gathered.
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import staged
+from corpusloom.llm.shared import staged, unused
 
 BLOCKS = 1024
 ENTROPY_SHARE = 0.95
@@ -130,8 +130,9 @@ def apply(docs: DataFrame, blocks: DataFrame, id_col: str = "doc_id", source_col
     """Each row once for every epoch that takes its block, with ``mix_epoch``, ``mix_rank`` and ``mix_weight``."""
     rows = docs.drop("mix_source", "mix_block", "mix_epoch", "mix_rank", "mix_weight")
     rows = rows.withColumn("mix_block", block_of(F.col(id_col)))
-    taken = staged(blocks.withColumnRenamed("mix_block", "mix_taken_block"), "mix-plan")
+    by_source, by_block = unused("taken_source", rows), unused("taken_block", rows)
+    taken = staged(blocks.withColumnsRenamed({"mix_source": by_source, "mix_block": by_block}), "mix-plan")
     if taken.count() <= BROADCAST_BLOCKS:
         taken = F.broadcast(taken)
-    same = F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("mix_taken_block"))
-    return rows.join(taken, same).drop("mix_source", "mix_taken_block")
+    same = F.col(source_col).eqNullSafe(F.col(by_source)) & (F.col("mix_block") == F.col(by_block))
+    return rows.join(taken, same).drop(by_source, by_block)

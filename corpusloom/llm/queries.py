@@ -17,7 +17,7 @@ from corpusloom.llm import (
     toxicity,
     warc_bundles,
 )
-from corpusloom.llm.shared import id_fold
+from corpusloom.llm.shared import in_fold
 
 
 def _vocabulary(name: str) -> str:
@@ -53,7 +53,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the documents with a language."""
     docs = _read(spark, sf_dir, "documents")
-    held_out = id_fold(F.col("doc_id"), 4) == 2
+    held_out = in_fold(F.col("doc_id"), 4, 2)
     found = language_id.predict(docs, language_id.learn(docs.filter(~held_out)))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
@@ -86,7 +86,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from four fifths of the labels."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
-    held_out = id_fold(F.col("doc_id"), 5) == 0
+    held_out = in_fold(F.col("doc_id"), 5, 0)
     model = compression_classifier.fit_labelled(docs, labels.filter(~held_out), "quality")
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
     return compression_classifier.score(docs, model).select(
@@ -97,7 +97,7 @@ def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from two thirds of the labels."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
-    held_out = id_fold(F.col("doc_id"), 3) == 1
+    held_out = in_fold(F.col("doc_id"), 3, 1)
     model = toxicity.fit_labelled(docs, labels.filter(~held_out), "toxic")
     predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
     return toxicity.score(docs, model).select(

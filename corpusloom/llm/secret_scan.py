@@ -2,8 +2,8 @@
 
 A candidate is a run of 20 or more of ``[A-Za-z0-9+/_=-]`` with a digit in it. Its character class (hexadecimal or
 base64) sets the entropy that some window of ``WINDOW`` characters must reach. A window's entropy follows from the last
-one's: the character that enters and the one that leaves change the sum of ``c * log2(c)`` by a difference that their
-own counts give. Candidates that the allow-list matches are suppressed. All work is within a row, so nothing is shuffled.
+one's: counts of the characters in the window are kept, and the one that enters and the one that leaves change the sum of
+``c * log2(c)`` by a difference that their own counts give. Candidates that the allow-list matches are suppressed. All work is within a row, so nothing is shuffled.
 
 Spans are ``kind:start:end`` in code points, the end exclusive, by start, then in the order of ``KINDS``.
 
@@ -15,6 +15,7 @@ texts are scanned.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,25 +28,33 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+RUN = 256
+#: code points of candidates run from ``+`` to ``z``
+FIRST, CODES = ord("+"), ord("z") - ord("+") + 1
 HEX_BITS, BASE64_BITS = 2.83, 3.61
-#: digits and separators only; words joined by separators with few digits; paths; placeholders
+#: digits and separators only; letters and separators with few digits at the end; paths; placeholders. No pattern nests
+#: one repetition in another, so each takes time in proportion to its candidate
 ALLOW = (
     r"^[0-9+/_=-]+$",
-    r"^[A-Za-z]{2,}([_/=+-]+[A-Za-z]{2,})*[_/=+-]*[0-9]{0,4}$",
-    r"^(/?[A-Za-z]+){3,}/[A-Za-z0-9-]*$",
+    r"^[A-Za-z][A-Za-z_/=+-]*[0-9]{0,4}$",
+    r"^[A-Za-z/]{3,}/[A-Za-z0-9-]*$",
     r"(?i)(example|placeholder|changeme|x{6,}|0{8,}|123456789)",
 )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, though the expression names it often or within a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def located(text: Column, pattern: str, *groups: int) -> Column:
-    """array<struct<start, end, g0, ...>> of the matches of a pattern, leftmost and not overlapping.
+    """array<struct<start, end, match, g0, ...>> of the matches of a pattern, leftmost and not overlapping.
 
-    A match starts after the pieces and matches before it, so positions come from lengths alone.
+    A match starts after the pieces and matches before it, so positions come from lengths alone. Matches are folded in
+    runs of ``RUN``, so that an array that grows by copying stays short however many matches a text has.
     """
     found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, *groups)]
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found[0]))
     names = ["match", *(f"g{i}" for i in range(len(groups)))]
-    zipped = F.arrays_zip(pieces.alias("piece"), *(f.alias(n) for f, n in zip(found, names, strict=True)))
     kept = "".join(f", {n}: string" for n in names)
     empty = F.array().cast(f"array<struct<start: int, end: int{kept}>>")
 
@@ -55,46 +64,99 @@ def located(text: Column, pattern: str, *groups: int) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), *(x[n].alias(n) for n in names))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    walk = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"])
-    return F.when(F.size(found[0]) == 0, empty).otherwise(walk)
+    def fold(run: Column, start: Column) -> Column:
+        return F.aggregate(run, F.struct(start.alias("at"), empty.alias("out")), step, lambda s: s["out"])
+
+    def length(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda n, x: n + F.length(x["piece"]) + F.length(x["match"]))
+
+    def starts(runs: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            F.transform(runs, length), first,
+            lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
+        )
+
+    def walk(zipped: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(zipped), F.lit(RUN)), lambda i: F.slice(zipped, i, F.lit(RUN)))
+        return bound(runs, lambda r: F.flatten(F.zip_with(r, starts(r), fold)))
+
+    def zipped(matches: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches["m0"]))
+        columns = (matches[f"m{i}"].alias(n) for i, n in enumerate(names))
+        return F.when(F.size(matches["m0"]) > 0, bound(F.arrays_zip(pieces.alias("piece"), *columns), walk)).otherwise(empty)
+
+    return bound(F.struct(*(f.alias(f"m{i}") for i, f in enumerate(found))), zipped)
 
 
 def hot_windows(candidate: Column, threshold: Column) -> Column:
-    """struct<first, last>: starts (from 0) of the first and last window that reaches the threshold; nulls if none."""
-    gain = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)))
-    least = F.lit(math.log2(WINDOW)) - threshold
-
-    def count(ch: Column, within: Column) -> Column:
-        return F.length(within) - F.length(F.replace(within, ch, F.lit("")))
-
-    def step(state: Column, p: Column) -> Column:
-        q = p - WINDOW
-        out = count(F.substring(candidate, q, F.lit(1)), F.substring(candidate, q, F.lit(WINDOW)))
-        left = F.when(q < 1, 0.0).otherwise(F.get(gain, out) - F.get(gain, out - 1))
-        since = F.greatest(q + 1, F.lit(1))
-        before = count(F.substring(candidate, p, F.lit(1)), F.substring(candidate, since, p - since))
-        total = state["sum"] - left + F.get(gain, before + 1) - F.get(gain, before)
-        hot = (q >= 0) & (total / WINDOW <= least)
-        return F.struct(
-            total.alias("sum"),
-            F.coalesce(state["first"], F.when(hot, q)).alias("first"),
-            F.when(hot, q).otherwise(state["last"]).alias("last"),
+    """struct<first, last>: starts (from 0) of the first and last window that reaches the threshold; nulls if none.
+
+    The state of the walk holds how often each character stands in the window, a byte for each code point of candidates.
+    """
+    gain = [c * math.log2(c) if c else 0.0 for c in range(WINDOW + 2)]
+    rise = F.array(*(F.lit(gain[c + 1] - gain[c]) for c in range(WINDOW + 1)))
+    digits = F.lit(bytes(range(WINDOW + 1)))
+    most = WINDOW * (F.lit(math.log2(WINDOW)) - threshold)
+
+    def byte(n: Column) -> Column:
+        return F.substring(digits, n + 1, F.lit(1))
+
+    def walk(given: Column) -> Column:
+        raw = given["raw"]
+
+        def value(text: Column, at: Column) -> Column:
+            return F.ascii(F.substring(text, at, F.lit(1)).cast("string"))
+
+        def move(state: Column, p: Column, c: Column) -> Column:
+            """The state after one character has left (none if ``out`` is null) and one has come in."""
+            counts = F.coalesce(F.overlay(state["counts"], byte(c["n_out"] - 1), c["out"], F.lit(1)), state["counts"])
+            total = state["sum"] - F.coalesce(F.get(rise, c["n_out"] - 1), F.lit(0.0)) + F.get(rise, c["n_in"])
+            return F.struct(
+                total.alias("sum"), F.overlay(counts, byte(c["n_in"] + 1), c["in"], F.lit(1)).alias("counts"),
+                F.when((p >= WINDOW) & (total <= given["most"]), p - WINDOW).alias("hot"), state["first"], state["last"],
+            )
+
+        def step(state: Column, p: Column) -> Column:
+            place = F.struct((value(raw, p) - (FIRST - 1)).alias("in"), F.when(p > WINDOW, value(raw, p - WINDOW) - (FIRST - 1)).alias("out"))
+
+            def counted(x: Column) -> Column:
+                n_in = value(state["counts"], x["in"]) - F.when(x["in"] == x["out"], 1).otherwise(0)
+                return F.struct(x["in"].alias("in"), x["out"].alias("out"), n_in.alias("n_in"), value(state["counts"], x["out"]).alias("n_out"))
+
+            moved = bound(bound(place, counted), lambda c: move(state, p, c))
+            return bound(moved, lambda m: F.struct(
+                m["sum"].alias("sum"), m["counts"].alias("counts"), F.coalesce(m["first"], m["hot"]).alias("first"),
+                F.coalesce(m["hot"], m["last"]).alias("last"),
+            ))
+
+        none = F.lit(None).cast("int")
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(bytes(CODES)).alias("counts"), none.alias("first"), none.alias("last"))
+        return F.aggregate(
+            F.sequence(F.lit(1), F.length(raw)), start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"))
         )
 
-    none = F.lit(None).cast("int")
-    start = F.struct(F.lit(0.0).alias("sum"), none.alias("first"), none.alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, step)
+    return bound(F.struct(candidate.cast("binary").alias("raw"), most.alias("most")), walk)
+
+
+def allowed(candidate: Column) -> Column:
+    out = F.lit(False)
+    for pattern in ALLOW:
+        out = out | F.regexp_like(candidate, F.lit(pattern))
+    return out
 
 
 def entropy_spans(text: Column) -> Column:
     """array<struct<start, end>> of what the windows over the threshold cover in each candidate."""
-    allowed = lambda c: F.array(*(F.regexp_like(c, F.lit(a)) for a in ALLOW))
-    suspects = F.filter(located(text, CANDIDATE), lambda x: ~F.array_contains(allowed(x["match"]), True))
+    suspects = F.filter(located(text, CANDIDATE), lambda x: ~allowed(x["match"]))
 
     def test(x: Column) -> Column:
         bits = F.when(F.regexp_like(x["match"], F.lit("^([0-9a-f]+|[0-9A-F]+)$")), HEX_BITS).otherwise(BASE64_BITS)
-        hot = hot_windows(x["match"], bits)
-        return F.struct(x["start"].alias("start"), hot["first"].alias("first"), hot["last"].alias("last"))
+        return bound(
+            hot_windows(x["match"], bits),
+            lambda hot: F.struct(x["start"].alias("start"), hot["first"].alias("first"), hot["last"].alias("last")),
+        )
 
     hit = F.filter(F.transform(suspects, test), lambda x: x["first"].isNotNull())
     return F.transform(

@@ -105,6 +105,11 @@ def id_fold(id_column: Column, folds: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % folds
 
 
+def in_fold(id_column: Column, folds: int, fold: int) -> Column:
+    """Whether an id falls into a fold; a null id falls into none."""
+    return F.coalesce(id_fold(id_column, folds) == fold, F.lit(False))
+
+
 def bounded_sample(keys: DataFrame, id_column: str, class_column: str, per_class: int) -> DataFrame:
     """Rows of ``keys`` (narrow: no texts), about ``per_class`` of each class, chosen by a hash of the id.
 

@@ -11,7 +11,8 @@ null flags u8, token ends u64 | trailer: the six part sizes that readers need, a
 Edge cases: a null text is an empty one and yields the end id alone. Rows are written in ascending id order, null ids
 first; rows with equal ids follow by a hash of their text. An empty table makes no file and an empty result. Extra
 columns are not read. Ids must be integers. A file is closed after ``FILE_TOKENS`` ids, so memory is bounded but for one
-document's own ids.
+document's own ids; a long text is encoded in pieces. Any tokenizer file may be given: one that doesn't split at words gets
+whole texts.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.kernels import LOWER, Words, release, text_slices
+from corpusloom.llm.kernels import LOWER, PUNCTUATION, WHITESPACE, Words, release, text_slices
 from corpusloom.llm.shared import modest_batches, staged, work_dir
 from corpusloom.llm.storage import read_file, write_file
 
@@ -37,9 +38,8 @@ FILE_TOKENS = 1 << 22
 SLICE = 1 << 20
 TABLE_PARTS = 1_000_000
 PARTS_A_CALL = 400
-ALPHANUMERIC, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[[b for b in range(128) if chr(b).isalnum()]] = True
-PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 MAGIC = b"PFORBLK1"
 TRAILER = struct.Struct("<QQQQ8s")
 
@@ -145,6 +145,24 @@ class Reader:
 
 
 _encoders: dict[str, Encoder] = {}
+#: Case, marks within and around words, digits, other scripts and white space: where tokenizers part ways
+PROBES = (
+    "Plain words, in a Sentence.", "MIXED mIxEd can't I'LL re-do x_y 3.14 1,000 a1b2 2nd", "(brackets) [x]{y} <z> \"quoted\" 'q'",
+    "end... wait!!! what?! ok;", "tab\tand  spaces\n\nlines \r\n end ", "Ünïcode Straße É è ÀÉ", "漢字かな 한국어 русский العربية", "a/b\\c @x #y $5 50% & * + =",
+    "emoji 😀 x😀y", "No1.x v2.0-beta e.g. U.S.A. A.B", "", " lead", "x", "!", "''", "a\u00a0b\u200bc\u0085d",
+)
+
+
+def word_pieces(raw: np.ndarray, size: int) -> list[np.ndarray]:
+    """The bytes in pieces of about ``size``, cut at white space; a longer word stays in one piece."""
+    spaces = np.flatnonzero(WHITESPACE[raw])
+    cuts = [0]
+    while len(raw) - cuts[-1] > size:
+        at = np.searchsorted(spaces, cuts[-1] + size)
+        if at == len(spaces):
+            break
+        cuts.append(int(spaces[at]) + 1)
+    return [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
 
 
 class Encoder:
@@ -157,7 +175,8 @@ class Encoder:
     mark tell them apart again. The table starts anew above ``TABLE_PARTS``.
 
     The tokenizer's added tokens (``<|endoftext|>``) are looked for before anything is split or lower-cased, so a row that
-    may hold one, in any case, goes to the tokenizer whole and as it is.
+    may hold one, in any case, goes to the tokenizer whole and as it is. Probe texts are encoded both ways at the start; a
+    tokenizer for which the two differ gets all texts whole. A long text is encoded in pieces of words.
     """
 
     def __init__(self, path: str):
@@ -170,7 +189,18 @@ class Encoder:
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         added = {token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = {LOWER[np.frombuffer(a, np.uint8)].tobytes() for a in added if a}
+        self.splits = True
         self.clear()
+        self.splits = self.agrees()
+
+    def agrees(self) -> bool:
+        """Whether words and tails encoded one by one give the ids of whole texts, on texts chosen to tell."""
+        raw = [p.encode() for p in PROBES]
+        offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+        ids, lengths = self.encode(np.frombuffer(b"".join(raw), np.uint8), offsets, 0)
+        found = np.split(ids, np.cumsum(lengths)[:-1])
+        wanted = self.tokenizer.encode_batch_fast(list(PROBES), add_special_tokens=False)
+        return all(f[:-1].tolist() == w.ids for f, w in zip(found, wanted, strict=True))
 
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # sorted
@@ -223,6 +253,8 @@ class Encoder:
 
     def whole_rows(self, raw: np.ndarray, offsets: np.ndarray) -> list[int]:
         """Rows that may hold an added token."""
+        if not self.splits:
+            return list(range(len(offsets) - 1))
         data, rows = LOWER[raw].tobytes(), set()
         for token in self.added:
             at = data.find(token)
@@ -234,6 +266,11 @@ class Encoder:
     def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows of a slice, the end id after each row's; number of ids of each row)."""
         n = len(offsets) - 1
+        if n == 1 and len(raw) > 2 * SLICE and not self.whole_rows(raw, offsets):
+            pieces = word_pieces(raw, SLICE)
+            found = [self.encode(piece, np.array([0, len(piece)]), end_id)[0][:-1] for piece in pieces]
+            ids = np.concatenate([*found, np.array([end_id], np.uint32)])
+            return ids, np.array([len(ids)])
         whole = self.whole_rows(raw, offsets)
         texts = [raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in whole]
         if whole:

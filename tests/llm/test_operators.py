@@ -2,7 +2,10 @@
 
 import base64
 import hashlib
+import os
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -477,6 +480,222 @@ def test_secret_spans(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_long_scans_are_linear(spark):
+    """Thousands of matches in one text, and one candidate of a hundred thousand characters; positions by a plain scan."""
+    rng = np.random.default_rng(12)
+    many = " ".join("".join(rng.choice(list("0123456789abcdef"), 24)) for _ in range(5000))
+    long = "".join(rng.choice(list("0123456789abcdef"), 100_000))
+    docs = spark.createDataFrame([(1, many), (2, long), (3, "a" * 100_000), (4, "ab_cd/" * 20_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.report(docs).collect()}
+    assert [got[i].n_hex for i in (1, 2, 3, 4)] == [5000, 1, 1, 0]
+    base = ",".join(f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{24,}", many))
+    assert got[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert got[3].spans == "hex:0:100000" and got[4].spans == ""
+
+    def hot(text):
+        windows = [text[i : i + 20] for i in range(len(text) - 19)]
+        bits = lambda w: -sum(n / 20 * np.log2(n / 20) for n in Counter(w).values())
+        return [i for i, w in enumerate(windows) if bits(w) >= secret_scan.HEX_BITS]
+
+    found = hot(long[:300]), hot(long[-300:])
+    assert got[2].spans == f"hex:0:100000,entropy:{found[0][0]}:{100_000 - 300 + found[1][-1] + 20}"
+
+
+def test_training_follows_a_plain_loop():
+    """FTRL-proximal with dictionaries, a coordinate at a time."""
+    rng = np.random.default_rng(14)
+    examples = [(np.unique(rng.integers(0, 40, rng.integers(0, 12))), int(rng.random() < 0.4)) for _ in range(300)]
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        least = 0.0 if i == "bias" else toxicity.L1
+        if abs(z[i]) <= least:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * least) / ((toxicity.BETA + np.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(3):
+        for places, label in examples:
+            keys = [*places.tolist(), "bias"]
+            w = {i: weight(i) for i in keys}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for i in keys:
+                z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / toxicity.ALPHA * w[i]
+                n[i] += g * g
+    model = toxicity.train(examples, epochs=3)
+    assert model.bias == pytest.approx(weight("bias"))
+    wanted = {i: weight(i) for i in range(40) if weight(i)}
+    assert dict(zip(model.places.tolist(), model.weights.tolist())) == pytest.approx(wanted, rel=1e-5) and wanted
+
+
+def test_sizes_are_those_of_zstandard():
+    import zstandard
+
+    rng = np.random.default_rng(16)
+    bad, good = ([b" ".join(rng.choice(words, 150)) for _ in range(200)] for words in ([b"aa", b"bbb", b"c"], [b"ddd", b"ee", b"ffff"]))
+    dictionaries = [compression_classifier.train_dictionary(x) for x in (bad, good)]
+    measure = compression_classifier.measurer(*dictionaries)
+    for text in (b"", b"x", bad[0], good[0] * 9, bytes(rng.integers(0, 256, 5000, dtype=np.uint8))):
+        sizes = []
+        for content in dictionaries:
+            coder = zstandard.ZstdCompressor(
+                level=1, dict_data=zstandard.ZstdCompressionDict(content), write_checksum=False, write_content_size=False, write_dict_id=False
+            )
+            sizes.append(sum(len(coder.compress(text[i : i + 1024])) for i in range(0, max(1, len(text)), 1024)))
+        assert measure(text) == (sizes[0] - sizes[1]) / max(1, len(text))
+    assert measure(bad[1]) < measure(good[1])
+
+
+def test_predictions_are_the_nearest_prototypes(spark):
+    """Vectors made letter by letter, cosines one by one."""
+    rng = np.random.default_rng(18)
+    texts = [" ".join("".join(rng.choice(list("abcdeé"), rng.integers(1, 6))) for _ in range(12)) for _ in range(20)]
+    vectors = language_id._vectors()
+
+    def vector(text):
+        letters = [0]
+        for ch in text:
+            place = language_id._place(ord(ch))
+            if place or letters[-1]:
+                letters.append(place)
+        letters = letters[1:]
+        return sum(vectors[0][a] * vectors[1][b] * vectors[2][c] for a, b, c in zip(letters, letters[1:], letters[2:]))
+
+    rows = [(i, t, "xyz"[i % 3]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    prototypes = language_id.learn(docs)
+    plain = {g: sum(vector(t) for _, t, k in rows if k == g) for g in "xyz"}
+    cosine = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    assert all(cosine(prototypes[g], plain[g]) == pytest.approx(1, abs=1e-5) for g in "xyz")
+    for r in language_id.predict(docs, prototypes).collect():
+        near = {g: cosine(vector(texts[r.doc_id]), plain[g]) for g in "xyz"}
+        assert near[r.lang_pred] == pytest.approx(max(near.values()), abs=1e-5)
+        shares = np.exp(language_id.SHARPNESS * (np.array(list(near.values())) - max(near.values())))
+        assert r.score == pytest.approx(1 / shares.sum(), rel=1e-3)
+
+
+def test_label_model_equals_plain_steps():
+    """Expectation-maximisation document by document."""
+    rng = np.random.default_rng(20)
+    votes = rng.choice([-1, 0, 1], (300, 4), p=[0.2, 0.5, 0.3])
+    patterns, weights = np.unique(votes, axis=0, return_counts=True)
+    model = quality_rules.fit_label_model(patterns, weights.astype(float), rounds=12)
+    odds = {1: [], -1: []}
+    good = []
+    for row in votes:
+        lean = sum(1 for v in row if v == 1) - 2 * sum(1 for v in row if v == -1) - 2 + np.log(0.8 / 0.2)
+        good.append(1 / (1 + np.exp(-lean)))
+    for _ in range(12):
+        prior = (sum(good) + 2) / (len(good) + 4)
+        share = {}
+        for y in (0, 1):
+            for k in range(4):
+                count = {v: 0.5 + sum(g if y else 1 - g for g, row in zip(good, votes) if row[k] == v) for v in (-1, 0, 1)}
+                for v in count:
+                    share[y, k, v] = count[v] / sum(count.values())
+        good = []
+        for row in votes:
+            both = [p * np.prod([share[y, k, v] for k, v in enumerate(row)]) for y, p in ((0, 1 - prior), (1, prior))]
+            good.append(both[1] / sum(both))
+    by_pattern = {tuple(row): g for row, g in zip(votes.tolist(), good)}
+    assert model["posterior"] == pytest.approx([by_pattern[tuple(p)] for p in patterns.tolist()], rel=1e-6)
+
+
+def test_other_tokenizers_get_whole_texts():
+    """A tokenizer that the shortcut doesn't suit gives the ids of whole texts all the same."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("byte_bpe_50k.json")
+    table = token_blocks.encoder(path)
+    texts = ["Two words, here", "", "it's  spaced\nout <|endoftext|>", "É漢 x"]
+    raw = [t.encode() for t in texts]
+    ids, lengths = table.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 9)
+    wanted = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [9] for t in texts]
+    assert not table.splits and ids.tolist() == sum(wanted, []) and lengths.tolist() == [len(w) for w in wanted]
+
+
+def test_very_long_texts(spark):
+    """Rows far longer than a slice, next to short ones, give what they give cut differently or by brute force."""
+    rng = np.random.default_rng(22)
+    words = [f"w{k}" for k in rng.integers(0, 50_000, 700_000)]
+    long = " ".join(words)
+    assert len(long) > 4 * token_blocks.SLICE > 4 * kernels.SLICE_BYTES
+    rows = [(1, "a few words here"), (2, long), (3, long + " more"), (4, "\n".join([long[:400_000]] * 2)), (5, "a few words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for r in quality_rules.score_quality(docs).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == cases.counts(rows[r.doc_id - 1][1])
+    got = {r.doc_id: r for r in ngram_join.similar_documents(docs).collect()}
+    assert [got[i].component_id for i in (1, 2, 3, 4, 5)] == [1, 2, 2, 4, 1]
+    assert got[2].n_shingles == len(set(zip(words, words[1:], words[2:])))
+    path = vocabulary()
+    from tokenizers import Tokenizer
+
+    sizes = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_blocks.encode_corpus(docs, path).collect()}
+    for i in (1, 2):
+        ids = Tokenizer.from_file(path).encode(rows[i - 1][1], add_special_tokens=False).ids + [1]
+        assert sizes[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_clashing_columns_repeats_and_empty_tables(spark, tmp_path):
+    names = ["_id", "_text", "_label", "_lang", "vector", "place", "score", "x", "block", "page", "sha", "salt", "response", "mix_taken_block"]
+    extra = ", ".join(f"{n} string" for n in names)
+    rows = [(i % 6, f"text {i % 6} of some words " * 5, "ab"[i % 2], "s", *["?"] * len(names)) for i in range(12)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, {extra}")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)] * 2, "doc_id long, label int").withColumn("_part", F.lit(1))
+    none = docs.limit(0)
+    quality = compression_classifier.fit_labelled(docs, labels, "label")
+    toxic = toxicity.fit_labelled(docs, labels, "label")
+    for made in (
+        compression_classifier.score(docs, quality), toxicity.score(docs, toxic), language_id.predict(docs, language_id.learn(docs)),
+        secret_scan.report(docs), quality_rules.score_quality(docs),
+    ):
+        found = made.collect()
+        assert len(found) == 12 and len({tuple(r) for r in found}) == 6
+    assert compression_classifier.keep(docs, quality, 0.0).collect() == docs.collect()
+    assert mixing.apply(docs, mixing.plan(mixing.sized(docs))).columns[: len(docs.columns)] == docs.columns
+    pages = docs.withColumnsRenamed({"doc_id": "page_id", "text": "html"}).withColumn("url", F.lit("http://h"))
+    assert sorted(r.record_type for r in warc_bundles.archive(pages).collect()) == ["response"] * 12
+    assert compression_classifier.score(none, quality).count() == toxicity.score(none, toxic).count() == 0
+    empty = compression_classifier.fit_labelled(none, labels, "label")
+    assert {r.score for r in compression_classifier.score(docs, empty).collect()} == {0.5}
+    assert {r.score for r in toxicity.score(docs, toxicity.fit_labelled(none, labels, "label")).collect()} == {0.5}
+    assert language_id.predict(none, language_id.learn(docs)).count() == 0
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(1, "same words", "bb"), (2, "same words", "aa")], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in language_id.predict(docs, language_id.learn(docs)).collect()} == {"aa"}
+
+
+def test_null_ids_are_held_out_of_nothing(spark):
+    from corpusloom.llm.shared import in_fold
+
+    rows = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "doc_id long")
+    wanted = [bool(i is not None and zlib.crc32(str(i).encode()) % 4 == 2) for i in (None, 1, 2, 3, 4)]
+    assert [r[0] for r in rows.select(in_fold(F.col("doc_id"), 4, 2)).collect()] == wanted
+
+
+def test_work_folders(spark):
+    from corpusloom.llm import shared
+
+    made = shared.work_root(spark)
+    assert made.startswith("file:///") and shared._qualified(spark, made) == made
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    default = hadoop.get("fs.defaultFS")
+    try:
+        hadoop.set("fs.defaultFS", "viewfs://store/")
+        hadoop.set("fs.viewfs.mounttable.store.link./work", "file:///tmp")
+        assert shared._qualified(spark, "/work/x") == "viewfs://store/work/x"
+    finally:
+        hadoop.set("fs.defaultFS", default or "file:///")
+    assert shared._qualified(spark, "file:/tmp/x") == "file:///tmp/x" and shared._qualified(spark, "/tmp/x") == "file:///tmp/x"
+    with shared.dropped_at_end(spark, but=("kept",)):
+        kept, gone = shared.staged(spark.range(3), "kept"), shared.staged(spark.range(3), "gone")
+        folder = gone.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and kept.count() == 3
+
+
 def labelled(spark, marked, plain, n=200):
     rng = np.random.default_rng(6)
     vocabulary_ = [f"w{i}" for i in range(500)]
