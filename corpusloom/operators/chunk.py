@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import accumulate, chain, groupby, pairwise
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -122,47 +124,56 @@ def split_words(paragraph: str, target: int) -> list[str]:
     return [p for p in pieces if p]
 
 
+def flow(paragraphs: list[str], target: int) -> list[str]:
+    """Paragraphs packed up to the target size; each text after the first starts with the end of the one before it."""
+
+    def grown(size: int, more: int) -> int:
+        return size + 1 + more if size + 1 + more <= target else min(size, OVERLAP) + 2 + more
+
+    lengths = [len(p) for p in paragraphs]
+    sizes = list(accumulate(lengths, grown))
+    cuts = [0, *(i for i in range(1, len(lengths)) if sizes[i - 1] + 1 + lengths[i] > target), len(lengths)]
+    texts: list[str] = []
+    for first, end in pairwise(cuts):
+        head = [texts[-1][-OVERLAP:] + " "] if texts else []
+        texts.append(" ".join(head + paragraphs[first:end]))
+    return texts
+
+
+def drafts(found: list[Block], target: int) -> list[tuple[str, str]]:
+    """(kind, text) in the order of the document.
+
+    Kinds: ``piece`` of a table or a long paragraph; ``full`` text that what follows it closed; the ``rest`` at the end.
+    """
+    solid: list[tuple[bool, list[str]]] = []
+    for block in found:
+        if block.table:
+            solid.append((True, table_chunks(block.parts, target)))
+        else:
+            solid += [(len(p) > target, split_words(p, target) if len(p) > target else [p]) for p in block.parts]
+    out: list[tuple[str, str]] = []
+    for is_solid, group in groupby(solid, key=itemgetter(0)):
+        texts = list(chain.from_iterable(parts for _, parts in group))
+        out += [("piece", t) for t in texts] if is_solid else [("full", t.strip()) for t in flow(texts, target)]
+    if out and not solid[-1][0]:
+        out[-1] = ("rest", out[-1][1])
+    return out
+
+
 def cut(lines: list[str]) -> tuple[list[str], int, bool]:
     """(chunks, content characters, whether the cap on chunks cut it short)."""
     found = blocks(lines)
     content = sum(len(p) for b in found for p in b.parts)
     target = max(TARGET_LEAST, min(TARGET_MOST, int(content / TARGET_PARTS + 0.5)))
-    chunks: list[str] = []
-    open_text = ""
-
-    class Full(Exception):
-        pass
-
-    def add(text: str) -> None:
-        if meaningful(text):
-            chunks.append(text)
-
-    def room() -> None:
-        if len(chunks) >= MOST_CHUNKS:
-            raise Full
-
-    try:
-        for block in found:
-            for part in [block.parts] if block.table else block.parts:
-                if block.table or len(part) > target:
-                    if open_text:
-                        add(open_text.strip())
-                        open_text = ""
-                        room()
-                    for piece in table_chunks(part, target) if block.table else split_words(part, target):
-                        room()
-                        add(piece)
-                    continue
-                if open_text and len(open_text) + 1 + len(part) > target:
-                    add(open_text.strip())
-                    room()
-                    open_text = open_text[-OVERLAP:] + " "
-                open_text += (" " if open_text else "") + part
-        if len(chunks) < MOST_CHUNKS:
-            add(open_text.strip())
-        return chunks, content, False
-    except Full:
-        return chunks, content, True
+    kept: list[str] = []
+    for kind, text in drafts(found, target):
+        # a piece needs room before it, a full text leaves none for what follows; the rest may just not fit
+        if kind != "full" and len(kept) >= MOST_CHUNKS:
+            return kept, content, kind == "piece"
+        kept += [text] * meaningful(text)
+        if kind == "full" and len(kept) >= MOST_CHUNKS:
+            return kept, content, True
+    return kept, content, False
 
 
 def without_front_matter(lines: list[str]) -> list[str]:

@@ -1,7 +1,7 @@
 """Invented rows for segmentation, cleaning, audits and chunks."""
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -87,22 +87,38 @@ def test_planning(spark):
     assert sum(r["count"] for r in shards) == 829 and all(abs(r["count"] - 829 / 3) < 0.2 * 829 / 3 for r in shards)
 
 
-def test_join_lines():
-    assert clean.join_lines(["이 문장은", "이어진다.", "새 문장"]) == ["이 문장은 이어진다.", "새 문장"]
-    assert clean.join_lines(["a", "1. item", "", "b"]) == ["a", "1. item", "", "b"]
+def changed(spark, change, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    return [r[0] for r in rows.orderBy("id").select(change(F.col("text"))).collect()]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from(["제1조(a) ① x ② y", "1. 가나 2. 다라", "```", "# 제3조", "<!-- 1. 가 -->", "", "plain"]), max_size=8))
-def test_restructure_is_stable(lines):
-    done = clean.restructure("\n".join(lines))
-    assert clean.restructure(done) == done
+def test_join_lines(spark):
+    texts = ["이 문장은\n이어진다.\n새 문장", "a\n1. item\n\nb", "a\nb\nc\nd\ne", "끝 \n  처음", "a", "", None]
+    wanted = ["이 문장은 이어진다.\n새 문장", "a\n1. item\n\nb", "a b c d e", "끝 처음", "a", "", None]
+    assert changed(spark, clean.join_lines, texts) == wanted
+    assert changed(spark, lambda t: clean.join_lines(t, 1), ["a\nb\nc\nd\ne"]) == ["a b\nc d\ne"]
 
 
-def test_restructure_leaves_fences():
-    text = "```\n제1조(a) ① x\n```\n| 제2조 ① |"
-    assert clean.restructure(text) == text
-    assert clean.restructure("앞\n제1조(a) ① x") == "앞\n\n제1조(a)\n① x"
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(
+    ["제1조(a) ① x ② y", "1. 가나 2. 다라", "```", "# 제3조", "<!-- 1. 가 -->", "", "plain", "| 1. 가 2. 나 |", "제2조(b)"]
+), max_size=8), min_size=40, max_size=40))
+def test_restructure_is_stable(spark, found):
+    done = changed(spark, clean.restructure, ["\n".join(lines) for lines in found])
+    assert changed(spark, clean.restructure, done) == done
+
+
+def test_restructure(spark):
+    code = "```\n제1조(a) ① x\n```\n| 제2조 ① |"
+    texts = [
+        code, "앞\n제1조(a) ① x", "제1조(a) ① x ② y", "1. 가나 2. 다라 3) 마바", "# 제3조\n제1조(a) ① x", "```\n제9조 ① x",
+        "a\r\n제1조(b) ① c", "제1조(a)\n\n제2조(b)\n제3조(c)", "```\nx\n```\n제1조(a)", "<!-- 1. 가 2. 나 -->", None,
+    ]
+    assert changed(spark, clean.restructure, texts) == [
+        code, "앞\n\n제1조(a)\n① x", "제1조(a)\n① x ② y", "1. 가나\n2. 다라\n3) 마바", "# 제3조\n\n제1조(a) ① x",
+        "```\n제9조 ① x", "a\r\n\r\n제1조(b)\r\n① c", "제1조(a)\n\n제2조(b)\n\n제3조(c)", "```\nx\n```\n\n제1조(a)",
+        "<!-- 1. 가 2. 나 -->", None,
+    ]
 
 
 def test_chunks():
