@@ -7,6 +7,7 @@ similarity and counts as 0.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -14,7 +15,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.similarity import THRESHOLD, cosine, trigram_similarity, trigrams
+from corpusloom.functions.similarity import THRESHOLD, cosine, keyword_trigrams, trigram_similarity, trigrams
 from corpusloom.functions.text import ARTICLE_REFERENCE, article_label
 from corpusloom.operators.ranking import (
     best_of_variants,
@@ -115,12 +116,14 @@ def exact_article(rows: DataFrame, spec: SearchSpec) -> DataFrame | None:
     return found.withColumn("score", F.lit(1.0)).orderBy(*list_order()[1:]).limit(spec.limit)
 
 
-def keyword_hits(rows: DataFrame, spec: SearchSpec) -> DataFrame:
+def keyword_hits(rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None) -> DataFrame:
     """Scored rows: article hits, and but for the disclosure corpus each matching document's first article.
 
+    ``documents``: the table of documents, one row each; without it names are taken from the rows of their articles.
+
     The branches aren't deduplicated: an article that hits both ways is there twice.
     """
-    word = F.lit(spec.keyword[:40])
+    word = spec.keyword[:40]
     rows = apply_filters(rows, spec)
     score = F.round(F.coalesce(trigram_similarity(F.col("title"), word), F.lit(0.0)), 3)
     if spec.body:
@@ -133,21 +136,25 @@ def keyword_hits(rows: DataFrame, spec: SearchSpec) -> DataFrame:
         articles = articles.withColumn("score", F.round("_raw", 3)).drop("_raw")
     if spec.corpus == "disclosure":
         return articles
+    # documents are scored by themselves, and only those that match meet their articles
+    names = rows.select("doc_id", "doc_title", "alias") if documents is None else documents.select("doc_id", "doc_title", "alias")
     by_title = F.coalesce(trigram_similarity(F.col("doc_title"), word), F.lit(0.0))
     by_alias = F.coalesce(trigram_similarity(F.col("alias"), word), F.lit(0.0))
-    documents = rows.withColumn("_raw", F.greatest(by_title, by_alias)).filter(F.col("_raw") >= THRESHOLD)
-    documents = documents.withColumn("score", F.round("_raw", 3)).drop("_raw")
-    documents = first_by(documents, ["doc_id"], [F.col("art_no").asc_nulls_last(), F.col("id")])
+    raw = F.greatest(by_title, by_alias)
+    matched = names.select("doc_id", raw.alias("_raw")).filter(F.col("_raw") >= THRESHOLD)
+    matched = matched.distinct() if documents is None else matched
+    firsts = first_by(rows.join(matched, "doc_id"), ["doc_id"], [F.col("art_no").asc_nulls_last(), F.col("id")])
+    documents = firsts.withColumn("score", F.round("_raw", 3)).drop("_raw")
     return articles.unionByName(documents)
 
 
-def keyword_search(rows: DataFrame, spec: SearchSpec) -> DataFrame:
+def keyword_search(rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None) -> DataFrame:
     """Keyword search with routing: article numbers are looked up, other keywords are matched by trigrams."""
     exact = exact_article(rows, spec)
     if exact is not None:
         return exact
     fetch = min(300, spec.limit * 4) if spec.group else spec.limit
-    hits = keyword_hits(rows, spec)
+    hits = keyword_hits(rows, spec, documents)
     if spec.corpus == "all" and spec.fan_out:
         found = corpus_fan_out(hits, [F.col("inst_name").asc_nulls_last(), F.col("id")], fetch)
     else:
@@ -155,14 +162,34 @@ def keyword_search(rows: DataFrame, spec: SearchSpec) -> DataFrame:
     return one_by_institution(found, list_order()).orderBy(*list_order()).limit(spec.limit) if spec.group else found
 
 
-def posting_prefilter(rows: DataFrame, text_col: str, keyword: str, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows that share enough trigrams with a keyword to reach the threshold, by counting shared trigrams first.
+def title_postings(rows: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(gram, key, n): the trigrams of each row's text and how many it has. Store it sorted by ``gram``: a search then
+    reads the few row groups of its keyword's trigrams and no text at all."""
+    grams = trigrams(F.col(text_col))
+    listed = rows.filter(F.col(text_col).isNotNull()).select(key, grams.alias("grams"))
+    return listed.select(F.explode("grams").alias("gram"), key, F.size("grams").alias("n"))
+
+
+def posting_counts(postings: DataFrame, key: str, keyword: str) -> DataFrame:
+    """(key, shared, n) of the rows that share a trigram with the keyword."""
+    found = postings.filter(F.col("gram").isin(keyword_trigrams(keyword)))
+    return found.groupBy(key).agg(F.count("*").alias("shared"), F.first("n").alias("n"))
+
+
+def posting_scores(postings: DataFrame, key: str, keyword: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, similarity) of the rows that reach the threshold, from stored postings alone."""
+    found = posting_counts(postings, key, keyword)
+    similarity = F.col("shared") / (F.col("n") + len(keyword_trigrams(keyword)) - F.col("shared"))
+    return found.select(key, similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
+
+
+def posting_prefilter(rows: DataFrame, postings: DataFrame, key: str, keyword: str, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows that share enough trigrams with a keyword to reach the threshold, by stored postings.
 
     The similarity can't reach t unless at least t of the keyword's trigrams are shared.
     """
-    wanted = trigrams(F.lit(keyword))
-    shared = F.size(F.array_intersect(trigrams(F.col(text_col)), wanted))
-    return rows.filter(shared >= F.ceil(F.size(wanted) * threshold))
+    least = math.ceil(len(keyword_trigrams(keyword)) * threshold)
+    return rows.join(posting_counts(postings, key, keyword).filter(F.col("shared") >= least).select(key), key, "left_semi")
 
 
 def nearest(rows: DataFrame, embeddings: DataFrame, hashes: DataFrame, query: list[float], spec: SearchSpec,
@@ -182,6 +209,18 @@ def candidates(rows: DataFrame, spec: SearchSpec, most: int = 20_000) -> DataFra
     return apply_filters(rows, spec).select("id").limit(most + 1)
 
 
+def narrowed(rows: DataFrame, spec: SearchSpec, most: int = 20_000) -> DataFrame:
+    """First stage of a filtered search: rows of the ids that pass, where there are few; else the rows as they are.
+
+    The ids are counted before they are broadcast; where none passes, nothing is left to score.
+    """
+    ids = candidates(rows, spec, most)
+    found = ids.count()
+    if not found:
+        return rows.limit(0)
+    return rows.join(F.broadcast(ids), "id", "left_semi") if found <= most else rows
+
+
 def semantic_search(arms: list[DataFrame], spec: SearchSpec) -> DataFrame:
     """Best score of each article over the original and rewritten query's neighbours, floored."""
     found = best_of_variants(arms, spec.floor, spec.limit * (4 if spec.group else 1))

@@ -36,7 +36,7 @@ def _hits_sql(where: str = "TRUE", keyword: str = KEYWORD) -> str:
 
 @REGISTRY(f"WITH {_hits_sql()} SELECT {_COLUMNS} FROM hits ORDER BY {_ORDER} LIMIT 20")
 def kw_title_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword=KEYWORD, limit=20)).select(RESULT)
+    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword=KEYWORD, limit=20), views.documents(spark, sf_dir)).select(RESULT)
 
 
 _FILTER = (
@@ -49,7 +49,7 @@ _FILTER = (
 def kw_title_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = search.cli_spec(keyword=KEYWORD, corpus="legal", type="e", inst="src1", ministry="e",
                            usecases=("audit", "recruit"), limit=20)
-    return search.keyword_search(_rows(spark, sf_dir), spec).select(RESULT)
+    return search.keyword_search(_rows(spark, sf_dir), spec, views.documents(spark, sf_dir)).select(RESULT)
 
 
 @REGISTRY(f"""WITH {views.SQL}, hits AS (
@@ -58,7 +58,7 @@ def kw_title_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {_COLUMNS} FROM hits ORDER BY {_ORDER} LIMIT 30""")
 def kw_body_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = search.cli_spec(keyword="anre", corpus="disclosure", body=True, limit=30)
-    return search.keyword_search(_rows(spark, sf_dir), spec).select(RESULT)
+    return search.keyword_search(_rows(spark, sf_dir), spec, views.documents(spark, sf_dir)).select(RESULT)
 
 
 @REGISTRY(f"""WITH {views.SQL} SELECT {_COLUMNS} FROM (
@@ -67,7 +67,7 @@ def kw_body_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE n = 1 AND score >= 0.2""")
 def kw_doc_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranking.first_by(_rows(spark, sf_dir), ["doc_id"], [F.col("art_no").asc_nulls_last(), F.col("id")])
-    score = F.round(trigram_similarity(F.col("doc_title"), F.lit(KEYWORD)), 3)
+    score = F.round(trigram_similarity(F.col("doc_title"), KEYWORD), 3)
     return rows.withColumn("score", score).filter("score >= 0.2").select(RESULT)
 
 
@@ -79,7 +79,7 @@ def kw_doc_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
 ) SELECT {_COLUMNS}, turn::INT AS turn FROM turns ORDER BY score DESC, turn,
   CASE corpus WHEN 'legal' THEN 0 WHEN 'ca' THEN 1 WHEN 'bylaws' THEN 2 ELSE 3 END, inst_name NULLS LAST, id LIMIT 20""")
 def per_corpus_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.keyword_search(_rows(spark, sf_dir), search.http_spec(keyword=KEYWORD, limit=20)).select(*RESULT, "turn")
+    return search.keyword_search(_rows(spark, sf_dir), search.http_spec(keyword=KEYWORD, limit=20), views.documents(spark, sf_dir)).select(*RESULT, "turn")
 
 
 @REGISTRY(f"""WITH {_hits_sql()}, top AS (SELECT * FROM hits ORDER BY {_ORDER} LIMIT 60)
@@ -87,13 +87,13 @@ SELECT {_COLUMNS} FROM (SELECT *, row_number() OVER (
   PARTITION BY coalesce(nullif(inst_name, ''), nullif(doc_title, ''), '') ORDER BY {_ORDER}) AS n FROM top)
 WHERE n = 1 ORDER BY {_ORDER} LIMIT 15""")
 def dedup_by_institution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword=KEYWORD, group=True)).select(RESULT)
+    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword=KEYWORD, group=True), views.documents(spark, sf_dir)).select(RESULT)
 
 
 @REGISTRY(f"""WITH {views.SQL} SELECT {_COLUMNS} FROM (SELECT *, 1.0::DOUBLE AS score FROM a_rows
 WHERE art_no = 7 AND art_sub = 2) ORDER BY {_ORDER} LIMIT 100""")
 def exact_article_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword="제 7조의 2", limit=100)).select(RESULT)
+    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword="제 7조의 2", limit=100), views.documents(spark, sf_dir)).select(RESULT)
 
 
 @REGISTRY(f"""WITH {views.SQL} SELECT doc_id, doc_title, doc_type, corpus, seq, art_ref, title, substr(body, 1, 200) AS body,
@@ -110,7 +110,7 @@ def article_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY(f"""SELECT p_partkey, p_name, round({views.similarity_sql("p_name", "'small blue ring'")}, 3) AS score FROM part
 ORDER BY score DESC, p_partkey LIMIT 50""")
 def trigram_similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = F.round(trigram_similarity(F.col("p_name"), F.lit("small blue ring")), 3)
+    score = F.round(trigram_similarity(F.col("p_name"), "small blue ring"), 3)
     rows = views.read(spark, sf_dir, "part").select("p_partkey", "p_name", score.alias("score"))
     return rows.orderBy(F.desc("score"), "p_partkey").limit(50)
 
@@ -119,7 +119,16 @@ def trigram_similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 {views.trigram_sql("'small blue ring'")})) >= ceil(len({views.trigram_sql("'small blue ring'")}) * 0.3)""")
 def posting_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return search.posting_prefilter(rows, "p_name", "small blue ring")
+    return search.posting_prefilter(rows, search.title_postings(rows, "p_partkey", "p_name"), "p_partkey", "small blue ring")
+
+
+@REGISTRY(f"""SELECT * FROM (SELECT p_partkey, round({views.similarity_sql("p_name", "'small blue ring'")}, 6) AS similarity
+FROM part) WHERE similarity >= 0.3""")
+def posting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarities from trigram postings, without the texts."""
+    rows = views.read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    found = search.posting_scores(search.title_postings(rows, "p_partkey", "p_name"), "p_partkey", "small blue ring")
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 def _vector(spark: SparkSession, sf_dir: str, number: int) -> list[float]:
@@ -218,7 +227,7 @@ SELECT id, 1.0 / (60 + r) FROM sem WHERE r <= 40)
 SELECT id, round(sum(v)::DOUBLE, 4) AS rrf FROM votes GROUP BY id ORDER BY sum(v) DESC, id LIMIT 20""")
 def rrf_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = views.read(spark, sf_dir, "part").withColumnRenamed("p_partkey", "id")
-    by_name = parts.withColumn("score", F.round(trigram_similarity(F.col("p_name"), F.lit("small blue ring")), 3))
+    by_name = parts.withColumn("score", F.round(trigram_similarity(F.col("p_name"), "small blue ring"), 3))
     by_price = parts.withColumn("score", F.col("p_retailprice"))
     order = [F.desc("score"), F.col("id")]
     arms = [_arm(a.orderBy(*order).limit(40)) for a in (by_name, by_price)]

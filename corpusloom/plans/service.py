@@ -33,15 +33,16 @@ def run(tables: Tables, spec: SearchSpec, mode: str = "keyword", vector: Callabl
     rows = search.joined(tables.articles, tables.documents, tables.institutions)
     exact = search.exact_article(rows, spec)
     if exact is not None or mode == "keyword" or (mode == "hybrid" and vector is None):
-        return exact if exact is not None else search.keyword_search(rows, spec)
+        return exact if exact is not None else search.keyword_search(rows, spec, tables.documents)
     if vector is None:
         raise ValueError("semantic search needs a function from texts to vectors")
     depth = min(100, max(20, spec.limit * 2)) if mode == "hybrid" else spec.limit * (4 if spec.group else 1)
     deep = SearchSpec(**{**spec.__dict__, "limit": depth, "group": False})
+    near = search.narrowed(rows, spec) if spec.filtered else rows
     arms = [
-        search.nearest(rows, tables.embeddings, tables.hashes, vector(text), deep, tables.queue)
+        search.nearest(near, tables.embeddings, tables.hashes, vector(text), deep, tables.queue)
         for text in search.rewritten(spec.keyword, rewrite)
     ]
     if mode == "semantic":
         return search.semantic_search(arms, spec)
-    return search.hybrid_search(search.keyword_search(rows, deep), search.semantic_search(arms, deep), spec)
+    return search.hybrid_search(search.keyword_search(rows, deep, tables.documents), search.semantic_search(arms, deep), spec)
