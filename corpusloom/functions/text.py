@@ -181,6 +181,7 @@ def rewrite_fits(rewrite: Column, query: Column, endings: str = r"[.?!]\z") -> C
 def looks_like_value(cell: Column, words: tuple[str, ...] = ()) -> Column:
     """Whether a table cell holds a value: a number, date, time, quarter, amount, or a listed word."""
     text = strip(F.coalesce(cell, F.lit("")))
+    # fixed patterns: numbers with and without separators, dates, times, quarters, amounts
     patterns = [
         r"(?i)^(N/A|NA|null)\z", r"^[+-]?\d{1,3}(,\d{3})*(\.\d+)?%?\z", r"^\d+(\.\d+)?\z",
         r"^\d{4}년(\s*\d{1,2}월)?(\s*\d{1,2}일)?\z", r"^\d{1,2}:\d{2}\z", r"^\d{4}\s*/\s*\d{1,2}\z",

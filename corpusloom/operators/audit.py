@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import group_or_null, strip
 
+#: fixed patterns: an article as a heading, as a plain line, within a line, in either form, and without text of its own
 HEADING = r"^\s*#{1,6}\s+제\s*(\d+)\s*조(?:\s|\(|\z)"
 PLAIN = r"^(?!\s*(?:#|\||<!--|```))\s*제\s*(\d+)\s*조(?:\s|\(|\z)"
 EMBEDDED = r"제\s*(\d+)\s*조\s*\([^)]{1,100}\)"
@@ -91,6 +92,7 @@ def repair_headings(rows: DataFrame, gaps: DataFrame, key: str = "doc_id") -> Da
     return joined.withColumn("line", F.coalesce(fixed, F.col("line"))).drop("_seen")
 
 
+#: fixed patterns: circled, numbered and lettered markers
 _TOKENS = {
     "paragraph": re.compile(f"[{CIRCLED}]"),
     "item": re.compile(r"(?:^|(?<=\s))(\d{1,2})([.)])(?=\s*[가-힣A-Za-z“‘(\[])"),

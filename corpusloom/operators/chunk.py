@@ -214,3 +214,14 @@ def chunk_report(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     ratio = F.when(F.col("content") > 0, F.least(F.lit(1.0), F.round(F.col("covered") / F.col("content"), 3))).otherwise(0.0)
     status = F.when(F.col("n_articles") == 0, "empty").when(F.col("short"), "truncated").otherwise("chunked")
     return sums.select(key, "n_articles", ratio.alias("coverage"), status.alias("parse_status"))
+
+
+def corpus_report(report: DataFrame) -> DataFrame:
+    """One row over all documents of ``chunk_report``: documents, chunks, empty and cut documents, chunks a document."""
+    count = lambda c: F.coalesce(F.count_if(c), F.lit(0)).cast("long")
+    chunks_ = F.coalesce(F.sum("n_articles"), F.lit(0))
+    return report.agg(
+        F.count("*").alias("docs"), chunks_.alias("chunks"), count(F.col("parse_status") == "empty").alias("empty_docs"),
+        count(F.col("parse_status") == "truncated").alias("truncated_docs"),
+        F.when(F.count("*") > 0, F.round(chunks_ / F.count("*"), 2)).otherwise(0.0).alias("avg_chunks_per_doc"),
+    )

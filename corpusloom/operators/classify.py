@@ -54,7 +54,7 @@ def roles(rows: DataFrame, rules: DataFrame, key: str = "id") -> DataFrame:
     exploded = rows.select(key, F.explode(atoms).alias("x")).select(key, "x.*")
     matched = exploded.join(rules, ["kind", "value"]).select(key, "role")
     shared = rows.filter(F.array_contains("usecases", "_shared")).select(key)
-    every = shared.crossJoin(F.broadcast(rules.select("role").distinct()))
+    every = shared.crossJoin(rules.select("role").distinct())
     return matched.unionByName(every).distinct()
 
 

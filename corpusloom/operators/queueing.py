@@ -113,19 +113,39 @@ def completion(queue: DataFrame, statuses: DataFrame, key: str = "id") -> DataFr
     )
 
 
-def size_percentiles(rows: DataFrame, column: str = "score", shares: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
-    """One row with p10, p50, p90: the value at index floor(n * p) of the sorted values, by their distinct values' counts."""
-    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
-    upto = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    total = counts.agg(F.sum("n").alias("total"))
-    placed = counts.withColumn("upto", F.sum("n").over(upto)).crossJoin(total)
-    return placed.agg(*(
-        F.min(F.when(F.col("upto") > F.floor(F.col("total") * p), F.col(column))).alias(f"p{round(100 * p)}") for p in shares
+def size_percentiles(rows: DataFrame, column: str = "score", shares: Sequence[float] = (0.1, 0.5, 0.9),
+                     ranges: int = 256) -> DataFrame:
+    """One row with p10, p50, p90: the value at index floor(n * p) of the sorted values, exactly.
+
+    Values fall into ranges between approximate quantiles; ranges are counted, and values are ordered only within the range
+    that a percentile lies in, so no task orders all of them.
+    """
+    values = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    edges = values.agg(F.array_distinct(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 100_000)).alias("edges"))
+    placed = values.crossJoin(F.broadcast(edges)).select("v", "n", F.size(F.filter("edges", lambda e: e <= F.col("v"))).alias("part"))
+    sizes = placed.groupBy("part").agg(F.sum("n").alias("size"))
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sizes.select("part", F.coalesce(F.sum("size").over(every), F.lit(0)).alias("start"))
+    total = sizes.agg(F.sum("size").alias("total"))
+    own = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.withColumn("within", F.sum("n").over(own)).join(F.broadcast(starts), "part")
+    upto = upto.withColumn("upto", F.col("start") + F.col("within")).crossJoin(F.broadcast(total))
+    return upto.agg(*(
+        F.min(F.when(F.col("upto") > F.floor(F.col("total") * p), F.col("v"))).alias(f"p{round(100 * p)}") for p in shares
     ))
 
 
-def hits_in_window(events: DataFrame, key: str, ts: str, seconds: int = 60, most: int = 40) -> DataFrame:
-    """Adds ``hits`` (this one and the key's others less than the window before it) and ``blocked``; blocked ones count."""
+def hits_in_window(events: DataFrame, key: str, ts: str, seconds: int = 60, most: int = 40, windows: int = 64) -> DataFrame:
+    """Adds ``hits`` (this one and the key's others less than the window before it) and ``blocked``; blocked ones count.
+
+    Time is cut into slices of so many windows, each with the last window of the slice before it, so a key with very many
+    events is spread over its slices.
+    """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    span = Window.partitionBy(key).orderBy(micros).rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    return events.withColumn("hits", F.count("*").over(span)).withColumn("blocked", F.col("hits") > most)
+    width = seconds * 1_000_000
+    slice_ = F.floor(F.col("_at") / (width * windows))
+    late = F.pmod(F.col("_at"), F.lit(width * windows)) >= width * (windows - 1)
+    rows = events.withColumn("_at", micros).withColumn("_slice", F.explode(F.when(late, F.array(slice_, slice_ + 1)).otherwise(F.array(slice_))))
+    span = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-(width - 1), 0)
+    counted = rows.withColumn("hits", F.count("*").over(span)).filter(F.col("_slice") == slice_).drop("_at", "_slice")
+    return counted.withColumn("blocked", F.col("hits") > most)

@@ -25,6 +25,7 @@ from corpusloom.operators.ranking import (
     one_by_institution,
     reciprocal_rank_fusion,
 )
+from corpusloom.operators.selection import CORPUS_LABELS, OTHER_CORPUS, labelled
 from corpusloom.schema import MAIN_SECTION
 
 SCORE_FLOOR = 0.28
@@ -263,3 +264,17 @@ def get_article(articles: DataFrame, doc_id: str, number: int, sub: int | None =
     """Articles of a document by number, and sub-number if given."""
     found = articles.filter((F.col("doc_id") == doc_id) & (F.col("art_no") == number))
     return (found if sub is None else found.filter(F.col("art_sub") == sub)).orderBy("seq")
+
+
+def rendered(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """(line): a result on three lines, its body on one and cut to 300 characters (2000 if ``whole``)."""
+    corpus = labelled(F.col("corpus"), CORPUS_LABELS, OTHER_CORPUS)
+    source = F.coalesce(F.nullif("inst_name", F.lit("")), F.nullif("doc_title", F.lit("")), corpus)
+    blank = lambda c, other: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(other))
+    line = F.regexp_replace(F.coalesce("body", F.lit("")), r"\n+", " ")
+    most = 2000 if whole else 300
+    body = F.when(F.length(line) > most, F.concat(F.substring(line, 1, most), F.lit("…"))).otherwise(line)
+    head = F.concat_ws(" | ", corpus, source, F.coalesce("doc_title", F.lit("")))
+    middle = F.concat(blank("art_ref", "-"), F.lit(" "), blank("art_title", "(제목없음)"), F.lit("  (유사도: "),
+                      F.format_string("%.3f", "score"), F.lit("  부처: "), blank("ministry", "-"), F.lit(")"))
+    return rows.select(F.concat_ws("\n", head, middle, body).alias("line"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import group_or_null, strip
 from corpusloom.schema import ADDENDUM, MAIN_SECTION
 
+#: fixed patterns: lines that open an article, a chapter or an addendum, after a heading or emphasis mark
 MARK = r"^(?:#{1,6}\s*)?(?:\*{1,2}\s*)?"
 ARTICLE = MARK + r"제\s*(\d{1,4})\s*조(?:\s*의\s*(\d{1,3}))?(?:\s*\(([^)\n]{1,80})\))?(.*)\z"
 CHAPTER = MARK + r"제\s*(\d{1,3})\s*(장|절|편|관)\s*(.*)\z"

@@ -28,8 +28,8 @@ def route_feed(feed: DataFrame, stored: DataFrame, scoped: DataFrame, institutio
 
 
 def open_pairs(institutions: DataFrame, codes: DataFrame, done: DataFrame) -> DataFrame:
-    """All (inst_code, report_no) pairs that aren't done. ``codes`` is a configured list and is broadcast."""
-    pairs = institutions.select("inst_code").distinct().crossJoin(F.broadcast(codes.select("report_no").distinct()))
+    """All (inst_code, report_no) pairs that aren't done; every pair is a result, so both lists are configured ones."""
+    pairs = institutions.select("inst_code").distinct().crossJoin(codes.select("report_no").distinct())
     return pairs.join(done, ["inst_code", "report_no"], "left_anti")
 
 
@@ -57,11 +57,11 @@ def retry_targets(missing_rows: DataFrame, missing_files: DataFrame) -> DataFram
 def by_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Rows that the targets name. A target without a number takes all rows of its pair, whatever else names it."""
     blank = F.trim(F.coalesce("disclosure_no", F.lit(""))) == ""
-    pairs = targets.groupBy("inst_code", "report_no").agg(
-        F.bool_or(blank).alias("_all"), F.collect_set("disclosure_no").alias("_some")
-    )
-    chosen = rows.join(pairs, ["inst_code", "report_no"])
-    return chosen.filter(F.col("_all") | F.array_contains("_some", F.col("disclosure_no"))).drop("_all", "_some")
+    pair = ["inst_code", "report_no"]
+    whole = targets.filter(blank).select(*pair).distinct()
+    named = targets.filter(~blank).select(*pair, "disclosure_no").distinct()
+    rest = rows.join(whole, pair, "left_anti").join(named, [*pair, "disclosure_no"], "left_semi").select(*rows.columns)
+    return rows.join(whole, pair, "left_semi").select(*rows.columns).unionByName(rest)
 
 
 def not_in_checkpoint(rows: DataFrame, checkpoint: DataFrame, key: str, date: str, strict: bool = False) -> DataFrame:
@@ -124,11 +124,11 @@ def apply_revisions(sources: DataFrame, found: DataFrame) -> DataFrame:
     """Sources with the new number in the URL, the old one kept, and status planned."""
     new = found.select("id", "new_seq", "new_date")
     rows = sources.join(new, "id", "left")
-    url = F.regexp_replace("source_url", r"((?:lsiSeq|admRulSeq)=)\d+", "$1#")
+    url = F.regexp_replace("source_url", F.lit(r"((?:lsiSeq|admRulSeq)=)\d+"), F.concat(F.lit("$1"), F.col("new_seq")))
     changed = F.col("new_seq").isNotNull()
     return rows.withColumns({
         "previous_seq": F.when(changed, group_or_null(F.col("source_url"), r"(?:lsiSeq|admRulSeq)=(\d+)")),
-        "source_url": F.when(changed, F.replace(url, F.lit("#"), F.col("new_seq"))).otherwise(F.col("source_url")),
+        "source_url": F.when(changed, url).otherwise(F.col("source_url")),
         "status": F.when(changed, F.lit("planned")).otherwise(F.col("status")),
         "effective_date": F.when(changed, F.col("new_date")).otherwise(F.col("effective_date")),
     }).drop("new_seq", "new_date")

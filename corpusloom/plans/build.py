@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import document_type, front_matter, without_front_matter
@@ -38,17 +38,28 @@ def stage(spark: SparkSession, root: str, corpus: str, chunked: bool = False, **
     return docs.drop("text").join(report, "doc_id"), articles
 
 
+def places(articles: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """(key, before): how many articles stand before each document's in the order of keys.
+
+    Documents' counts are written in ranges of keys; the few ranges are summed in one window, documents within their range.
+    """
+    counts = articles.groupBy(key).agg(F.count("*").alias("n")).repartitionByRange(key)
+    counts.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(folder)
+    ranged = articles.sparkSession.read.parquet(folder)
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.sum("n").alias("size"))
+    starts = starts.select("part", F.coalesce(F.sum("size").over(earlier(Window.orderBy("part"))), F.lit(0)).alias("start"))
+    within = F.coalesce(F.sum("n").over(earlier(Window.partitionBy("part").orderBy(key))), F.lit(0))
+    return ranged.withColumn("within", within).join(starts, "part").select(key, (F.col("start") + F.col("within")).alias("before"))
+
+
 def store(docs: DataFrame, articles: DataFrame, root: str) -> dict[str, DataFrame]:
     """Check the gate (an action), then write and return documents, articles, institutions, hashes and queue.
 
     Article ids follow the order of (doc_id, seq), so building again gives the same ones.
     """
     load.require(load.gate(docs, articles))
-    # a document's place comes from a window over documents with articles, which are far fewer than articles
-    first = articles.groupBy("doc_id").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(segment.Window.orderBy("doc_id").rowsBetween(segment.Window.unboundedPreceding, -1))
-    places = first.select("doc_id", F.coalesce(before, F.lit(0)).alias("_before"))
-    rows = articles.join(places, "doc_id").withColumn("id", F.col("_before") + F.col("seq")).drop("_before")
+    rows = articles.join(places(articles, f"{root}/article_places"), "doc_id").withColumn("id", F.col("before") + F.col("seq")).drop("before")
     rows = rows.withColumnRenamed("text", "body")
     hashes = load.hashes(rows)
     tables = {

@@ -32,7 +32,8 @@ def line_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose 3rd, 6th, ... lines are articles, the 8th a chapter, the 20th an addendum, the 4th a citation."""
+    """All documents, their 3rd, 6th, ... lines made articles, the 8th a chapter, the 20th an addendum, the 4th a citation; round
+    brackets become square ones, as a title's end is a round one."""
     lines = F.split("text", "\r?\n", -1)
 
     def mark(line, i):
@@ -46,11 +47,10 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     text = F.array_join(F.transform(lines, mark), "\n")
-    return _docs(spark, sf_dir).filter("not text like '%(%' and not text like '%)%'").withColumn("text", text)
+    return _docs(spark, sf_dir).withColumn("text", F.translate("text", "()", "[]")).withColumn("text", text)
 
 
-_NUMBERED = """l0 AS (SELECT doc_id, string_split_regex(text, '\\r?\\n') AS l FROM documents
-  WHERE text NOT LIKE '%(%' AND text NOT LIKE '%)%'), raw AS (
+_NUMBERED = """l0 AS (SELECT doc_id, string_split_regex(translate(text, '()', '[]'), '\\r?\\n') AS l FROM documents), raw AS (
   SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS n FROM l0
 ), lines AS (
   SELECT doc_id, n, line AS own, CASE WHEN n = 20 THEN '## 부칙 <' || line || '>' WHEN n = 8 THEN '제2장 ' || line
@@ -115,6 +115,27 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.coverage_report(_coverage(spark, sf_dir))
 
 
+@REGISTRY(f"""WITH art AS ({_articles_sql()}), {_NUMBERED}, per AS (SELECT doc_id, sum(length(trim(line)))::INT AS content_chars FROM lines
+GROUP BY doc_id), own AS (SELECT doc_id, count(*) AS n, sum(n_chars)::BIGINT AS covered FROM art GROUP BY doc_id)
+SELECT doc_id, content_chars, coalesce(n, 0)::BIGINT AS n_articles, coalesce(covered, 0)::BIGINT AS covered_chars,
+CASE WHEN content_chars > 0 THEN round(coalesce(covered, 0) / content_chars, 3) ELSE 0.0 END AS coverage,
+CASE WHEN n IS NULL THEN 'no_articles' WHEN content_chars = 0 OR round(covered / content_chars, 3) < 0.5 THEN 'low_coverage' ELSE 'ok' END
+AS parse_status FROM per LEFT JOIN own USING (doc_id)""")
+def article_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of documents by the articles that segmentation finds in them."""
+    docs = numbered(spark, sf_dir)
+    return segment.coverage(docs, segment.articles(docs))
+
+
+@REGISTRY("""SELECT count(*)::BIGINT AS docs, sum(o_orderkey % 5)::BIGINT AS chunks, count(*) FILTER (o_orderkey % 5 = 0)::BIGINT AS empty_docs,
+count(*) FILTER (o_orderkey % 5 = 4)::BIGINT AS truncated_docs, round(sum(o_orderkey % 5) / count(*), 2) AS avg_chunks_per_doc FROM orders""")
+def chunk_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("o_orderkey") % 5
+    status = F.when(n == 0, "empty").when(n == 4, "truncated").otherwise("chunked")
+    rows = views.read(spark, sf_dir, "orders").select(n.alias("n_articles"), status.alias("parse_status"))
+    return chunk.corpus_report(rows)
+
+
 @REGISTRY()
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunks(_docs(spark, sf_dir))
@@ -125,17 +146,36 @@ def chunk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunk_report(chunk.chunks(_docs(spark, sf_dir)))
 
 
-@REGISTRY()
+def _joined_sql() -> str:
+    """Five passes; in each, of every run of boundaries that may join, the first, third, ... do."""
+    starts = "|".join(clean.STARTS).replace(r"[^\S\n]", r"\s").replace("'", "''")
+    steps = ["j0 AS (SELECT doc_id, pos AS n, line FROM lines)"]
+    for i in range(5):
+        steps.append(f"""b{i} AS (SELECT *, next IS NOT NULL AND regexp_matches(line, '[^\\s{clean.ENDS}]\\s*$') AND trim(next) <> ''
+  AND NOT regexp_matches(next, '^\\s*(?:{starts})') AS may FROM (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY n) AS next FROM j{i})),
+r{i} AS (SELECT *, may AND (n - coalesce(max(CASE WHEN NOT may THEN n END) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED
+  PRECEDING AND 1 PRECEDING), 0)) % 2 = 1 AS takes FROM b{i}),
+t{i} AS (SELECT *, coalesce(lag(takes) OVER (PARTITION BY doc_id ORDER BY n), FALSE) AS taken FROM r{i}),
+j{i + 1} AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS n, CASE WHEN takes THEN rtrim(line) || ' ' || ltrim(next)
+  ELSE line END AS line FROM t{i} WHERE NOT taken)""")
+    return f"""WITH lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM (SELECT doc_id,
+string_split(text, chr(10)) AS l FROM documents)), {", ".join(steps)} SELECT doc_id, string_agg(line, chr(10) ORDER BY n) AS text FROM j5 GROUP BY doc_id"""
+
+
+@REGISTRY(_joined_sql())
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.join_broken_lines(_docs(spark, sf_dir))
 
 
-@REGISTRY("SELECT doc_id, FALSE AS changed FROM documents")
+@REGISTRY("""SELECT doc_id, FALSE AS changed, md5(CASE WHEN contains(text, chr(13) || chr(10)) THEN replace(replace('제1조(a)' || chr(10) ||
+'① x' || chr(10) || text, chr(13) || chr(10), chr(10)), chr(10), chr(13) || chr(10)) ELSE '제1조(a)' || chr(10) || '① x' || chr(10) || text END)
+AS digest FROM documents""")
 def restructure_again(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether cleaning cleaned documents changes them: it must not."""
+    """Cleaned documents, and whether cleaning them again changes them: it must not."""
     docs = views.read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("제1조(a) ① x\n"), "text").alias("text"))
     once = clean.restructured(docs.dropDuplicates(["doc_id"]))
-    return clean.rewrites(once, clean.restructured(once))
+    again = clean.rewrites(once, clean.restructured(once))
+    return again.join(once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest")), "doc_id")
 
 
 @REGISTRY(f"""WITH {_LINES}, c AS (SELECT doc_id, pos, CASE WHEN regexp_matches(line, '^\\s*\\|.*\\|\\s*$')
@@ -156,25 +196,25 @@ def line_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.normalise_lines(segment.lines(_docs(spark, sf_dir)))
 
 
-_HEADINGS = """hl AS (SELECT doc_id, n AS pos, CASE WHEN n % 5 = 1 THEN '### 제' || n || '조(a)' WHEN n % 5 = 3
-THEN '제' || n || '조' ELSE 'see 제' || n || '조(b) and more' END AS line FROM (
-SELECT doc_id, unnest(range(1, 22)) AS n FROM documents))"""
+_HEADINGS = f"""{_LINES}, hl AS (SELECT doc_id, pos, max(pos) OVER (PARTITION BY doc_id) AS last, CASE WHEN pos % 5 = 1 THEN '### 제' || pos || '조(a)'
+WHEN pos % 5 = 3 THEN '제' || pos || '조' ELSE 'see 제' || pos || '조(b) ' || line END AS line FROM lines)"""
 
 
 def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir).select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(21))).alias("pos"))
-    n = F.col("pos")
+    """The documents' lines: every fifth a heading, two after it an article line, the others name one and go on."""
+    rows, n = segment.lines(_docs(spark, sf_dir)), F.col("pos")
     line = (
         F.when(n % 5 == 1, F.concat(F.lit("### 제"), n, F.lit("조(a)")))
         .when(n % 5 == 3, F.concat(F.lit("제"), n, F.lit("조")))
-        .otherwise(F.concat(F.lit("see 제"), n, F.lit("조(b) and more")))
+        .otherwise(F.concat(F.lit("see 제"), n, F.lit("조(b) "), "line"))
     )
     return rows.withColumn("line", line)
 
 
 _GAPS = f"""{_HEADINGS}, gaps AS (SELECT CASE WHEN pos % 5 = 3 THEN 'A' ELSE 'B' END AS grade, FALSE AS excluded, doc_id,
 pos::INT AS line, pos::INT AS missing, '### 제' || (pos - (pos - 1) % 5) || '조(a)' AS previous,
-'### 제' || (pos - (pos - 1) % 5 + 5) || '조(a)' AS next, line AS text FROM hl WHERE pos % 5 <> 1 AND pos < 21)"""
+'### 제' || (pos - (pos - 1) % 5 + 5) || '조(a)' AS next, trim(line, ' ' || chr(9)) AS text FROM hl WHERE pos % 5 <> 1
+AND pos - (pos - 1) % 5 + 5 <= last)"""
 
 
 @REGISTRY(f"WITH {_GAPS} SELECT * FROM gaps")
@@ -189,7 +229,7 @@ def heading_gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_summary(audit.heading_gaps(_headings(spark, sf_dir)))
 
 
-@REGISTRY(f"""WITH {_HEADINGS} SELECT doc_id, pos::INT AS pos, CASE WHEN pos % 5 = 3 THEN '### ' || line ELSE line END AS line
+@REGISTRY(f"""WITH {_HEADINGS} SELECT doc_id, pos::INT AS pos, CASE WHEN pos % 5 = 3 AND pos + 3 <= last THEN '### ' || line ELSE line END AS line
 FROM hl""")
 def heading_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _headings(spark, sf_dir)
@@ -205,25 +245,30 @@ def number_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.select("l_orderkey", "prev_number", "next_number")
 
 
+_MARKED = ("제1조 (a) ① ", "② two ③ ", "④ ", "1. 가나 2. 다라 ", "3. 마바 ")
+
+
 def _markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.array(
-        F.lit("제1조 (a) ① one"), F.lit("② two ③ three"), F.lit("④ four"), F.lit("1. 가나 2. 다라"), F.lit("3. 마바"))))
-    return rows.select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), F.col("col").alias("line"))
+    """The documents' lines (digits made signs) after a cycle of an article with paragraphs and items."""
+    rows, own = segment.lines(_docs(spark, sf_dir)), F.translate("line", "0123456789", "##########")
+    head = F.get(F.array(*map(F.lit, _MARKED)), (F.col("pos") - 1) % 5)
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), F.concat(head, own).alias("line"))
 
 
-_MARKERS = """m(pos, level, "offset", marker, reason) AS (VALUES (1, 'paragraph', 8, '①', 'first'), (2, 'paragraph', 6, '③', 'middle'),
-(4, 'item', 6, '2.', 'middle'))"""
+_MARKERS = f"""{_LINES}, ml AS (SELECT doc_id, pos, max(pos) OVER (PARTITION BY doc_id) AS last, (pos - 1) % 5 + 1 AS k,
+translate(line, '0123456789', '##########') AS own FROM lines), m(k, level, "offset", marker, reason) AS (VALUES
+(1, 'paragraph', 8, '①', 'first'), (2, 'paragraph', 6, '③', 'middle'), (4, 'item', 6, '2.', 'middle'))"""
 
 
-@REGISTRY(f"""WITH {_MARKERS} SELECT doc_id, pos::BIGINT AS pos, level, "offset", marker, reason FROM documents CROSS JOIN m""")
+@REGISTRY(f"""WITH {_MARKERS} SELECT doc_id, pos::BIGINT AS pos, level, "offset", marker, reason FROM ml JOIN m USING (k) WHERE pos < last""")
 def neighbour_marker_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _markers(spark, sf_dir)
     return audit.marker_gaps(audit.markers(rows), rows)
 
 
-@REGISTRY("""WITH m(pos, line) AS (VALUES (1, '제1조 (a)' || chr(10) || '① one'), (2, '② two' || chr(10) || '③ three'),
-(3, '④ four'), (4, '1. 가나' || chr(10) || '2. 다라'), (5, '3. 마바'))
-SELECT doc_id, pos::BIGINT AS pos, line FROM documents CROSS JOIN m""")
+@REGISTRY(f"""WITH {_MARKERS}, h(k, whole, broken) AS (VALUES (1, '{_MARKED[0]}', '제1조 (a)' || chr(10) || '① '), (2, '{_MARKED[1]}',
+'② two' || chr(10) || '③ '), (3, '{_MARKED[2]}', '④ '), (4, '{_MARKED[3]}', '1. 가나' || chr(10) || '2. 다라 '), (5, '{_MARKED[4]}', '3. 마바 '))
+SELECT doc_id, pos::BIGINT AS pos, CASE WHEN pos < last THEN broken ELSE whole END || own AS line FROM ml JOIN h USING (k)""")
 def marker_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _markers(spark, sf_dir)
     return audit.repair_markers(rows, audit.marker_gaps(audit.markers(rows), rows)).select("doc_id", "pos", "line")
@@ -283,7 +328,8 @@ def field_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.roll_up(extract.table_records(_tables(spark, sf_dir)), _RULES)
 
 
-@REGISTRY()
+@REGISTRY("""SELECT event_id, substr(t.fullkey, 3) AS path, t.atom::VARCHAR AS value FROM events e, json_tree(e.props) t
+WHERE t.type NOT IN ('OBJECT', 'ARRAY', 'NULL')""")
 def json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.json_leaves(views.read(spark, sf_dir, "events"), "event_id", "props")
 

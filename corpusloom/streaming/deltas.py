@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 def apply_deltas(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str,
                  key: str = "doc_id", partition: str = "corpus") -> StreamingQuery:
-    """Apply Parquet deltas to a table partitioned by ``partition``: rows of a delta's keys are replaced.
+    """Apply Parquet deltas to a table partitioned by ``partition``: rows of a delta's keys are replaced, also where a key
+    stood in another partition before.
 
     Only the partitions that a batch touches are rewritten, by dynamic overwrite; a batch that is run again after a
     failure replaces the same rows by the same ones. Ends when all files are applied.
@@ -25,14 +26,25 @@ def apply_deltas(spark: SparkSession, source: str, schema: T.StructType, table:
             path = session._jvm.org.apache.hadoop.fs.Path(table)
             there = path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).exists(path)
             new = batch.select(*columns)
+            left: list = []
             if there:
-                old = session.read.schema(schema).parquet(table).filter(F.col(partition).isin(touched))
-                new = old.join(batch.select(key).distinct(), key, "left_anti").select(*columns).unionByName(new)
+                old = session.read.schema(schema).parquet(table)
+                keys = batch.select(key).distinct()
+                moved = old.select(key, partition).join(keys, key, "left_semi").select(partition).distinct().collect()
+                left = [r[0] for r in moved if r[0] not in touched]
+                rest = old.filter(F.col(partition).isin(touched + left)).join(keys, key, "left_anti")
+                new = rest.select(*columns).unionByName(new)
             # what is read and overwritten is the same folder, so the new rows are written aside first
             aside = f"{checkpoint}/aside"
             new.write.mode("overwrite").parquet(aside)
-            rows = session.read.schema(schema).parquet(aside).write.mode("overwrite").partitionBy(partition)
+            done = session.read.schema(schema).parquet(aside)
+            rows = done.write.mode("overwrite").partitionBy(partition)
             rows.option("partitionOverwriteMode", "dynamic").parquet(table)
+            kept = {r[0] for r in done.select(partition).distinct().collect()}
+            for value in left:  # partitions that a batch emptied: a dynamic overwrite doesn't touch them
+                if value not in kept:
+                    gone = session._jvm.org.apache.hadoop.fs.Path(f"{table}/{partition}={value}")
+                    gone.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(gone, True)
         batch.unpersist()
 
     stream = spark.readStream.schema(schema).parquet(source)
