@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.rules import VALUE_WORDS
+
 SPACE = r"[\s　 ﻿]"
 CONTROL = r"[\x01-\x08\x0B\x0C\x0E-\x1F\x7F]"
 ARTICLE_REFERENCE = r"제\s*(\d+)\s*조(?:\s*의\s*(\d+))?"
@@ -178,8 +180,8 @@ def rewrite_fits(rewrite: Column, query: Column, endings: str = r"[.?!]\z") -> C
     return F.coalesce((n >= 2) & (n <= 60) & (rewrite != query) & ~F.regexp_like(rewrite, F.lit(endings)), F.lit(False))
 
 
-def looks_like_value(cell: Column, words: tuple[str, ...] = ()) -> Column:
-    """Whether a table cell holds a value: a number, date, time, quarter, amount, or a listed word."""
+def looks_like_value(cell: Column, words: tuple[str, ...] = VALUE_WORDS) -> Column:
+    """Whether a table cell holds a value: a number, date, time, quarter, amount, or a listed word (white space apart)."""
     text = strip(F.coalesce(cell, F.lit("")))
     # fixed patterns: numbers with and without separators, dates, times, quarters, amounts
     patterns = [
@@ -187,7 +189,7 @@ def looks_like_value(cell: Column, words: tuple[str, ...] = ()) -> Column:
         r"^\d{4}년(\s*\d{1,2}월)?(\s*\d{1,2}일)?\z", r"^\d{1,2}:\d{2}\z", r"^\d{4}\s*/\s*\d{1,2}\z",
         r"^\d{4}\s*년\s*\d{1,2}\s*/\s*\d{1,2}\s*분기\z", r"^\d+(\.\d+)?(명|원|%)\z",
     ]
-    hit = text.isin(*words) if words else F.lit(False)
+    hit = F.regexp_replace(text, r"\s+", "").isin(*words) if words else F.lit(False)
     for pattern in patterns:
         hit = hit | F.regexp_like(text, F.lit(pattern))
     return hit

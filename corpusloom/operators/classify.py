@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.rules import KEYWORDS
+
 
 def by_code(rows: DataFrame, rules: DataFrame, code: str = "code", key: str = "id") -> DataFrame:
     """(key, usecases): labels of the code, else of its first five characters, else none. Rules: (code, usecase)."""
@@ -17,7 +21,7 @@ def by_code(rows: DataFrame, rules: DataFrame, code: str = "code", key: str = "i
     return found.select(key, F.coalesce("_exact", "_by_short", none).alias("usecases"))
 
 
-def by_keyword(rows: DataFrame, rules: list[tuple[str, list[str]]], text: str = "title", key: str = "id") -> DataFrame:
+def by_keyword(rows: DataFrame, rules: Sequence[tuple[str, Sequence[str]]] = KEYWORDS, text: str = "title", key: str = "id") -> DataFrame:
     """(key, usecases): every label with a word in the text, in rule order. No join: the rules become one expression."""
     labels = []
     for label, words in rules:

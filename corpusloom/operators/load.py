@@ -6,6 +6,7 @@ key is an anti-join and a union, so untouched rows aren't rewritten in memory an
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -140,13 +141,24 @@ def update_from(old: DataFrame, changes: DataFrame, key: str, column: str) -> Da
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, partition: dict[str, str] | None = None) -> None:
-    """Write each table as Parquet; a partition column makes it a dynamic overwrite of just the partitions written."""
+    """Write each table as Parquet; a partition column makes it a dynamic overwrite of just the partitions written.
+
+    Other tables are written aside and renamed, so a table is whole at any time: the old one, or the new one.
+    """
     for name, rows in tables.items():
-        writer = rows.write.mode("overwrite")
         column = (partition or {}).get(name)
         if column:
-            writer = writer.partitionBy(column).option("partitionOverwriteMode", "dynamic")
-        writer.parquet(f"{root}/{name}")
+            writer = rows.write.mode("overwrite").partitionBy(column).option("partitionOverwriteMode", "dynamic")
+            writer.parquet(f"{root}/{name}")
+            continue
+        aside = f"{root}/_{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(aside)
+        jvm, conf = rows.sparkSession._jvm, rows.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        old, new = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), jvm.org.apache.hadoop.fs.Path(aside)
+        system = new.getFileSystem(conf)
+        system.delete(old, True)
+        if not system.rename(new, old):
+            raise OSError(f"can't rename {aside}")
 
 
 def load_run(spark, script: str, mode: str, corpus: str, n_docs: int, n_articles: int, started_at) -> DataFrame:

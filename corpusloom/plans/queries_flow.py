@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import rules
 from corpusloom.functions import planning
 from corpusloom.functions import text as fn
 from corpusloom.operators import catalog, classify, extract, load, queueing, search, selection, sync
@@ -505,3 +506,51 @@ def sheet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("file", "sheet", "row").agg(
         F.max(F.when(F.col("name") == "inst", F.col("value"))).alias("inst"), F.max(F.when(F.col("name") == "value", F.col("value"))).alias("value")
     ).select("file", F.col("inst").alias("name"), "value")
+
+
+_LABELS = ("노조 명", "조합원 수", "임직원 수", "일반 정규직", "여성 현원", "기본급", "1인당 평균보수액", "지원 대상", "비 고", "name")
+_FOUND = ("노동조합:union_name", "노동조합:members_count", "인력관리:employee_total", "인력관리:regular_employees", "인력관리:gender_breakdown",
+          "보수관리:base_salary", "보수관리:average_compensation_per_person", "복리후생:support_target", "복리후생:remarks", None)
+_CELLS = ("해당 없음", "1,234", "전일제", "12:30", "2024년 3월", "about", "3.5%", "합계", "2024 / 3", "12명")
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + "]"
+
+
+@REGISTRY(f"""SELECT p_partkey, ({_listed(_FOUND)})[p_size % 10 + 1] AS field, p_size % 10 <> 5 AS is_value FROM part""")
+def field_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the shipped rules find for labels, and cells that count as values."""
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("p_size") % 10)
+    return _part(spark, sf_dir).select(
+        "p_partkey", extract.field_key(pick(_LABELS)).alias("field"), fn.looks_like_value(pick(_CELLS)).alias("is_value")
+    )
+
+
+@REGISTRY("""SELECT p_partkey AS id, CASE p_size % 5 WHEN 0 THEN 'audit' WHEN 1 THEN 'governance,finance' WHEN 2 THEN 'recruit' WHEN 3 THEN 'labor'
+ELSE '' END AS usecases FROM part""")
+def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*map(F.lit, ("청렴 규정", "이사회 예산 규정", "채용 세칙", "단체협약", "기타")))
+    rows = _part(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.get(names, F.col("p_size") % 5).alias("title"))
+    return classify.by_keyword(rows).select("id", F.array_join("usecases", ",").alias("usecases"))
+
+
+@REGISTRY("""SELECT p_partkey AS id, unnest(CASE p_size % 4 WHEN 0 THEN ['union'] WHEN 1 THEN ['pay', 'jobseeker', 'transfer']
+WHEN 2 THEN ['welfare', 'hr'] ELSE ['union', 'hr', 'pay', 'welfare', 'account', 'contract', 'audit', 'planning', 'assembly', 'safety', 'security',
+'board', 'jobseeker', 'watchdog', 'transfer'] END) AS role FROM part""")
+def role_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles by use case, by code, by group, and of what all share."""
+    n = F.col("p_size") % 4
+    none = F.array().cast("array<string>")
+    rows = _part(spark, sf_dir).select(
+        F.col("p_partkey").alias("id"), F.when(n == 0, F.array(F.lit("labor"))).when(n == 3, F.array(F.lit("_shared"))).otherwise(none).alias("usecases"),
+        F.when(n == 1, "20601").otherwise("x").alias("code"), F.when(n == 2, F.array(F.lit("travel"), F.lit("edu"))).otherwise(none).alias("groups"),
+    )
+    return classify.roles(rows, spark.createDataFrame(rules.role_rows(), "role string, kind string, value string"))
+
+
+@REGISTRY("SELECT unnest([1, 2, 3, 4, 5]) AS idx, unnest([1, 1, 1, 2, 2]) AS page")
+def paged_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that overlap: the first by page stays."""
+    pages = {1: [(1, 1), (2, 1), (3, 1)], 2: [(3, 2), (4, 2), (5, 2)]}
+    return readers.paged_source(spark, lambda page: iter(pages[page]), "idx int, page int", 2, ["idx"])

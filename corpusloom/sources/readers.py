@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from corpusloom.operators.ranking import first_by
 from corpusloom.schema import CATALOG
 
 
@@ -138,13 +139,14 @@ class _PagedReader(DataSourceReader):
         return [_Page(i) for i in range(1, self.pages + 1)]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        yield from self.fetch(partition.number)
+        for place, row in enumerate(self.fetch(partition.number)):
+            yield partition.number, place, *row
 
 
 def paged_source(spark: SparkSession, fetch: Callable[[int], Iterator[tuple]], schema: str, pages: int,
                  keys: Sequence[str] = ()) -> DataFrame:
-    """A page a task, through a pluggable ``fetch(page)``; of rows with equal keys one stays."""
-    kind = type("Pages", (PagedSource,), {"fetch": staticmethod(fetch), "table": schema})
+    """A page a task, through a pluggable ``fetch(page)``; of rows with equal keys the first by page and place stays."""
+    kind = type("Pages", (PagedSource,), {"fetch": staticmethod(fetch), "table": f"_page int, _place int, {schema}"})
     spark.dataSource.register(kind)
     rows = spark.read.format("paged").option("pages", pages).load()
-    return rows.dropDuplicates(list(keys)) if keys else rows
+    return (first_by(rows, list(keys), [F.col("_page"), F.col("_place")]) if keys else rows).drop("_page", "_place")

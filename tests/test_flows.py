@@ -74,6 +74,9 @@ def test_deltas_replace_documents(spark, tmp_path):
     add([("ca:1", "new", "ca"), ("ca:3", "new", "ca")])
     got = {(r.doc_id, r.body) for r in spark.read.parquet(table).collect()}
     assert got == {("ca:1", "new"), ("ca:2", "old"), ("ca:3", "new"), ("legal:1", "old")}
+    add([("legal:1", "moved", "bylaws"), ("ca:2", "moved", "bylaws")])  # one leaves its partition empty
+    got = [(r.doc_id, r.body, r.corpus) for r in spark.read.parquet(table).collect()]
+    assert sorted(got) == [("ca:1", "new", "ca"), ("ca:2", "moved", "bylaws"), ("ca:3", "new", "ca"), ("legal:1", "moved", "bylaws")]
 
 
 def test_delta_of_another_corpus_fails(spark):
