@@ -23,6 +23,7 @@ from corpusloom.llm.shared import modest_batches, staged
 WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
+ROUNDS = 100
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
     "n_distinct", "n_marked_words", "n_lone_marks",
@@ -133,7 +134,7 @@ def rule_votes() -> dict[str, Column]:
     }
 
 
-def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, prior: float = 0.8) -> dict:
+def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = ROUNDS, prior: float = 0.8) -> dict:
     """Estimate by EM the prior and, for each class and rule, how often it votes bad, abstains and votes good.
 
     patterns: distinct vote rows (-1, 0, 1); weights: documents with each. A rule that abstains on clean texts tells by
@@ -146,13 +147,10 @@ def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200
     outcomes = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
     shares = np.zeros((2, patterns.shape[1], 3))
     for _ in range(rounds):
-        before = shares
         prior = float((weights * good).sum() + 2) / float(weights.sum() + 4)
         counted = [((weights * share)[:, None, None] * outcomes).sum(0) + 0.5 for share in (1 - good, good)]
         shares = np.stack([c / c.sum(1, keepdims=True) for c in counted])
         good = posterior(patterns, shares, prior)
-        if np.abs(before - shares).max() < 1e-7:
-            break
     right = np.stack([shares[0, :, 0], shares[1, :, 2]])
     accuracy = right / (shares[:, :, 0] + shares[:, :, 2])
     return {"shares": shares, "accuracy": accuracy, "prior": prior, "posterior": good}

@@ -41,7 +41,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_quality(_read(spark, sf_dir, "documents"))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "quality_probability",
+        F.round("quality_probability", 6).alias("quality_probability"),
     )
 
 
@@ -196,6 +196,61 @@ WHERE coalesce(source, '') = name AND (source IS NULL) = none
   AND (epoch < whole OR ("all" > 0 AND before + n / 2.0 <= rest))
 """
 
+_WORD, _BLANK = "[^\\x20\\x09-\\x0D]", "[\\x20\\x09-\\x0D]"
+#: the rules of op2 over the counts of a text, each a vote of 1, -1 or 0
+_OP2_VOTES = (
+    "CASE WHEN n_symbols / greatest(word_chars, 1) >= 0.04 THEN -1 ELSE 0 END",
+    "CASE WHEN n_dup_lines / greatest(n_lines, 1) >= 0.3 THEN -1 ELSE 0 END",
+    "CASE WHEN n_upper / greatest(n_letters, 1) >= 0.5 THEN -1 ELSE 0 END",
+    "CASE WHEN n_words >= 40 AND n_distinct / greatest(n_words, 1) <= 0.15 THEN -1 ELSE 0 END",
+    "CASE WHEN n_marked / greatest(n_words, 1) >= 0.3 THEN -1 ELSE 0 END",
+    "CASE WHEN n_lone / greatest(n_words, 1) >= 0.15 THEN -1 ELSE 0 END",
+    "CASE WHEN n_letters / greatest(word_chars, 1) <= 0.75 THEN -1 WHEN n_letters / greatest(word_chars, 1) >= 0.9 THEN 1 ELSE 0 END",
+    "CASE WHEN n_repeat_words / greatest(n_words, 1) >= 0.2 THEN -1 WHEN n_repeat_words / greatest(n_words, 1) <= 0.05 AND n_words >= 40 THEN 1 ELSE 0 END",
+    "CASE WHEN word_chars / greatest(n_words, 1) < 2 OR word_chars / greatest(n_words, 1) > 20 THEN -1 "
+    "WHEN word_chars / greatest(n_words, 1) BETWEEN 3 AND 10 THEN 1 ELSE 0 END",
+    "CASE WHEN n_words < 10 THEN -1 WHEN n_words >= 50 THEN 1 ELSE 0 END",
+)
+_NEXT = " || ' ' || ".join(["x", *(f"lead(x, {j}) OVER w" for j in range(1, quality_rules.WINDOW))])
+
+OP2_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS l,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM documents
+), windows AS (
+  SELECT r, i, {_NEXT} AS k FROM (SELECT r, unnest(l) AS x, unnest(range(len(l))) AS i FROM d) WINDOW w AS (PARTITION BY r ORDER BY i)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM windows WHERE k IS NOT NULL) WHERE c > 1
+), repeats AS (SELECT r, count(DISTINCT i + j) AS n FROM again CROSS JOIN range({quality_rules.WINDOW}) t(j) GROUP BY r),
+counts AS (
+  SELECT r, doc_id, len(l)::BIGINT AS n_words, length(regexp_replace(t, '{_BLANK}', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+    length(regexp_replace(t, '[\\x00-@\\[-`{{-\\x7F]', '', 'g')) AS n_letters, len(list_distinct(l)) AS n_distinct,
+    len(list_filter(l, lambda x: regexp_matches(x, '[!?#*$%&|<>=~^]'))) AS n_marked,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[!?#*$%&|<>=~^]$'))) AS n_lone
+  FROM d LEFT JOIN repeats USING (r)
+), voted AS (SELECT *, [{", ".join(_OP2_VOTES)}] AS votes FROM counts),
+patterns AS (SELECT votes, count(*)::DOUBLE AS n FROM voted GROUP BY votes),
+ballots AS (SELECT votes, n, unnest(votes) AS v, unnest(range(len(votes))) AS k FROM patterns),
+em AS (
+  SELECT 0 AS round, votes, 1 / (1 + exp(-(len(list_filter(votes, lambda v: v = 1)) - 2 * len(list_filter(votes, lambda v: v = -1)) - 2 + ln(4)))) AS g
+  FROM patterns
+  UNION ALL
+  SELECT round + 1, votes, 1 / (1 + exp(-least(greatest(ln(any_value(prior) / (1 - any_value(prior))) + sum(e), -60), 60))) FROM (
+    SELECT round, votes, (sum(n * g) OVER (PARTITION BY k) + 2) / (sum(n) OVER (PARTITION BY k) + 4) AS prior,
+      ln((sum(n * g) OVER (PARTITION BY k, v) + 0.5) / (sum(n * g) OVER (PARTITION BY k) + 1.5))
+        - ln((sum(n * (1 - g)) OVER (PARTITION BY k, v) + 0.5) / (sum(n * (1 - g)) OVER (PARTITION BY k) + 1.5)) AS e
+    FROM em JOIN ballots USING (votes) WHERE round < {quality_rules.ROUNDS}
+  ) GROUP BY round, votes
+), verdicts AS (
+  SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words AS base_failed
+  FROM voted JOIN em USING (votes) WHERE round = {quality_rules.ROUNDS}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND g >= 0.5 AS kept,
+  round(g, 6) AS quality_probability FROM verdicts
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -252,4 +307,4 @@ FROM d LEFT JOIN texts USING (r)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op3_ngram_join": OP3_SQL, "op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": OP2_SQL, "op3_ngram_join": OP3_SQL, "op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}

@@ -763,7 +763,7 @@ def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
 
 
-@pytest.mark.parametrize("name", ["op3_ngram_join", "op6_mixing", "op7_warc_bundles", "op8_secret_scan"])
+@pytest.mark.parametrize("name", ["op2_quality_rules", "op3_ngram_join", "op6_mixing", "op7_warc_bundles", "op8_secret_scan"])
 def test_sql(spark, sf_dir, duck, name):
     from corpusloom.llm import queries
     from tests.compare import assert_same
