@@ -2,10 +2,11 @@
 
 Two zstandard dictionaries are trained, one on blocks of texts labelled good and one on blocks of texts labelled bad. A
 whole text is cut into blocks, and every block is compressed with either dictionary; the difference of the two sizes, as a
-share of the text's bytes, says which class the text resembles. A logistic calibration on labelled rows that trained neither
-dictionary turns that difference, and nothing else, into a probability.
+share of the text's bytes, says which class the text resembles. A text that repeats itself compresses alike with any
+dictionary, so its size without one, as a share of its bytes, goes into the calibration beside the difference: a logistic
+regression on labelled rows that trained neither dictionary makes a probability of the two.
 
-Edge cases: null and empty texts are compressed as no bytes and get the calibrated value of no difference. With labels of
+Edge cases: null and empty texts are compressed as no bytes and get the calibrated value of no difference and no size gained. With labels of
 one class only every score is that class (1.0 or 0.0), without labels 0.5. Repeated rows and ids are scored row by row,
 repeated labels count once each. An empty table gives an empty result. Extra columns are not read, but stay in what ``keep``
 returns. The training sample is bounded by ``per_class`` (documents of a class, in expectation) and ``BLOCKS_A_TEXT`` (blocks
@@ -38,9 +39,9 @@ class Model:
 
     bad: bytes | None
     good: bytes | None
-    centre: float = 0.0
-    scale: float = 1.0
-    weights: tuple[float, float] = (0.0, 0.0)
+    centre: tuple[float, ...] = ()
+    scale: tuple[float, ...] = ()
+    weights: tuple[float, ...] = ()
     constant: float = 0.5
 
 
@@ -57,8 +58,9 @@ def train_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b" "
 
 
-def measurer(bad: bytes, good: bytes) -> Callable[[bytes], float]:
-    """A function from a text's bytes to the normalised difference of its compressed sizes."""
+def measurer(bad: bytes, good: bytes) -> Callable[[bytes], tuple[float, float]]:
+    """A function from a text's bytes to the normalised difference of its compressed sizes, and the size with neither."""
+    plain = zstandard.ZstdCompressor(level=1, write_checksum=False, write_content_size=False).compress
     either = []
     for content in (bad, good):
         table = zstandard.ZstdCompressionDict(content)
@@ -67,19 +69,20 @@ def measurer(bad: bytes, good: bytes) -> Callable[[bytes], float]:
         either.append(zstandard.ZstdCompressor(dict_data=table, level=1, **options).compress)
     by_bad, by_good = either
 
-    def measure(text: bytes) -> float:
-        parts = blocks(text)
-        return (sum(len(by_bad(b)) for b in parts) - sum(len(by_good(b)) for b in parts)) / max(1, len(text))
+    def measure(text: bytes) -> tuple[float, float]:
+        parts, n = blocks(text), max(1, len(text))
+        gap = sum(len(by_bad(b)) for b in parts) - sum(len(by_good(b)) for b in parts)
+        return gap / n, min(1.0, len(plain(text)) / n)
 
     return measure
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 40) -> tuple[float, float, np.ndarray]:
-    """Ridge-penalised logistic regression on one standardised feature by Newton steps: (centre, scale, weights)."""
-    centre, scale = float(x.mean()), float(x.std()) + 1e-9
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 40) -> tuple[np.ndarray, ...]:
+    """Ridge-penalised logistic regression on standardised features by Newton steps: (centre, scale, weights)."""
+    centre, scale = x.mean(0), x.std(0) + 1e-9
     z = np.c_[np.ones(len(x)), (x - centre) / scale]
-    w = np.zeros(2)
-    penalty = ridge * len(x) * np.eye(2)
+    w = np.zeros(z.shape[1])
+    penalty = ridge * len(x) * np.eye(len(w))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         s = np.maximum(p * (1 - p), 1e-6)
@@ -105,15 +108,16 @@ def sample_blocks(rows: DataFrame) -> DataFrame:
 
 
 def differences(rows: DataFrame, bad: bytes, good: bytes) -> DataFrame:
-    """(x, label) of each row (id, text, label)."""
+    """(gap, plain, label) of each row (id, text, label)."""
 
     def run(batches):
         measure = measurer(bad, good)
         for batch in batches:
-            found = pa.array([measure(t) for t in batch.column(1).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([found, batch.column(2)], ["x", "label"])
+            found = np.array([measure(t) for t in batch.column(1).to_pylist()]).reshape(-1, 2)
+            columns = [pa.array(found[:, 0]), pa.array(found[:, 1]), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["gap", "plain", "label"])
 
-    return rows.mapInArrow(run, "x double, label int")
+    return rows.mapInArrow(run, "gap double, plain double, label int")
 
 
 def fit_labelled(
@@ -138,19 +142,20 @@ def fit_labelled(
         return Model(None, None, constant=float(next(iter(known), 0.5)))
     got.sort(key=lambda r: (r["label"], r["id"], r["place"], bytes(r["block"])))
     bad, good = (train_dictionary([bytes(r["block"]) for r in got if r["label"] == y]) for y in (0, 1))
-    pairs = sorted((r["x"], r["label"]) for r in differences(rest, bad, good).collect())
-    if len({y for _, y in pairs}) < 2:
-        pairs = sorted((r["x"], r["label"]) for r in differences(rows.drop("_part"), bad, good).collect())
-    centre, scale, w = fit_logistic(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs], float))
-    return Model(bad, good, centre, scale, (float(w[0]), float(w[1])))
+    seen = sorted(map(tuple, differences(rest, bad, good).collect()))
+    if len({label for *_, label in seen}) < 2:
+        seen = sorted(map(tuple, differences(rows.drop("_part"), bad, good).collect()))
+    table = np.array(seen, float)
+    centre, scale, w = fit_logistic(table[:, :2], table[:, 2])
+    return Model(bad, good, tuple(centre.tolist()), tuple(scale.tolist()), tuple(w.tolist()))
 
 
-def probabilities(model: Model, measure: Callable[[bytes], float] | None, texts: pa.Array) -> np.ndarray:
+def probabilities(model: Model, measure: Callable[[bytes], tuple[float, float]] | None, texts: pa.Array) -> np.ndarray:
     """Scores of a batch of texts."""
     if measure is None:
         return np.full(len(texts), model.constant)
-    x = np.array([measure(t.as_py()) for t in texts], float)
-    z = model.weights[0] + model.weights[1] * (x - model.centre) / model.scale
+    x = np.array([measure(t.as_py()) for t in texts], float).reshape(len(texts), 2)
+    z = model.weights[0] + (x - model.centre) / model.scale @ np.array(model.weights[1:])
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
