@@ -258,6 +258,37 @@ def call_arguments(html: Column, function: str) -> Column:
     return F.arrays_zip(*(p.alias(n) for p, n in zip(parts, "abc", strict=True)))
 
 
+def _pairs(html: Column, pattern: str, first: str, second: str) -> Column:
+    """array<struct> of a pattern's two groups, trimmed; of pairs with one first group or an empty one the first stays."""
+    found = F.arrays_zip(
+        F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias(first), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias(second)
+    )
+    found = F.transform(found, lambda x: F.struct(strip(x[first]).alias(first), strip(x[second]).alias(second)))
+    found = F.filter(found, lambda x: (x[first] != "") & (x[second] != ""))
+    fresh = lambda kept, x: ~F.exists(kept, lambda k: k[first] == x[first])
+    add = lambda kept, x: F.when(fresh(kept, x), F.concat(kept, F.array(x))).otherwise(kept)
+    return F.aggregate(found, F.array().cast(f"array<struct<{first}: string, {second}: string>>"), add)
+
+
+def file_links(html: Column) -> Column:
+    """array<struct<file_no, name>> of the links to stored files, each file once."""
+    return _pairs(html, r"fileNo=(\d+)[^>]*>\s*([^<]+?)\s*<", "file_no", "name")
+
+
+def option_values(html: Column) -> Column:
+    """array<struct<value, label>> of the choices of a page's select boxes."""
+    return _pairs(html, r'(?i)<option\s[^>]*?value="([^"]*)"[^>]*>([^<]*)<', "value", "label")
+
+
+def section_files(html: Column, labels: tuple[str, ...]) -> Column:
+    """array<struct<label, files>>: file links between a table heading with one of the labels and the next heading."""
+    head = r"<th[^>]*>\s*([^<]{1,30}?)\s*</th>"
+    names, parts = F.regexp_extract_all(html, F.lit(head), F.lit(1)), F.split(html, head, -1)
+    sections = F.arrays_zip(names.alias("label"), F.slice(parts, F.lit(2), F.size(names)).alias("part"))
+    found = F.transform(sections, lambda x: F.struct(strip(x["label"]).alias("label"), file_links(x["part"]).alias("files")))
+    return F.filter(found, lambda x: x["label"].isin(*labels) & (F.size(x["files"]) > 0))
+
+
 def markdown_links(text: Column) -> Column:
     """array<struct<label, target>> of Markdown links that aren't images."""
     link = r"(?<!!)\[([^\]]*)\]\(([^)\s]+)\)"

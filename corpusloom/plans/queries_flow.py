@@ -554,3 +554,23 @@ def paged_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that overlap: the first by page stays."""
     pages = {1: [(1, 1), (2, 1), (3, 1)], 2: [(3, 2), (4, 2), (5, 2)]}
     return readers.paged_source(spark, lambda page: iter(pages[page]), "idx int, page int", 2, ["idx"])
+
+
+@REGISTRY("""SELECT p_partkey, p_partkey || '=' || p_name || ',' || (p_partkey + 1) || '=more' AS files, 'plan:' || (p_partkey + 1) || '=more' AS sections,
+p_size || '=' || p_brand AS options, '/a/b:' || p_name || ':c' AS calls FROM part""")
+def html_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File links, links below headings, choices and script calls of pages made from parts."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    html = F.concat(
+        F.lit("<table><tr><th>notes</th><td><a href='x?fileNo="), key, F.lit("'> "), name, F.lit(" </a><a href='x?fileNo="), key,
+        F.lit("'>again</a></td><th class='t'> plan </th><td><a href='x?fileNo="), key + 1, F.lit("'>more</a></td></table><option value=\""),
+        F.col("p_size"), F.lit("\">"), F.col("p_brand"), F.lit("</option><option value=\"\">none</option><a onclick=\"down('/a/b', '"), name,
+        F.lit("','c')\">")
+    )
+    joined = lambda pairs, a, b: F.array_join(F.transform(pairs, lambda x: F.concat(x[a], F.lit("="), x[b])), ",")
+    sections = F.transform(fn.section_files(html, ("plan",)), lambda x: F.concat(x["label"], F.lit(":"), joined(x["files"], "file_no", "name")))
+    calls = F.transform(fn.call_arguments(html, "down"), lambda x: F.concat_ws(":", x["a"], x["b"], x["c"]))
+    return _part(spark, sf_dir).select(
+        "p_partkey", joined(fn.file_links(html), "file_no", "name").alias("files"), F.array_join(sections, ";").alias("sections"),
+        joined(fn.option_values(html), "value", "label").alias("options"), F.array_join(calls, ";").alias("calls"),
+    )
