@@ -60,15 +60,15 @@ def fusion_key() -> Column:
 
 
 def reciprocal_rank_fusion(arms: Sequence[DataFrame], order: Sequence[Sequence[Column]], limit: int,
-                           key: Column | None = None, unique: str = "id") -> DataFrame:
+                           key: Column | None = None, unique: str = "id", depth: int = 1000) -> DataFrame:
     """Sum of 1 / (60 + rank) over the arms by key; the row seen first (by arm, then rank) stands for its key.
 
-    Each arm is a top list, so its global rank is over as many rows as the arm was limited to.
+    The first ``depth`` rows of each arm count, so a global rank is never over more rows than that.
     """
     ranked = None
     for number, (arm, by) in enumerate(zip(arms, order, strict=True)):
         place = F.row_number().over(Window.orderBy(*by))
-        own = arm.withColumn("_rank", place).withColumn("_arm", F.lit(number))
+        own = arm.orderBy(*by).limit(depth).withColumn("_rank", place).withColumn("_arm", F.lit(number))
         ranked = own if ranked is None else ranked.unionByName(own, allowMissingColumns=True)
     key = fusion_key() if key is None else key
     names = [c for c in ranked.columns if not c.startswith("_")]
