@@ -14,6 +14,7 @@ from corpusloom.llm import (
     quality_rules,
     secret_scan,
     token_blocks,
+    token_counts,
     toxicity,
     warc_bundles,
 )
@@ -105,10 +106,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, and how much of it fits into 2048 tokens."""
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_ngram_join, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
+        op11_token_counts,
     )
 }
 
