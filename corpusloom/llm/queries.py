@@ -16,6 +16,7 @@ from corpusloom.llm import (
     token_blocks,
     token_counts,
     toxicity,
+    vector_codes,
     warc_bundles,
 )
 from corpusloom.llm.shared import in_fold
@@ -111,11 +112,17 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every usable vector, their errors, and the digest of the codebooks."""
+    coded, books = vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.digest).alias("codebooks_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_ngram_join, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
-        op11_token_counts,
+        op11_token_counts, op13_vector_codes,
     )
 }
 
