@@ -13,6 +13,7 @@ from corpusloom.llm import (
     ngram_join,
     quality_rules,
     secret_scan,
+    token_alignment,
     token_blocks,
     token_counts,
     toxicity,
@@ -112,6 +113,11 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of every document."""
+    return token_alignment.alignment_report(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of every usable vector, their errors, and the digest of the codebooks."""
     coded, books = vector_codes.compress(_read(spark, sf_dir, "embeddings"))
@@ -122,7 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_ngram_join, op4_language_id, op5_token_blocks, op6_mixing, op7_warc_bundles, op8_secret_scan, op9_compression_classifier, op10_toxicity,
-        op11_token_counts, op13_vector_codes,
+        op11_token_counts, op12_token_alignment, op13_vector_codes,
     )
 }
 
