@@ -36,8 +36,8 @@ from corpusloom.llm.kernels import WHITESPACE, Words, release, text_slices
 from corpusloom.llm.shared import modest_batches, staged
 from corpusloom.llm.token_counts import byte_symbols
 
-SLICE, BUNDLE = 1 << 20, 1 << 22
-UNITS_KEPT = 1_000_000
+SLICE, BUNDLE = 1 << 20, 1 << 20
+UNITS_KEPT = 600_000
 UNITS_A_CALL = 400
 FREQUENT = 500_000
 SPACE = "▁"
@@ -209,11 +209,11 @@ def spaced(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, offsets + np.concatenate(([0], np.cumsum(full)))
 
 
-TOKENS = "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
+TOKENS = "a_ids array<int>, a_sizes array<int>, a_ends array<int>, b_ids array<int>, b_sizes array<int>, b_ends array<int>"
 
 
 def tokenised(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, a_ids, a_ends, b_ids, b_ends) of every row: tokens under A and B, and where they end in the bytes of space + text."""
+    """(id, a_ids, a_sizes, a_ends, b_...) of every row: tokens under A and B, their bytes, and where they end in space + text."""
     modest_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(TOKENS).fields])
 
@@ -222,9 +222,10 @@ def tokenised(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
         for batch in batches:
             for lo, hi, raw, offsets in text_slices(batch.column(1), SLICE):
                 columns = [batch.column(0).slice(lo, hi - lo)]
-                for ids, ends, bounds in table.encode(*spaced(raw, offsets)):
+                sides = table.encode(*spaced(raw, offsets))
+                for (ids, ends, bounds), sizes in zip(sides, (table.size_a, table.size_b), strict=True):
                     at = pa.array(bounds.astype(np.int32))
-                    columns += [pa.ListArray.from_arrays(at, pa.array(values)) for values in (ids, ends)]
+                    columns += [pa.ListArray.from_arrays(at, pa.array(values)) for values in (ids, sizes[ids], ends)]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
         release()
 
@@ -260,7 +261,7 @@ def bundled(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
                     columns.append(pa.ListArray.from_arrays(one, pa.array(per_text.astype(np.int32))))
                 columns.append(pa.array([unit_ends.astype(np.int32)], pa.list_(pa.int32())))
                 for (ids, _), sizes in zip(sides, (table.size_a, table.size_b), strict=True):
-                    columns += [pa.array([x], pa.list_(pa.int32())) for x in (ids, np.cumsum(sizes[ids]).astype(np.int32))]
+                    columns += [pa.array([x], pa.list_(pa.int32())) for x in (ids, sizes[ids], np.cumsum(sizes[ids]).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
         release()
 
@@ -279,27 +280,27 @@ def _spans(ends: Column) -> Column:
     return F.transform(ends, lambda end, k: end - F.coalesce(F.get(ends, k - 1), F.lit(0)))
 
 
-def _by_byte(ends: Column, value) -> Column:
+def _by_byte(sizes: Column, value) -> Column:
     """For each byte, ``value`` of the number (from 0) of the span that holds it."""
-    return F.flatten(F.transform(_spans(ends), lambda n, k: F.array_repeat(value(k), n)))
+    return F.flatten(F.transform(sizes, lambda n, k: F.array_repeat(value(k), n)))
 
 
-def _marks(ends: Column, inside: str, last: str) -> Column:
-    """For each byte, ``last`` where a span ends and ``inside`` elsewhere."""
-    return F.flatten(F.transform(_spans(ends), lambda n: F.concat(F.array_repeat(F.lit(inside), n - 1), F.array(F.lit(last)))))
+def _last(ends: Column) -> Column:
+    """For each byte, whether a span ends with it."""
+    return F.flatten(F.transform(_spans(ends), lambda n: F.concat(F.array_repeat(F.lit(False), n - 1), F.array(F.lit(True)))))
 
 
 def faced(tokens: DataFrame) -> DataFrame:
     """``tokens`` with the ends that both sides share, all ends in order, and the id of either side that holds each byte."""
     return _steps(
         tokens, shared=F.array_intersect("a_ends", "b_ends"), ends=F.sort_array(F.array_union("a_ends", "b_ends")),
-        a_held=_by_byte(F.col("a_ends"), lambda k: F.get("a_ids", k)), b_held=_by_byte(F.col("b_ends"), lambda k: F.get("b_ids", k)),
+        **{f"{side}_held": F.flatten(F.zip_with(f"{side}_ids", f"{side}_sizes", F.array_repeat)) for side in "ab"},
     )
 
 
 def aligned(tokens: DataFrame) -> DataFrame:
     """``tokens`` with ``groups`` (array of a, b: the ids of either side) and ``links`` (array of a, b: linked ids), in order."""
-    numbers = {f"{side}_number": _by_byte(F.col(f"{side}_ends"), lambda k: k + 1) for side in "ab"}
+    numbers = {f"{side}_number": _by_byte(F.col(f"{side}_sizes"), lambda k: k + 1) for side in "ab"}
 
     def members(side: str, end: Column, g: Column) -> Column:
         first = F.coalesce(F.element_at(f"{side}_number", F.get("shared", g - 1)), F.lit(0)) + 1
@@ -318,18 +319,21 @@ def run_reports(runs: DataFrame, base: int) -> DataFrame:
     """
     found = _steps(
         faced(runs),
-        mark=_marks(F.col("shared"), ",", "|"), unit_mark=_marks(F.col("unit_ends"), ";", " "),
-        link_number=_by_byte(F.col("ends"), lambda k: k + 1),
+        closes_group=_last(F.col("shared")), closes_unit=_last(F.col("unit_ends")),
+        link_number=_by_byte(_spans(F.col("ends")), lambda k: k + 1),
         pairs=F.transform("ends", lambda end: F.element_at("a_held", end).cast("long") * base + F.element_at("b_held", end)),
     )
 
+    def mark(closes: str, end: Column, yes: str, no: str) -> Column:
+        return F.when(F.element_at(closes, end), yes).otherwise(no)
+
     def side(ids: str, ends: str) -> Column:
-        marked = F.zip_with(F.col(ids).cast("array<string>"), F.col(ends), lambda x, end: F.concat(x, F.element_at("mark", end)))
+        marked = F.zip_with(F.col(ids).cast("array<string>"), F.col(ends), lambda x, end: F.concat(x, mark("closes_group", end, "|", ",")))
         return F.split(F.array_join(marked, ""), "[|]")
 
     found = _steps(found, a_groups=side("a_ids", "a_ends"), b_groups=side("b_ids", "b_ends"))
     texts = F.transform(
-        "shared", lambda end, g: F.concat(F.get("a_groups", g), F.lit("|"), F.get("b_groups", g), F.element_at("unit_mark", end))
+        "shared", lambda end, g: F.concat(F.get("a_groups", g), F.lit("|"), F.get("b_groups", g), mark("closes_unit", end, " ", ";"))
     )
     before = lambda k: F.coalesce(F.element_at("link_number", F.get("unit_ends", k - 1)), F.lit(0))
     links = F.transform("unit_ends", lambda end, k: F.slice("pairs", before(k) + 1, F.element_at("link_number", end) - before(k)))
