@@ -141,9 +141,11 @@ def update_from(old: DataFrame, changes: DataFrame, key: str, column: str) -> Da
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, partition: dict[str, str] | None = None) -> None:
-    """Write each table as Parquet; a partition column makes it a dynamic overwrite of just the partitions written.
+    """Write each table as plain Parquet; a partition column makes it a dynamic overwrite of just the partitions written.
 
-    Other tables are written aside and renamed, so a table is whole at any time: the old one, or the new one.
+    Other tables are written aside, the old one is moved aside and the new one put in its place. No step deletes the only
+    copy: a writer that is killed between the two moves leaves the old table as ``_name.old``, and the next call of
+    ``write_tables`` or ``recover`` puts it back. Where readers must never miss a table, use ``snapshots.Store``.
     """
     for name, rows in tables.items():
         column = (partition or {}).get(name)
@@ -155,10 +157,26 @@ def write_tables(tables: dict[str, DataFrame], root: str, partition: dict[str, s
         rows.write.parquet(aside)
         jvm, conf = rows.sparkSession._jvm, rows.sparkSession._jsparkSession.sessionState().newHadoopConf()
         old, new = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), jvm.org.apache.hadoop.fs.Path(aside)
-        system = new.getFileSystem(conf)
-        system.delete(old, True)
+        system, before = new.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(f"{root}/_{name}.old")
+        recover(rows.sparkSession, root, name)
+        if system.exists(old) and not system.rename(old, before):
+            raise OSError(f"can't rename {old}")
         if not system.rename(new, old):
+            recover(rows.sparkSession, root, name)
             raise OSError(f"can't rename {aside}")
+        system.delete(before, True)
+
+
+def recover(spark, root: str, name: str) -> None:
+    """Put a table's old folder back if a writer was killed before the new one was there; drop it if the new one is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old, before = path(f"{root}/{name}"), path(f"{root}/_{name}.old")
+    system = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if system.exists(before):
+        if system.exists(old):
+            system.delete(before, True)
+        elif not system.rename(before, old):
+            raise OSError(f"can't rename {before}")
 
 
 def load_run(spark, script: str, mode: str, corpus: str, n_docs: int, n_articles: int, started_at) -> DataFrame:

@@ -117,10 +117,22 @@ def exact_article(rows: DataFrame, spec: SearchSpec) -> DataFrame | None:
     return found.withColumn("score", F.lit(1.0)).orderBy(*list_order()[1:]).limit(spec.limit)
 
 
-def keyword_hits(rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class IndexScores:
+    """(id, similarity) of the articles and of the documents whose titles reach the threshold, from a stored index."""
+
+    articles: DataFrame
+    documents: DataFrame
+
+
+def keyword_hits(
+    rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None, indexed: IndexScores | None = None
+) -> DataFrame:
     """Scored rows: article hits, and but for the disclosure corpus each matching document's first article.
 
     ``documents``: the table of documents, one row each; without it names are taken from the rows of their articles.
+    ``indexed``: scores of the keyword from a stored index, in place of cutting every title into trigrams; a search in
+    bodies reads the bodies all the same.
 
     The branches aren't deduplicated: an article that hits both ways is there twice.
     """
@@ -132,30 +144,45 @@ def keyword_hits(rows: DataFrame, spec: SearchSpec, documents: DataFrame | None
         hit = _contains(F.col("title"), keyword, spec.escape) | _contains(F.col("body"), keyword, spec.escape)
         articles = rows.filter(F.coalesce(hit, F.lit(False))).withColumn("score", score)
     else:
-        raw = trigram_similarity(F.col("title"), word)
-        articles = rows.withColumn("_raw", raw).filter(F.col("_raw") >= THRESHOLD)
-        articles = articles.withColumn("score", F.round("_raw", 3)).drop("_raw")
+        if indexed is not None:
+            articles = rows.join(indexed.articles.withColumnRenamed("similarity", "_raw"), "id")
+        else:
+            articles = rows.withColumn("_raw", trigram_similarity(F.col("title"), word)).filter(F.col("_raw") >= THRESHOLD)
+        articles = articles.withColumn("score", F.round("_raw", 3)).drop("_raw").select(*rows.columns, "score")
     if spec.corpus == "disclosure":
         return articles
     # documents are scored by themselves, and only those that match meet their articles
+    firsts = _first_articles(rows, _matching(rows, word, documents, indexed))
+    return articles.unionByName(firsts)
+
+
+def _matching(rows: DataFrame, word: str, documents: DataFrame | None, indexed: IndexScores | None) -> DataFrame:
+    """(doc_id, _raw) of the documents whose title or alias reaches the threshold."""
+    if indexed is not None:
+        return indexed.documents.select(F.col("id").alias("doc_id"), F.col("similarity").alias("_raw"))
     names = rows.select("doc_id", "doc_title", "alias") if documents is None else documents.select("doc_id", "doc_title", "alias")
     by_title = F.coalesce(trigram_similarity(F.col("doc_title"), word), F.lit(0.0))
     by_alias = F.coalesce(trigram_similarity(F.col("alias"), word), F.lit(0.0))
     raw = F.greatest(by_title, by_alias)
     matched = names.select("doc_id", raw.alias("_raw")).filter(F.col("_raw") >= THRESHOLD)
-    matched = matched.distinct() if documents is None else matched
+    return matched.distinct() if documents is None else matched
+
+
+def _first_articles(rows: DataFrame, matched: DataFrame) -> DataFrame:
+    """The first article of each matching document, with the document's score."""
     firsts = first_by(rows.join(matched, "doc_id"), ["doc_id"], [F.col("art_no").asc_nulls_last(), F.col("id")])
-    documents = firsts.withColumn("score", F.round("_raw", 3)).drop("_raw")
-    return articles.unionByName(documents)
+    return firsts.withColumn("score", F.round("_raw", 3)).drop("_raw").select(*rows.columns, "score")
 
 
-def keyword_search(rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None) -> DataFrame:
+def keyword_search(
+    rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None, indexed: IndexScores | None = None
+) -> DataFrame:
     """Keyword search with routing: article numbers are looked up, other keywords are matched by trigrams."""
     exact = exact_article(rows, spec)
     if exact is not None:
         return exact
     fetch = min(300, spec.limit * 4) if spec.group else spec.limit
-    hits = keyword_hits(rows, spec, documents)
+    hits = keyword_hits(rows, spec, documents, indexed)
     if spec.corpus == "all" and spec.fan_out:
         found = corpus_fan_out(hits, [F.col("inst_name").asc_nulls_last(), F.col("id")], fetch)
     else:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.similarity import cosine, dot
@@ -61,7 +61,7 @@ def nearest_cells(centres: DataFrame, query: list[float]) -> list[int]:
 
 
 def search(
-    store: Store, name: str, query: list[float], limit: int, key: str, column: str = "embedding", probes: int = PROBES, exact: bool = False,
+    store: Store, name: str, query: list[float], limit: int, key: str, column: str = "embedding", probes: int | None = None, exact: bool = False,
     allowed: DataFrame | None = None, state: State | None = None,
 ) -> DataFrame:
     """(key, cosine) of the ``limit`` nearest rows in the probed cells; ``allowed`` holds the keys that pass the filters.
@@ -76,7 +76,7 @@ def search(
     for part in table.parts:
         by_cell.setdefault(part.value, []).append(part)
     held = [c for c in order if c in by_cell]
-    at = len(held) if exact else max(1, probes)
+    at = len(held) if exact else max(1, probes or state.marks.get(f"{name}:probes", PROBES))
     while True:
         rows = store.rows(table, tuple(p for c in held[:at] for p in by_cell[c]))
         rows = rows if allowed is None else rows.join(allowed.select(key).distinct(), key, "left_semi")
@@ -84,3 +84,37 @@ def search(
         if at >= len(held) or found.count() >= limit:
             return found
         at *= 2
+
+
+def cell_ranks(store: Store, state: State, name: str, queries: DataFrame, key: str, limit: int, column: str = "embedding") -> DataFrame:
+    """(asked, rank): for each of a query's exact neighbours, which place its cell has among the cells nearest to the query.
+
+    A stated set of queries against all rows: queries and centres are small tables; each task keeps the first rows of a query.
+    """
+    asked = F.broadcast(queries.select(F.col(key).alias("asked"), F.col(column).alias("_query")).filter("_query is not null"))
+    centres = F.broadcast(store.rows(state.tables[f"{name}_centres"]))
+    best = lambda c, tie: Window.partitionBy("asked").orderBy(F.desc(c), tie)
+    near = centres.join(asked).withColumn("_near", cosine(F.col("centre"), F.col("_query")))
+    ranks = near.select("asked", "cell", F.row_number().over(best("_near", "cell")).alias("rank"))
+    scored = store.rows(state.tables[f"{name}_cells"]).join(asked).withColumn("_cosine", cosine(F.col(column), F.col("_query")))
+    top = scored.withColumn("_place", F.row_number().over(best("_cosine", key))).filter(F.col("_place") <= limit)
+    return top.select("asked", "cell").join(ranks, ["asked", "cell"]).select("asked", "rank")
+
+
+def probes_for(ranks: DataFrame, target: float) -> int:
+    """The fewest probes with which ``target`` of the neighbours are found (a histogram of as many rows as cells is collected)."""
+    counts = sorted((r["rank"], r["count"]) for r in ranks.groupBy("rank").count().collect())
+    total, found = sum(n for _, n in counts), 0
+    for rank, n in counts:
+        found += n
+        if found >= target * total:
+            return rank
+    return PROBES
+
+
+def tuned(store: Store, name: str, queries: DataFrame, key: str, limit: int = 10, target: float = 0.95, column: str = "embedding") -> State:
+    """Measure how many cells a search must probe to find ``target`` of the exact neighbours of some queries, and keep that
+    number with the index: searches that name no number of probes take it."""
+    state = store.state()
+    probes = probes_for(cell_ranks(store, state, name, queries, key, limit, column), target)
+    return store.commit(state, {}, {f"{name}:probes": probes})

@@ -1,4 +1,4 @@
-"""Corpus build: Markdown files to staged tables, through the gate, to stored tables with hashes and queue."""
+"""Corpus build: Markdown files to staged tables, through the gate, to snapshot tables with hashes, queue and title indexes."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import document_type, front_matter, without_front_matter
-from corpusloom.operators import catalog, chunk, load, segment
+from corpusloom.operators import catalog, chunk, load, segment, title_index
+from corpusloom.operators.search import IndexScores
+from corpusloom.operators.snapshots import Store
 from corpusloom.sources import readers
 
 
@@ -53,18 +55,81 @@ def places(articles: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     return ranged.withColumn("within", within).join(starts, "part").select(key, (F.col("start") + F.col("within")).alias("before"))
 
 
+ARTICLE_INDEX, DOCUMENT_INDEX = "article_titles", "document_titles"
+#: the columns that each index looks into
+ARTICLE_TEXTS, DOCUMENT_TEXTS = ["title"], ["doc_title", "alias"]
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Documents with an alias column."""
+    return docs if "alias" in docs.columns else docs.withColumn("alias", F.lit(None).cast("string"))
+
+
+def _numbered(articles: DataFrame, folder: str, after: int = 0) -> DataFrame:
+    """Articles with ids in the order of (doc_id, seq), their text as ``body``, and the corpus they are stored by."""
+    rows = articles.join(places(articles, folder), "doc_id").withColumn("id", F.col("before") + F.col("seq") + after).drop("before")
+    return rows.withColumnRenamed("text", "body").withColumn("corpus_part", F.substring_index("doc_id", ":", 1))
+
+
+def database(spark: SparkSession, root: str) -> Store:
+    """The snapshot tables that ``store`` and ``refresh`` write."""
+    return Store(spark, f"{root.rstrip('/')}/store")
+
+
+def tables(db: Store) -> dict[str, DataFrame]:
+    """The stored tables of the latest version, without the indexes."""
+    state = db.state()
+    names = ("documents", "articles", "institutions", "article_hash", "embed_queue")
+    return {name: db.rows(state.tables[name]).drop("corpus_part") for name in names}
+
+
 def store(docs: DataFrame, articles: DataFrame, root: str) -> dict[str, DataFrame]:
     """Check the gate (an action), then write and return documents, articles, institutions, hashes and queue.
 
-    Article ids follow the order of (doc_id, seq), so building again gives the same ones.
+    Article ids follow the order of (doc_id, seq), so building again gives the same ones. All tables and the trigram indexes
+    over titles become visible at once, as one version of the snapshot tables in ``database``.
+    """
+    load.require(load.gate(docs, articles))
+    db = database(docs.sparkSession, root)
+    base, docs = db.state(), _named(docs)
+    made = {"documents": db.write(docs, "corpus"), "articles": db.write(_numbered(articles, f"{root}/article_places"), "corpus_part")}
+    docs, rows = (db.rows(made[n]) for n in ("documents", "articles"))
+    made["article_hash"] = db.write(load.hashes(rows))
+    made["embed_queue"] = db.write(load.queue(db.rows(made["article_hash"])))
+    made["institutions"] = db.write(load.institutions(docs))
+    made |= title_index.built(db, ARTICLE_INDEX, rows, ARTICLE_TEXTS)
+    made |= title_index.built(db, DOCUMENT_INDEX, docs, DOCUMENT_TEXTS, "doc_id")
+    db.commit(base, made)
+    return tables(db)
+
+
+def refresh(docs: DataFrame, articles: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Delta load: the given documents and their articles replace what is stored of them; indexes get a generation more.
+
+    Articles get ids after the stored ones. Only the corpora of the delta are rewritten, besides the narrow tables of hashes.
     """
     load.require(load.gate(docs, articles))
-    rows = articles.join(places(articles, f"{root}/article_places"), "doc_id").withColumn("id", F.col("before") + F.col("seq")).drop("before")
-    rows = rows.withColumnRenamed("text", "body")
-    hashes = load.hashes(rows)
-    tables = {
-        "documents": docs, "articles": rows, "institutions": load.institutions(docs), "article_hash": hashes,
-        "embed_queue": load.queue(hashes),
+    db = database(docs.sparkSession, root)
+    base = db.state()
+    was = base.tables
+    last = db.rows(was["articles"]).agg(F.max("id")).first()[0] or 0
+    new = db.write(_numbered(articles, f"{root}/article_places", last))
+    delta, docs = db.rows(new), db.rows(db.write(_named(docs).select(*was["documents"].struct.names)))
+    ids = docs.select("doc_id")
+    gone = db.rows(was["articles"]).join(ids.distinct(), "doc_id", "left_semi").select("id")
+    made = {
+        "documents": db.replaced(was["documents"], docs, "doc_id"), "articles": db.replaced(was["articles"], delta, "doc_id", ids),
+        "article_hash": db.replaced(was["article_hash"], load.hashes(delta), "id", gone),
     }
-    load.write_tables(tables, root)
-    return {name: docs.sparkSession.read.parquet(f"{root}/{name}") for name in tables}
+    made["embed_queue"] = db.write(load.queue(db.rows(made["article_hash"])))
+    made["institutions"] = db.write(load.institutions(db.rows(made["documents"])))
+    made |= title_index.updated(db, base, ARTICLE_INDEX, delta, gone, ARTICLE_TEXTS)
+    made |= title_index.updated(db, base, DOCUMENT_INDEX, docs, ids, DOCUMENT_TEXTS, "doc_id")
+    db.commit(base, made)
+    return tables(db)
+
+
+def index_scores(db: Store, keyword: str) -> IndexScores:
+    """What the stored indexes say of a keyword, cut to the 40 characters that a search looks for."""
+    state, word = db.state(), keyword[:40]
+    return IndexScores(*(title_index.search(db, name, word, state=state) for name in (ARTICLE_INDEX, DOCUMENT_INDEX)))

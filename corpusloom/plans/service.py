@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from corpusloom.operators import search
+from corpusloom.operators.snapshots import Store
+from corpusloom.plans import build
 from corpusloom.operators.search import SearchSpec
 
 
 @dataclass(frozen=True)
 class Tables:
-    """The stored tables; the last three are only needed for semantic search."""
+    """The stored tables; hashes, queue and embeddings are only needed for semantic search."""
 
     articles: DataFrame
     documents: DataFrame
@@ -21,6 +23,8 @@ class Tables:
     hashes: DataFrame | None = None
     queue: DataFrame | None = None
     embeddings: DataFrame | None = None
+    #: snapshot tables with the title indexes that ``build.store`` makes; without them every title is scored
+    store: Store | None = None
 
 
 def run(tables: Tables, spec: SearchSpec, mode: str = "keyword", vector: Callable[[str], list[float]] | None = None,
@@ -32,8 +36,9 @@ def run(tables: Tables, spec: SearchSpec, mode: str = "keyword", vector: Callabl
     """
     rows = search.joined(tables.articles, tables.documents, tables.institutions)
     exact = search.exact_article(rows, spec)
+    indexed = build.index_scores(tables.store, spec.keyword) if tables.store is not None and exact is None and not spec.body else None
     if exact is not None or mode == "keyword" or (mode == "hybrid" and vector is None):
-        return exact if exact is not None else search.keyword_search(rows, spec, tables.documents)
+        return exact if exact is not None else search.keyword_search(rows, spec, tables.documents, indexed)
     if vector is None:
         raise ValueError("semantic search needs a function from texts to vectors")
     depth = min(100, max(20, spec.limit * 2)) if mode == "hybrid" else spec.limit * (4 if spec.group else 1)
@@ -45,4 +50,4 @@ def run(tables: Tables, spec: SearchSpec, mode: str = "keyword", vector: Callabl
     ]
     if mode == "semantic":
         return search.semantic_search(arms, spec)
-    return search.hybrid_search(search.keyword_search(rows, deep, tables.documents), search.semantic_search(arms, deep), spec)
+    return search.hybrid_search(search.keyword_search(rows, deep, tables.documents, indexed), search.semantic_search(arms, deep), spec)

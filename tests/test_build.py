@@ -41,3 +41,49 @@ def test_chunked_build(spark, tmp_path):
     docs, articles = build.stage(spark, str(tmp_path), "disclosure", chunked=True)
     assert {r.rel_path: r.parse_status for r in docs.collect()} == {"a.md": "chunked", "b.md": "empty"}
     load.require(load.gate(docs, articles))
+
+
+def test_stored_index_answers_and_follows_deltas(spark, tmp_path, monkeypatch):
+    """Searches from the stored index give what scoring every title gives, before and after a delta; no title is scanned."""
+    for code, name in (("C1", "가원"), ("C2", "나원"), ("C3", "다원")):
+        folder = tmp_path / "md" / f"[부처]{name}_{code}"
+        folder.mkdir(parents=True)
+        (folder / "인사규정_20240101.md").write_text(REGULATION)
+    root = str(tmp_path / "db")
+    build.store(*build.stage(spark, str(tmp_path / "md"), "bylaws"), root)
+
+    def compare():
+        db = build.database(spark, root)
+        now = build.tables(db)
+        documents = now["documents"].withColumn("usecases", F.lit(None).cast("array<string>")).drop("inst_name", "ministry")
+        found = []
+        for keyword in ("연차휴가", "인사규정", "목적", "보수"):
+            for store in (None, db):
+                stored = service.Tables(now["articles"], documents, now["institutions"], store=store)
+                got = service.run(stored, search.http_spec(keyword=keyword))
+                found.append(sorted((r.doc_id, r.art_ref, r.score) for r in got.collect()))
+            assert found[-2] == found[-1], keyword
+        return found[1::2], now
+
+    before, tables = compare()
+    assert [len(f) for f in before] == [3, 3, 3, 0] and tables["articles"].count() == 6
+    path = tmp_path / "md" / "[부처]나원_C2" / "인사규정_20240101.md"
+    path.write_text(REGULATION.replace("연차휴가", "보수").replace("인사규정", "보수규정") + "제3조(연차휴가) 더한다.\n")
+    docs, articles = build.stage(spark, str(tmp_path / "md"), "bylaws")
+    changed = F.col("doc_id").contains("C2")
+    build.refresh(docs.filter(changed), articles.filter(changed), root)
+    after, tables = compare()
+    assert [len(f) for f in after] == [3, 2, 3, 2] and tables["articles"].count() == 7
+    ids = [r.id for r in tables["articles"].collect()]
+    assert len(set(ids)) == 7 and sorted(r.id for r in tables["article_hash"].collect()) == sorted(ids)
+    assert build.database(spark, root).versions() == [1, 2]
+
+
+def test_a_killed_table_writer_loses_nothing(spark, tmp_path):
+    rows = spark.range(3).withColumnRenamed("id", "x")
+    load.write_tables({"t": rows}, str(tmp_path))
+    (tmp_path / "t").rename(tmp_path / "_t.old")  # as if killed between the two moves
+    load.recover(spark, str(tmp_path), "t")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    load.write_tables({"t": rows.limit(1)}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1 and [p.name for p in tmp_path.iterdir()] == ["t"]

@@ -103,6 +103,17 @@ def test_recall_of_probed_cells(vectors, vector_store):
     assert hits >= 0.9 * 10 * len(queries)
 
 
+def test_probes_are_tuned_to_a_recall(spark, sf_dir, vectors, vector_store):
+    state = vector_index.tuned(vector_store, "v", vectors.filter("id % 100 = 1"), "id", target=0.97)
+    ranks = vector_index.cell_ranks(vector_store, state, "v", vectors.filter("id % 100 = 2"), "id", 10).collect()
+    assert len(ranks) == 300 and sum(r["rank"] <= state.marks["v:probes"] for r in ranks) >= 270
+    assert vector_index.probes_for(spark.createDataFrame([(1, 1)] * 8 + [(1, 3), (1, 9)], "asked int, rank int"), 0.9) == 3
+    from corpusloom.plans.queries_store import cells_recall
+
+    found = cells_recall(spark, sf_dir).collect()
+    assert sum(r.found for r in found) >= 0.9 * sum(r.asked for r in found) > 0
+
+
 def test_every_vector_stands_in_one_cell_and_probes_read_few(spark, vectors, vector_store):
     state = vector_store.state()
     assert sorted(r.id for r in vector_store.read("v_cells").select("id").collect()) == list(range(3000))
