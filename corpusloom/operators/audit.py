@@ -18,10 +18,12 @@ HEADING = r"^\s*#{1,6}\s+제\s*(\d+)\s*조(?:\s|\(|\z)"
 PLAIN = r"^(?!\s*(?:#|\||<!--|```))\s*제\s*(\d+)\s*조(?:\s|\(|\z)"
 EMBEDDED = r"제\s*(\d+)\s*조\s*\([^)]{1,100}\)"
 ANY_ARTICLE = r"^\s*(?:#{1,6}\s+)?제\s*\d+\s*조(?:\s|\(|\z)"
-TITLE_ONLY = r"^\s*제\s*\d+\s*조(?:\s*\([^)]*\))?\s*\z"
-#: fixed values: document kinds that repairs leave alone, and those they are for
+TITLED = r"^제\s*\d+\s*조\s*\("
+TITLE_ONLY = r"^제\s*\d+\s*조(?:의\s*\d+)?\s*\([^()]*\)\s*\z"
+#: fixed values: document kinds that repairs leave alone, those they are for, and those that compare versions
 EXCLUDED = "규정|규칙|규약|정관|내규|법|시행령|시행규칙|기준|지침|요령|세칙|예규|강령|준칙|신구조문"
 AGREEMENTS = "단체협약|보충협약|현장협약|임금협약|노사협약"
+COMPARISON = r"신구|대비표|대조표|개정\s*\(안\)|개정안|주요개정"
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮⑯⑰⑱⑲⑳"
 LETTERS = "가나다라마바사아자차카타파하"
 
@@ -78,18 +80,29 @@ def audit_summary(gaps: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def repair_headings(rows: DataFrame, gaps: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Lines with ``### `` before eligible title-only article lines. Raises where a line isn't what the audit saw."""
-    wanted = gaps.filter((F.col("grade") == "A") & ~F.col("excluded")).select(
-        key, F.col("line").alias("pos"), F.col("text").alias("_seen")
-    ).dropDuplicates([key, "pos"])
+REPAIR, SPLIT = "repair", "title_body_split_candidate"
+
+
+def heading_candidates(gaps: DataFrame, names: DataFrame, key: str = "doc_id", name: str = "name") -> DataFrame:
+    """The gaps that a repair may look at, with ``action``: grade A lines with a bracketed title, in agreements that don't
+    compare versions. A line of the title alone is repaired; one whose text goes on behind it is only reported, as a heading
+    with its text on one line would break what reads it. ``names``: (key, name), a row for each document."""
+    named = gaps.join(names.select(key, F.col(name).alias("_name")), key)
+    of_kind = F.regexp_like("_name", F.lit(AGREEMENTS)) & ~F.regexp_like("_name", F.lit(COMPARISON))
+    eligible = named.filter((F.col("grade") == "A") & ~F.col("excluded") & of_kind & F.regexp_like("text", F.lit(TITLED)))
+    action = F.when(F.regexp_like("text", F.lit(TITLE_ONLY)), REPAIR).otherwise(SPLIT)
+    return eligible.select(*gaps.columns, action.alias("action"))
+
+
+def repair_headings(rows: DataFrame, candidates: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Lines with ``### `` before those to repair. Raises where a line isn't what the audit saw, or is named twice."""
+    wanted = candidates.filter(F.col("action") == REPAIR).groupBy(key, F.col("line").alias("pos"))
+    twice = F.raise_error(F.lit("two candidates for one line")).cast("string")
+    wanted = wanted.agg(F.when(F.count("*") > 1, twice).otherwise(F.max("text")).alias("_seen"))
     joined = rows.join(wanted, [key, "pos"], "left")
-    stale = F.col("_seen").isNotNull() & (strip(F.col("line")) != F.col("_seen"))
-    fit = F.col("_seen").isNotNull() & F.regexp_like("line", F.lit(TITLE_ONLY))
-    fixed = F.when(stale, F.raise_error(F.lit("the line has changed since the audit")).cast("string")).when(
-        fit, F.concat(F.lit("### "), strip(F.col("line")))
-    )
-    return joined.withColumn("line", F.coalesce(fixed, F.col("line"))).drop("_seen")
+    stale = F.raise_error(F.lit("the line has changed since the audit")).cast("string")
+    fixed = F.when(strip(F.col("line")) != F.col("_seen"), stale).otherwise(F.concat(F.lit("### "), strip(F.col("line"))))
+    return joined.withColumn("line", F.when(F.col("_seen").isNull(), F.col("line")).otherwise(fixed)).drop("_seen")
 
 
 #: fixed patterns: circled, numbered and lettered markers

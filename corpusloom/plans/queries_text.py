@@ -229,11 +229,38 @@ def heading_gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_summary(audit.heading_gaps(_headings(spark, sf_dir)))
 
 
-@REGISTRY(f"""WITH {_HEADINGS} SELECT doc_id, pos::INT AS pos, CASE WHEN pos % 5 = 3 AND pos + 3 <= last THEN '### ' || line ELSE line END AS line
-FROM hl""")
+#: document names by id, and article lines bare, titled, and titled with text behind; each fifth line is a heading
+_REPAIRS = f"""{_LINES}, rl AS (SELECT doc_id, pos, max(pos) OVER (PARTITION BY doc_id) AS last, doc_id % 4 IN (0, 3) AS of_kind,
+CASE WHEN pos % 5 = 1 THEN '## 제' || pos || '조(a)' WHEN pos % 5 = 3 AND pos % 3 = 0 THEN '제' || pos || '조'
+WHEN pos % 5 = 3 AND pos % 3 = 1 THEN '제 ' || pos || ' 조 (b) ' WHEN pos % 5 = 3 THEN '제' || pos || '조(c) ' || line ELSE line END AS line FROM lines)"""
+
+
+def _repairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, candidates) of documents that are agreements, comparisons, regulations and agreements by turns."""
+    n, kinds = F.col("pos"), F.array(*map(F.lit, ("단체협약 2024", "임금협약 개정 (안)", "단체협약 운영규정", "2023 보충협약")))
+    line = (
+        F.when(n % 5 == 1, F.concat(F.lit("## 제"), n, F.lit("조(a)")))
+        .when((n % 5 == 3) & (n % 3 == 0), F.concat(F.lit("제"), n, F.lit("조")))
+        .when((n % 5 == 3) & (n % 3 == 1), F.concat(F.lit("제 "), n, F.lit(" 조 (b) ")))
+        .when(n % 5 == 3, F.concat(F.lit("제"), n, F.lit("조(c) "), "line"))
+        .otherwise(F.col("line"))
+    )
+    named = F.get(kinds, (F.col("doc_id") % 4).cast("int"))
+    rows = segment.lines(_docs(spark, sf_dir)).withColumns({"line": line, "name": named})
+    names = _docs(spark, sf_dir).select("doc_id", named.alias("name"))
+    return rows.drop("name"), audit.heading_candidates(audit.heading_gaps(rows, name="name"), names)
+
+
+@REGISTRY(f"""WITH {_REPAIRS} SELECT doc_id, pos::INT AS pos, CASE WHEN of_kind AND pos % 5 = 3 AND pos % 3 > 0 AND pos + 3 <= last
+AND trim(substr(line, strpos(line, ')') + 1), ' ' || chr(9)) = '' THEN '### ' || trim(line) ELSE line END AS line FROM rl""")
 def heading_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _headings(spark, sf_dir)
-    return audit.repair_headings(rows, audit.heading_gaps(rows)).select("doc_id", "pos", "line")
+    return audit.repair_headings(*_repairs(spark, sf_dir)).select("doc_id", "pos", "line")
+
+
+@REGISTRY(f"""WITH {_REPAIRS} SELECT doc_id, pos::INT AS line, pos::INT AS missing, CASE WHEN trim(substr(line, strpos(line, ')') + 1),
+' ' || chr(9)) = '' THEN 'repair' ELSE 'title_body_split_candidate' END AS action FROM rl WHERE of_kind AND pos % 5 = 3 AND pos % 3 > 0 AND pos + 3 <= last""")
+def heading_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repairs(spark, sf_dir)[1].select("doc_id", "line", "missing", "action")
 
 
 @REGISTRY("""SELECT l_orderkey, prev_number, next_number FROM (SELECT l_orderkey, lag(l_linenumber) OVER w AS prev_number,

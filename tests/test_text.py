@@ -140,17 +140,30 @@ def test_html_table_is_cut_at_rows():
     assert found[0].split("\n")[0] == "a" and found[1].startswith("text after")
 
 
+HEADED = ["## 제1조(a)", "제2조", "제3조(b)", "제4조(c) 본문이 붙은 줄", "  제5조 (d) ", "## 제9조(e)"]
+
+
+def test_headings_are_repaired_in_agreements_alone(spark):
+    """Titles alone become headings, bare numbers don't, and lines whose text goes on are reported."""
+    names = {"a": "단체협약 2024", "b": "단체협약 신구 대비표", "c": "단체협약 운영규정", "d": "보고서", "e": "노사협약 개정 (안)"}
+    rows = [(d, k + 1, line, n) for d, n in names.items() for k, line in enumerate(HEADED)]
+    rows = spark.createDataFrame(rows, "doc_id string, pos int, line string, name string")
+    gaps = audit.heading_gaps(rows, name="name")
+    found = audit.heading_candidates(gaps, rows.select("doc_id", "name").distinct())
+    got = sorted((r.doc_id, r.missing, r.action) for r in found.collect())
+    assert got == [("a", 3, audit.REPAIR), ("a", 4, audit.SPLIT), ("a", 5, audit.REPAIR)]
+    fixed = {(r.doc_id, r.pos): r.line for r in audit.repair_headings(rows, found).collect()}
+    assert fixed == {(r.doc_id, r.pos): r.line for r in rows.collect()} | {("a", 3): "### 제3조(b)", ("a", 5): "### 제5조 (d)"}
+
+
 def test_heading_repair_stops_at_changed_lines(spark):
-    rows = spark.createDataFrame(
-        [("d", 1, "## 제1조(a)"), ("d", 2, "제2조"), ("d", 3, "## 제3조(b)")], "doc_id string, pos int, line string"
-    )
-    gaps = audit.heading_gaps(rows)
-    assert [(r.grade, r.missing, r.line) for r in gaps.collect()] == [("A", 2, 2)]
-    fixed = {r.pos: r.line for r in audit.repair_headings(rows, gaps).collect()}
-    assert fixed[2] == "### 제2조"
-    changed = rows.withColumn("line", F.when(F.col("pos") == 2, "other").otherwise(F.col("line")))
+    rows = spark.createDataFrame([("d", k + 1, line) for k, line in enumerate(HEADED)], "doc_id string, pos int, line string")
+    found = audit.heading_candidates(audit.heading_gaps(rows), spark.createDataFrame([("d", "현장협약")], "doc_id string, name string"))
+    changed = rows.withColumn("line", F.when(F.col("pos") == 3, "other").otherwise(F.col("line")))
     with pytest.raises(Exception, match="changed since the audit"):
-        audit.repair_headings(changed, gaps).collect()
+        audit.repair_headings(changed, found).collect()
+    with pytest.raises(Exception, match="two candidates"):
+        audit.repair_headings(rows, found.unionAll(found)).collect()
 
 
 def test_table_shapes(spark):
