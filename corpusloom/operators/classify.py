@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.rules import KEYWORDS
 
@@ -32,6 +35,44 @@ def by_keyword(rows: DataFrame, rules: Sequence[tuple[str, Sequence[str]]] = KEY
     return rows.select(key, F.filter(F.array(*labels), lambda x: x.isNotNull()).alias("usecases"))
 
 
+def by_words(rows: DataFrame, groups: Sequence[tuple[str, Sequence[str]]], text: str = "title", key: str = "id") -> DataFrame:
+    """(key, groups): every group with a word in the text, in the order of the groups; for lists of hundreds of words and more.
+
+    One automaton over all words (Aho-Corasick) walks once over the texts of a batch, so time doesn't grow with the number of
+    words, and words may overlap. Texts are parted by a NUL, which no word may hold; a null text has no groups. The automaton is
+    configuration, built once a task. ``by_keyword`` gives the same by one expression a word.
+    """
+    labels = [label for label, _ in groups]
+    places: dict[str, list[int]] = {}
+    for place, (_, words) in enumerate(groups):
+        for word in words:
+            if not word or "\0" in word:
+                raise ValueError("a word is empty or holds a NUL")
+            places.setdefault(word, []).append(place)
+    schema = T.StructType([rows.schema[key], T.StructField("groups", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for word, own in places.items():
+            automaton.add_word(word, own)
+        automaton.make_automaton()
+        for batch in batches:
+            texts = batch.column(1).fill_null("").to_pylist()
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            found = [(end, place) for end, own in automaton.iter("\0".join(texts)) for place in own] if places else []
+            hits = np.array(found, np.int64).reshape(-1, 2)
+            row = np.searchsorted(starts, hits[:, 0], "right") - 1
+            hit = np.unique(row * len(labels) + hits[:, 1]) if labels else row
+            bounds = np.searchsorted(hit, np.arange(len(texts) + 1) * max(1, len(labels)))
+            names = pa.array(labels, pa.string()).take(pa.array(hit % max(1, len(labels))))
+            columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), names)]
+            yield pa.RecordBatch.from_arrays(columns, [key, "groups"])
+
+    return rows.select(key, text).mapInArrow(run, schema)
+
+
 def with_fallback(rows: DataFrame, corpus: str = "corpus", labels: str = "usecases") -> DataFrame:
     """Laws without a label are shared, bylaws without one stay null, agreements are about labour."""
     empty = F.coalesce(F.size(labels) <= 0, F.lit(True))

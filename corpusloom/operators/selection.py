@@ -80,8 +80,8 @@ def with_metadata(rows: DataFrame, known: DataFrame, key: str = "id", columns: S
 
 
 def alias_by_title(documents: DataFrame, names: DataFrame) -> DataFrame:
-    """``alias`` from (title, alias) by the document's title, where there is one; else it stays."""
-    new = names.select(F.col("title").alias("doc_title"), F.col("alias").alias("_alias")).dropDuplicates(["doc_title"])
+    """``alias`` from (title, alias) by the document's title, where there is one; else it stays. Of several the first in order."""
+    new = names.groupBy(F.col("title").alias("doc_title")).agg(F.min("alias").alias("_alias"))
     found = documents.join(new, "doc_title", "left")
     return found.withColumn("alias", F.coalesce("_alias", "alias")).drop("_alias")
 

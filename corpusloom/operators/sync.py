@@ -28,9 +28,17 @@ def route_feed(feed: DataFrame, stored: DataFrame, scoped: DataFrame, institutio
 
 
 def open_pairs(institutions: DataFrame, codes: DataFrame, done: DataFrame) -> DataFrame:
-    """All (inst_code, report_no) pairs that aren't done; every pair is a result, so both lists are configured ones."""
-    pairs = institutions.select("inst_code").distinct().crossJoin(codes.select("report_no").distinct())
-    return pairs.join(done, ["inst_code", "report_no"], "left_anti")
+    """All (inst_code, report_no) pairs that aren't done.
+
+    Each institution's done codes are one set, and what the list of codes has beyond it is taken within the row: only open
+    pairs ever become rows. ``codes`` is a configured list; it stands in one row and is broadcast. Null codes are no pairs.
+    """
+    listed = codes.filter("report_no is not null").agg(F.sort_array(F.collect_set("report_no")).alias("_codes"))
+    finished = done.join(F.broadcast(codes.select("report_no").distinct()), "report_no", "left_semi")
+    finished = finished.groupBy("inst_code").agg(F.collect_set("report_no").alias("_done"))
+    rows = institutions.select("inst_code").distinct().join(finished, "inst_code", "left").crossJoin(F.broadcast(listed))
+    left = F.array_except("_codes", F.coalesce("_done", F.slice("_codes", 1, 0)))
+    return rows.select("inst_code", F.explode(left).alias("report_no"))
 
 
 def missing(live: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -394,6 +394,23 @@ def usecase_by_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.by_keyword(rows, _WORDS)
 
 
+def _three_letters() -> list[tuple[str, list[str]]]:
+    """Fifteen groups of three-letter words by rule: a word's number in base 26, modulo 1009, is its group's."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c for a in letters for b in letters for c in letters]
+    return [(f"g{g}", words[g::1009]) for g in range(15)]
+
+
+@REGISTRY("""WITH codes AS (SELECT doc_id, list_transform(list_filter(list_transform(range(1, length(t) - 1), lambda i: substr(t, i::INT, 3)),
+lambda x: regexp_matches(x, '^[a-z]{3}$')), lambda x: ((ascii(x) - 97) * 676 + (ascii(x[2:]) - 97) * 26 + ascii(x[3:]) - 97) % 1009) AS c
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+SELECT doc_id AS id, list_transform(list_filter(range(15), lambda g: list_contains(c, g)), lambda g: 'g' || g) AS groups FROM codes""")
+def groups_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All groups of over 250 words that whole texts hold, by one automaton."""
+    rows = views.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("title"))
+    return classify.by_words(rows, _three_letters())
+
+
 @REGISTRY("""WITH i AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 10 = 0 THEN ['_shared'] WHEN p_size > 25 THEN ['audit']
 END AS u, p_brand AS c FROM part), r(role, kind, value) AS (VALUES ('auditor', 'usecase', 'audit'), ('buyer', 'code', 'Brand#11'),
 ('buyer', 'group', 'g1')) SELECT DISTINCT id, role FROM i CROSS JOIN r WHERE list_contains(u, '_shared')

@@ -1,4 +1,4 @@
-"""Stored indexes: trigrams against scoring all texts, vector cells against exact neighbours."""
+"""Stored indexes: trigrams against scoring all texts, vector cells against exact neighbours; word groups and open pairs."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.similarity import THRESHOLD, cosine, trigram_similarity
-from corpusloom.operators import title_index, vector_index
+from corpusloom.operators import classify, sync, title_index, vector_index
 from corpusloom.operators.snapshots import Store
 
 WORDS = ["annual", "leave", "annul", "pay", "rule", "rules", "연차", "연차휴가", "휴가", "인사규정", "x", "Leave-Pay"]
@@ -71,6 +71,27 @@ def test_a_search_reads_its_trigrams_alone(spark, tmp_path):
     assert "PushedFilters: [" in scan and "In(gram" in scan and "title" not in scan.split("ReadSchema")[1]
 
 
+def test_many_words_equal_one_expression_a_word(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("가나다ab") for _ in range(rng.randint(1, 4))) for _ in range(240)]
+    groups = [(f"g{k}", words[k::15] + ["shared"][: k % 2]) for k in range(15)]
+    texts = ["".join(rng.choice("가나다ab c\0") for _ in range(rng.randint(0, 30))) for _ in range(200)] + [None, "", "shared"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    wanted = {r.id: r.usecases for r in classify.by_keyword(rows.fillna(""), groups).collect()}
+    assert {r.id: r.groups for r in classify.by_words(rows.repartition(3), groups).collect()} == wanted
+    assert {tuple(r.groups) for r in classify.by_words(rows, []).collect()} == {()} and classify.by_words(rows.limit(0), groups).count() == 0
+    with pytest.raises(ValueError, match="NUL"):
+        classify.by_words(rows, [("g", [""])])
+
+
+def test_open_pairs_are_what_is_not_done(spark):
+    inst = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "inst_code string")
+    codes = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "report_no string")
+    done = spark.createDataFrame([("a", "1"), ("b", "1"), ("b", "2"), ("b", "9"), ("z", "1"), ("c", None)], "inst_code string, report_no string")
+    assert sorted(map(tuple, sync.open_pairs(inst, codes, done).collect())) == [("a", "2"), ("c", "1"), ("c", "2")]
+    assert sync.open_pairs(inst, codes.limit(0), done).count() == sync.open_pairs(inst.limit(0), codes, done).count() == 0
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = random.Random(2)
