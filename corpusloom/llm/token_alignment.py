@@ -36,7 +36,7 @@ from corpusloom.llm.kernels import WHITESPACE, Words, release, text_slices
 from corpusloom.llm.shared import modest_batches, staged
 from corpusloom.llm.token_counts import byte_symbols
 
-SLICE, BUNDLE = 1 << 20, 1 << 20
+SLICE, BUNDLE = 1 << 20, 1 << 21
 UNITS_KEPT = 600_000
 UNITS_A_CALL = 400
 FREQUENT = 500_000
@@ -285,9 +285,9 @@ def _by_byte(sizes: Column, value) -> Column:
     return F.flatten(F.transform(sizes, lambda n, k: F.array_repeat(value(k), n)))
 
 
-def _last(ends: Column) -> Column:
-    """For each byte, whether a span ends with it."""
-    return F.flatten(F.transform(_spans(ends), lambda n: F.concat(F.array_repeat(F.lit(False), n - 1), F.array(F.lit(True)))))
+def _end_by_byte(ends: Column) -> Column:
+    """For each byte, the end of the span that holds it."""
+    return F.flatten(F.zip_with(ends, _spans(ends), F.array_repeat))
 
 
 def faced(tokens: DataFrame) -> DataFrame:
@@ -319,25 +319,26 @@ def run_reports(runs: DataFrame, base: int) -> DataFrame:
     """
     found = _steps(
         faced(runs),
-        closes_group=_last(F.col("shared")), closes_unit=_last(F.col("unit_ends")),
+        group_end=_end_by_byte(F.col("shared")), unit_end=_end_by_byte(F.col("unit_ends")),
         link_number=_by_byte(_spans(F.col("ends")), lambda k: k + 1),
         pairs=F.transform("ends", lambda end: F.element_at("a_held", end).cast("long") * base + F.element_at("b_held", end)),
     )
 
-    def mark(closes: str, end: Column, yes: str, no: str) -> Column:
-        return F.when(F.element_at(closes, end), yes).otherwise(no)
+    def mark(held: str, end: Column, yes: str, no: str) -> Column:
+        return F.when(F.element_at(held, end) == end, yes).otherwise(no)
 
     def side(ids: str, ends: str) -> Column:
-        marked = F.zip_with(F.col(ids).cast("array<string>"), F.col(ends), lambda x, end: F.concat(x, mark("closes_group", end, "|", ",")))
-        return F.split(F.array_join(marked, ""), "[|]")
+        # arrays and one join at the end: joining strings within a lambda costs more
+        marked = F.zip_with(F.col(ids).cast("array<string>"), F.col(ends), lambda x, end: F.array(x, mark("group_end", end, "|", ",")))
+        return F.split(F.array_join(F.flatten(marked), ""), "[|]")
 
     found = _steps(found, a_groups=side("a_ids", "a_ends"), b_groups=side("b_ids", "b_ends"))
     texts = F.transform(
-        "shared", lambda end, g: F.concat(F.get("a_groups", g), F.lit("|"), F.get("b_groups", g), mark("closes_unit", end, " ", ";"))
+        "shared", lambda end, g: F.array(F.get("a_groups", g), F.lit("|"), F.get("b_groups", g), mark("unit_end", end, " ", ";"))
     )
     before = lambda k: F.coalesce(F.element_at("link_number", F.get("unit_ends", k - 1)), F.lit(0))
     links = F.transform("unit_ends", lambda end, k: F.slice("pairs", before(k) + 1, F.element_at("link_number", end) - before(k)))
-    found = _steps(found, unit_texts=F.split(F.array_join(texts, ""), " "), unit_pairs=links)
+    found = _steps(found, unit_texts=F.split(F.array_join(F.flatten(texts), ""), " "), unit_pairs=links)
     found = _steps(found, unit_groups=F.transform("unit_texts", lambda x: F.size(F.split(x, ";"))))
 
     def report(d: Column) -> Column:
