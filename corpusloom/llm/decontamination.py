@@ -20,6 +20,8 @@ Empty tables give an empty result. Extra columns are not read, whatever their na
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,7 @@ ITEM_WORDS = 4_000_000
 SHARE, ENOUGH = 0.5, 20
 BROADCAST_TEXTS = 2_000_000
 CELLS = 1 << 18
+RUN_PAIRS = 1 << 17
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
@@ -102,25 +105,35 @@ class Items:
         real = self.pairs[at] == hashes[maybe]
         return maybe[real], at[real]
 
-    def stretches(self, row: np.ndarray, place: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
+    def stretches(self, row: np.ndarray, place: np.ndarray, pair: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """(row, item, begin, end) of the stretches of texts that hold enough pairs of an item close together.
 
-        row, place, pair: where the texts hold a pair of any item, in ascending order of row and place.
+        row, place, pair: where the texts hold a pair of any item, in ascending order of row and place. They come in runs of
+        candidates (a text and an item with a seed in it) whose items have about ``RUN_PAIRS`` pairs: where many items share a
+        template, each text that holds it is a candidate for each of them.
         """
-        none = (np.zeros(0, np.int64),) * 4
         at, seed = expanded(self.seed_bounds[pair], self.seed_bounds[pair + 1])
         both = np.unique(row[at] * max(1, len(self.words)) + self.seed_item[seed])
         if not len(both):
-            return none
-        c_row, c_item = both // len(self.words), both % len(self.words)
+            return
         key = row * len(self.pairs) + pair
         order = np.argsort(key, kind="stable")
         key, place = key[order], place[order]
+        item = both % len(self.words)
+        run = np.cumsum(self.bounds[item + 1] - self.bounds[item]) // RUN_PAIRS
+        for part in np.split(both, np.flatnonzero(np.diff(run)) + 1):
+            found = self.stretches_of(part // len(self.words), part % len(self.words), key, place)
+            if len(found[0]):
+                yield found
+
+    def stretches_of(self, c_row: np.ndarray, c_item: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``stretches`` of some candidates. key: the row and pair of each place as one number, ascending."""
+        none = (np.zeros(0, np.int64),) * 4
         which, at = expanded(self.bounds[c_item], self.bounds[c_item + 1])
         wanted = c_row[which] * len(self.pairs) + self.pair[at]
         lo = np.searchsorted(key, wanted)
         there = key[np.minimum(lo, len(key) - 1)] == wanted
-        enough = np.bincount(which[there], minlength=len(both)) >= self.need[c_item] - 1
+        enough = np.bincount(which[there], minlength=len(c_row)) >= self.need[c_item] - 1
         keep = there & enough[which]
         which, lo, wanted = which[keep], lo[keep], wanted[keep]
         if not len(which):
@@ -161,19 +174,19 @@ def seed_windows(docs: DataFrame, items: Items, id_col: str, text_col: str) -> D
                 first = np.flatnonzero(words.row[:-1] == words.row[1:])
                 at, pair = items.met(pair_hashes(hashes[first], hashes[first + 1]))
                 place = first[at]
-                row, item, begin, end = items.stretches(words.row[place], place, pair)
-                if not len(row):
-                    continue
-                begin, end = np.maximum(begin, words.bounds[row]), np.minimum(end, words.bounds[row + 1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(lo + row)),
-                        pa.array(item.astype(np.int32)),
-                        pa.array(begin - words.bounds[row]),
-                        pa.array([hashes[a:b].view(np.int64) for a, b in zip(begin, end, strict=True)], pa.list_(pa.int64())),
-                    ],
-                    [id_col, "item", "start", "words"],
-                )
+                for row, item, begin, end in items.stretches(words.row[place], place, pair):
+                    begin, end = np.maximum(begin, words.bounds[row]), np.minimum(end, words.bounds[row + 1])
+                    _, within = expanded(begin, end)
+                    bounds = pa.array(np.concatenate(([0], np.cumsum(end - begin))).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(lo + row)),
+                            pa.array(item.astype(np.int32)),
+                            pa.array(begin - words.bounds[row]),
+                            pa.ListArray.from_arrays(bounds, pa.array(hashes.view(np.int64)[within])),
+                        ],
+                        [id_col, "item", "start", "words"],
+                    )
 
     return docs.select(F.col(id_col), F.lower(F.col(text_col))).mapInArrow(run, schema)
 

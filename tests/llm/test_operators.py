@@ -248,6 +248,38 @@ def test_decontamination_equals_aligning_all_pairs(spark):
     assert got == wanted
 
 
+def test_a_shared_template_is_taken_in_runs(monkeypatch):
+    """Items with one instruction: what is found doesn't hang on the size of a run, and a run's memory is bounded."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    template = " ".join(f"t{k}" for k in range(30))
+    own = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 3000, n))
+    items = decontamination.Items(list(range(300)), [f"{template} {own(10)}" for _ in range(300)])
+    texts = [f"{own(20)} {template} {own(20)}" for _ in range(60)]
+    import pyarrow as pa
+
+    _, _, raw, offsets = next(kernels.text_slices(pa.array(texts)))
+    words, hashes = decontamination.word_hashes(raw, offsets)
+    first = np.flatnonzero(words.row[:-1] == words.row[1:])
+    at, pair = items.met(decontamination.pair_hashes(hashes[first], hashes[first + 1]))
+    place = first[at]
+    got, peaks = [], []
+    for size in (1 << 30, 1 << 12):
+        monkeypatch.setattr(decontamination, "RUN_PAIRS", size)
+        tracemalloc.start()
+        rows, n_runs = set(), 0
+        for found in items.stretches(words.row[place], place, pair):
+            n_runs += 1
+            rows |= set(zip(*(x.tolist() for x in found)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        got.append(rows)
+    assert got[0] == got[1] and n_runs > 100
+    assert {r[:2] for r in got[0]} == {(t, i) for t in range(60) for i in range(300)}
+    assert peaks[1] < peaks[0] / 2
+
+
 def test_clean_keeps_each_row_for_its_own_text(spark):
     item = " ".join(f"w{k}" for k in range(20))
     long = " ".join(f"z{k}" for k in range(60_000))
