@@ -510,7 +510,7 @@ def sheet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LABELS = ("노조 명", "조합원 수", "임직원 수", "일반 정규직", "여성 현원", "기본급", "1인당 평균보수액", "지원 대상", "비 고", "name")
 _FOUND = ("노동조합:union_name", "노동조합:members_count", "인력관리:employee_total", "인력관리:regular_employees", "인력관리:gender_breakdown",
-          "보수관리:base_salary", "보수관리:average_compensation_per_person", "복리후생:support_target", "복리후생:remarks", None)
+          "보수관리:base_salary", None, "복리후생:support_target", "복리후생:remarks", None)
 _CELLS = ("해당 없음", "1,234", "전일제", "12:30", "2024년 3월", "about", "3.5%", "합계", "2024 / 3", "12명")
 
 
