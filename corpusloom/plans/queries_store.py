@@ -23,6 +23,7 @@ from corpusloom.plans.queries_search import (
     _vector,
 )
 from corpusloom.plans.registry import Registry
+from corpusloom.sources import archives
 
 REGISTRY = Registry()
 
@@ -126,3 +127,13 @@ def semantic_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = search.http_spec(corpus="legal", inst="src3", limit=25)
     rows = search.narrowed(_rows(spark, sf_dir), spec)
     return search.nearest(rows, vectors, links, _vector(spark, sf_dir, 7), spec).select(_NEAR_COLUMNS.split(", "))
+
+
+@REGISTRY("SELECT '문서/' || doc_id || '.txt' AS member, octet_length(encode(coalesce(text, '')))::BIGINT AS size, md5(coalesce(text, '')) AS md5 FROM documents")
+def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written into a few archives, whose members many tasks read back."""
+    folder = f"{_folder(spark)}/zip"
+    name = F.concat(F.lit("문서/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    rows = views.read(spark, sf_dir, "documents").select(name.alias("name"), F.col("text").alias("content"))
+    archives.write_archives(rows, folder).collect()  # a row an archive
+    return archives.split_members(archives.listed(spark, folder), run=1 << 18).select("member", "size", F.md5("content").alias("md5"))

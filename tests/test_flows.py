@@ -42,6 +42,32 @@ def test_archive_members(spark, tmp_path):
     assert [(r.member, bytes(r.content)) for r in readers.archive_members(files).collect()] == [("가.txt", b"one")]
 
 
+def test_members_of_one_archive_go_to_many_tasks(spark, tmp_path):
+    import zipfile
+
+    from corpusloom.sources import archives
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for k in range(40):
+            z.writestr(f"가/{k}.txt", f"text {k} " * 100)
+        z.writestr("empty/", "")
+        z.writestr("none.txt", "")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w"):
+        pass
+    raw = zipfile.ZipInfo("x.txt")
+    with zipfile.ZipFile(tmp_path / "c.zip", "w") as z:
+        z.writestr(raw, "old")
+    content = (tmp_path / "c.zip").read_bytes().replace(b"x.txt", "가.t".encode("cp949") + b"x")
+    (tmp_path / "c.zip").write_bytes(content)
+    files = archives.listed(spark, str(tmp_path))
+    assert files.count() == 3
+    rows = archives.split_members(files, run=2000, tasks=6).withColumn("task", F.spark_partition_id()).collect()
+    got = {r.member: bytes(r.content) for r in rows}
+    assert got == {f"가/{k}.txt": b"text %d " % k * 100 for k in range(40)} | {"none.txt": b"", "가.tx": b"old"}
+    assert len({r.task for r in rows if r.path.endswith("a.zip")}) > 2
+    assert list(archives.runs_of([5, 5, 1, 9, 0], 10)) == [(0, 2, 10), (2, 4, 10), (4, 5, 0)] and not list(archives.runs_of([], 3))
+
+
 def test_paged_source(spark):
     def fetch(page):
         yield from ((page * 10 + i % 2, f"r{page}") for i in range(3))
