@@ -23,7 +23,7 @@ from corpusloom.plans.queries_search import (
     _vector,
 )
 from corpusloom.plans.registry import Registry
-from corpusloom.sources import archives
+from corpusloom.sources import archives, readers, workbooks
 
 REGISTRY = Registry()
 
@@ -137,3 +137,17 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.read(spark, sf_dir, "documents").select(name.alias("name"), F.col("text").alias("content"))
     archives.write_archives(rows, folder).collect()  # a row an archive
     return archives.split_members(archives.listed(spark, folder), run=1 << 18).select("member", "size", F.md5("content").alias("md5"))
+
+
+@REGISTRY("""SELECT p_brand AS sheet, p_partkey::VARCHAR AS part, unnest(['기관명', 'size', 'name']) AS name,
+unnest([p_partkey::VARCHAR, p_size::VARCHAR, p_name]) AS value FROM part""")
+def workbook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts written into workbooks with a sheet for each brand, read back as records below the header."""
+    folder = f"{_folder(spark)}/books"
+    head = [["unit: piece"], ["기관명", "size", "name"]]
+    parts = views.read(spark, sf_dir, "part")
+    workbooks.write_workbooks(parts, folder, "p_brand", ["p_partkey", "p_size", "p_name"], head).collect()  # a row a workbook
+    cells = workbooks.cells(archives.listed(spark, folder, "*.xlsx"))
+    found = readers.sheet_records(cells, "기관명")
+    key = found.filter(F.col("name") == "기관명").select("file", "sheet", "row", F.col("value").alias("part"))
+    return found.join(key, ["file", "sheet", "row"]).select("sheet", "part", "name", "value")

@@ -68,6 +68,23 @@ def test_members_of_one_archive_go_to_many_tasks(spark, tmp_path):
     assert list(archives.runs_of([5, 5, 1, 9, 0], 10)) == [(0, 2, 10), (2, 4, 10), (4, 5, 0)] and not list(archives.runs_of([], 3))
 
 
+def test_workbook_cells(spark, tmp_path):
+    import io
+
+    from corpusloom.sources import archives, workbooks
+
+    book = {"가 & <b>": [["t", None, "x & y"], [], [None, " 한글 "]], "two": [["t"]], "none": []}
+    (tmp_path / "a.xlsx").write_bytes(workbooks.workbook(book))
+    rows = workbooks.cells(archives.listed(spark, str(tmp_path), "*.xlsx"), tasks=5).withColumn("task", F.spark_partition_id()).collect()
+    got = sorted((r.sheet, r.row, r.column, r.value) for r in rows)
+    assert got == sorted([("가 & <b>", 1, 1, "t"), ("가 & <b>", 1, 3, "x & y"), ("가 & <b>", 3, 2, " 한글 "), ("two", 1, 1, "t")])
+    sheet = f"""<worksheet xmlns="{workbooks.MAIN[1:-1]}"><sheetData><row><c><v>1.50</v></c><c t="inlineStr"><is><r><t>a</t></r><r><t>b</t></r></is></c></row>
+    <row r="7"><c r="AB7" t="b"><v>1</v></c><c t="str"><f>x</f><v>y</v></c><c r="AD7"/></row><row><c t="s"><v>1</v></c></row></sheetData></worksheet>"""
+    found = list(workbooks.cells_of(io.BytesIO(sheet.encode()), ["zero", "one"]))
+    assert found == [(1, 1, "1.50"), (1, 2, "ab"), (7, 28, "1"), (7, 29, "y"), (8, 1, "one")]
+    assert [workbooks.column_number(workbooks.column_letters(n)) for n in (1, 26, 27, 702, 703)] == [1, 26, 27, 702, 703]
+
+
 def test_paged_source(spark):
     def fetch(page):
         yield from ((page * 10 + i % 2, f"r{page}") for i in range(3))
