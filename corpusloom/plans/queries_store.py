@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import search, title_index, vector_index
+from corpusloom.operators import ledger, search, title_index, vector_index
 from corpusloom.operators.snapshots import Store
 from corpusloom.plans import views
 from corpusloom.plans.queries_flow import _folder
@@ -151,3 +151,14 @@ def workbook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = readers.sheet_records(cells, "기관명")
     key = found.filter(F.col("name") == "기관명").select("file", "sheet", "row", F.col("value").alias("part"))
     return found.join(key, ["file", "sheet", "row"]).select("sheet", "part", "name", "value")
+
+
+@REGISTRY("""SELECT CASE WHEN doc_id % 2 = 0 THEN 'done' WHEN doc_id % 3 = 0 THEN 'failed' ELSE 'queued' END AS state, doc_id::VARCHAR AS key
+FROM documents""")
+def progress_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last states of documents that were queued, some of them then failed, and some are done."""
+    db, key = _store(spark), F.col("doc_id")
+    docs = views.read(spark, sf_dir, "documents").select("doc_id")
+    for state, chosen in (("queued", F.lit(True)), ("failed", key % 3 == 0), ("done", key % 2 == 0)):
+        ledger.record(db, "work", docs.filter(chosen).select(key.alias("key"), F.lit(state).alias("state")))
+    return ledger.current(db, "work")
