@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -317,12 +319,16 @@ def resolve_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("item.item_name").alias("item_name"))
 
 
-@REGISTRY("""SELECT unnest(['a', 'b', 'c', 'd']) AS code, unnest(['one', 'two', 'two', 'three']) AS item_name,
-unnest(['STANDARD', 'x', 'x', 'PROMO']) AS minor_category, unnest([TRUE, TRUE, FALSE, TRUE]) AS is_scoped""")
+@REGISTRY("""WITH e AS (SELECT unnest([p_partkey, p_partkey + 1])::VARCHAR AS code, p_name || ' ' || p_partkey AS item_name,
+split_part(p_type, ' ', 1) AS kind FROM part) SELECT code, max(item_name) AS item_name, max_by(kind, item_name) AS minor_category,
+bool_or(kind IN ('STANDARD', 'PROMO')) AS is_scoped FROM e GROUP BY code""")
 def scope_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.createDataFrame(
-        [("a, b", "one", "STANDARD"), ("b,c,", "two", "x"), ("d", "three", "PROMO")], "report_form_root_no string, item_name string, minor_category string"
-    )
+    """Parts as items of two codes each, one of them shared with the next part."""
+    key = F.col("p_partkey")
+    items = _part(spark, sf_dir).select(
+        F.concat(key, F.lit(" , "), key + 1, F.lit(",")).alias("report_form_root_no"), F.concat("p_name", F.lit(" "), key).alias("item_name"),
+        F.split_part("p_type", F.lit(" "), F.lit(1)).alias("minor_category"),
+    )
     return catalog.scope(items, categories=("STANDARD", "PROMO"))
 
 
@@ -424,11 +430,13 @@ def pending_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.pending(load.queue(load.hashes(articles)), none, 200, articles.select("id", "title"), "the|an")
 
 
-@REGISTRY("SELECT 'load' AS script, 'append' AS mode, 'legal' AS corpus, 3::BIGINT AS n_docs, 5::BIGINT AS n_articles, TRUE AS finished")
+@REGISTRY(f"""WITH {views.SQL} SELECT 'load' AS script, 'append' AS mode, 'legal' AS corpus, (SELECT count(*) FROM a_documents)::BIGINT AS n_docs,
+(SELECT count(*) FROM a_articles)::BIGINT AS n_articles, TRUE AS finished""")
 def load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datetime import datetime
 
-    rows = load.load_run(spark, "load", "append", "legal", 3, 5, datetime(2024, 1, 1))
+    counts = [view(spark, sf_dir).count() for view in (views.documents, views.articles)]
+    rows = load.load_run(spark, "load", "append", "legal", *counts, datetime(2024, 1, 1))
     return rows.select("script", "mode", "corpus", "n_docs", "n_articles", F.col("finished_at").isNotNull().alias("finished"))
 
 
@@ -439,17 +447,33 @@ def article_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.places(views.articles(spark, sf_dir).select("doc_id"), f"{_folder(spark)}/places")
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def _folder(spark: SparkSession) -> str:
-    """A new folder for what a query writes and reads again: below ``spark.checkpoint.dir`` where it is set."""
+    """A new folder for what a query writes and reads again, below ``spark.checkpoint.dir`` where it is set; removed when the
+    driver ends."""
     import tempfile
     import uuid
 
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-    return f"{root.rstrip('/')}/corpusloom/query-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/corpusloom/query-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _made:
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session may have ended already
+            continue
 
 
 @REGISTRY("SELECT p_partkey, p_name, p_size FROM part")
@@ -549,11 +573,15 @@ def role_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.roles(rows, spark.createDataFrame(rules.role_rows(), "role string, kind string, value string"))
 
 
-@REGISTRY("SELECT unnest([1, 2, 3, 4, 5]) AS idx, unnest([1, 1, 1, 2, 2]) AS page")
+@REGISTRY("SELECT n_nationkey::INT AS idx, n_name AS name, greatest(1, ceil((n_nationkey - 1) / 5.0))::INT AS page FROM nation")
 def paged_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages that overlap: the first by page stays."""
-    pages = {1: [(1, 1), (2, 1), (3, 1)], 2: [(3, 2), (4, 2), (5, 2)]}
-    return readers.paged_source(spark, lambda page: iter(pages[page]), "idx int, page int", 2, ["idx"])
+    """The nations as a service that gives seven on each page, two of them again on the next: the first by page stays."""
+    rows = [(r[0], r[1]) for r in views.read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int"), "n_name").orderBy("n_nationkey").collect()]
+
+    def fetch(page: int):
+        return ((key, name, page) for key, name in rows[5 * page - 5 : 5 * page + 2])
+
+    return readers.paged_source(spark, fetch, "idx int, name string, page int", -(-len(rows) // 5), ["idx"])
 
 
 @REGISTRY("""SELECT p_partkey, p_partkey || '=' || p_name || ',' || (p_partkey + 1) || '=more' AS files, 'plan:' || (p_partkey + 1) || '=more' AS sections,
