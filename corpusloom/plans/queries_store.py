@@ -45,15 +45,15 @@ def kw_indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BLUE = "small blue ring"
 
 
-@REGISTRY(f"""WITH now AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '{_BLUE} ' || p_partkey WHEN 2 THEN p_mfgr ELSE p_name END AS name
+@REGISTRY(f"""WITH now AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '{_BLUE} ' || p_partkey WHEN 2 THEN p_brand ELSE p_name END AS name
 FROM part WHERE p_partkey % 5 <> 1) SELECT * FROM (SELECT p_partkey AS id, round({views.similarity_sql("name", f"'{_BLUE}'")}, 6) AS similarity
 FROM now) WHERE similarity >= 0.3""")
 def index_after_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A title index after three deltas: every fifth part gets another name, the next ones go, the next get their maker's."""
-    db, parts = _store(spark), views.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_mfgr", F.col("p_name").alias("name"))
+    """A title index after three deltas: every fifth part gets another name, the next ones go, the next get their brand's."""
+    db, parts = _store(spark), views.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand", F.col("p_name").alias("name"))
     db.commit(db.state(), title_index.built(db, "p", parts, ["name"]))
     named = F.concat(F.lit(f"{_BLUE} "), F.col("id").cast("string"))
-    for rest, name in ((0, named), (1, None), (2, F.col("p_mfgr"))):
+    for rest, name in ((0, named), (1, None), (2, F.col("p_brand"))):
         own = parts.filter(F.col("id") % 5 == rest)
         delta = own.limit(0) if name is None else own.withColumn("name", name)
         state = db.state()
