@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.operators import ledger, search, title_index, vector_index
 from corpusloom.operators.snapshots import Store
@@ -23,7 +24,7 @@ from corpusloom.plans.queries_search import (
     _vector,
 )
 from corpusloom.plans.registry import Registry
-from corpusloom.sources import archives, readers, workbooks
+from corpusloom.sources import archives, readers, workbooks, writers
 
 REGISTRY = Registry()
 
@@ -162,3 +163,41 @@ def progress_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     for state, chosen in (("queued", F.lit(True)), ("failed", key % 3 == 0), ("done", key % 2 == 0)):
         ledger.record(db, "work", docs.filter(chosen).select(key.alias("key"), F.lit(state).alias("state")))
     return ledger.current(db, "work")
+
+
+@REGISTRY("""SELECT CASE WHEN doc_id % 3 = 1 THEN NULL ELSE doc_id END AS id, CASE WHEN doc_id % 3 = 0 THEN source END AS name,
+CASE WHEN doc_id % 3 = 1 THEN '{"id": ' || doc_id || ', broken' END AS bad FROM documents""")
+def json_lines_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with a field missing in every third and every third broken: rows, and the broken lines' text."""
+    folder, key = f"{_folder(spark)}/lines", F.col("doc_id")
+    rows = views.read(spark, sf_dir, "documents")
+    whole = F.when(key % 3 == 0, F.to_json(F.struct(key.alias("id"), F.col("source").alias("name")))).otherwise(F.to_json(F.struct(key.alias("id"))))
+    broken = F.concat(F.lit('{"id": '), key.cast("string"), F.lit(", broken"))
+    rows.select(F.when(key % 3 == 1, broken).otherwise(whole).alias("value")).write.text(folder)
+    good, bad = readers.json_lines_with_errors(spark, folder, T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())]))
+    return good.withColumn("bad", F.lit(None).cast("string")).unionByName(bad.select(F.col("value").alias("bad")), allowMissingColumns=True)
+
+
+@REGISTRY("""SELECT p_partkey::VARCHAR AS part, '"' || p_name || '", ' || p_type AS name, CASE WHEN p_size % 2 = 0 THEN p_brand END AS brand FROM part""")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with quotes, commas and nulls as quoted CSV, a header in each part file, read back; null is an empty field."""
+    folder = f"{_folder(spark)}/csv"
+    rows = views.read(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("part"), F.concat(F.lit('"'), "p_name", F.lit('", '), "p_type").alias("name"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("brand"),
+    )
+    writers.write_csv(rows, folder)
+    return spark.read.schema(rows.schema).option("header", True).option("escape", '"').csv(folder)
+
+
+@REGISTRY("""SELECT substr(p_brand, 7) AS brand, count(*) AS n, sum(length(p_name))::BIGINT AS chars FROM part WHERE p_brand LIKE 'Brand#1%'
+OR p_brand LIKE 'Brand#3%' GROUP BY 1""")
+def tree_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of text files, a folder for each brand, of which those of two kinds are read whole."""
+    folder = f"{_folder(spark)}/tree"
+    rows = views.read(spark, sf_dir, "part").select(F.substring("p_brand", 7, 9).alias("brand"), F.col("p_name").alias("value"))
+    rows.repartition("brand").write.partitionBy("brand").text(folder)
+    files = readers.markdown_tree(spark, folder, "*.txt", under=["/brand=1", "/brand=3"])
+    lines = F.filter(F.split("text", "\n"), lambda x: x != "")
+    found = files.select(F.regexp_extract("path", "brand=([0-9]+)/", 1).alias("brand"), F.explode(lines).alias("line"))
+    return found.groupBy("brand").agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("chars"))
