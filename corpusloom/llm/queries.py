@@ -327,4 +327,36 @@ FROM d LEFT JOIN texts USING (r)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": OP2_SQL, "op3_ngram_join": OP3_SQL, "op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql()}
+def _op13_sql() -> str:
+    """The rounds one after the other, each from the codebooks before it; distance * entries + index ranks entries and ties."""
+    n, k = vector_codes.PARTS, vector_codes.ENTRIES
+    steps = []
+    for i in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""a{i} AS (
+  SELECT r, p, min(list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * {k} + k) AS best
+  FROM pieces JOIN c{i} USING (p) GROUP BY r, p)""")
+        if i < vector_codes.ROUNDS:
+            steps.append(f"""m{i} AS (
+  SELECT p, k, list(floor(s / n::DOUBLE)::BIGINT ORDER BY j) AS m FROM (
+    SELECT p, best % {k} AS k, j, sum(y)::DOUBLE AS s, count(*) AS n FROM (
+      SELECT p, best, unnest(x) AS y, unnest(range(len(x))) AS j FROM a{i} JOIN pieces USING (r, p)) GROUP BY 1, 2, 3) GROUP BY p, k
+), c{i + 1} AS (SELECT p, k, coalesce(m, e) AS e FROM c{i} LEFT JOIN m{i} USING (p, k))""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pieces AS (
+  SELECT r, p, v[(p * len(v) // {n} + 1)::INT : ((p + 1) * len(v) // {n})::INT] AS x FROM kept CROSS JOIN range({n}) t(p)
+), c0 AS (SELECT p, r - 1 AS k, x AS e FROM pieces WHERE r <= {k}),
+{", ".join(steps)}
+, coded AS (
+  SELECT r, string_agg(lpad(printf('%x', best % {k}), 2, '0'), '' ORDER BY p) AS code, sum(best // {k})::BIGINT AS error FROM a{last} GROUP BY r
+), books AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c{last})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r) CROSS JOIN books
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": OP2_SQL, "op3_ngram_join": OP3_SQL, "op6_mixing": OP6_SQL, "op7_warc_bundles": OP7_SQL, "op8_secret_scan": _op8_sql(), "op13_vector_codes": _op13_sql()}

@@ -141,3 +141,10 @@ def test_wrong_columns_are_refused(spark):
         vector_codes.compress(rows)
     with pytest.raises(ValueError, match="256"):
         vector_codes.compress(rows, entries=300)
+
+
+def test_query_equals_its_sql(spark, sf_dir, duck):
+    from corpusloom.llm import queries
+    from tests.compare import assert_same
+
+    assert_same(queries.op13_vector_codes(spark, sf_dir), duck, queries.ORACLE_SQL["op13_vector_codes"])
