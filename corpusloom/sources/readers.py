@@ -98,14 +98,32 @@ def archive_members(files: DataFrame) -> DataFrame:
 
 def sheet_records(cells: DataFrame, marker: str, head_rows: int = 5) -> DataFrame:
     """Long cells (file, sheet, row, column, value) below the first of five rows that holds the marker, with the header's
-    name for each column; rows without a value under the marker are dropped."""
-    marked = cells.filter((F.col("row") <= head_rows) & (F.col("value") == marker))
-    heads = marked.groupBy("file", "sheet").agg(F.min("row").alias("_head"))
-    inside = cells.join(heads, ["file", "sheet"])
-    names = inside.filter(F.col("row") == F.col("_head")).select("file", "sheet", "column", F.col("value").alias("name"))
-    body = inside.filter(F.col("row") > F.col("_head")).join(names, ["file", "sheet", "column"])
-    keyed = body.filter((F.col("name") == marker) & (F.coalesce("value", F.lit("")) != ""))
-    return body.join(keyed.select("file", "sheet", "row"), ["file", "sheet", "row"], "left_semi").drop("_head")
+    name for each column; rows without a value under the marker are dropped.
+
+    Cells are put together to rows, and rows meet their sheet's header in one shuffled join: there may be as many sheets as
+    rows, so headers are not broadcast, whatever the planner takes their size for.
+    """
+    kept = [c for c in cells.columns if c not in ("file", "sheet", "row")]
+    rows = cells.groupBy("file", "sheet", "row").agg(F.collect_list(F.struct(*kept)).alias("_cells"))
+    headers = rows.filter((F.col("row") <= head_rows) & F.exists("_cells", lambda c: c["value"].eqNullSafe(F.lit(marker))))
+    names = F.array_sort(F.transform("_cells", lambda c: F.struct(c["column"].alias("column"), c["value"].alias("name"))))
+    heads = headers.groupBy("file", "sheet").agg(F.min("row").alias("_head"), F.min_by(names, "row").alias("_names"))
+    # names of columns without a gap are found by their place, others by a look at each
+    first = F.get("_names", F.lit(0))["column"]
+    gapless = F.forall(F.transform("_names", lambda n, i: F.coalesce(n["column"] == first + i, F.lit(False))), lambda x: x)
+    body = rows.join(heads.withColumn("_gapless", gapless).hint("merge"), ["file", "sheet"]).filter(F.col("row") > F.col("_head"))
+
+    def named(c):
+        by_place = F.get("_names", (c["column"] - first).cast("int"))
+        own = F.when(F.col("_gapless"), F.when(c["column"] >= first, F.filter(F.array(by_place), lambda n: n.isNotNull())))
+        own = F.when(F.col("_gapless"), own).otherwise(F.filter("_names", lambda n: n["column"] == c["column"]))
+        return F.transform(own, lambda n: F.struct(*(c[k].alias(k) for k in kept), n["name"].alias("name")))
+
+    found = F.flatten(F.filter(F.transform("_cells", named), lambda x: x.isNotNull()))
+    body = body.select("file", "sheet", "row", found.alias("_found"))
+    keyed = F.exists("_found", lambda x: (x["name"] == marker) & (F.coalesce(x["value"], F.lit("")) != ""))
+    order = ["column", *(c for c in kept if c != "column"), "name"]
+    return body.filter(keyed).select("file", "sheet", "row", F.explode("_found").alias("x")).select("file", "sheet", "row", *(f"x.{c}" for c in order))
 
 
 class _Page(InputPartition):

@@ -173,3 +173,18 @@ def test_windowed_counts_stream(spark, tmp_path):
     assert [r.n for r in spark.table("counted").collect()] == [2]
 
 
+
+
+def test_sheet_headers_are_not_broadcast(spark, sf_dir):
+    from corpusloom.plans.queries_flow import sheet_records
+
+    found = sheet_records(spark, sf_dir)
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sheet_headers_with_gaps_and_repeated_columns(spark):
+    cells = [(0, 2, "x"), (1, 1, "M"), (1, 3, "n"), (1, 3, "again"), (2, 1, "a"), (2, 3, "b"), (2, 2, "no name"), (3, 3, "no key"), (3, 1, "")]
+    for sheet, rows in (("gaps", cells), ("dense", [c for c in cells if c[2] != "again" and c[1] != 3])):
+        frame = spark.createDataFrame([("f", sheet, *c) for c in rows], "file string, sheet string, row int, column int, value string")
+        got = sorted((r.row, r.column, r.value, r.name) for r in readers.sheet_records(frame, "M").collect())
+        assert got == ([(2, 1, "a", "M"), (2, 3, "b", "again"), (2, 3, "b", "n")] if sheet == "gaps" else [(2, 1, "a", "M")])
