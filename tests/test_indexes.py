@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +156,28 @@ def test_no_vectors_are_an_error(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     with pytest.raises(ValueError, match="no vectors"):
         vector_index.built(store, "v", spark.createDataFrame([(1, None)], "id long, embedding array<float>"), "id")
+
+
+def test_ranks_of_blocks_are_those_of_all_pairs(spark, tmp_path, monkeypatch):
+    from pyspark.sql import Window
+
+    monkeypatch.setattr(vector_index, "ASKED_A_BLOCK", 7)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(150, 8)).astype(np.float32).tolist()
+    rows = [(i, base[i % 150] if i < 400 else base[3]) for i in range(600)]  # copies of all, very many of one
+    vectors = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    odd = [(900, [0.0] * 8), (901, [None] + [1.0] * 7), (902, [float("nan")] * 8), (903, [1.0] * 3), (904, None)]
+    queries = vectors.filter("id % 30 = 3").unionByName(spark.createDataFrame(odd, vectors.schema))
+    store = Store(spark, str(tmp_path))
+    state = store.commit(store.state(), vector_index.built(store, "v", vectors, "id", cells=12))
+    asked = queries.select(F.col("id").alias("asked"), F.col("embedding").alias("_query")).filter("_query is not null")
+    cells, centres = store.read("v_cells"), store.read("v_centres")
+    order = lambda c, tie: Window.partitionBy("asked").orderBy(F.desc(c), tie)
+    places = centres.crossJoin(asked).withColumn("c", cosine(F.col("centre"), F.col("_query")))
+    places = places.select("asked", "cell", F.row_number().over(order("c", "cell")).alias("rank"))
+    top = cells.crossJoin(asked).withColumn("c", cosine(F.col("embedding"), F.col("_query")))
+    top = top.withColumn("place", F.row_number().over(order("c", "id"))).filter("place <= 10")
+    wanted = sorted(tuple(r) for r in top.join(places, ["asked", "cell"]).select("asked", "rank").collect())
+    assert sorted(tuple(r) for r in vector_index.cell_ranks(store, state, "v", queries, "id", 10).collect()) == wanted
+    few = vector_index.near_rows(cells, asked, "id", 10, "embedding").groupBy("asked").count().collect()
+    assert len(few) == 24 and max(r["count"] for r in few) < 300
