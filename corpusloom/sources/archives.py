@@ -1,8 +1,9 @@
 """ZIP archives of any size: the central directory is read first, and runs of members are dealt to tasks.
 
-A first job opens each archive at its end, reads the directory alone, and cuts it into runs of about ``RUN`` bytes; a second
-one seeks to the members of each run. So the members of one large archive are read by many tasks, and no task holds more than a
-member and a batch of rows. Archives are reached through Arrow's file systems, by the paths that Spark's ``binaryFile``
+A first job opens each archive at its end, reads the directory alone, and cuts it into runs of about ``RUN`` bytes, which take
+their own entries of the directory with them; a second one seeks to the members of each run. So the members of one large
+archive are read by many tasks, a directory is read once however many runs it has, and no task holds more than a run's entries,
+a member and a batch of rows. Archives are reached through Arrow's file systems, by the paths that Spark's ``binaryFile``
 listing gives.
 """
 
@@ -10,8 +11,10 @@ from __future__ import annotations
 
 import io
 import re
+import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -20,10 +23,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 RUN = 64 << 20
 BATCH = 8 << 20
-RUNS = "path string, first int, last int, bytes long"
+ENTRY = "name string, at long, packed long, size long, method int, crc long, flags int"
+RUNS = f"path string, first int, last int, bytes long, entries array<struct<{', '.join(f.replace(' ', ':') for f in ENTRY.split(', '))}>>"
+#: the fixed part of a member's own header, of which the lengths of its name and of its extra field are read
+HEADER = struct.Struct("<4s22xHH")
 MEMBERS = "path string, member string, size long, content binary"
 
 
@@ -93,40 +100,63 @@ def runs_of(sizes: list[int], run: int) -> Iterator[tuple[int, int, int]]:
             first, total = i + 1, 0
 
 
+def entry_of(info: zipfile.ZipInfo) -> dict:
+    """What reading a member takes of its entry in the directory."""
+    return {"name": member_name(info), "at": info.header_offset, "packed": info.compress_size, "size": info.file_size,
+            "method": info.compress_type, "crc": info.CRC, "flags": info.flag_bits}
+
+
 def archive_runs(files: DataFrame, run: int = RUN) -> DataFrame:
-    """(path, first, last, bytes): runs of members of the archives that ``files`` (path) lists; directories are no members."""
+    """(path, first, last, bytes, entries): runs of members of the archives that ``files`` (path) lists, with their entries of
+    the directory; directories are no members."""
+    schema = T._parse_datatype_string(RUNS)
 
     def read(batches):
+        kinds = to_arrow_schema(schema)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with archive_at(path) as archive:
-                    sizes = [0 if i.is_dir() else i.file_size for i in archive.infolist()]
-                found = list(runs_of(sizes, run))
-                columns = [pa.array([path] * len(found), pa.string())]
-                columns += [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["path", "first", "last", "bytes"])
-
-    return files.select("path").mapInArrow(read, RUNS)
+                    infos = archive.infolist()
+                for first, last, total in runs_of([0 if i.is_dir() else i.file_size for i in infos], run):
+                    row = [path, first, last, total, [entry_of(i) for i in infos[first:last] if not i.is_dir()]]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, kinds, strict=True)], schema.names)
+
+    return files.select("path").mapInArrow(read, schema)
+
+
+def content_of(source: pa.NativeFile, path: str, entry: dict) -> bytes:
+    """A member's bytes by its entry. Encrypted ones and rare methods are left to ``zipfile``, by the archive's directory."""
+    if entry["flags"] & 1 or entry["method"] not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        with archive_at(path) as archive:
+            return archive.read(next(i for i in archive.infolist() if i.header_offset == entry["at"]))
+    mark, name, extra = HEADER.unpack(source.read_at(HEADER.size, entry["at"]))
+    if mark != b"PK\3\4":
+        raise zipfile.BadZipFile(f"{path}: no member at {entry['at']}")
+    data = source.read_at(entry["packed"], entry["at"] + HEADER.size + name + extra)
+    if entry["method"] == zipfile.ZIP_DEFLATED:
+        data = zlib.decompress(data, -zlib.MAX_WBITS)
+    if len(data) != entry["size"] or zlib.crc32(data) != entry["crc"]:
+        raise zipfile.BadZipFile(f"{path}: {entry['name']} is damaged")
+    return data
 
 
 def split_members(files: DataFrame, run: int = RUN, tasks: int | None = None) -> DataFrame:
     """(path, member, size, content) of all members of the archives that ``files`` (path) lists.
 
-    Runs are dealt to ``tasks`` tasks (the session's shuffle partitions by default): a shuffle of their numbers alone.
+    Runs are dealt to ``tasks`` tasks (the session's shuffle partitions by default): a shuffle of their entries alone.
     """
     spark = files.sparkSession
     spread = archive_runs(files, run).repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "first")
 
     def read(batches):
         for batch in batches:
-            for path, first, last, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for path, entries in zip(batch.column("path").to_pylist(), batch.column("entries"), strict=True):
                 rows, held = [], 0
-                with archive_at(path) as archive:
-                    for info in archive.infolist()[first:last]:
-                        if info.is_dir():
-                            continue
-                        rows.append((path, member_name(info), info.file_size, archive.read(info)))
-                        held += info.file_size
+                system, name = opened(path)
+                with system.open_input_file(name) as source:
+                    for entry in entries.as_py():
+                        rows.append((path, entry["name"], entry["size"], content_of(source, path, entry)))
+                        held += entry["size"]
                         if held >= BATCH:
                             yield members(rows)
                             rows, held = [], 0

@@ -188,3 +188,26 @@ def test_sheet_headers_with_gaps_and_repeated_columns(spark):
         frame = spark.createDataFrame([("f", sheet, *c) for c in rows], "file string, sheet string, row int, column int, value string")
         got = sorted((r.row, r.column, r.value, r.name) for r in readers.sheet_records(frame, "M").collect())
         assert got == ([(2, 1, "a", "M"), (2, 3, "b", "again"), (2, 3, "b", "n")] if sheet == "gaps" else [(2, 1, "a", "M")])
+
+
+def test_runs_carry_their_entries_of_the_directory(spark, tmp_path):
+    import zipfile
+
+    from corpusloom.sources import archives
+
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for k, method in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)):
+            z.writestr(f"{k}.txt", f"text {k} " * 300, method)
+        z.writestr("d/", "")
+    files = archives.listed(spark, str(tmp_path))
+    runs = archives.archive_runs(files, run=2000).collect()
+    assert [[e.name for e in r.entries] for r in sorted(runs, key=lambda r: r.first)] == [["0.txt"], ["1.txt"], ["2.txt"], ["3.txt"], []]
+    got = {r.member: bytes(r.content).decode() for r in archives.split_members(files, run=2000, tasks=3).collect()}
+    assert got == {f"{k}.txt": f"text {k} " * 300 for k in range(4)}
+    system, name = archives.opened(runs[0].path)
+    with system.open_input_file(name) as source:
+        whole = next(e.asDict() for r in runs for e in r.entries if e.name == "1.txt")
+        assert archives.content_of(source, runs[0].path, whole) == b"text 1 " * 300
+        with pytest.raises(zipfile.BadZipFile, match="damaged"):
+            archives.content_of(source, runs[0].path, whole | {"crc": 1})
