@@ -7,6 +7,7 @@ Arrow batches and never shuffle. Tables are cut at rows with their header repeat
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate, chain, groupby, pairwise
 from operator import itemgetter
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 TARGET_PARTS, TARGET_LEAST, TARGET_MOST = 40, 1000, 2500
 OVERLAP, LEAST_CHARS, MOST_CHUNKS = 120, 40, 120
+#: characters of chunks after which a task gives on what it has made
+BATCH = 4 << 20
 _SEPARATOR = re.compile(r"^\s*\|?[\s:|]*-{2,}[\s:|-]*\|?\s*$")
 _ROW = re.compile(r"^\s*\|.*\|\s*$")
 _HTML_TABLE, _HTML_END = re.compile(r"<table[\s>]", re.I), re.compile(r"</table>", re.I)
@@ -184,21 +187,36 @@ def without_front_matter(lines: list[str]) -> list[str]:
     return lines
 
 
+_NAMES, _KINDS = ("seq", "body", "n_chars", "content_chars", "truncated"), (pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.bool_())
+
+
+def cut_batch(keys: pa.Array, texts: pa.Array, key: str, most: int = BATCH) -> Iterator[pa.RecordBatch]:
+    """The chunks of a batch of texts, about ``most`` characters at a time: one text at a time becomes Python's own."""
+
+    def made(at: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(_KINDS)]
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), *columns], [key, *_NAMES])
+
+    at, rows, held = [], [], 0
+    for i, value in enumerate(texts):
+        found, content, short = cut(without_front_matter(re.split(r"\r?\n", (value.as_py() or "").replace("\0", ""))))
+        for seq, body in enumerate(found or [None], 1):
+            at.append(i)
+            rows.append((seq if body else None, body, len(body) if body else None, content, short))
+            held += len(body or "")
+        if held >= most:
+            yield made(at, rows)
+            at, rows, held = [], [], 0
+    if rows:
+        yield made(at, rows)
+
+
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, seq, body, n_chars, content_chars, truncated): the chunks; a document without one has a row with seq null."""
-    kinds = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.bool_()]
-    names = ["seq", "body", "n_chars", "content_chars", "truncated"]
 
     def run(batches):
         for batch in batches:
-            at, rows = [], []
-            for i, value in enumerate(batch.column(1).to_pylist()):
-                found, content, short = cut(without_front_matter(re.split(r"\r?\n", (value or "").replace("\0", ""))))
-                for seq, body in enumerate(found or [None], 1):
-                    at.append(i)
-                    rows.append((seq if body else None, body, len(body) if body else None, content, short))
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], [key, *names])
+            yield from cut_batch(batch.column(0), batch.column(1), key)
 
     kind = docs.schema[key].dataType.simpleString()
     out = f"{key} {kind}, seq int, body string, n_chars int, content_chars long, truncated boolean"

@@ -172,3 +172,15 @@ def test_table_shapes(spark):
     found = [(r.label, r.value) for r in extract.table_records(docs).orderBy("line", "source_ref").collect()]
     assert ("a", "1") in found and ("only", "two") in found and ("k", "v") in found and ("k2", "v2") in found
     assert ("p / q / x", "5 | 6") in found and ("p / q / x", "5") in found
+
+
+def test_chunks_are_given_on_before_a_batch_ends():
+    import pyarrow as pa
+
+    from corpusloom.operators import chunk
+
+    texts = pa.array(["some words of a text " * 20 * (k % 4) for k in range(50)] + [None])
+    keys = pa.array(range(51))
+    parts, (whole,) = list(chunk.cut_batch(keys, texts, "id", 2000)), list(chunk.cut_batch(keys, texts, "id"))
+    assert len(parts) > 10 and pa.Table.from_batches(parts).combine_chunks().to_pylist() == whole.to_pylist()
+    assert set(whole.column(0).to_pylist()) == set(range(51))
