@@ -173,9 +173,7 @@ AS digest FROM documents""")
 def restructure_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned documents, and whether cleaning them again changes them: it must not."""
     docs = views.read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("제1조(a) ① x\n"), "text").alias("text"))
-    once = clean.restructured(docs.dropDuplicates(["doc_id"]))
-    again = clean.rewrites(once, clean.restructured(once))
-    return again.join(once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest")), "doc_id")
+    return clean.cleaned_again(docs, clean.restructure, {"digest": lambda x: F.md5(x.cast("binary"))})
 
 
 @REGISTRY(f"""WITH {_LINES}, c AS (SELECT doc_id, pos, CASE WHEN regexp_matches(line, '^\\s*\\|.*\\|\\s*$')

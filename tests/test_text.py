@@ -184,3 +184,14 @@ def test_chunks_are_given_on_before_a_batch_ends():
     parts, (whole,) = list(chunk.cut_batch(keys, texts, "id", 2000)), list(chunk.cut_batch(keys, texts, "id"))
     assert len(parts) > 10 and pa.Table.from_batches(parts).combine_chunks().to_pylist() == whole.to_pylist()
     assert set(whole.column(0).to_pylist()) == set(range(51))
+
+
+def test_cleaning_again_takes_no_shuffle(spark, sf_dir):
+    from corpusloom.operators import clean
+    from corpusloom.plans.queries_text import restructure_again
+
+    plan = restructure_again(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    rows = spark.createDataFrame([(1, "a"), (1, "b\r\n"), (2, None), (None, "aa")], "doc_id long, text string")
+    found = clean.cleaned_again(rows, lambda t: F.regexp_replace(t, "^a", ""), {"text": lambda x: x})
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, [(1, False, ""), (1, False, "b\r\n"), (2, False, None), (None, True, "a")]))
