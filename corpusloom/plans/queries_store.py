@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,6 +140,9 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.split_members(archives.listed(spark, folder), run=1 << 18).select("member", "size", F.md5("content").alias("md5"))
 
 
+_ROWS_A_BOOK = 20_000
+
+
 @REGISTRY("""SELECT p_brand AS sheet, p_partkey::VARCHAR AS part, unnest(['기관명', 'size', 'name']) AS name,
 unnest([p_partkey::VARCHAR, p_size::VARCHAR, p_name]) AS value FROM part""")
 def workbook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,11 +150,12 @@ def workbook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{_folder(spark)}/books"
     head = [["unit: piece"], ["기관명", "size", "name"]]
     parts = views.read(spark, sf_dir, "part")
-    workbooks.write_workbooks(parts, folder, "p_brand", ["p_partkey", "p_size", "p_name"], head).collect()  # a row a workbook
+    books = max(1, -(-parts.count() // _ROWS_A_BOOK))  # a workbook is held whole, so each gets so many rows, about
+    workbooks.write_workbooks(parts.repartition(books, "p_partkey"), folder, "p_brand", ["p_partkey", "p_size", "p_name"], head).collect()  # a row a workbook
     cells = workbooks.cells(archives.listed(spark, folder, "*.xlsx"))
     found = readers.sheet_records(cells, "기관명")
-    key = found.filter(F.col("name") == "기관명").select("file", "sheet", "row", F.col("value").alias("part"))
-    return found.join(key, ["file", "sheet", "row"]).select("sheet", "part", "name", "value")
+    part = F.max(F.when(F.col("name") == "기관명", F.col("value"))).over(Window.partitionBy("file", "sheet", "row"))
+    return found.select("sheet", part.alias("part"), "name", "value")
 
 
 @REGISTRY("""SELECT CASE WHEN doc_id % 2 = 0 THEN 'done' WHEN doc_id % 3 = 0 THEN 'failed' ELSE 'queued' END AS state, doc_id::VARCHAR AS key

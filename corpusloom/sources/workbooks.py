@@ -1,7 +1,8 @@
-"""Workbooks (.xlsx) as long cells, a sheet a task.
+"""Workbooks (.xlsx) as long cells, a run of sheets a task.
 
 A first job reads the lists of sheets, a second one walks over the XML of each sheet row by row, so a sheet of any length is
-never held whole; a workbook's shared strings are, for as long as one of its sheets is read. ``readers.sheet_records`` makes
+never held whole; a workbook's shared strings are, for as long as its sheets are read. Sheets are read in runs that hold as many
+bytes as the shared strings, so however many sheets a workbook has, reading its strings costs no more than reading its sheets. ``readers.sheet_records`` makes
 records of the cells.
 """
 
@@ -20,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.sources.archives import archive_at, opened
+from corpusloom.sources.archives import archive_at, opened, runs_of
 
 BATCH = 20_000
-SHEETS = "file string, sheet string, place int, member string"
+SHEETS = "file string, sheet string, place int, member string, run int"
 CELLS = "file string, sheet string, row int, column int, value string"
 #: fixed values: name spaces of the format
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -63,6 +64,14 @@ def text_of(element: ElementTree.Element) -> str:
     return "".join(parts)
 
 
+def sheet_runs(archive: zipfile.ZipFile, found: list[tuple[str, str]]) -> list[int]:
+    """The number of each sheet's run: consecutive sheets that together are as large as the shared strings."""
+    sizes = {i.filename: i.file_size for i in archive.infolist()}
+    own = [sizes.get(member, 0) for _, member in found]
+    runs = runs_of(own, max(1, sizes.get("xl/sharedStrings.xml", 0)))
+    return [k for k, (first, last, _) in enumerate(runs) for _ in range(first, last)]
+
+
 def shared_strings(archive: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in archive.namelist():
         return []
@@ -100,16 +109,18 @@ def cells_of(source, strings: list[str]) -> Iterator[tuple[int, int, str]]:
 
 
 def sheets(files: DataFrame) -> DataFrame:
-    """(file, sheet, place, member) of the sheets of the workbooks that ``files`` (path) lists."""
+    """(file, sheet, place, member, run) of the sheets of the workbooks that ``files`` (path) lists."""
 
     def read(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with archive_at(path) as archive:
                     found = sheet_members(archive)
-                columns = [[path] * len(found), [n for n, _ in found], list(range(len(found))), [m for _, m in found]]
-                types = (pa.string(), pa.string(), pa.int32(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["file", "sheet", "place", "member"])
+                    runs = sheet_runs(archive, found)
+                columns = [[path] * len(found), [n for n, _ in found], list(range(len(found))), [m for _, m in found], runs]
+                types = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32())
+                names = ["file", "sheet", "place", "member", "run"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     return files.select("path").mapInArrow(read, SHEETS)
 
@@ -117,7 +128,8 @@ def sheets(files: DataFrame) -> DataFrame:
 def cells(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """(file, sheet, row, column, value) of the workbooks that ``files`` (path) lists; rows and columns from 1."""
     spark = files.sparkSession
-    spread = sheets(files).repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "place")
+    spread = sheets(files).repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "run")
+    spread = spread.sortWithinPartitions("file", "run", "place")
 
     def batch_of(file: str, sheet: str, rows: list[tuple]) -> pa.RecordBatch:
         columns = [pa.array([file] * len(rows)), pa.array([sheet] * len(rows), pa.string())]
@@ -125,10 +137,13 @@ def cells(files: DataFrame, tasks: int | None = None) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["file", "sheet", "row", "column", "value"])
 
     def read(batches):
+        held, strings = None, []
         for batch in batches:
-            for file, sheet, _, member in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for file, sheet, _, member, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 with archive_at(file) as archive:
-                    strings, rows = shared_strings(archive), []
+                    if file != held:
+                        held, strings = file, shared_strings(archive)
+                    rows = []
                     with archive.open(member) as source:
                         for cell in cells_of(source, strings):
                             rows.append(cell)
