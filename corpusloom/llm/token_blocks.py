@@ -34,8 +34,8 @@ from corpusloom.llm.storage import read_file, write_file
 
 BLOCK = 256
 PERCENTILE = 0.95
-FILE_TOKENS = 1 << 22
-SLICE = 1 << 20
+FILE_TOKENS = 1 << 21
+SLICE = 1 << 19
 TABLE_PARTS = 1_000_000
 PARTS_A_CALL = 400
 ALPHANUMERIC = np.zeros(256, bool)
@@ -369,6 +369,7 @@ def write_tokens(
                 if sum(map(len, tokens)) >= FILE_TOKENS:
                     yield close()
                     seq += 1
+                    release()
         if tokens:
             yield close()
         release()
