@@ -1,33 +1,36 @@
 """Alignment of two tokenizers' tokens over the same bytes.
 
-Tasks tokenise, and that is all Python does: a row gets the ids and the ends (in bytes) of its tokens under either tokenizer.
-The rest are built-in functions. The ends that both share (``array_intersect``) cut a text into groups. An array with a place
+Tasks tokenise: a row gets the ids and the ends (in bytes) of its tokens under either tokenizer. Groups and links are made by
+built-in functions. The ends that both share (``array_intersect``) cut a text into groups. An array with a place
 for each byte says which token holds it, so a group's tokens are the ``sequence`` of token numbers between two shared ends,
 and the links (pairs of tokens that share bytes) are the tokens that hold the last byte before each end of either side.
 
-How many documents hold a pair of ids linked is counted over the corpus, distinct pairs of a document first. Those counts go
-back to the documents: the most frequent pairs, ``FREQUENT`` at most, by a broadcast; all others, which few documents hold each, by
-a shuffled join.
+How many documents hold a pair of ids linked is counted over the corpus, a document's distinct pairs with the number of their
+links. Those counts go back to the documents: the most frequent pairs, ``FREQUENT`` at most, by a broadcast; all others, which few
+documents hold each, by a shuffled join.
 
 Neither tokenizer joins anything across a space that stands after a printable character, so texts are cut there into units. A
-unit is encoded once while its hash is in a task's table, new units many to a call; a run of texts comes as the tokens of its
-distinct units, one after the other, and the units of each text. No group crosses a unit's end, so groups and links are made
-once for a run's units (``bundled``, ``run_reports``), and texts put together from them. Tokenizers of which this isn't
-known (see ``Pair``) have a unit for each text. ``tokenised`` and ``aligned`` give all of it text by text.
+unit is encoded once while its hash is in a task's table, new units many to a call. No group crosses a unit's end, so groups and
+links are made once for each unit of a task, as rows before the texts that hold it (``unit_rows``, ``aligned``), and a text's are
+its units' one after the other (``put_together``: nothing but gathering, hashing and counting, by Arrow and numpy). Tokenizers of
+which this isn't known (see ``Pair``) have a unit for each text. ``tokenised`` and ``aligned`` give all of it text by text.
 
 Edge cases: a text that is null or empty, or whose tokens don't spell out a space and the text under either tokenizer (U+2581 under a
 sentencepiece model), has no tokens, groups or links; its sums are 0. Repeated rows and ids are aligned row by row, and each counts
-as a document. An empty table gives an empty result. Extra columns are not read. A long text's tables take some tens of bytes a
-byte of text; shorter ones are taken ``BUNDLE`` bytes at a time.
+as a document. An empty table gives an empty result. Extra columns are not read. A long unit's tables take some tens of bytes a
+byte of text; of texts ``SLICE`` bytes are tokenised and ``UNITS_AT_ONCE`` units put together at a time, and a task's table is emptied
+beyond ``UNITS_KEPT`` units or ``TOKENS_KEPT`` tokens.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +39,9 @@ from corpusloom.llm.kernels import WHITESPACE, Words, release, text_slices
 from corpusloom.llm.shared import modest_batches, staged
 from corpusloom.llm.token_counts import byte_symbols
 
-SLICE, BUNDLE = 1 << 20, 1 << 21
-UNITS_KEPT = 600_000
+SLICE = 1 << 20
+UNITS_KEPT, TOKENS_KEPT = 600_000, 8_000_000
+UNITS_AT_ONCE = 300_000
 UNITS_A_CALL = 400
 FREQUENT = 500_000
 SPACE = "▁"
@@ -63,6 +67,7 @@ class Pair:
         self.bytes_b = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = (np.array([len(x) for x in own], np.int32) for own in (self.bytes_a, self.bytes_b))
         self.by_units = self.splits_at_spaces(path_a)
+        self.times_cleared = 0
         self.clear()
 
     def piece_bytes(self, i: int) -> bytes:
@@ -82,6 +87,7 @@ class Pair:
         return bool(plain_a and spec["normalizer"] is None and plain_b)
 
     def clear(self) -> None:
+        self.times_cleared += 1
         self.hashes = np.zeros(0, np.uint64)  # sorted
         self.numbers = np.zeros(0, np.int64)  # of the units, by sorted hash
         self.fine = np.zeros(0, bool)  # by number
@@ -114,7 +120,8 @@ class Pair:
                 at = np.searchsorted(ends, bounds)
                 if not np.array_equal(ends[at], bounds):
                     break
-                parts.append(np.split(ids, at[:-1] + 1))
+                cuts = (at + 1).tolist()
+                parts.append([ids[i:j] for i, j in zip([0, *cuts], cuts)])
             if len(parts) == 2:
                 for i, own_a, own_b in zip(run, *parts, strict=True):
                     out[i] = own_a, own_b, True
@@ -159,7 +166,7 @@ class Pair:
 
         Rows with a unit that its tokens don't spell out have no units.
         """
-        if len(self.fine) > UNITS_KEPT:
+        if len(self.fine) > UNITS_KEPT or max(map(len, self.ids)) > TOKENS_KEPT:
             self.clear()
         starts = self.cuts(raw, offsets)
         ends = np.append(starts[1:], len(raw))[: len(starts)]
@@ -232,37 +239,48 @@ def tokenised(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
     return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
 
 
-BUNDLES = "units array<array<int>>, n_a array<int>, n_b array<int>, unit_ends array<int>, " + TOKENS
+UNITS = "units array<int>, n_a long, n_b long, unit int, " + TOKENS
 
 
-def bundled(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each run of texts: ids, units, n_a, n_b of each text; and the tokens of the run's distinct units, one after the other.
+def unit_rows(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of two kinds: (id, units, n_a, n_b) of a text, and before it (unit, tokens) of each of its units that is new to the task.
 
-    units: the numbers of a text's units in the run; unit_ends: where each of the run's units ends in their joined bytes.
+    Units are numbered from 0 within a task, and from 0 again once the table of units has been emptied.
     """
     modest_batches(docs.sparkSession)
-    ids = T.StructField("ids", T.ArrayType(docs.schema[id_col].dataType))
-    schema = T.StructType([ids, *T._parse_datatype_string(BUNDLES).fields])
+    ids = T.StructField("id", docs.schema[id_col].dataType)
+    schema = T.StructType([ids, *T._parse_datatype_string(UNITS).fields])
 
     def run(batches):
         table = pair(path_a, path_b)
+        times_cleared, numbers, sent = table.times_cleared, np.zeros(0, np.int32), 0
         for batch in batches:
-            for lo, hi, raw, offsets in text_slices(batch.column(1), BUNDLE):
-                units, starts, ends, bounds = table.units(*spaced(raw, offsets))
-                distinct, first, own = np.unique(units, return_index=True, return_inverse=True)
-                unit_ends = np.cumsum((ends - starts)[first])
-                at = pa.array(bounds.astype(np.int32))
-                one = pa.array([0, hi - lo], pa.int32())
-                rows = pa.ListArray.from_arrays(at, pa.array(own.astype(np.int32)))
-                columns = [pa.ListArray.from_arrays(one, batch.column(0).slice(lo, hi - lo)), pa.ListArray.from_arrays(one, rows)]
-                sides = [table.tokens(side, distinct) for side in (0, 1)]
-                for ids, n in sides:
-                    per_text = np.diff(np.concatenate(([0], np.cumsum(n[own])))[bounds])
-                    columns.append(pa.ListArray.from_arrays(one, pa.array(per_text.astype(np.int32))))
-                columns.append(pa.array([unit_ends.astype(np.int32)], pa.list_(pa.int32())))
-                for (ids, _), sizes in zip(sides, (table.size_a, table.size_b), strict=True):
-                    columns += [pa.array([x], pa.list_(pa.int32())) for x in (ids, sizes[ids], np.cumsum(sizes[ids]).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+            for lo, hi, raw, offsets in text_slices(batch.column(1), SLICE):
+                units, _, _, bounds = table.units(*spaced(raw, offsets))
+                if table.times_cleared != times_cleared:
+                    times_cleared, numbers, sent = table.times_cleared, numbers[:0], 0
+                numbers = np.concatenate((numbers, np.full(len(table.fine) - len(numbers), -1, np.int32)))
+                new = np.unique(units[numbers[units] < 0])
+                numbers[new] = np.arange(sent, sent + len(new))
+                sent += len(new)
+                kinds = [{"unit": pa.array(numbers[new])}, {"id": batch.column(0).slice(lo, hi - lo)}]
+                own = pa.array(numbers[units])
+                kinds[1]["units"] = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), own)
+                for side, sizes in enumerate((table.size_a, table.size_b)):
+                    name = "ab"[side]
+                    ids, n = table.tokens(side, new)
+                    bounds_new = np.concatenate(([0], np.cumsum(n)))
+                    sums = np.concatenate(([0], np.cumsum(sizes[ids])))
+                    ends = sums[1:] - np.repeat(sums[bounds_new[:-1]], n)
+                    at = pa.array(bounds_new.astype(np.int32))
+                    for column, values in (("ids", ids), ("sizes", sizes[ids]), ("ends", ends.astype(np.int32))):
+                        kinds[0][f"{name}_{column}"] = pa.ListArray.from_arrays(at, pa.array(values))
+                    n_own = table.starts[side][units + 1] - table.starts[side][units]
+                    kinds[1][f"n_{name}"] = pa.array(np.diff(np.concatenate(([0], np.cumsum(n_own)))[bounds]))
+                types = {name: values.type for columns in kinds for name, values in columns.items()}
+                for columns, rows in zip(kinds, (len(new), hi - lo), strict=True):
+                    full = [columns[name] if name in columns else pa.nulls(rows, types[name]) for name in schema.names]
+                    yield pa.RecordBatch.from_arrays(full, schema.names)
         release()
 
     return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
@@ -285,11 +303,6 @@ def _by_byte(sizes: Column, value) -> Column:
     return F.flatten(F.transform(sizes, lambda n, k: F.array_repeat(value(k), n)))
 
 
-def _end_by_byte(ends: Column) -> Column:
-    """For each byte, the end of the span that holds it."""
-    return F.flatten(F.zip_with(ends, _spans(ends), F.array_repeat))
-
-
 def faced(tokens: DataFrame) -> DataFrame:
     """``tokens`` with the ends that both sides share, all ends in order, and the id of either side that holds each byte."""
     return _steps(
@@ -311,52 +324,105 @@ def aligned(tokens: DataFrame) -> DataFrame:
     return _steps(faced(tokens), **numbers).select(*tokens.columns, groups.alias("groups"), links.alias("links"))
 
 
-def run_reports(runs: DataFrame, base: int) -> DataFrame:
-    """``reports``, for each text of a run: id, n_a, n_b, n_groups, groups_sha256, pairs (a * base + b of each link).
+def unit_groups(rows: DataFrame, base: int) -> DataFrame:
+    """``unit_rows`` with groups, links and tokens as a unit's groups_text, n_groups and pairs (a * base + b of each link)."""
+    joined = lambda ids: F.array_join(ids.cast("array<string>"), ",")
+    texts = F.transform("groups", lambda g: F.concat(joined(g["a"]), F.lit("|"), joined(g["b"])))
+    pairs = F.transform("links", lambda x: x["a"].cast("long") * base + x["b"])
+    return aligned(rows).select(
+        "id", "units", "n_a", "n_b", "unit", F.array_join(texts, ";").alias("groups_text"), F.size("groups").alias("n_groups"), pairs.alias("pairs")
+    )
+
+
+REPORT = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
+
 
-    Ids are joined with a mark after each that says whether a group ends there, split into groups, put side by side, and
-    joined again with a mark after each group that says whether a unit ends there.
+def put_together(rows: DataFrame, most_pairs: int) -> DataFrame:
+    """A row for each text of ``unit_groups``: its units' groups one after the other, its distinct pairs and how often each is linked.
+
+    A text's units stand before it in its task, so a task keeps what it has met; ``most_pairs`` is more than any pair.
     """
-    found = _steps(
-        faced(runs),
-        group_end=_end_by_byte(F.col("shared")), unit_end=_end_by_byte(F.col("unit_ends")),
-        link_number=_by_byte(_spans(F.col("ends")), lambda k: k + 1),
-        pairs=F.transform("ends", lambda end: F.element_at("a_held", end).cast("long") * base + F.element_at("b_held", end)),
-    )
+    schema = T.StructType([rows.schema["id"], *T._parse_datatype_string(REPORT).fields])
 
-    def mark(held: str, end: Column, yes: str, no: str) -> Column:
-        return F.when(F.element_at(held, end) == end, yes).otherwise(no)
+    def run(batches):
+        met = MetUnits()
+        for batch in batches:
+            of_text = batch.column("unit").is_null().to_numpy(zero_copy_only=False)
+            # runs of rows of one kind
+            turns = np.flatnonzero(np.diff(of_text)) + 1
+            for lo, hi in zip([0, *turns], [*turns, len(of_text)], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if not of_text[lo]:
+                    met.add(part)
+                    continue
+                sizes = np.cumsum(pc.list_value_length(part.column("units")).to_numpy())
+                cuts = np.searchsorted(sizes, np.arange(UNITS_AT_ONCE, sizes[-1] + 1, UNITS_AT_ONCE), "right")
+                cuts = np.unique([0, *cuts, len(sizes)])
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    yield pa.RecordBatch.from_arrays(met.report(part.slice(a, b - a), most_pairs), schema.names)
+        release()
 
-    def side(ids: str, ends: str) -> Column:
-        # arrays and one join at the end: joining strings within a lambda costs more
-        marked = F.zip_with(F.col(ids).cast("array<string>"), F.col(ends), lambda x, end: F.array(x, mark("group_end", end, "|", ",")))
-        return F.split(F.array_join(F.flatten(marked), ""), "[|]")
+    return rows.mapInArrow(run, schema)
 
-    found = _steps(found, a_groups=side("a_ids", "a_ends"), b_groups=side("b_ids", "b_ends"))
-    texts = F.transform(
-        "shared", lambda end, g: F.array(F.get("a_groups", g), F.lit("|"), F.get("b_groups", g), mark("unit_end", end, " ", ";"))
-    )
-    before = lambda k: F.coalesce(F.element_at("link_number", F.get("unit_ends", k - 1)), F.lit(0))
-    links = F.transform("unit_ends", lambda end, k: F.slice("pairs", before(k) + 1, F.element_at("link_number", end) - before(k)))
-    found = _steps(found, unit_texts=F.split(F.array_join(F.flatten(texts), ""), " "), unit_pairs=links)
-    found = _steps(found, unit_groups=F.transform("unit_texts", lambda x: F.size(F.split(x, ";"))))
 
-    def report(d: Column) -> Column:
-        text = F.array_join(F.transform(d["units"], lambda u: F.get("unit_texts", u)), ";")
-        return F.struct(
-            d["ids"].alias("id"), d["n_a"].cast("long").alias("n_a"), d["n_b"].cast("long").alias("n_b"),
-            F.aggregate(d["units"], F.lit(0).cast("long"), lambda n, u: n + F.get("unit_groups", u)).alias("n_groups"),
-            F.when(F.size(d["units"]) > 0, F.sha2(text, 256)).otherwise(F.lit("")).alias("groups_sha256"),
-            F.flatten(F.transform(d["units"], lambda u: F.get("unit_pairs", u))).alias("pairs"),
-        )
+class MetUnits:
+    """What array functions gave for the units that a task has met, by the units' numbers."""
+
+    def __init__(self):
+        self.clear()
 
-    return found.select(F.transform(F.arrays_zip("ids", "units", "n_a", "n_b"), report).alias("reports"))
+    def clear(self) -> None:
+        self.texts: list[bytes] = []
+        self.n_groups, self.pairs, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.waiting: list[pa.RecordBatch] = []
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        again = np.flatnonzero(rows.column("unit").to_numpy() == 0)
+        if len(again):
+            self.clear()
+            rows = rows.slice(again[-1])
+        first = len(self.texts)
+        if not np.array_equal(rows.column("unit").to_numpy(), np.arange(first, first + rows.num_rows)):
+            raise RuntimeError("units aren't in the order of their numbers")
+        self.texts += rows.column("groups_text").cast(pa.binary()).to_pylist()
+        self.waiting.append(rows)
+
+    def settle(self) -> None:
+        if self.waiting:
+            whole = pa.Table.from_batches(self.waiting).combine_chunks()
+            n = pc.list_value_length(whole["pairs"]).to_numpy()
+            self.pairs = np.concatenate((self.pairs, pc.list_flatten(whole["pairs"]).to_numpy()))
+            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(n)))
+            self.n_groups = np.concatenate((self.n_groups, whole["n_groups"].to_numpy()))
+            self.waiting = []
+
+    def report(self, rows: pa.RecordBatch, most_pairs: int) -> list[pa.Array]:
+        """The columns of ``put_together`` for some texts."""
+        self.settle()
+        units = pc.list_flatten(rows.column("units")).to_numpy()
+        bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(rows.column("units")).to_numpy())))
+        if len(units) and units.max() >= len(self.texts):
+            raise RuntimeError("a text stands before one of its units")
+        n_groups = np.diff(np.concatenate(([0], np.cumsum(self.n_groups[units])))[bounds])
+        first = self.starts[units]
+        n = self.starts[units + 1] - first
+        total = np.concatenate(([0], np.cumsum(n)))
+        pairs = self.pairs[np.repeat(first - total[:-1], n) + np.arange(total[-1])]
+        n_links = np.diff(total[bounds])
+        keys, times = np.unique(np.repeat(np.arange(rows.num_rows), n_links) * most_pairs + pairs, return_counts=True)
+        at = pa.array(np.searchsorted(keys, np.arange(rows.num_rows + 1) * most_pairs).astype(np.int32))
+        own, digests = units.tolist(), []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            digests.append(hashlib.sha256(b";".join([self.texts[u] for u in own[a:b]])).hexdigest() if b > a else "")
+        return [
+            rows.column("id"), rows.column("n_a"), rows.column("n_b"), pa.array(n_groups), pa.array(n_links), pa.array(digests, pa.string()),
+            pa.ListArray.from_arrays(at, pa.array(keys % most_pairs)), pa.ListArray.from_arrays(at, pa.array(times.astype(np.int32))),
+        ]
 
 
 def link_counts(linked: DataFrame, pairs_col: str = "pairs") -> DataFrame:
-    """(pair, n): in how many rows each number of the array column stands."""
-    each = linked.select(F.explode_outer(F.array_distinct(pairs_col)).alias("pair")).filter("pair is not null")
-    return each.groupBy("pair").agg(F.count("*").alias("n"))
+    """(pair, n): in how many rows each number of the array column stands; a row has a number once at most."""
+    return linked.select(F.explode(pairs_col).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
 
 
 def frequent_from(counts: DataFrame, most: int) -> int:
@@ -377,11 +443,10 @@ def alignment_report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
     ``count_sum`` sums, over a row's links, in how many rows the pair stands; ``n_best`` counts the links whose pair stands in
     as many rows as any other pair of its A id.
     """
-    base = len(pair(path_a, path_b).bytes_b)  # a pair of ids as one number
-    runs = bundled(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), path_a, path_b, "id")
-    # not ``explode``: that adds a filter on the array's size, which would be worked out a second time, below the steps
-    reports = run_reports(runs, base).select(F.explode_outer("reports").alias("report"))
-    rows = staged(reports.select(F.monotonically_increasing_id().alias("row"), "report.*"), "alignments")
+    base, size_a = len(pair(path_a, path_b).bytes_b), len(pair(path_a, path_b).bytes_a)  # a pair of ids as one number
+    units = unit_groups(unit_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), path_a, path_b, "id"), base)
+    reports = put_together(units, size_a * base)
+    rows = staged(reports.select(F.monotonically_increasing_id().alias("row"), "*"), "alignments")
     counts = staged(link_counts(rows), "link-counts")
     # one row for each id of A at most, so as many as its vocabulary
     by_a = counts.withColumn("a", F.expr(f"pair div {base}"))
@@ -389,12 +454,12 @@ def alignment_report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
     known = by_a.join(F.broadcast(best), "a").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
     least = frequent_from(counts, FREQUENT)
     frequent = F.broadcast(known.filter(F.col("n") >= least))
-    each = rows.select("row", F.explode("pairs").alias("pair"))
-    sums = [F.sum("n").alias("count_sum"), F.sum("best").alias("n_best")]
+    each = rows.select("row", "times", F.posexplode("pairs").alias("_at", "pair")).select("row", "pair", F.get("times", "_at").alias("_times"))
+    sums = [F.sum(F.col("n") * F.col("_times")).alias("count_sum"), F.sum(F.col("best") * F.col("_times")).alias("n_best")]
     found = each.join(frequent, "pair").groupBy("row").agg(*sums)
     if least > 1:
         rare = each.join(frequent, "pair", "left_anti").join(known.filter(F.col("n") < least), "pair").groupBy("row").agg(*sums)
         found = found.unionByName(rare).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("count_sum", "n_best")))
-    out = rows.withColumn("n_links", F.size("pairs").cast("long")).drop("pairs").join(found, "row", "left")
+    out = rows.drop("pairs", "times").join(found, "row", "left")
     sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
     return out.select(F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links", *sums, "groups_sha256")

@@ -151,3 +151,40 @@ def test_a_long_text_and_an_empty_table(spark, paths, tokens_of):
     a, b = tokens_of(text)
     assert (got.n_a, got.n_b) == (len(a), len(b)) and got.n_links == got.n_a + got.n_b - got.n_groups == got.count_sum
     assert token_alignment.alignment_report(spark.createDataFrame([], "doc_id long, text string"), *paths).count() == 0
+
+
+def test_array_functions_meet_a_unit_once_a_task(spark, paths, tokens_of):
+    texts = ["alpha betagamma delta, " * 40 + f"zz{i % 3}" for i in range(200)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    rows = token_alignment.unit_rows(docs, *paths, "id")
+    assert rows.filter("unit is null").count() == 202 and rows.filter("unit is not null").count() == 3 + 3
+    got = sorted(map(tuple, token_alignment.alignment_report(docs.withColumnRenamed("id", "doc_id"), *paths).collect()))
+    assert got == [(i, *w) for i, w in enumerate(plain(texts, tokens_of))]
+
+
+def test_texts_are_put_together_across_emptied_tables(paths, tokens_of):
+    import pyarrow as pa
+
+    kind = pa.schema([("id", pa.int64()), ("units", pa.list_(pa.int32())), ("n_a", pa.int64()), ("n_b", pa.int64()), ("unit", pa.int32()),
+                      ("groups_text", pa.string()), ("n_groups", pa.int32()), ("pairs", pa.list_(pa.int64()))])
+    unit = lambda k, text, pairs: {"unit": k, "groups_text": text, "n_groups": text.count("|"), "pairs": pairs}
+    batch = lambda rows: pa.RecordBatch.from_pylist(rows, schema=kind)
+    met = token_alignment.MetUnits()
+    met.add(batch([unit(0, "1|2", [7]), unit(1, "3|4;5|6", [8, 7])]))
+    told = [x.to_pylist() for x in met.report(batch([{"id": 5, "units": [1, 0, 1], "n_a": 5, "n_b": 5}, {"id": 6, "units": [], "n_a": 0, "n_b": 0}]), 10)]
+    assert told == [[5, 6], [5, 0], [5, 0], [5, 0], [5, 0], [hashlib.sha256(b"3|4;5|6;1|2;3|4;5|6").hexdigest(), ""], [[7, 8], []], [[3, 2], []]]
+    met.add(batch([unit(2, "9|9", [1]), unit(0, "8|8", [3]), unit(1, "6|6", [4])]))
+    told = [x.to_pylist() for x in met.report(batch([{"id": 5, "units": [0, 1], "n_a": 2, "n_b": 2}]), 10)]
+    assert told[5:] == [[hashlib.sha256(b"8|8;6|6").hexdigest()], [[3, 4]], [[1, 1]]]
+    with pytest.raises(RuntimeError):
+        met.add(batch([unit(5, "1|1", [1])]))
+    with pytest.raises(RuntimeError):
+        met.report(batch([{"id": 5, "units": [2], "n_a": 1, "n_b": 1}]), 10)
+
+
+def test_a_small_table_gives_the_same_report(spark, paths, tokens_of, monkeypatch):
+    monkeypatch.setattr(token_alignment, "SLICE", 400)
+    monkeypatch.setattr(token_alignment, "UNITS_AT_ONCE", 7)
+    rows = corpus()[-80:]
+    wanted = sorted(map(repr, ((r[0], *w) for r, w in zip(rows, plain([r[1] for r in rows], tokens_of)))))
+    assert report(spark, rows, paths) == wanted
