@@ -16,17 +16,18 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+#: a code point, and ahead of it the 3-gram that it begins, but for one that ends in two blanks
+GRAM = "(?=(.(?:.[^ ]|[^ ] )))."
+
+
 def trigrams(text: Column) -> Column:
-    """Distinct 3-grams of each lower-cased word, padded by two blanks before and one after it.
+    """Distinct 3-grams of each lower-cased word, padded by two blanks before and one after it; none of a null text.
 
     Words are set side by side with their padding, so one walk over the text gives all; a 3-gram that ends in two blanks
     lies across two words.
     """
-    words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "   "))
-    padded = F.when(words != "", F.concat(F.lit("  "), words, F.lit(" "))).otherwise("")
-    cut = lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, F.lit(3)))
-    grams = _once(padded, lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(cut(s)))
-    return F.array_distinct(F.filter(grams, lambda g: ~g.endswith("  ")))
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", "   "))
+    return F.array_distinct(F.regexp_extract_all(F.concat(F.lit("  "), words, F.lit(" ")), F.lit(GRAM), F.lit(1)))
 
 
 def keyword_trigrams(keyword: str) -> list[str]:

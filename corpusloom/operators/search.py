@@ -125,6 +125,14 @@ class IndexScores:
     documents: DataFrame
 
 
+def named_articles(articles: DataFrame, indexed: IndexScores) -> DataFrame:
+    """The articles that a keyword search can show: those with a score, and all of documents with one. To be met with their
+    documents, so that the others aren't; ``indexed`` should be stored, it is read for each kind."""
+    own = indexed.articles.select("id", F.lit(True).alias("_own"))
+    of_document = indexed.documents.select(F.col("id").alias("doc_id"), F.lit(True).alias("_of_document"))
+    return articles.join(own, "id", "left").join(of_document, "doc_id", "left").filter("_own OR _of_document").select(articles.columns)
+
+
 def keyword_hits(
     rows: DataFrame, spec: SearchSpec, documents: DataFrame | None = None, indexed: IndexScores | None = None
 ) -> DataFrame:

@@ -194,6 +194,11 @@ class Store:
                     raise
         raise AssertionError("unreachable")
 
+    def discard(self, table: Table) -> None:
+        """Drop the folders of a table that was written and not committed."""
+        for part in table.parts:
+            self._system.delete(self._path(part.folder), True)
+
     def retain(self, versions: int) -> None:
         """Drop all but the last versions, and every data folder that none of those names. No writer may be at work."""
         there = self.versions()

@@ -23,11 +23,16 @@ from corpusloom.operators.snapshots import State, Store, Table
 MOST_GENERATIONS = 8
 
 
-def postings(rows: DataFrame, texts: list[str], generation: int, key: str = "id") -> DataFrame:
-    """(gram, n, id, field, generation) of each row's texts; a null text has none. ``field`` is the place of the text's column."""
+def cut_texts(rows: DataFrame, texts: list[str], key: str = "id") -> DataFrame:
+    """(id, field, grams) of each row's texts that have trigrams. ``field`` is the place of the text's column."""
     grams = F.array(*(F.struct(F.lit(k).alias("field"), trigrams(F.col(t)).alias("grams")) for k, t in enumerate(texts)))
     each = rows.select(F.col(key).alias("id"), F.explode(grams).alias("x")).filter(F.size("x.grams") > 0)
-    listed = each.select("id", "x.field", F.size("x.grams").alias("n"), F.explode("x.grams").alias("gram"))
+    return each.select("id", "x.*")
+
+
+def postings(cut: DataFrame, generation: int) -> DataFrame:
+    """(gram, n, id, field, generation) of ``cut_texts``."""
+    listed = cut.select("id", "field", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     return listed.select("gram", "n", "id", "field", F.lit(generation).alias("generation"))
 
 
@@ -82,7 +87,11 @@ def built(store: Store, name: str, rows: DataFrame, texts: list[str], key: str =
     """New tables of an index over all rows, to be committed."""
     listed, gone = names(name)
     kind = T.StructType([T.StructField("id", rows.schema[key].dataType), T.StructField("generation", T.IntegerType(), False)])
-    return {listed: store.write(in_ranges(postings(rows, texts, 0, key))), gone: Table(kind.json())}
+    # ranges are found by reading what is to be ranged: stored trigrams are read twice, not made twice
+    cut = store.write(cut_texts(rows, texts, key))
+    made = store.write(in_ranges(postings(store.rows(cut), 0)))
+    store.discard(cut)
+    return {listed: made, gone: Table(kind.json())}
 
 
 def updated(store: Store, state: State, name: str, delta: DataFrame, gone: DataFrame, texts: list[str], key: str = "id") -> dict[str, Table]:
@@ -90,7 +99,7 @@ def updated(store: Store, state: State, name: str, delta: DataFrame, gone: DataF
     rows are in both). Only the delta is written; every ``MOST_GENERATIONS`` deltas all generations are merged."""
     listed, dead = names(name)
     generation = len(state.tables[listed].parts)
-    found = store.appended(state.tables[listed], in_ranges(postings(delta, texts, generation, key)))
+    found = store.appended(state.tables[listed], in_ranges(postings(cut_texts(delta, texts, key), generation)))
     removed = store.appended(state.tables[dead], tombstones(gone, generation, key))
     if generation < MOST_GENERATIONS:
         return {listed: found, dead: removed}

@@ -36,11 +36,14 @@ def _store(spark: SparkSession) -> Store:
 @REGISTRY(f"WITH {_hits_sql()} SELECT {_COLUMNS} FROM hits ORDER BY {_ORDER} LIMIT 20")
 def kw_indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyword search of ``kw_title_search``, answered from stored postings of all titles."""
-    db, documents = _store(spark), views.documents(spark, sf_dir)
-    made = title_index.built(db, "a", views.articles(spark, sf_dir), ["title"])
+    db, articles, documents = _store(spark), views.articles(spark, sf_dir), views.documents(spark, sf_dir)
+    made = title_index.built(db, "a", articles, ["title"])
     db.commit(db.state(), made | title_index.built(db, "d", documents, ["doc_title", "alias"], "doc_id"))
-    indexed = search.IndexScores(*(title_index.search(db, name, KEYWORD) for name in "ad"))
-    return search.keyword_search(_rows(spark, sf_dir), search.cli_spec(keyword=KEYWORD, limit=20), documents, indexed).select(RESULT)
+    # scores, and the rows that they name, are stored: both are read several times
+    indexed = search.IndexScores(*(db.rows(db.write(title_index.search(db, name, KEYWORD))) for name in "ad"))
+    named = search.joined(search.named_articles(articles, indexed), documents, views.institutions(spark, sf_dir))
+    rows = db.rows(db.write(named.drop("body")))
+    return search.keyword_search(rows, search.cli_spec(keyword=KEYWORD, limit=20), documents, indexed).select(RESULT)
 
 
 _BLUE = "small blue ring"

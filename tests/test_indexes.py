@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.similarity import THRESHOLD, cosine, trigram_similarity
-from corpusloom.operators import classify, sync, title_index, vector_index
+from corpusloom.operators import classify, search, sync, title_index, vector_index
 from corpusloom.operators.snapshots import Store
 
 WORDS = ["annual", "leave", "annul", "pay", "rule", "rules", "연차", "연차휴가", "휴가", "인사규정", "x", "Leave-Pay"]
@@ -72,6 +72,26 @@ def test_a_search_reads_its_trigrams_alone(spark, tmp_path):
     assert "PushedFilters: [" in scan and "In(gram" in scan and "title" not in scan.split("ReadSchema")[1]
 
 
+def test_trigrams_are_made_once_a_build(spark, tmp_path, monkeypatch):
+    plans, write = [], Store.write
+    monkeypatch.setattr(Store, "write", lambda self, rows, *rest: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or write(self, rows, *rest))
+    store = Store(spark, str(tmp_path))
+    store.commit(store.state(), title_index.built(store, "titles", frame(spark, titles(50)), ["title", "alias"]))
+    # what is put into ranges is read twice, once to find them
+    ranged = [p for p in plans if "RepartitionByExpression" in p]
+    assert len(ranged) == 1 and "regexp" not in ranged[0] and any("regexp" in p for p in plans)
+    assert len(list((tmp_path / "data").iterdir())) == 1
+    assert searched(store, "annual leave") == scored(frame(spark, titles(50)), "annual leave")
+
+
+def test_named_articles_are_all_that_a_search_shows(spark):
+    articles = spark.createDataFrame([(d * 10 + k, d, k, "t") for d in range(5) for k in range(3)] + [(None, None, 0, "t")], "id long, doc_id long, art_no int, title string")
+    found = search.IndexScores(*(spark.createDataFrame([(i, 0.5) for i in ids], "id long, similarity double") for ids in ([11, 30], [1, 4])))
+    got = search.named_articles(articles, found)
+    assert got.columns == articles.columns
+    assert sorted(r.id for r in got.collect()) == [10, 11, 12, 30, 40, 41, 42]
+
+
 def test_many_words_equal_one_expression_a_word(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("가나다ab") for _ in range(rng.randint(1, 4))) for _ in range(240)]
