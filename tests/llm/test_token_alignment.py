@@ -188,3 +188,57 @@ def test_a_small_table_gives_the_same_report(spark, paths, tokens_of, monkeypatc
     rows = corpus()[-80:]
     wanted = sorted(map(repr, ((r[0], *w) for r, w in zip(rows, plain([r[1] for r in rows], tokens_of)))))
     assert report(spark, rows, paths) == wanted
+
+
+def test_array_functions_meet_a_shape_once_a_task(spark, paths, tokens_of, monkeypatch):
+    met, whole = [], token_alignment.aligned
+    monkeypatch.setattr(token_alignment, "aligned", lambda tokens: met.append(tokens) or whole(tokens))
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", "##"]) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(80)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = sorted(map(tuple, token_alignment.alignment_report(docs, *paths).collect()))
+    assert got == [(i, *w) for i, w in enumerate(plain(texts, tokens_of))]
+    used = {w for t in texts for w in (t or "").split()}
+    shapes = {tuple(tuple(len(x) for _, x in side) for side in tokens_of(w)) for w in used}
+    assert met[0].filter("a_sizes is not null").count() == len(shapes) < len(used)
+
+
+def test_a_task_whose_tables_are_emptied_gives_the_same_report(spark, paths, tokens_of, monkeypatch):
+    def small(path_a, path_b):
+        found = token_alignment.Pair(path_a, path_b)
+        found.units_kept = 40
+        return found
+
+    monkeypatch.setattr(token_alignment, "pair", small)
+    monkeypatch.setattr(token_alignment, "SLICE", 400)
+    rows = corpus()[-80:]
+    wanted = sorted(map(repr, ((r[0], *w) for r, w in zip(rows, plain([r[1] for r in rows], tokens_of)))))
+    assert report(spark, rows, paths) == wanted
+
+
+def test_units_get_their_ids_into_their_shapes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_alignment, "UNITS_SPELT", 2)
+    number = pa.list_(pa.int32())
+    kind = pa.schema([("unit", pa.int32()), ("unit_shapes", number), ("unit_a", number), ("unit_b", number), ("shape", pa.int32()),
+                      ("groups", pa.list_(pa.struct([("a", number), ("b", number)]))), ("links", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
+    batch = lambda *rows: pa.RecordBatch.from_pylist(list(rows), schema=kind)
+    shape = lambda k, groups, links: {"shape": k, "groups": [{"a": a, "b": b} for a, b in groups], "links": [{"a": a, "b": b} for a, b in links]}
+    units = lambda k, shapes, a, b: {"unit": k, "unit_shapes": shapes, "unit_a": a, "unit_b": b}
+    told = lambda: [tuple(r.values()) for x in met.spelt() for r in x.to_pylist()]
+    one, two = shape(0, [([0], [0])], [(0, 0)]), shape(1, [([0], [0, 1]), ([1], [2])], [(0, 0), (0, 1), (1, 2)])
+    met = token_alignment.MetShapes(10, 100)
+    met.add(batch(one, two, units(0, [1, 0, 1], [11, 12, 3, 5, 6], [4, 5, 6, 7, 8, 9, 1])))
+    wanted = [(0, b"11|4,5;12|6", 2, [114, 115, 126]), (1, b"3|7", 1, [37]), (2, b"5|8,9;6|1", 2, [58, 59, 61])]
+    assert told() == wanted and told() == []
+    met.add(batch(units(3, [0], [99], [9])))
+    assert told() == [(3, b"99|9", 1, [999])]
+    # shapes from 0 again
+    met.add(batch(shape(0, [([0, 1], [0])], [(0, 0), (1, 0)]), units(0, [0], [7, 8], [9])))
+    assert told() == [(0, b"7,8|9", 1, [79, 89])]
+    for wrong in (shape(5, [([0], [0])], [(0, 0)]), units(1, [1], [1], [1]), units(1, [0], [1], [1])):
+        with pytest.raises(RuntimeError):
+            met.add(batch(wrong))
+            told()
